@@ -132,3 +132,214 @@ SELECT {PRICE_OUT_COLS},
        {_mean3_sql('a', 'b')} AS news_avg_sentiment_3d,
        {_mean3_sql('w', 'b')} AS news_weighted_sentiment_3d
 FROM j""")
+
+
+# ---------------------------------------------------------------------------
+# Text scoring oracles
+# ---------------------------------------------------------------------------
+from .functions.text import clean_text_sql, combined_text_sql, keyword_in_text_sql  # noqa: E402
+from .sources.dimensions import (BOOSTER_DAMPING, CONTRAST_AFTER, CONTRAST_BEFORE,  # noqa: E402
+                                 CONTRAST_WORD, NEGATION_SCALAR, NORMALIZATION_ALPHA,
+                                 Lexicon, Taxonomy)
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _dbl(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def cleaned_articles_sql() -> tuple[tuple[str, str], ...]:
+    comb = combined_text_sql("title", "summary", "content")
+    return (("a", ARTICLES_SQL),
+            ("c", f"""SELECT article_id, source_id, published_date,
+       {clean_text_sql('title')} AS c_title, {clean_text_sql('summary')} AS c_summary,
+       {clean_text_sql('content')} AS c_content,
+       coalesce(regexp_matches({comb}, '\\S'), false) AS ok,
+       {clean_text_sql(comb)} AS c_combined
+FROM a"""))
+
+
+def topic_ctes(tax: Taxonomy) -> tuple[tuple[str, str], ...]:
+    kws = tax.keywords
+    idx = {k: i for i, k in enumerate(kws)}
+    kw_cols = ",\n       ".join(
+        f"least(CASE WHEN {keyword_in_text_sql('c_title', k)} THEN 5 ELSE 0 END"
+        f" + CASE WHEN {keyword_in_text_sql('c_summary', k)} THEN 3 ELSE 0 END"
+        f" + CASE WHEN {keyword_in_text_sql('c_content', k)} THEN 2 ELSE 0 END, 10) AS kw{i}"
+        for i, k in enumerate(kws))
+    ids = [t for t, _ in tax.topic_ids]
+    k_cols, hit_cols = [], []
+    for t, (name, tk) in zip(ids, tax.topics):
+        k_cols.append(" + ".join(f"kw{idx[k.strip().lower()]}" for k in tk) + f" AS k{t}")
+        items = ", ".join(f"CASE WHEN kw{idx[k]} > 0 THEN {_q(k)} END"
+                          for k in tax.sorted_keywords(name))
+        hit_cols.append(f"list_filter([{items}], lambda x: x IS NOT NULL) AS hits{t}")
+    ts_cols = ", ".join(
+        f"least(CAST({ratio(f'k{t} * 10000', '30', scale=1)} AS BIGINT), 10000) AS ts{t}"
+        for t in ids)
+    arr = ", ".join(f"ts{t}" for t in ids)
+    greatest = f"greatest({arr})" if len(ids) > 1 else arr
+    primary = "CASE " + " ".join(f"WHEN ts{t} = g THEN {t}" for t in ids) + " END"
+    json_parts = ", ".join(
+        f"CASE WHEN len(hits{t}) > 0 THEN '\"{n}\": [' || array_to_string("
+        f"list_transform(hits{t}, lambda x: '\"' || x || '\"'), ', ') || ']' END"
+        for t, n in tax.topic_ids)
+    return (("kw", f"SELECT *,\n       {kw_cols}\nFROM c"),
+            ("kt", f"SELECT *, {', '.join(k_cols)}, {', '.join(hit_cols)} FROM kw"),
+            ("ts", f"SELECT *, {ts_cols} FROM kt"),
+            ("tr", f"""SELECT *, {greatest} AS g,
+       coalesce(list_sort([{arr}], 'DESC')[2], 0) AS top2 FROM ts"""),
+            ("scored", f"""SELECT *,
+       least(CAST({ratio('(8 * g + 2 * top2)', '10', scale=1)} AS BIGINT), 10000) AS relevance_e4,
+       CASE WHEN g > 0 THEN {primary} END AS primary_topic_id,
+       '{{' || concat_ws(', ', {json_parts}) || '}}' AS hits_json
+FROM tr"""))
+
+
+def compound_ctes(lex: Lexicon, src: str = "c", text: str = "c_combined"
+                  ) -> tuple[tuple[str, str], ...]:
+    """Token rows with lags: an independent formulation of the lexicon rules."""
+    lv = ("CASE tok " + " ".join(f"WHEN {_q(k)} THEN {_dbl(v)}" for k, v in lex.valence.items())
+          + " END") if lex.valence else "CAST(NULL AS DOUBLE)"
+    bv = ("CASE tok " + " ".join(f"WHEN {_q(k)} THEN {_dbl(v)}" for k, v in lex.boosters.items())
+          + f" ELSE {_dbl(0.0)} END") if lex.boosters else _dbl(0.0)
+    isb = (f"tok IN ({', '.join(_q(k) for k in lex.boosters)})" if lex.boosters else "false")
+    ng = (f"tok IN ({', '.join(_q(k) for k in lex.negators)})" if lex.negators else "false")
+    strip = "regexp_replace(raw, '^[-+./]+|[-+./]+$', '', 'g')"
+    lags = ", ".join(f"lag(lv, {d}) OVER w AS lv{d}, lag(bv, {d}) OVER w AS bv{d}, "
+                     f"lag(ng, {d}) OVER w AS ng{d}" for d in (1, 2, 3))
+    steps = []
+    prev = "v0"
+    for d, damp in zip((1, 2, 3), BOOSTER_DAMPING):
+        cur = f"v{d}"
+        boosted = (f"({prev} + ((CASE WHEN {prev} < 0 THEN {_dbl(-1.0)} ELSE {_dbl(1.0)} END)"
+                   f" * bv{d}) * {_dbl(damp)})")
+        expr = (f"CASE WHEN pos > {d} AND lv IS NOT NULL AND NOT isb AND lv{d} IS NULL THEN "
+                f"(CASE WHEN ng{d} THEN {boosted} * {_dbl(NEGATION_SCALAR)} ELSE {boosted} END)"
+                f" ELSE {prev} END")
+        steps.append((f"s{d}", f"SELECT *, {expr} AS {cur} FROM "
+                      + ("t0" if d == 1 else f"s{d - 1}")))
+        prev = cur
+    final = (f"CASE WHEN bpos IS NOT NULL AND pos < bpos THEN v3 * {_dbl(CONTRAST_BEFORE)} "
+             f"WHEN bpos IS NOT NULL AND pos > bpos THEN v3 * {_dbl(CONTRAST_AFTER)} ELSE v3 END")
+    return (("tk", f"""SELECT article_id, unnest(string_split({text}, ' ')) AS raw,
+       generate_subscripts(string_split({text}, ' '), 1) AS pos FROM {src}"""),
+            ("tn", f"SELECT article_id, pos, CASE WHEN length({strip}) > 2 THEN {strip} "
+                   f"ELSE raw END AS tok FROM tk"),
+            ("tl", f"SELECT *, {lv} AS lv, {bv} AS bv, {isb} AS isb, {ng} AS ng FROM tn"),
+            ("t0", f"""SELECT *, {lags},
+       min(CASE WHEN tok = {_q(CONTRAST_WORD)} THEN pos END) OVER (PARTITION BY article_id)
+         AS bpos,
+       CASE WHEN isb OR lv IS NULL THEN {_dbl(0.0)} ELSE lv END AS v0
+FROM tl WINDOW w AS (PARTITION BY article_id ORDER BY pos)"""),
+            *steps,
+            ("ssum", f"""SELECT article_id,
+       list_reduce(list(({final}) ORDER BY pos), lambda acc, x: acc + x) AS total
+FROM s3 GROUP BY article_id"""),
+            ("comp", f"""SELECT article_id, {rnd(
+                f'least(greatest(total / sqrt(total * total + {_dbl(NORMALIZATION_ALPHA)}), '
+                f'{_dbl(-1.0)}), {_dbl(1.0)})', 4)} AS compound FROM ssum"""))
+
+
+def _label_sql(e4: str) -> str:
+    return (f"CASE WHEN {e4} >= 500 THEN 'positive' WHEN {e4} <= -500 THEN 'negative' "
+            f"ELSE 'neutral' END")
+
+
+def processed_ctes(tax: Taxonomy, lex: Lexicon) -> tuple[tuple[str, str], ...]:
+    names = "CASE primary_topic_id " + " ".join(
+        f"WHEN {t} THEN {_q(n)}" for t, n in tax.topic_ids) + " END"
+    return (*cleaned_articles_sql(), *topic_ctes(tax), *compound_ctes(lex),
+            ("p0", """SELECT scored.*, CASE WHEN ok THEN CAST(round(compound * 10000) AS BIGINT)
+       ELSE 0 END AS sentiment_e4 FROM scored JOIN comp USING (article_id)"""),
+            ("proc", f"""SELECT article_id, source_id, published_date, primary_topic_id, ok,
+       {', '.join(f'ts{t}' for t, _ in tax.topic_ids)},
+       CASE WHEN ok THEN c_combined END AS cleaned_text,
+       CAST(CASE WHEN ok THEN relevance_e4 ELSE 0 END AS DOUBLE) / CAST(10000 AS DOUBLE)
+         AS relevance_score,
+       CAST(sentiment_e4 AS DOUBLE) / CAST(10000 AS DOUBLE) AS sentiment_score,
+       {_label_sql('sentiment_e4')} AS sentiment_label,
+       CASE WHEN ok THEN 'processed' ELSE 'failed' END AS processing_status,
+       CASE WHEN ok THEN
+         CASE WHEN published_date IS NOT NULL
+              THEN 'Processed from published_date=' || strftime(published_date, '%Y-%m-%d')
+              ELSE 'Processed with missing published_date' END
+         || '; primary_topic=' || coalesce({names}, 'None') || '; keyword_hits=' || hits_json
+       ELSE 'No usable text found in title/summary/content.' END AS notes,
+       sentiment_e4, CASE WHEN ok THEN relevance_e4 ELSE 0 END AS rel_e4
+FROM p0"""))
+
+
+def topic_rows_cte(tax: Taxonomy) -> tuple[str, str]:
+    return ("trows", " UNION ALL ".join(
+        f"SELECT article_id, {t} AS topic_id, ts{t} AS topic_score_e4, "
+        f"(primary_topic_id = {t}) AS is_primary_topic FROM proc WHERE ok AND ts{t} > 0"
+        for t, _ in tax.topic_ids))
+
+
+def clean_text_query_sql() -> str:
+    return _with(*cleaned_articles_sql()) + """
+SELECT article_id, c_title AS cleaned_title, c_summary AS cleaned_summary,
+       c_content AS cleaned_content, c_combined AS cleaned_combined FROM c"""
+
+
+def topic_scores_sql(tax: Taxonomy, lex: Lexicon) -> str:
+    return _with(*cleaned_articles_sql(), *topic_ctes(tax),
+                 ("proc", "SELECT * FROM scored"), topic_rows_cte(tax)) + """
+SELECT article_id, topic_id, CAST(topic_score_e4 AS DOUBLE) / CAST(10000 AS DOUBLE) AS topic_score,
+       is_primary_topic FROM trows"""
+
+
+def relevance_sql(tax: Taxonomy) -> str:
+    names = "CASE primary_topic_id " + " ".join(
+        f"WHEN {t} THEN {_q(n)}" for t, n in tax.topic_ids) + " END"
+    return _with(*cleaned_articles_sql(), *topic_ctes(tax)) + f"""
+SELECT article_id, CAST(relevance_e4 AS DOUBLE) / CAST(10000 AS DOUBLE) AS relevance_score,
+       primary_topic_id, {names} AS primary_topic_name
+FROM scored WHERE ok"""
+
+
+def lexicon_sentiment_sql(lex: Lexicon) -> str:
+    return _with(*cleaned_articles_sql(), *compound_ctes(lex)) + f"""
+SELECT c.article_id, CASE WHEN ok THEN compound ELSE CAST(0 AS DOUBLE) END AS sentiment_score,
+       {_label_sql('CASE WHEN ok THEN CAST(round(compound * 10000) AS BIGINT) ELSE 0 END')}
+         AS sentiment_label
+FROM c JOIN comp USING (article_id)"""
+
+
+def process_articles_sql(tax: Taxonomy, lex: Lexicon) -> str:
+    return _with(*processed_ctes(tax, lex)) + """
+SELECT article_id, cleaned_text, relevance_score, sentiment_score, sentiment_label,
+       processing_status, notes FROM proc"""
+
+
+def daily_topic_features_sql(tax: Taxonomy, lex: Lexicon) -> str:
+    return _with(*processed_ctes(tax, lex), topic_rows_cte(tax)) + f"""
+SELECT p.published_date AS feature_date, t.topic_id, count(*) AS article_count,
+       {ratio('sum(p.sentiment_e4)', 'count(p.sentiment_e4)')} AS avg_sentiment,
+       CASE WHEN sum(coalesce(t.topic_score_e4, 0)) > 0
+            THEN {ratio('sum(p.sentiment_e4 * t.topic_score_e4)', 'sum(t.topic_score_e4)')} END
+         AS weighted_avg_sentiment,
+       {ratio('sum(t.topic_score_e4)', 'count(t.topic_score_e4)')} AS avg_relevance
+FROM proc p JOIN trows t USING (article_id)
+WHERE p.processing_status = 'processed' AND p.published_date IS NOT NULL
+GROUP BY p.published_date, t.topic_id"""
+
+
+def daily_scored_news_sql(tax: Taxonomy, lex: Lexicon) -> str:
+    return _with(*processed_ctes(tax, lex),
+                 ("items", "SELECT article_id, source_id, published_date, processing_status, "
+                           "sentiment_label, sentiment_e4, rel_e4 AS relevance_e4 FROM proc")
+                 ) + daily_news_body("items")
+
+
+def alignment_sql() -> str:
+    return _with(("prices", PRICES_SQL), ("n", NEWS_SQL), ("daily", daily_news_body("n"))) + """
+SELECT p.benchmark_code, p.price_date, p.open_price, p.high_price, p.low_price, p.close_price,
+       p.volume, d.article_count, d.distinct_source_count, d.avg_sentiment,
+       d.weighted_avg_sentiment, d.avg_relevance, d.positive_article_count,
+       d.neutral_article_count, d.negative_article_count
+FROM prices p LEFT JOIN daily d ON d.feature_date = p.price_date"""

@@ -5,12 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import bindings as B
 from . import oracles as O
 from .io import table
 from .operators import aggregates as AG
+from .plans import articles as AR
 from .plans import features as FE
+from .sources.dimensions import test_lexicon, test_taxonomy
+
+TAX = test_taxonomy()
+LEX = test_lexicon()
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,7 +49,72 @@ def q_daily_event_features(spark, d):
     return AG.daily_news(B.scored_events(table(spark, d, "events")))
 
 
+def _scored(spark, d):
+    return AR.score_articles(B.articles(table(spark, d, "documents")), TAX, LEX)
+
+
+def q_clean_text(spark, d):
+    c = AR.cleaned(B.articles(table(spark, d, "documents")))
+    return c.select("article_id", F.col("c_title").alias("cleaned_title"),
+                    F.col("c_summary").alias("cleaned_summary"),
+                    F.col("c_content").alias("cleaned_content"),
+                    F.col("c_combined").alias("cleaned_combined"))
+
+
+def q_topic_scores(spark, d):
+    return AR.topic_score_rows(_scored(spark, d), TAX).drop("topic_score_e4")
+
+
+def q_relevance(spark, d):
+    from .operators.topics import score_topics
+    s = score_topics(AR.cleaned(B.articles(table(spark, d, "documents"))), TAX)
+    names = F.create_map(*[x for t, n in TAX.topic_ids for x in (F.lit(t), F.lit(n))])
+    return s.filter("_ok").select(
+        "article_id", (F.col("relevance_e4") / F.lit(10000.0)).alias("relevance_score"),
+        "primary_topic_id", F.element_at(names, F.col("primary_topic_id")).alias("primary_topic_name"))
+
+
+def q_lexicon_sentiment(spark, d):
+    from .operators.sentiment import label, with_compound
+    c = AR.cleaned(B.articles(table(spark, d, "documents")))
+    s = with_compound(c, "c_combined", LEX, out="_c")
+    e4 = F.when(F.col("_ok"), F.round(F.col("_c") * 10000).cast("long")).otherwise(F.lit(0))
+    return s.select("article_id", (e4 / F.lit(10000.0)).alias("sentiment_score"),
+                    label(e4).alias("sentiment_label"))
+
+
+def q_process_articles(spark, d):
+    return AR.processed_rows(_scored(spark, d), TAX)
+
+
+def q_daily_topic_features(spark, d):
+    s = _scored(spark, d)
+    return AG.daily_topics(AR.scored_items(s, TAX), AR.topic_score_rows(s, TAX))
+
+
+def q_daily_scored_news(spark, d):
+    return AG.daily_news(AR.scored_items(_scored(spark, d), TAX))
+
+
+def q_news_price_alignment(spark, d):
+    p = _prices(spark, d)
+    daily = _daily(spark, d)
+    return p.join(daily, p["price_date"] == daily["feature_date"], "left").select(
+        "benchmark_code", "price_date", "open_price", "high_price", "low_price", "close_price",
+        "volume", "article_count", "distinct_source_count", "avg_sentiment",
+        "weighted_avg_sentiment", "avg_relevance", "positive_article_count",
+        "neutral_article_count", "negative_article_count")
+
+
 QUERIES: dict[str, Query] = {
+    "clean_text": q_clean_text,
+    "topic_scores": q_topic_scores,
+    "relevance": q_relevance,
+    "lexicon_sentiment": q_lexicon_sentiment,
+    "process_articles": q_process_articles,
+    "daily_topic_features": q_daily_topic_features,
+    "daily_scored_news": q_daily_scored_news,
+    "news_price_alignment": q_news_price_alignment,
     "price_features": q_price_features,
     "news_price_features": q_news_price_features,
     "forward_asof_news": q_forward_asof_news,
@@ -52,6 +123,14 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
+    "clean_text": O.clean_text_query_sql,
+    "topic_scores": lambda: O.topic_scores_sql(TAX, LEX),
+    "relevance": lambda: O.relevance_sql(TAX),
+    "lexicon_sentiment": lambda: O.lexicon_sentiment_sql(LEX),
+    "process_articles": lambda: O.process_articles_sql(TAX, LEX),
+    "daily_topic_features": lambda: O.daily_topic_features_sql(TAX, LEX),
+    "daily_scored_news": lambda: O.daily_scored_news_sql(TAX, LEX),
+    "news_price_alignment": O.alignment_sql,
     "price_features": O.price_features_sql,
     "news_price_features": O.news_price_features_sql,
     "forward_asof_news": O.forward_asof_news_sql,

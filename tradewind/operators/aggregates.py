@@ -26,19 +26,31 @@ def daily_news(scored: DataFrame) -> DataFrame:
 
     ``scored`` carries article_id, source_id, published_date, sentiment_e4,
     relevance_e4, sentiment_label, processing_status.
+
+    Two-level aggregation: per (date, source) first, then per date.  The
+    distinct-source count is the number of first-level groups, so there is no
+    ``Expand`` (which would copy every input row once per distinct aggregate),
+    and both levels combine map-side before their shuffle.
     """
-    agg = (eligible_articles(scored)
-           .groupBy(F.col("published_date").alias("feature_date"))
-           .agg(F.count(F.lit(1)).alias("article_count"),
-                F.countDistinct("source_id").alias("distinct_source_count"),
-                F.sum("sentiment_e4").alias("_s"),
-                F.count("sentiment_e4").alias("_ns"),
-                F.sum(F.col("sentiment_e4") * F.col("relevance_e4")).alias("_sr"),
-                F.sum(F.coalesce("relevance_e4", F.lit(0))).alias("_r"),
-                F.count("relevance_e4").alias("_nr"),
-                F.count_if(F.col("sentiment_label") == "positive").alias("positive_article_count"),
-                F.count_if(F.col("sentiment_label") == "neutral").alias("neutral_article_count"),
-                F.count_if(F.col("sentiment_label") == "negative").alias("negative_article_count")))
+    lvl1 = (eligible_articles(scored)
+            .groupBy(F.col("published_date").alias("feature_date"), "source_id")
+            .agg(F.count(F.lit(1)).alias("n"),
+                 F.sum("sentiment_e4").alias("s"),
+                 F.count("sentiment_e4").alias("ns"),
+                 F.sum(F.col("sentiment_e4") * F.col("relevance_e4")).alias("sr"),
+                 F.sum(F.coalesce("relevance_e4", F.lit(0))).alias("r"),
+                 F.count("relevance_e4").alias("nr"),
+                 F.count_if(F.col("sentiment_label") == "positive").alias("pos"),
+                 F.count_if(F.col("sentiment_label") == "neutral").alias("neu"),
+                 F.count_if(F.col("sentiment_label") == "negative").alias("neg")))
+    agg = (lvl1.groupBy("feature_date")
+           .agg(F.sum("n").alias("article_count"),
+                F.count("source_id").alias("distinct_source_count"),
+                F.sum("s").alias("_s"), F.sum("ns").alias("_ns"),
+                F.sum("sr").alias("_sr"), F.sum("r").alias("_r"), F.sum("nr").alias("_nr"),
+                F.sum("pos").alias("positive_article_count"),
+                F.sum("neu").alias("neutral_article_count"),
+                F.sum("neg").alias("negative_article_count")))
     return agg.select(
         "feature_date", "article_count", "distinct_source_count",
         F.when(F.col("_ns") > 0, ratio_half_up("_s", "_ns")).alias("avg_sentiment"),

@@ -81,3 +81,25 @@ def scored_items(scored: DataFrame, taxonomy: Taxonomy) -> DataFrame:
                     "sentiment_label",
                     F.round(F.col("sentiment_score") * 10000).cast("long").alias("sentiment_e4"),
                     F.round(F.col("relevance_score") * 10000).cast("long").alias("relevance_e4"))
+
+
+def persisted_scores(scored: DataFrame, taxonomy: Taxonomy) -> DataFrame:
+    """The narrow per-article result, written once to the shared checkpoint
+    folder (what the reference stores as its processed table).
+
+    Both daily aggregates and the topic rows read this instead of re-running
+    the text scoring; it also stops the optimizer from pushing filters into
+    (and so duplicating) the regular-expression projection.
+    """
+    from ..session import cut_lineage
+    ids = [t for t, _ in taxonomy.topic_ids]
+    ok = F.col("_ok")
+    sent_e4 = F.when(ok, F.round(F.col("_compound") * 10000).cast("long")).otherwise(F.lit(0))
+    narrow = scored.select(
+        "article_id", "source_id", "published_date", "_ok", "primary_topic_id",
+        *[f"_ts{t}" for t in ids],
+        F.when(ok, "processed").otherwise("failed").alias("processing_status"),
+        SE.label(sent_e4).alias("sentiment_label"),
+        sent_e4.alias("sentiment_e4"),
+        F.when(ok, F.col("relevance_e4")).otherwise(F.lit(0)).cast("long").alias("relevance_e4"))
+    return cut_lineage(narrow)

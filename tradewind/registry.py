@@ -11,6 +11,7 @@ from . import bindings as B
 from . import oracles as O
 from .io import table
 from .operators import aggregates as AG
+from .operators import topics as TP
 from .plans import articles as AR
 from .plans import features as FE
 from .sources.dimensions import test_lexicon, test_taxonomy
@@ -88,12 +89,12 @@ def q_process_articles(spark, d):
 
 
 def q_daily_topic_features(spark, d):
-    s = _scored(spark, d)
-    return AG.daily_topics(AR.scored_items(s, TAX), AR.topic_score_rows(s, TAX))
+    s = AR.persisted_scores(_scored(spark, d), TAX)
+    return AG.daily_topics(s, TP.topic_rows(s.filter("_ok"), TAX))
 
 
 def q_daily_scored_news(spark, d):
-    return AG.daily_news(AR.scored_items(_scored(spark, d), TAX))
+    return AG.daily_news(AR.persisted_scores(_scored(spark, d), TAX))
 
 
 def q_news_price_alignment(spark, d):

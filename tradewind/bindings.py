@@ -138,3 +138,177 @@ SELECT event_id AS article_id, CAST(user_id AS VARCHAR) AS source_id, ts AS publ
        {label_from_e4_sql("(CAST(round(value * 100) AS BIGINT) * 37) % 20001 - 10000")}
          AS sentiment_label
 FROM events"""
+
+
+# ---------------------------------------------------------------------------
+# X: landed feed files derived from pages (RSS) and documents (JSON payloads)
+# ---------------------------------------------------------------------------
+# Fixed values of the X binding.
+RSS_FEEDS = 3                 # page_id % 3 picks the feed rss0 / rss1 / rss2
+RSS_LANGUAGES = ["en", "fr", "de"]
+URL_REPEAT_MOD, URL_REPEAT_BACK = 20, 7     # every 20th item reuses an earlier url
+GUID_REPEAT_MOD, GUID_REPEAT_BACK = 30, 3   # every 30th reuses an earlier guid (same feed)
+SEARCH_DOMAIN_SOURCES = 0     # documents.source number % 2 == 0 -> search API, else timeline
+UNROUTED_MOD = 5              # source number % 5 == 4 -> unsupported domain
+PAGE_SIZE = 50                # hits per landed payload
+
+
+def rss_item_keys(pages: DataFrame) -> DataFrame:
+    """(source_id, position, url, guid) of the RSS items, before any parsing."""
+    pid = F.col("p.page_id")
+    base = pages.alias("p").join(
+        pages.select((F.col("page_id") + URL_REPEAT_BACK).alias("page_id"),
+                     F.col("url").alias("earlier_url")).alias("e"),
+        F.col("p.page_id") == F.col("e.page_id"), "left")
+    return base.select(
+        F.concat(F.lit("rss"), (pid % RSS_FEEDS).cast("string")).alias("source_id"),
+        pid.alias("position"),
+        F.when((pid % URL_REPEAT_MOD == URL_REPEAT_MOD - 1) & F.col("earlier_url").isNotNull(),
+               F.col("earlier_url")).otherwise(F.col("p.url")).alias("url"),
+        F.concat(F.lit("g"), F.when((pid % GUID_REPEAT_MOD == GUID_REPEAT_MOD - 1)
+                                    & (pid >= GUID_REPEAT_BACK), pid - GUID_REPEAT_BACK)
+                 .otherwise(pid).cast("string")).alias("guid"),
+        F.col("p.html").alias("html"))
+
+
+RSS_KEYS_SQL = f"""
+SELECT 'rss' || CAST(p.page_id % {RSS_FEEDS} AS VARCHAR) AS source_id, p.page_id AS position,
+       CASE WHEN p.page_id % {URL_REPEAT_MOD} = {URL_REPEAT_MOD - 1} AND e.url IS NOT NULL
+            THEN e.url ELSE p.url END AS url,
+       'g' || CAST(CASE WHEN p.page_id % {GUID_REPEAT_MOD} = {GUID_REPEAT_MOD - 1}
+                         AND p.page_id >= {GUID_REPEAT_BACK}
+                        THEN p.page_id - {GUID_REPEAT_BACK} ELSE p.page_id END AS VARCHAR) AS guid
+FROM pages p LEFT JOIN pages e ON e.page_id + {URL_REPEAT_BACK} = p.page_id"""
+
+
+def _xml_escape(c):
+    c = F.regexp_replace(c, "&", "&amp;")
+    c = F.regexp_replace(c, "<", "&lt;")
+    return F.regexp_replace(c, ">", "&gt;")
+
+
+def _el(tag, c):
+    return F.when(c.isNotNull(), F.concat(F.lit(f"<{tag}>"), _xml_escape(c), F.lit(f"</{tag}>")))
+
+
+def land_rss(pages: DataFrame, dest: str) -> None:
+    """Write one RSS 2.0 file per feed under ``dest/source_id=<feed>``."""
+    k = rss_item_keys(pages)
+    pid = F.col("position")
+    pub = F.date_format(F.timestamp_seconds(F.lit(1704067200) + pid * 3671),
+                        "EEE, dd MMM yyyy HH:mm:ss +0000")
+    title = F.regexp_extract("html", r"<title>(.*?)</title>", 1)
+    item = F.concat_ws("", F.lit("<item>"), _el("title", title), _el("link", F.col("url")),
+                       _el("guid", F.col("guid")), _el("pubDate", pub),
+                       _el("description", F.col("html")),
+                       _el("category", F.concat(F.lit("cat"), (pid % 4).cast("string"))),
+                       _el("category", F.lit("news")),
+                       _el("position", pid.cast("string")), F.lit("</item>"))
+    # one landed file = one poll of at most PAGE_SIZE items of one feed
+    chunk = (pid / (PAGE_SIZE * RSS_FEEDS)).cast("long")
+    items = k.select("source_id", chunk.alias("chunk"), pid.alias("ord"), item.alias("value"))
+    files = items.select("source_id", "chunk").distinct()
+    lang = F.element_at(F.array(*[F.lit(x) for x in RSS_LANGUAGES]),
+                        (F.substring("source_id", 4, 3).cast("int") % len(RSS_LANGUAGES)) + 1)
+    head = files.select("source_id", "chunk", F.lit(-1).cast("long").alias("ord"), F.concat(
+        F.lit('<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><language>'),
+        lang, F.lit("</language>")).alias("value"))
+    tail = files.select("source_id", "chunk", F.lit(2 ** 62).cast("long").alias("ord"),
+                        F.lit("</channel></rss>").alias("value"))
+    (head.unionByName(items).unionByName(tail)
+     .repartition("source_id", "chunk").sortWithinPartitions("source_id", "chunk", "ord")
+     .select("source_id", "chunk", "value")
+     .write.mode("overwrite").partitionBy("source_id", "chunk").text(dest))
+
+
+def _doc_src_num():
+    return F.regexp_extract("source", r"(\d+)", 1).cast("int")
+
+
+def land_payloads(documents: DataFrame, dest_search: str, dest_timeline: str) -> None:
+    """Search payloads ``{"hits": [...]}`` (pages of 50) and timeline arrays,
+    one JSON document per line, partitioned by source."""
+    d = F.col("doc_id")
+    first_line = F.substring_index("text", "\n", 1)
+    created = F.concat(
+        F.date_format(F.timestamp_seconds(F.lit(1704067200) + d * 977), "yyyy-MM-dd'T'HH:mm:ss"),
+        F.when(d % 3 == 0, F.lit("+05:30")).when(d % 3 == 1, F.lit("-08:00"))
+        .otherwise(F.lit("Z")))
+    docs = documents.withColumn("_n", _doc_src_num())
+    hit = F.struct(
+        d.cast("string").alias("objectID"),
+        F.when(d % 11 == 0, F.lit(None).cast("string")).otherwise(first_line).alias("title"),
+        first_line.alias("story_title"),
+        F.when(d % 13 == 0, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("https://"), F.col("source"), F.lit(".example/d/"),
+                            d.cast("string"))).alias("url"),
+        F.concat(F.lit("user"), (F.col("n_chars") % 10).cast("string")).alias("author"),
+        (F.col("n_chars") % 500).alias("points"), (d % 40).alias("num_comments"),
+        created.alias("created_at"),
+        F.when(d % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("text")).alias("story_text"),
+        F.when(d % 17 == 0, F.col("text")).alias("comment_text"),
+        d.alias("position"))
+    search = (docs.filter(F.col("_n") % 2 == SEARCH_DOMAIN_SOURCES)
+              .groupBy(F.col("source").alias("source_id"), (d / PAGE_SIZE).cast("long").alias("pg"))
+              .agg(F.sort_array(F.collect_list(F.struct(d.alias("k"), hit.alias("h"))))
+                   .alias("hs"))
+              .select("source_id", F.to_json(F.struct(
+                  F.transform("hs", lambda x: x["h"]).alias("hits"))).alias("value")))
+    search.write.mode("overwrite").partitionBy("source_id").text(dest_search)
+    status = F.struct(
+        d.cast("string").alias("id"),
+        F.concat(F.lit("https://"), F.col("source"), F.lit(".example/@s/"), d.cast("string"))
+        .alias("url"),
+        created.alias("created_at"),
+        F.when(d % 19 == 0, F.lit("")).otherwise(
+            F.concat(F.lit("<p>"), F.col("text"), F.lit("</p>"))).alias("content"),
+        F.when(d % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("lang")).alias("language"),
+        F.when(d % 9 == 0, F.lit(None)).otherwise(F.struct(
+            F.concat(F.lit("user"), (F.col("n_chars") % 10).cast("string")).alias("acct"),
+            F.lit(False).alias("bot"))).alias("account"),
+        d.alias("position"))
+    timeline = (docs.filter(F.col("_n") % 2 != SEARCH_DOMAIN_SOURCES)
+                .groupBy(F.col("source").alias("source_id"),
+                         (d / PAGE_SIZE).cast("long").alias("pg"))
+                .agg(F.sort_array(F.collect_list(F.struct(d.alias("k"), status.alias("s"))))
+                     .alias("ss"))
+                .select("source_id", F.to_json(F.transform("ss", lambda x: x["s"])).alias("value")))
+    timeline.write.mode("overwrite").partitionBy("source_id").text(dest_timeline)
+
+
+def source_registry(documents: DataFrame, pages: DataFrame) -> DataFrame:
+    """Sources seen in the data: three RSS feeds from pages, one API source per
+    documents.source (search or timeline by its number; every fifth one on an
+    unsupported domain)."""
+    rss = (pages.select(F.concat(F.lit("rss"), (F.col("page_id") % RSS_FEEDS).cast("string"))
+                        .alias("source_name")).distinct()
+           .select("source_name", F.lit("rss").alias("source_type"),
+                   F.concat(F.lit("https://"), F.col("source_name"), F.lit(".example/feed.xml"))
+                   .alias("feed_url"),
+                   F.concat(F.col("source_name"), F.lit(".example")).alias("domain_name")))
+    n = _doc_src_num()
+    api = (documents.select(F.col("source").alias("source_name"), n.alias("_n")).distinct()
+           .select("source_name", F.lit("api").alias("source_type"),
+                   F.concat(F.lit("https://api.example/"), F.col("source_name")).alias("feed_url"),
+                   F.when(F.col("_n") % UNROUTED_MOD == UNROUTED_MOD - 1, "unsupported.example")
+                   .when(F.col("_n") % 2 == SEARCH_DOMAIN_SOURCES, "hn.algolia.com")
+                   .otherwise("mastodon.social").alias("domain_name")))
+    return (rss.unionByName(api)
+            .withColumn("is_active", F.lit(True))
+            .withColumn("base_url", F.concat(F.lit("https://"), F.col("domain_name"))))
+
+
+SOURCES_SQL = f"""
+SELECT source_name, source_type, feed_url, domain_name, true AS is_active,
+       'https://' || domain_name AS base_url FROM (
+  SELECT DISTINCT 'rss' || CAST(page_id % {RSS_FEEDS} AS VARCHAR) AS source_name, 'rss' AS source_type,
+         'https://rss' || CAST(page_id % {RSS_FEEDS} AS VARCHAR) || '.example/feed.xml' AS feed_url,
+         'rss' || CAST(page_id % {RSS_FEEDS} AS VARCHAR) || '.example' AS domain_name
+  FROM pages
+  UNION ALL
+  SELECT DISTINCT source, 'api', 'https://api.example/' || source,
+         CASE WHEN CAST(regexp_extract(source, '(\\d+)', 1) AS INTEGER) % {UNROUTED_MOD} = {UNROUTED_MOD - 1}
+              THEN 'unsupported.example'
+              WHEN CAST(regexp_extract(source, '(\\d+)', 1) AS INTEGER) % 2 = {SEARCH_DOMAIN_SOURCES}
+              THEN 'hn.algolia.com' ELSE 'mastodon.social' END
+  FROM documents) s"""

@@ -343,3 +343,65 @@ SELECT p.benchmark_code, p.price_date, p.open_price, p.high_price, p.low_price,
        d.weighted_avg_sentiment, d.avg_relevance, d.positive_article_count,
        d.neutral_article_count, d.negative_article_count
 FROM prices p LEFT JOIN daily d ON d.feature_date = p.price_date"""
+
+
+# ---------------------------------------------------------------------------
+# Sources, sinks
+# ---------------------------------------------------------------------------
+from .bindings import RSS_KEYS_SQL, SOURCES_SQL  # noqa: E402
+
+_HASH = "sha256(lower(regexp_replace({u}, '^\\s+|\\s+$', '', 'g')))"
+
+
+def active_sources_sql() -> str:
+    return _with(("s", SOURCES_SQL)) + """
+SELECT source_name, source_type, feed_url, domain_name,
+       CASE WHEN source_type = 'rss' THEN 'rss'
+            WHEN source_type = 'api' AND domain_name = 'hn.algolia.com' THEN 'search'
+            WHEN source_type = 'api' AND domain_name = 'mastodon.social' THEN 'timeline' END
+         AS reader
+FROM s WHERE source_type IN ('rss', 'api') AND is_active AND feed_url IS NOT NULL"""
+
+
+def dedup_two_keys_sql() -> str:
+    """Sequential first-wins insertion, literally: a recursive walk in order."""
+    ok = ("(NOT list_contains(w.urls, i.uh) AND "
+          "(i.gk IS NULL OR NOT list_contains(w.guids, i.gk)))")
+    return f"""
+WITH RECURSIVE k AS ({RSS_KEYS_SQL}),
+items AS (SELECT row_number() OVER (ORDER BY source_id, position) AS rn, source_id, position,
+                 url, guid, {_HASH.format(u='url')} AS uh,
+                 CASE WHEN guid IS NULL THEN NULL ELSE source_id || chr(1) || guid END AS gk
+          FROM k),
+walk(rn, urls, guids, acc) AS (
+  SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), false
+  UNION ALL
+  SELECT i.rn,
+         CASE WHEN {ok} THEN list_append(w.urls, i.uh) ELSE w.urls END,
+         CASE WHEN {ok} AND i.gk IS NOT NULL THEN list_append(w.guids, i.gk) ELSE w.guids END,
+         {ok}
+  FROM walk w JOIN items i ON i.rn = w.rn + 1)
+SELECT i.source_id, i.position, i.url, i.guid FROM walk w JOIN items i USING (rn) WHERE w.acc"""
+
+
+def insert_if_absent_sql() -> str:
+    hist = _HASH.format(u="'  ' || upper(url) || chr(9)")
+    return f"""
+WITH k AS ({RSS_KEYS_SQL}),
+b AS (SELECT source_id, position, url, {_HASH.format(u='url')} AS url_hash FROM k),
+h AS (SELECT {hist} AS url_hash FROM pages WHERE page_id % 4 = 0),
+f AS (SELECT *, row_number() OVER (PARTITION BY url_hash ORDER BY source_id, position) AS r FROM b)
+SELECT source_id, position, url, url_hash FROM f
+WHERE r = 1 AND url_hash NOT IN (SELECT url_hash FROM h)"""
+
+
+def ingest_counts_sql() -> str:
+    return f"""
+WITH k AS ({RSS_KEYS_SQL}),
+b AS (SELECT source_id, position, {_HASH.format(u='url')} AS url_hash FROM k),
+f AS (SELECT *, row_number() OVER (PARTITION BY url_hash ORDER BY source_id, position) AS r FROM b),
+per AS (SELECT source_id, count(*) AS offered, count(*) FILTER (WHERE r = 1) AS inserted
+        FROM f GROUP BY source_id)
+SELECT source_id, inserted, offered - inserted AS skipped FROM per
+UNION ALL
+SELECT 'TOTAL', sum(inserted), sum(offered) - sum(inserted) FROM per"""

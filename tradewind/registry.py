@@ -107,7 +107,102 @@ def q_news_price_alignment(spark, d):
         "neutral_article_count", "negative_article_count")
 
 
+def _landing(spark, d):
+    """Land the X feed files (derived from pages / documents) once per session."""
+    import hashlib
+    from .session import scratch_path
+    key = hashlib.sha1(d.encode()).hexdigest()[:10]
+    path = scratch_path(spark, f"landing-{key}")
+    cache = spark.conf.get("tradewind.landing." + key, None)
+    if cache != path:
+        B.land_rss(table(spark, d, "pages"), f"{path}/rss")
+        B.land_payloads(table(spark, d, "documents"), f"{path}/search", f"{path}/timeline")
+        spark.conf.set("tradewind.landing." + key, path)
+    return path
+
+
+def _sources(spark, d):
+    return B.source_registry(table(spark, d, "documents"), table(spark, d, "pages"))
+
+
+def q_feed_items_rss(spark, d):
+    from .sources.feeds import read_rss
+    return read_rss(spark, f"{_landing(spark, d)}/rss")
+
+
+def q_feed_items_search(spark, d):
+    from .sources.feeds import read_search
+    return read_search(spark, f"{_landing(spark, d)}/search")
+
+
+def q_feed_items_timeline(spark, d):
+    from .sources.feeds import read_timeline
+    return read_timeline(spark, f"{_landing(spark, d)}/timeline")
+
+
+def q_feed_ingest(spark, d):
+    from .sources.feeds import ingest
+    return ingest(spark, _sources(spark, d), _landing(spark, d))
+
+
+def q_active_sources(spark, d):
+    from .sources.feeds import route_sources
+    return route_sources(_sources(spark, d)).select(
+        "source_name", "source_type", "feed_url", "domain_name", "reader")
+
+
+def _rss_keys(spark, d):
+    from .functions.text import url_hash
+    k = B.rss_item_keys(table(spark, d, "pages")).drop("html")
+    return k.select("source_id", "position", "url", "guid",
+                    url_hash("url").alias("url_hash"),
+                    F.concat_ws("\u0001", "source_id", "guid").alias("guid_key"),
+                    F.struct("source_id", "position").alias("_ord"))
+
+
+def q_dedup_two_keys(spark, d):
+    from .operators.dedup import first_wins_two_keys
+    acc = first_wins_two_keys(_rss_keys(spark, d), "_ord", "url_hash", "guid_key")
+    return acc.select("source_id", "position", "url", "guid")
+
+
+def q_insert_if_absent(spark, d):
+    from .functions.text import url_hash
+    from .operators.sinks import insert_if_absent
+    pages = table(spark, d, "pages")
+    history = (pages.filter(F.col("page_id") % 4 == 0)
+               .select(url_hash(F.concat(F.lit("  "), F.upper("url"), F.lit("\t")))
+                       .alias("url_hash")))
+    batch = _rss_keys(spark, d).select("source_id", "position", "url", "url_hash")
+    ins = insert_if_absent(history, batch, "url_hash", ["source_id", "position"])
+    return ins.select("source_id", "position", "url", "url_hash")
+
+
+def q_ingest_counts(spark, d):
+    from .operators.sinks import insert_if_absent
+    batch = _rss_keys(spark, d).select("source_id", "position", "url", "url_hash")
+    ins = insert_if_absent(batch.filter(F.lit(False)).select("url_hash"), batch, "url_hash",
+                           ["source_id", "position"])
+    per = (batch.groupBy("source_id").agg(F.count(F.lit(1)).alias("offered"))
+           .join(ins.groupBy("source_id").agg(F.count(F.lit(1)).alias("inserted")),
+                 "source_id", "left")
+           .select("source_id", "offered", F.coalesce("inserted", F.lit(0)).alias("inserted")))
+    return (per.rollup("source_id")
+            .agg(F.sum("inserted").alias("inserted"),
+                 (F.sum("offered") - F.sum("inserted")).alias("skipped"))
+            .select(F.coalesce("source_id", F.lit("TOTAL")).alias("source_id"),
+                    "inserted", "skipped"))
+
+
 QUERIES: dict[str, Query] = {
+    "feed_items_rss": q_feed_items_rss,
+    "feed_items_search": q_feed_items_search,
+    "feed_items_timeline": q_feed_items_timeline,
+    "feed_ingest": q_feed_ingest,
+    "active_sources": q_active_sources,
+    "dedup_two_keys": q_dedup_two_keys,
+    "insert_if_absent": q_insert_if_absent,
+    "ingest_counts": q_ingest_counts,
     "clean_text": q_clean_text,
     "topic_scores": q_topic_scores,
     "relevance": q_relevance,
@@ -124,6 +219,10 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
+    "active_sources": O.active_sources_sql,
+    "dedup_two_keys": O.dedup_two_keys_sql,
+    "insert_if_absent": O.insert_if_absent_sql,
+    "ingest_counts": O.ingest_counts_sql,
     "clean_text": O.clean_text_query_sql,
     "topic_scores": lambda: O.topic_scores_sql(TAX, LEX),
     "relevance": lambda: O.relevance_sql(TAX),

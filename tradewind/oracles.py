@@ -405,3 +405,115 @@ per AS (SELECT source_id, count(*) AS offered, count(*) FILTER (WHERE r = 1) AS
 SELECT source_id, inserted, offered - inserted AS skipped FROM per
 UNION ALL
 SELECT 'TOTAL', sum(inserted), sum(offered) - sum(inserted) FROM per"""
+
+
+def price_upsert_sql() -> str:
+    pid = ("CAST((price_date - DATE '1970-01-01') * 10 + "
+           "CAST(substr(benchmark_code, 1, 1) AS INTEGER) AS BIGINT)")
+    return _with(("prices", PRICES_SQL),
+                 ("t", f"""SELECT {pid} AS price_id, benchmark_code, price_date, open_price,
+       high_price, low_price, close_price, CAST(NULL AS DOUBLE) AS adjusted_close_price, volume,
+       TIMESTAMP '2000-01-01 00:00:00' AS created_at
+FROM prices WHERE price_date < DATE '2000-01-01'"""),
+                 ("u", f"""SELECT {pid} + 5 AS price_id, benchmark_code, price_date, open_price,
+       high_price, low_price, close_price, close_price AS adjusted_close_price, volume + 1 AS volume,
+       TIMESTAMP '2001-09-01 00:00:00' AS created_at
+FROM prices WHERE price_date >= DATE '1999-10-01'""")) + """
+SELECT coalesce(t.price_id, u.price_id) AS price_id,
+       coalesce(t.benchmark_code, u.benchmark_code) AS benchmark_code,
+       coalesce(t.price_date, u.price_date) AS price_date,
+       CASE WHEN u.price_date IS NOT NULL THEN u.open_price ELSE t.open_price END AS open_price,
+       CASE WHEN u.price_date IS NOT NULL THEN u.high_price ELSE t.high_price END AS high_price,
+       CASE WHEN u.price_date IS NOT NULL THEN u.low_price ELSE t.low_price END AS low_price,
+       CASE WHEN u.price_date IS NOT NULL THEN u.close_price ELSE t.close_price END AS close_price,
+       CASE WHEN u.price_date IS NOT NULL THEN u.adjusted_close_price
+            ELSE t.adjusted_close_price END AS adjusted_close_price,
+       CASE WHEN u.price_date IS NOT NULL THEN u.volume ELSE t.volume END AS volume,
+       CASE WHEN t.price_date IS NOT NULL THEN t.created_at ELSE u.created_at END AS created_at
+FROM t FULL OUTER JOIN u ON t.benchmark_code = u.benchmark_code AND t.price_date = u.price_date"""
+
+
+def feature_upsert_sql() -> str:
+    cols = ["target_date", "close_price", "return_1d", "lag_close_1d", "lag_close_3d",
+            "lag_return_1d", "lag_return_3d", "rolling_mean_3d", "rolling_mean_7d",
+            "rolling_volatility_7d", "target_close_next_day", "target_return_next_day",
+            "target_direction_next_day"]
+    sel = ",\n       ".join(f"CASE WHEN u.feature_date IS NOT NULL THEN u.{c} ELSE o.{c} END AS {c}"
+                            for c in cols)
+    return _with(("prices", PRICES_SQL),
+                 ("pb", PRICE_BLOCK), ("pe", PRICE_ENRICHED),
+                 ("newf", f"SELECT {PRICE_OUT_COLS} FROM pe"),
+                 ("prices_old", "SELECT * FROM prices WHERE price_date < DATE '2000-01-01'"),
+                 ("pb_old", PRICE_BLOCK.replace("FROM prices", "FROM prices_old")),
+                 ("pe_old", PRICE_ENRICHED.replace("FROM pb", "FROM pb_old")),
+                 ("o", f"SELECT {PRICE_OUT_COLS} FROM pe_old"),
+                 ("u", "SELECT * FROM newf WHERE feature_date >= DATE '1999-10-01'")) + f"""
+SELECT coalesce(o.benchmark_code, u.benchmark_code) AS benchmark_code,
+       coalesce(o.feature_date, u.feature_date) AS feature_date,
+       {sel}
+FROM o FULL OUTER JOIN u ON o.benchmark_code = u.benchmark_code AND o.feature_date = u.feature_date"""
+
+
+def source_upsert_sql() -> str:
+    return _with(("s", SOURCES_SQL)) + """
+SELECT s.source_name, s.source_type, s.feed_url, s.domain_name,
+       CASE WHEN s.domain_name <> 'unsupported.example' THEN true ELSE s.source_type = 'rss' END
+         AS is_active,
+       CASE WHEN s.domain_name <> 'unsupported.example' THEN TIMESTAMP '2001-09-01 00:00:00'
+            ELSE TIMESTAMP '2000-01-01 00:00:00' END AS updated_at
+FROM s"""
+
+
+def child_replace_sql(tax: Taxonomy, lex: Lexicon) -> str:
+    old_tax = Taxonomy([(n, [k for k in kws if k != "que"]) for n, kws in tax.topics])
+
+    def rows(t: Taxonomy, suffix: str) -> list[tuple[str, str]]:
+        ctes = list(cleaned_articles_sql()) + list(topic_ctes(t))
+        ctes.append(("proc", "SELECT * FROM scored"))
+        ctes.append(topic_rows_cte(t))
+        renamed = []
+        names = {n for n, _ in ctes}
+        for n, body in ctes:
+            for m in sorted(names, key=len, reverse=True):
+                body = body.replace(f"FROM {m}\n", f"FROM {m}_{suffix}\n").replace(
+                    f"FROM {m} ", f"FROM {m}_{suffix} ")
+                if body.rstrip().endswith(f"FROM {m}"):
+                    body = body.rstrip()[: -len(m)] + f"{m}_{suffix}"
+            renamed.append((f"{n}_{suffix}", body))
+        return renamed
+    return _with(*rows(old_tax, "o"), *rows(tax, "n")) + """
+SELECT article_id, topic_id, CAST(topic_score_e4 AS DOUBLE) / CAST(10000 AS DOUBLE) AS topic_score,
+       is_primary_topic FROM trows_o WHERE article_id % 3 <> 0
+UNION ALL
+SELECT article_id, topic_id, CAST(topic_score_e4 AS DOUBLE) / CAST(10000 AS DOUBLE) AS topic_score,
+       is_primary_topic FROM trows_n WHERE article_id % 3 = 0"""
+
+
+def quality_report_sql() -> str:
+    h = _HASH.format(u="url")
+    return _with(("prices", PRICES_SQL), ("n", NEWS_SQL), ("daily", daily_news_body("n")),
+                 ("k", RSS_KEYS_SQL), ("s", SOURCES_SQL),
+                 ("pb", PRICE_BLOCK), ("pe", PRICE_ENRICHED),
+                 ("f", f"SELECT {PRICE_OUT_COLS} FROM pe")) + f"""
+SELECT 'prices_unique_series_date' AS rule, coalesce(sum(c - 1), 0)::BIGINT AS violations
+  FROM (SELECT count(*) c FROM prices GROUP BY benchmark_code, price_date HAVING count(*) > 1)
+UNION ALL SELECT 'prices_close_not_null', count_if(close_price IS NULL) FROM prices
+UNION ALL SELECT 'news_label_domain',
+  count_if(sentiment_label NOT IN ('negative', 'neutral', 'positive')) FROM n
+UNION ALL SELECT 'news_status_domain',
+  count_if(processing_status NOT IN ('pending', 'processed', 'failed')) FROM n
+UNION ALL SELECT 'items_unique_url_hash', coalesce(sum(c - 1), 0)::BIGINT
+  FROM (SELECT count(*) c FROM k GROUP BY {h} HAVING count(*) > 1)
+UNION ALL SELECT 'items_unique_source_guid', coalesce(sum(c - 1), 0)::BIGINT
+  FROM (SELECT count(*) c FROM k WHERE guid IS NOT NULL GROUP BY source_id, guid HAVING count(*) > 1)
+UNION ALL SELECT 'items_url_not_null', count_if(url IS NULL) FROM k
+UNION ALL SELECT 'items_source_fk', count(*) FROM k
+  WHERE source_id NOT IN (SELECT source_name FROM s)
+UNION ALL SELECT 'daily_article_count_nonneg', count_if(article_count < 0) FROM daily
+UNION ALL SELECT 'daily_positive_nonneg', count_if(positive_article_count < 0) FROM daily
+UNION ALL SELECT 'daily_unique_date', coalesce(sum(c - 1), 0)::BIGINT
+  FROM (SELECT count(*) c FROM daily GROUP BY feature_date HAVING count(*) > 1)
+UNION ALL SELECT 'features_direction_domain',
+  count_if(target_direction_next_day NOT IN (-1, 0, 1)) FROM f
+UNION ALL SELECT 'features_unique_series_date', coalesce(sum(c - 1), 0)::BIGINT
+  FROM (SELECT count(*) c FROM f GROUP BY benchmark_code, feature_date HAVING count(*) > 1)"""

@@ -194,7 +194,116 @@ def q_ingest_counts(spark, d):
                     "inserted", "skipped"))
 
 
+CUTOVER = "2000-01-01"      # upsert tests: target before, batch from OVERLAP on
+OVERLAP = "1999-10-01"
+
+
+def _price_rows(spark, d, created):
+    p = _prices(spark, d)
+    pid = (F.datediff("price_date", F.lit("1970-01-01")) * 10
+           + F.substring("benchmark_code", 1, 1).cast("int")).cast("long")
+    return p, pid, F.lit(created).cast("timestamp")
+
+
+def q_price_upsert(spark, d):
+    from .operators.sinks import upsert
+    p, pid, _ = _price_rows(spark, d, "2000-01-01 00:00:00")
+    target = p.filter(F.col("price_date") < CUTOVER).select(
+        pid.alias("price_id"), "benchmark_code", "price_date", "open_price", "high_price",
+        "low_price", "close_price", F.lit(None).cast("double").alias("adjusted_close_price"),
+        "volume", F.lit("2000-01-01 00:00:00").cast("timestamp").alias("created_at"))
+    updates = p.filter(F.col("price_date") >= OVERLAP).select(
+        (pid + 5).alias("price_id"), "benchmark_code", "price_date", "open_price", "high_price",
+        "low_price", "close_price", F.col("close_price").alias("adjusted_close_price"),
+        (F.col("volume") + 1).alias("volume"),
+        F.lit("2001-09-01 00:00:00").cast("timestamp").alias("created_at"))
+    return upsert(target, updates, ["benchmark_code", "price_date"],
+                  preserve=["price_id", "created_at"])
+
+
+def q_feature_upsert(spark, d):
+    from .operators.sinks import upsert
+    p = _prices(spark, d)
+    old = FE.price_features(p.filter(F.col("price_date") < CUTOVER))
+    new = FE.price_features(p).filter(F.col("feature_date") >= OVERLAP)
+    return upsert(old, new, ["benchmark_code", "feature_date"])
+
+
+def q_source_upsert(spark, d):
+    from .operators.sinks import upsert
+    src = _sources(spark, d)
+    stamp = F.lit("2001-09-01 00:00:00").cast("timestamp")
+    target = src.select("source_name", "source_type", "feed_url", "domain_name",
+                        (F.col("source_type") == "rss").alias("is_active"),
+                        F.lit("2000-01-01 00:00:00").cast("timestamp").alias("updated_at"))
+    updates = (src.filter(F.col("domain_name") != "unsupported.example")
+               .select("source_name", "source_type", "feed_url", "domain_name",
+                       F.lit(True).alias("is_active"), stamp.alias("updated_at")))
+    return upsert(target, updates, ["source_name"])
+
+
+def q_full_refresh(spark, d):
+    from .session import scratch_path
+    path = scratch_path(spark, "daily_news_features")
+    daily = _daily(spark, d)
+    for _ in range(2):      # a refresh is idempotent: running it twice changes nothing
+        daily.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def q_child_replace(spark, d):
+    from .operators.sinks import replace_children
+    from .sources.dimensions import Taxonomy
+    old_tax = Taxonomy([(n, [k for k in kws if k != "que"]) for n, kws in TAX.topics])
+    arts = B.articles(table(spark, d, "documents"))
+    old = AR.topic_score_rows(AR.score_articles(arts, old_tax, LEX), old_tax)
+    touched = arts.filter(F.col("article_id") % 3 == 0).select("article_id")
+    new = AR.topic_score_rows(
+        AR.score_articles(arts.join(touched, "article_id", "left_semi"), TAX, LEX), TAX)
+    cols = ["article_id", "topic_id", "topic_score", "is_primary_topic"]
+    return replace_children(old.select(*cols), new.select(*cols), "article_id", touched)
+
+
+def q_quality_report(spark, d):
+    from .operators import quality as Q
+    prices = _prices(spark, d)
+    news = B.news_items(table(spark, d, "documents"))
+    keys = _rss_keys(spark, d)
+    daily = _daily(spark, d)
+    feats = FE.price_features(prices)
+    sources = _sources(spark, d)
+    parts = [
+        Q.validate(prices, [Q.unique("prices_unique_series_date", "benchmark_code", "price_date"),
+                            Q.not_null("prices_close_not_null", "close_price")]),
+        Q.validate(news, [Q.domain("news_label_domain", "sentiment_label",
+                                   ["negative", "neutral", "positive"]),
+                          Q.domain("news_status_domain", "processing_status",
+                                   ["pending", "processed", "failed"])]),
+        Q.validate(keys, [Q.unique("items_unique_url_hash", "url_hash"),
+                          Q.unique("items_unique_source_guid", "source_id", "guid"),
+                          Q.not_null("items_url_not_null", "url"),
+                          Q.foreign_key("items_source_fk", "source_id", sources, "source_name")]),
+        Q.validate(daily, [Q.non_negative("daily_article_count_nonneg", "article_count"),
+                           Q.non_negative("daily_positive_nonneg", "positive_article_count"),
+                           Q.unique("daily_unique_date", "feature_date")]),
+        Q.validate(feats, [Q.domain("features_direction_domain", "target_direction_next_day",
+                                    [-1, 0, 1]),
+                           Q.unique("features_unique_series_date", "benchmark_code",
+                                    "feature_date")]),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 QUERIES: dict[str, Query] = {
+    "price_upsert": q_price_upsert,
+    "feature_upsert": q_feature_upsert,
+    "source_upsert": q_source_upsert,
+    "full_refresh": q_full_refresh,
+    "child_replace": q_child_replace,
+    "quality_report": q_quality_report,
     "feed_items_rss": q_feed_items_rss,
     "feed_items_search": q_feed_items_search,
     "feed_items_timeline": q_feed_items_timeline,
@@ -219,6 +328,12 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
+    "price_upsert": O.price_upsert_sql,
+    "feature_upsert": O.feature_upsert_sql,
+    "source_upsert": O.source_upsert_sql,
+    "full_refresh": lambda: O.daily_news_sql("news"),
+    "child_replace": lambda: O.child_replace_sql(TAX, LEX),
+    "quality_report": O.quality_report_sql,
     "active_sources": O.active_sources_sql,
     "dedup_two_keys": O.dedup_two_keys_sql,
     "insert_if_absent": O.insert_if_absent_sql,

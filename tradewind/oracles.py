@@ -517,3 +517,138 @@ UNION ALL SELECT 'features_direction_domain',
   count_if(target_direction_next_day NOT IN (-1, 0, 1)) FROM f
 UNION ALL SELECT 'features_unique_series_date', coalesce(sum(c - 1), 0)::BIGINT
   FROM (SELECT count(*) c FROM f GROUP BY benchmark_code, feature_date HAVING count(*) > 1)"""
+
+
+# ---------------------------------------------------------------------------
+# Monitoring (binding M over the price features)
+# ---------------------------------------------------------------------------
+from .plans.registry_m import AS_OF, MODELS, OLD_RUN_FACTOR, RUN_FINISHED  # noqa: E402
+
+
+def _m_ctes() -> tuple[tuple[str, str], ...]:
+    runs, preds = [], []
+    digit = "CAST(substr(benchmark_code, 1, 1) AS INTEGER)"
+    for name, idx, col in MODELS:
+        for ver in (1, 2):
+            rid = f"CAST({digit} * 100 + {idx * 10 + ver} AS BIGINT)"
+            runs.append(f"SELECT DISTINCT {rid} AS model_run_id, benchmark_code, '{name}' AS model_name,"
+                        f" 'v{ver}' AS model_version,"
+                        f" TIMESTAMP '{RUN_FINISHED[(idx, ver)]}' AS finished_at FROM f")
+            factor = OLD_RUN_FACTOR if ver == 1 else 1.0
+            preds.append(
+                f"SELECT CAST({rid} * 100000 + (feature_date - DATE '1995-01-01') AS BIGINT)"
+                f" AS prediction_id, {rid} AS model_run_id, benchmark_code, feature_date,"
+                f" target_date AS prediction_for_date,"
+                f" {rnd(f'{col} * {_dbl(factor)}', 4)} AS predicted_close,"
+                f" target_close_next_day AS actual_close, true AS is_backtest"
+                f" FROM f WHERE target_close_next_day IS NOT NULL AND {col} IS NOT NULL")
+    return (("prices", PRICES_SQL), ("pb", PRICE_BLOCK), ("pe", PRICE_ENRICHED),
+            ("f", f"SELECT {PRICE_OUT_COLS} FROM pe"),
+            ("runs", "\nUNION ALL ".join(runs)), ("preds", "\nUNION ALL ".join(preds)))
+
+
+def _decision_ctes() -> tuple[tuple[str, str], ...]:
+    mae = "CAST({s} AS DOUBLE) / (CAST({n} AS DOUBLE) * CAST(10000 AS DOUBLE))"
+    r, pv = "recent_mae", "previous_mae"
+    f4 = "printf('%.4f', {})"
+    return (*_m_ctes(),
+            ("lr", """SELECT benchmark_code, model_name, max(model_run_id) AS model_run_id
+FROM runs GROUP BY benchmark_code, model_name"""),
+            ("pp", """SELECT p.*, lr.model_name,
+       abs(CAST(round(predicted_close * 10000) AS BIGINT) - CAST(round(actual_close * 10000) AS BIGINT))
+         AS e
+FROM preds p JOIN lr ON p.model_run_id = lr.model_run_id WHERE actual_close IS NOT NULL"""),
+            ("rk", """SELECT *, row_number() OVER (PARTITION BY benchmark_code, model_name
+                                ORDER BY prediction_for_date DESC, prediction_id DESC) AS rn FROM pp"""),
+            ("ag", """SELECT benchmark_code, model_name, model_run_id, count(*) AS rows_available,
+       sum(e) AS all_s, sum(e) FILTER (WHERE rn <= 30) AS rec_s, count(*) FILTER (WHERE rn <= 30) AS rec_n,
+       sum(e) FILTER (WHERE rn > 30 AND rn <= 60) AS prev_s,
+       count(*) FILTER (WHERE rn > 30 AND rn <= 60) AS prev_n
+FROM rk GROUP BY benchmark_code, model_name, model_run_id"""),
+            ("dm", f"""SELECT benchmark_code, model_name, model_run_id, rows_available,
+       CASE WHEN rows_available < 30 THEN {mae.format(s='all_s', n='rows_available')}
+            ELSE {mae.format(s='rec_s', n='rec_n')} END AS recent_mae,
+       CASE WHEN rows_available >= 30 AND prev_n > 0 THEN {mae.format(s='prev_s', n='prev_n')} END
+         AS previous_mae
+FROM ag"""),
+            ("dd", f"""SELECT *,
+       CASE WHEN {pv} IS NULL THEN NULL WHEN {pv} <> 0 THEN ({r} - {pv}) / {pv}
+            ELSE CAST(0 AS DOUBLE) END AS relative_change,
+       ({pv} IS NOT NULL AND {r} > {pv} * CAST(1.3 AS DOUBLE)) AS is_err,
+       ({pv} IS NOT NULL AND NOT ({r} > {pv} * CAST(1.3 AS DOUBLE))
+        AND {r} > {pv} * CAST(1.15 AS DOUBLE)) AS is_warn
+FROM dm"""),
+            ("decisions", f"""SELECT benchmark_code, model_name, model_run_id, rows_available,
+       recent_mae, previous_mae, relative_change,
+       CASE WHEN is_err THEN 'error' WHEN is_warn THEN 'warning' ELSE 'info' END AS severity,
+       (is_err OR is_warn) AS should_retrain,
+       CASE WHEN rows_available < 30 THEN 'insufficient_history'
+            WHEN {pv} IS NULL THEN 'no_previous_window' END AS reason,
+       CASE WHEN rows_available < 30
+              THEN 'Not enough predictions yet for robust retraining decision on ' || model_name || '.'
+            WHEN {pv} IS NULL THEN model_name || ' is stable. No retraining needed.'
+            WHEN is_err THEN model_name || ' degraded sharply. Recent MAE=' || {f4.format(r)}
+                 || ', previous MAE=' || {f4.format(pv)} || '. Retraining strongly recommended.'
+            WHEN is_warn THEN model_name || ' degraded. Recent MAE=' || {f4.format(r)}
+                 || ', previous MAE=' || {f4.format(pv)} || '. Retraining recommended.'
+            ELSE model_name || ' stable. Recent MAE=' || {f4.format(r)} || ', previous MAE='
+                 || {f4.format(pv)} || '.' END AS message,
+       30 AS recent_window
+FROM dd"""))
+
+
+def latest_runs_sql() -> str:
+    return _with(*_m_ctes()) + """
+SELECT benchmark_code, model_name, arg_max(model_run_id, model_run_id) AS model_run_id,
+       arg_max(model_version, model_run_id) AS model_version,
+       arg_max(finished_at, model_run_id) AS finished_at
+FROM runs GROUP BY benchmark_code, model_name"""
+
+
+def drift_decisions_sql() -> str:
+    return _with(*_decision_ctes()) + "\nSELECT * FROM decisions"
+
+
+def _logs_ctes() -> tuple[tuple[str, str], ...]:
+    return (*_decision_ctes(),
+            ("logs", """SELECT model_run_id AS monitoring_id, 'model_drift' AS log_type,
+       'info' AS severity, model_name || '@' || benchmark_code AS component_name,
+       'older' AS message, '{"should_retrain": true}' AS details FROM decisions
+UNION ALL
+SELECT 1000000 + model_run_id, 'model_drift', severity, model_name || '@' || benchmark_code,
+       message, CASE WHEN reason = 'insufficient_history' THEN '{"reason": "insufficient_history"}'
+                     ELSE '{"should_retrain": ' || CASE WHEN should_retrain THEN 'true' ELSE 'false' END
+                          || '}' END
+FROM decisions"""),
+            ("flags", """SELECT component_name, arg_max(severity, monitoring_id) AS severity,
+       arg_max(message, monitoring_id) AS message, arg_max(details, monitoring_id) AS details
+FROM logs WHERE log_type = 'model_drift'
+  AND (component_name LIKE 'ModelA\\_%' ESCAPE '\\' OR component_name LIKE 'ModelA_%'
+       OR component_name LIKE 'ModelB_%')
+GROUP BY component_name"""),
+            ("flags2", """SELECT *, coalesce(TRY_CAST(json_extract_string(details, '$.should_retrain')
+                                        AS BOOLEAN), false) AS should_retrain FROM flags"""))
+
+
+def latest_flags_sql() -> str:
+    return _with(*_logs_ctes()) + """
+SELECT component_name, severity, message, should_retrain FROM flags2"""
+
+
+def retrain_actions_sql() -> str:
+    return _with(*_logs_ctes(),
+                 ("g", "SELECT 'ModelA_' AS group_prefix UNION ALL SELECT 'ModelB_'"),
+                 ("per", """SELECT g.group_prefix, bool_or(f.should_retrain) AS anyf
+FROM g JOIN flags2 f ON starts_with(f.component_name, g.group_prefix) GROUP BY g.group_prefix"""),
+                 ("last", """SELECT g.group_prefix, max(r.finished_at) AS last_finished_at
+FROM g JOIN runs r ON r.model_name LIKE g.group_prefix || '%' GROUP BY g.group_prefix""")) + f"""
+SELECT g.group_prefix, coalesce(per.anyf, false) AS retrain_flag,
+       coalesce(last.last_finished_at >= TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR, false)
+         AS cooldown_active,
+       last.last_finished_at,
+       (SELECT count(*) FROM flags2) AS flag_count,
+       CASE WHEN (SELECT count(*) FROM flags2) = 0 THEN 'none'
+            WHEN NOT coalesce(per.anyf, false) THEN 'skipped'
+            WHEN coalesce(last.last_finished_at >= TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR, false)
+              THEN 'cooldown' ELSE 'retrain' END AS action
+FROM g LEFT JOIN per USING (group_prefix) LEFT JOIN last USING (group_prefix)"""

@@ -297,7 +297,62 @@ def q_quality_report(spark, d):
     return out
 
 
+def _m(spark, d):
+    from .plans import registry_m as M
+    feats = FE.price_features(_prices(spark, d))
+    return M.model_runs(feats), M.predictions(feats)
+
+
+def q_latest_runs(spark, d):
+    from .plans.monitor import latest_runs
+    runs, _ = _m(spark, d)
+    return latest_runs(runs).select("benchmark_code", "model_name", "model_run_id",
+                                    "model_version", "finished_at")
+
+
+def q_drift_decisions(spark, d):
+    from .plans.monitor import drift_decisions
+    runs, preds = _m(spark, d)
+    return drift_decisions(runs, preds)
+
+
+def _logs(spark, d):
+    from .plans.monitor import drift_decisions
+    runs, preds = _m(spark, d)
+    dec = drift_decisions(runs, preds)
+    older = dec.select(F.col("model_run_id").alias("monitoring_id"),
+                       F.lit("model_drift").alias("log_type"), F.lit("info").alias("severity"),
+                       F.concat("model_name", F.lit("@"), "benchmark_code").alias("component_name"),
+                       F.lit("older").alias("message"),
+                       F.lit('{"should_retrain": true}').alias("details"))
+    newer = dec.select((F.lit(1000000) + F.col("model_run_id")).alias("monitoring_id"),
+                       F.lit("model_drift").alias("log_type"), "severity",
+                       F.concat("model_name", F.lit("@"), "benchmark_code").alias("component_name"),
+                       "message",
+                       F.when(F.col("reason") == "insufficient_history",
+                              F.lit('{"reason": "insufficient_history"}'))
+                       .otherwise(F.to_json(F.struct("should_retrain"))).alias("details"))
+    return runs, older.unionByName(newer)
+
+
+def q_latest_flags(spark, d):
+    from .plans.monitor import latest_flags
+    _, logs = _logs(spark, d)
+    return latest_flags(logs).select("component_name", "severity", "message", "should_retrain")
+
+
+def q_retrain_actions(spark, d):
+    from .plans.monitor import latest_flags, retrain_actions
+    from .plans.registry_m import AS_OF
+    runs, logs = _logs(spark, d)
+    return retrain_actions(latest_flags(logs), runs, F.lit(AS_OF).cast("timestamp"))
+
+
 QUERIES: dict[str, Query] = {
+    "latest_runs": q_latest_runs,
+    "drift_decisions": q_drift_decisions,
+    "latest_flags": q_latest_flags,
+    "retrain_actions": q_retrain_actions,
     "price_upsert": q_price_upsert,
     "feature_upsert": q_feature_upsert,
     "source_upsert": q_source_upsert,
@@ -328,6 +383,10 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
+    "latest_runs": O.latest_runs_sql,
+    "drift_decisions": O.drift_decisions_sql,
+    "latest_flags": O.latest_flags_sql,
+    "retrain_actions": O.retrain_actions_sql,
     "price_upsert": O.price_upsert_sql,
     "feature_upsert": O.feature_upsert_sql,
     "source_upsert": O.source_upsert_sql,

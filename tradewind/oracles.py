@@ -652,3 +652,107 @@ SELECT g.group_prefix, coalesce(per.anyf, false) AS retrain_flag,
             WHEN coalesce(last.last_finished_at >= TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR, false)
               THEN 'cooldown' ELSE 'retrain' END AS action
 FROM g LEFT JOIN per USING (group_prefix) LEFT JOIN last USING (group_prefix)"""
+
+
+# ---------------------------------------------------------------------------
+# Serving panels and top-k reports
+# ---------------------------------------------------------------------------
+def serve_price_trend_sql() -> str:
+    return _with(("prices", PRICES_SQL)) + """
+SELECT benchmark_code, price_date, open_price, high_price, low_price, close_price, volume
+FROM prices WHERE price_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"""
+
+
+def _daily_with() -> str:
+    return _with(("n", NEWS_SQL), ("daily", daily_news_body("n")))
+
+
+def serve_daily_counts_sql() -> str:
+    return _daily_with() + "\nSELECT feature_date, article_count, distinct_source_count FROM daily"
+
+
+def serve_sentiment_sql() -> str:
+    return _daily_with() + """
+SELECT feature_date, 'weighted' AS mode, weighted_avg_sentiment AS sentiment FROM daily"""
+
+
+def serve_label_counts_sql() -> str:
+    return _daily_with() + """
+SELECT feature_date, positive_article_count, neutral_article_count, negative_article_count
+FROM daily"""
+
+
+def _pva() -> str:
+    return """SELECT p.benchmark_code, lr.model_name, p.prediction_for_date, p.predicted_close,
+       p.actual_close FROM preds p JOIN lr ON p.model_run_id = lr.model_run_id"""
+
+
+def _lr() -> tuple[str, str]:
+    return ("lr", """SELECT benchmark_code, model_name, max(model_run_id) AS model_run_id
+FROM runs GROUP BY benchmark_code, model_name""")
+
+
+def serve_pred_vs_actual_sql() -> str:
+    return _with(*_m_ctes(), _lr()) + "\n" + _pva()
+
+
+def serve_error_sql() -> str:
+    return _with(*_m_ctes(), _lr(), ("pva", _pva())) + """
+SELECT *, abs(predicted_close - actual_close) AS abs_error,
+       CASE WHEN actual_close = 0 THEN NULL
+            ELSE abs(predicted_close - actual_close) / actual_close END AS pct_error
+FROM pva"""
+
+
+def serve_model_comparison_sql() -> str:
+    e = ("CAST(CAST(round(p.predicted_close * 10000) AS BIGINT) - "
+         "CAST(round(p.actual_close * 10000) AS BIGINT) AS HUGEINT)")
+    return _with(*_m_ctes(), _lr()) + f"""
+SELECT lr.benchmark_code, lr.model_name, lr.model_run_id, count(*) AS n,
+       CAST(sum(abs({e})) AS DOUBLE) / (CAST(count(*) AS DOUBLE) * CAST(10000 AS DOUBLE)) AS mae,
+       sqrt(CAST(sum({e} * {e}) AS DOUBLE) / CAST(count(*) AS DOUBLE)) / CAST(10000 AS DOUBLE)
+         AS rmse
+FROM preds p JOIN lr ON p.model_run_id = lr.model_run_id
+WHERE p.actual_close IS NOT NULL
+GROUP BY lr.benchmark_code, lr.model_name, lr.model_run_id"""
+
+
+def serve_monitoring_sql() -> str:
+    return _with(*_logs_ctes()) + """
+SELECT component_name, arg_max(log_type, monitoring_id) AS log_type,
+       arg_max(severity, monitoring_id) AS severity, arg_max(message, monitoring_id) AS message
+FROM logs GROUP BY component_name"""
+
+
+def serve_by_source_sql() -> str:
+    return _with(("n", NEWS_SQL)) + f"""
+SELECT published_date AS feature_date, source_id, count(*) AS article_count,
+       {ratio('sum(sentiment_e4)', 'count(*)')} AS avg_sentiment
+FROM n WHERE processing_status = 'processed' AND published_date IS NOT NULL
+  AND coalesce(relevance_e4, 0) > 0
+GROUP BY published_date, source_id"""
+
+
+def serve_health_sql() -> str:
+    return _with(*_m_ctes(), ("n", NEWS_SQL), ("daily", daily_news_body("n"))) + """
+SELECT 'prices' AS table_name, count(*) AS row_count FROM prices
+UNION ALL SELECT 'news_items', count(*) FROM n
+UNION ALL SELECT 'daily_news', count(*) FROM daily
+UNION ALL SELECT 'features', count(*) FROM f
+UNION ALL SELECT 'predictions', count(*) FROM preds"""
+
+
+def latest_features_sql() -> str:
+    return _with(("prices", PRICES_SQL), ("pb", PRICE_BLOCK), ("pe", PRICE_ENRICHED),
+                 ("f", f"SELECT {PRICE_OUT_COLS} FROM pe")) + """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY benchmark_code ORDER BY feature_date DESC) AS rn FROM f)
+WHERE rn <= 5"""
+
+
+def last_predictions_sql() -> str:
+    return _with(*_m_ctes(), _lr(), ("pva", _pva())) + """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_name, benchmark_code
+                               ORDER BY prediction_for_date DESC) AS rn FROM pva)
+WHERE rn <= 10"""

@@ -348,7 +348,83 @@ def q_retrain_actions(spark, d):
     return retrain_actions(latest_flags(logs), runs, F.lit(AS_OF).cast("timestamp"))
 
 
+def _sv():
+    from .plans import serving
+    return serving
+
+
+def q_serve_price_trend(spark, d):
+    return _sv().price_trend(_prices(spark, d), "1996-01-01", "1996-12-31")
+
+
+def q_serve_daily_counts(spark, d):
+    return _sv().daily_counts(_daily(spark, d))
+
+
+def q_serve_sentiment(spark, d):
+    return _sv().sentiment(_daily(spark, d), "weighted")
+
+
+def q_serve_label_counts(spark, d):
+    return _sv().label_counts(_daily(spark, d))
+
+
+def q_serve_pred_vs_actual(spark, d):
+    return _sv().pred_vs_actual(*_m(spark, d))
+
+
+def q_serve_error(spark, d):
+    return _sv().prediction_error(*_m(spark, d))
+
+
+def q_serve_model_comparison(spark, d):
+    return _sv().model_comparison(*_m(spark, d))
+
+
+def q_serve_monitoring(spark, d):
+    _, logs = _logs(spark, d)
+    return _sv().monitoring_panel(logs)
+
+
+def q_serve_by_source(spark, d):
+    return _sv().by_source(B.news_items(table(spark, d, "documents")))
+
+
+def q_serve_health(spark, d):
+    prices = _prices(spark, d)
+    runs, preds = _m(spark, d)
+    return _sv().health({"prices": prices,
+                         "news_items": B.news_items(table(spark, d, "documents")),
+                         "daily_news": _daily(spark, d),
+                         "features": FE.price_features(prices),
+                         "predictions": preds})
+
+
+def q_latest_features(spark, d):
+    return _sv().latest_rows(FE.price_features(_prices(spark, d)), "benchmark_code",
+                             "feature_date", 5)
+
+
+def q_last_predictions(spark, d):
+    runs, preds = _m(spark, d)
+    p = _sv().pred_vs_actual(runs, preds).withColumn(
+        "model_key", F.concat("model_name", F.lit("@"), "benchmark_code"))
+    return _sv().latest_rows(p, "model_key", "prediction_for_date", 10).drop("model_key")
+
+
 QUERIES: dict[str, Query] = {
+    "serve_price_trend": q_serve_price_trend,
+    "serve_daily_counts": q_serve_daily_counts,
+    "serve_sentiment": q_serve_sentiment,
+    "serve_label_counts": q_serve_label_counts,
+    "serve_pred_vs_actual": q_serve_pred_vs_actual,
+    "serve_error": q_serve_error,
+    "serve_model_comparison": q_serve_model_comparison,
+    "serve_monitoring": q_serve_monitoring,
+    "serve_by_source": q_serve_by_source,
+    "serve_health": q_serve_health,
+    "latest_features": q_latest_features,
+    "last_predictions": q_last_predictions,
     "latest_runs": q_latest_runs,
     "drift_decisions": q_drift_decisions,
     "latest_flags": q_latest_flags,
@@ -383,6 +459,18 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
+    "serve_price_trend": O.serve_price_trend_sql,
+    "serve_daily_counts": O.serve_daily_counts_sql,
+    "serve_sentiment": O.serve_sentiment_sql,
+    "serve_label_counts": O.serve_label_counts_sql,
+    "serve_pred_vs_actual": O.serve_pred_vs_actual_sql,
+    "serve_error": O.serve_error_sql,
+    "serve_model_comparison": O.serve_model_comparison_sql,
+    "serve_monitoring": O.serve_monitoring_sql,
+    "serve_by_source": O.serve_by_source_sql,
+    "serve_health": O.serve_health_sql,
+    "latest_features": O.latest_features_sql,
+    "last_predictions": O.last_predictions_sql,
     "latest_runs": O.latest_runs_sql,
     "drift_decisions": O.drift_decisions_sql,
     "latest_flags": O.latest_flags_sql,

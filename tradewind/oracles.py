@@ -756,3 +756,74 @@ SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY model_name, benchmark_code
                                ORDER BY prediction_for_date DESC) AS rn FROM pva)
 WHERE rn <= 10"""
+
+
+# ---------------------------------------------------------------------------
+# Model inputs: filters, chronological split, time-series folds
+# ---------------------------------------------------------------------------
+_PF = ["lag_close_1d", "lag_close_3d", "lag_return_1d", "lag_return_3d", "rolling_mean_3d",
+       "rolling_mean_7d", "rolling_volatility_7d"]
+_NF = ["news_article_count_1d", "news_avg_sentiment_1d", "news_weighted_sentiment_1d",
+       "news_avg_sentiment_3d", "news_weighted_sentiment_3d"]
+_TG = ["target_close_next_day", "target_return_next_day", "target_direction_next_day"]
+
+
+def _features_with() -> str:
+    s = news_price_features_sql()
+    return s[: s.rindex("\nSELECT ")] + ",\nfeat AS (" + s[s.rindex("\nSELECT ") + 1:] + ")"
+
+
+def _notnull(cols) -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in cols)
+
+
+def complete_cases_sql() -> str:
+    return _features_with() + f"""
+SELECT benchmark_code, feature_date, target_date, {', '.join(_PF)}, target_close_next_day
+FROM feat WHERE {_notnull(_PF + ['target_close_next_day'])}"""
+
+
+def _filled() -> str:
+    cols = ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}" for c in _NF)
+    return (f"SELECT * REPLACE ({cols}, CAST(target_direction_next_day AS DOUBLE)"
+            f" AS target_direction_next_day) FROM feat")
+
+
+def labelled_rows_sql() -> str:
+    return _features_with() + f""", filled AS ({_filled()})
+SELECT benchmark_code, feature_date, {', '.join(_PF + _NF + _TG)}
+FROM filled WHERE {_notnull(_PF + _NF + _TG)}"""
+
+
+def live_candidates_sql() -> str:
+    return _features_with() + f""", filled AS ({_filled()})
+SELECT benchmark_code, feature_date, close_price, {', '.join(_PF + _NF)}
+FROM filled WHERE {_notnull(_PF + _NF + ['close_price'])}"""
+
+
+def _split_with() -> str:
+    return _features_with() + f""",
+cc AS (SELECT * FROM feat WHERE {_notnull(_PF + ['target_close_next_day'])}),
+sp AS (SELECT *, row_number() OVER (PARTITION BY benchmark_code ORDER BY feature_date) AS rn,
+              count(*) OVER (PARTITION BY benchmark_code) AS n FROM cc),
+sp2 AS (SELECT *, CASE WHEN rn <= floor(n * CAST(0.7 AS DOUBLE)) THEN 'train'
+                       WHEN rn <= floor(n * CAST(0.8 AS DOUBLE)) THEN 'validation'
+                       ELSE 'test' END AS split FROM sp)"""
+
+
+def chronological_split_sql() -> str:
+    return _split_with() + """
+SELECT benchmark_code, split, count(*) AS rows, min(feature_date) AS start_date,
+       max(feature_date) AS end_date FROM sp2 GROUP BY benchmark_code, split"""
+
+
+def ts_cv_folds_sql() -> str:
+    return _split_with() + """,
+tr AS (SELECT *, row_number() OVER (PARTITION BY benchmark_code ORDER BY feature_date) AS ti,
+              count(*) OVER (PARTITION BY benchmark_code) AS nt FROM sp2 WHERE split = 'train'),
+fo AS (SELECT tr.*, f.fold, nt // 4 AS sz, nt - (3 - f.fold) * (nt // 4) AS st
+       FROM tr, (SELECT unnest([0, 1, 2]) AS fold) f),
+ro AS (SELECT *, CASE WHEN ti <= st THEN 'train' WHEN ti <= st + sz THEN 'test' END AS role FROM fo)
+SELECT benchmark_code, fold, role, count(*) AS rows, min(feature_date) AS start_date,
+       max(feature_date) AS end_date FROM ro WHERE role IS NOT NULL
+GROUP BY benchmark_code, fold, role"""

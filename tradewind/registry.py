@@ -412,7 +412,68 @@ def q_last_predictions(spark, d):
     return _sv().latest_rows(p, "model_key", "prediction_for_date", 10).drop("model_key")
 
 
+def _mo():
+    from .plans import models
+    return models
+
+
+def _feats(spark, d):
+    return FE.model_features(_prices(spark, d), _daily(spark, d))
+
+
+def q_complete_cases(spark, d):
+    M = _mo()
+    f = M.coerce(_feats(spark, d), M.PRICE_FEATURES + [M.TARGET])
+    return M.complete_cases(f, M.PRICE_FEATURES).select(
+        "benchmark_code", "feature_date", "target_date", *M.PRICE_FEATURES, M.TARGET)
+
+
+def q_labelled_rows(spark, d):
+    M = _mo()
+    cols = M.PRICE_FEATURES + M.NEWS_FEATURES
+    f = M.with_news_filled(M.coerce(_feats(spark, d), cols + M.TARGETS))
+    return M.complete_cases(f, cols, M.TARGETS).select("benchmark_code", "feature_date", *cols,
+                                                       *M.TARGETS)
+
+
+def q_live_candidates(spark, d):
+    M = _mo()
+    cols = M.PRICE_FEATURES + M.NEWS_FEATURES
+    f = M.with_news_filled(M.coerce(_feats(spark, d), cols + ["close_price"]))
+    return M.live_candidates(f, cols).select("benchmark_code", "feature_date", "close_price", *cols)
+
+
+def q_chronological_split(spark, d):
+    M = _mo()
+    return M.split_summary(M.prepared(_feats(spark, d), M.PRICE_FEATURES, news=False))
+
+
+def q_ts_cv_folds(spark, d):
+    M = _mo()
+    s = M.prepared(_feats(spark, d), M.PRICE_FEATURES, news=False)
+    return M.fold_summary(M.time_series_folds(s.filter("split = 'train'")))
+
+
+def q_ols_backtest(spark, d):
+    M = _mo()
+    p = M.ols_backtest(_feats(spark, d))
+    return p.select("benchmark_code", "feature_date", "target_date", M.TARGET, "prediction")
+
+
+def q_median_regression(spark, d):
+    M = _mo()
+    p, _ = M.median_backtest(_feats(spark, d))
+    return p.select("benchmark_code", "feature_date", "target_date", M.TARGET, "prediction")
+
+
 QUERIES: dict[str, Query] = {
+    "complete_cases": q_complete_cases,
+    "labelled_rows": q_labelled_rows,
+    "live_candidates": q_live_candidates,
+    "chronological_split": q_chronological_split,
+    "ts_cv_folds": q_ts_cv_folds,
+    "ols_backtest": q_ols_backtest,
+    "median_regression": q_median_regression,
     "serve_price_trend": q_serve_price_trend,
     "serve_daily_counts": q_serve_daily_counts,
     "serve_sentiment": q_serve_sentiment,
@@ -459,6 +520,11 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
+    "complete_cases": O.complete_cases_sql,
+    "labelled_rows": O.labelled_rows_sql,
+    "live_candidates": O.live_candidates_sql,
+    "chronological_split": O.chronological_split_sql,
+    "ts_cv_folds": O.ts_cv_folds_sql,
     "serve_price_trend": O.serve_price_trend_sql,
     "serve_daily_counts": O.serve_daily_counts_sql,
     "serve_sentiment": O.serve_sentiment_sql,

@@ -324,7 +324,8 @@ def median_backtest(features: DataFrame, xcols: Sequence[str] = PRICE_FEATURES,
                     max_iter: int = 60) -> tuple[DataFrame, DataFrame]:
     """Grid over alpha with expanding-window CV (MAE), then the
     full-train fit of the best alpha, scored on test.  Returns
-    (test predictions, best parameters with their CV MAE)."""
+    (test predictions, best parameters with their CV MAE and the final
+    coefficients ``beta``)."""
     s = cut_lineage(prepared(features, xcols, news))
     train = s.filter("split = 'train'")
     folds = time_series_folds(train)
@@ -348,5 +349,230 @@ def median_backtest(features: DataFrame, xcols: Sequence[str] = PRICE_FEATURES,
             .select(SERIES, "b.alpha", "b.cv_mae"))
     final = (coefs.filter("fold = -1").join(best.select(SERIES, "alpha"), [SERIES, "alpha"])
              .select(SERIES, "beta"))
+    final = cut_lineage(final)
     pred = predict(s.filter("split = 'test'"), final, [SERIES], xcols)
-    return pred, best.withColumn("model_name", F.lit("QuantileRegression"))
+    return pred, (best.join(final, SERIES)
+                  .withColumn("model_name", F.lit("QuantileRegression")))
+
+
+# ---------------------------------------------------------------------------
+# Tree models (Spark ML), random search over the reference grids
+# ---------------------------------------------------------------------------
+def grid_draws(grid: dict, draws: int, seed: int = SEARCH_SEED) -> list[dict]:
+    """Random candidates without replacement from the full grid (keys in
+    sorted order); deterministic for a seed.  Property parity with the
+    reference's sampler, not the same draw sequence."""
+    keys = sorted(grid)
+    sizes = [len(grid[k]) for k in keys]
+    total = int(np.prod(sizes))
+    rng = np.random.RandomState(seed)
+    picks = rng.choice(total, size=min(draws, total), replace=False)
+    out = []
+    for idx in picks:
+        cand, rest = {}, int(idx)
+        for k, s in zip(reversed(keys), reversed(sizes)):
+            cand[k] = grid[k][rest % s]
+            rest //= s
+        out.append(cand)
+    return out
+
+
+def _rf(params: dict, label: str, seed: int = SEARCH_SEED):
+    from pyspark.ml.regression import RandomForestRegressor
+    depth = params.get("max_depth")
+    return RandomForestRegressor(labelCol=label, featuresCol="features", seed=seed,
+                                 numTrees=int(params["n_estimators"]),
+                                 maxDepth=UNLIMITED_DEPTH if depth is None else int(depth),
+                                 minInstancesPerNode=int(params["min_samples_leaf"]))
+
+
+def _gbt(params: dict, label: str, seed: int = SEARCH_SEED):
+    from pyspark.ml.regression import GBTRegressor
+    return GBTRegressor(labelCol=label, featuresCol="features", seed=seed,
+                        maxIter=int(params["n_estimators"]), maxDepth=int(params["max_depth"]),
+                        stepSize=float(params["learning_rate"]),
+                        subsamplingRate=float(params["subsample"]),
+                        featureSubsetStrategy=str(params["colsample_bytree"]))
+
+
+def assemble(df: DataFrame, xcols: Sequence[str], indexer=None):
+    """Features vector = the model columns plus the series as an index, so one
+    distributed fit covers every series (trees can split on the series)."""
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    if indexer is None:
+        indexer = StringIndexer(inputCol=SERIES, outputCol="series_idx",
+                                handleInvalid="keep").fit(df)
+    va = VectorAssembler(inputCols=list(xcols) + ["series_idx"], outputCol="features",
+                         handleInvalid="keep")
+    return va.transform(indexer.transform(df)), indexer
+
+
+def tree_search(prepared_df: DataFrame, kind: str, xcols: Sequence[str],
+                draws: int | None = None, parallelism: int = 4,
+                candidates: list[dict] | None = None) -> tuple[DataFrame, dict]:
+    """K5/K6: random search with expanding-window CV (MAE), refit of the best
+    candidate on the full train part, predictions on test.  ``candidates``
+    replaces the seeded draws (a single candidate skips the CV)."""
+    from concurrent.futures import ThreadPoolExecutor
+    grid, n, make = ((RF_GRID, RF_DRAWS, _rf) if kind == "rf" else (GBT_GRID, GBT_DRAWS, _gbt))
+    cands = candidates or grid_draws(grid, n if draws is None else draws)
+    train = prepared_df.filter("split = 'train'")
+    x_all, indexer = assemble(prepared_df, xcols)
+    x_all = cut_lineage(x_all)
+
+    def cv_mae(cand):
+        if len(cands) == 1:
+            return 0.0
+        folds = cut_lineage(time_series_folds(train))
+        maes = []
+        for k in range(N_SPLITS):
+            tr, _ = assemble(folds.filter((F.col("fold") == k) & (F.col("role") == "train")),
+                             xcols, indexer)
+            te, _ = assemble(folds.filter((F.col("fold") == k) & (F.col("role") == "test")),
+                             xcols, indexer)
+            m = make(cand, TARGET).fit(tr)
+            maes.append(m.transform(te).agg(F.avg(F.abs(F.col("prediction") - F.col(TARGET))))
+                        .first()[0])
+        return float(np.mean(maes))
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        scores = list(pool.map(cv_mae, cands))
+    best = cands[int(np.argmin(scores))]
+    model = make(best, TARGET).fit(x_all.filter("split = 'train'"))
+    pred = model.transform(x_all.filter("split = 'test'")).drop("features")
+    return pred, {"params": best, "cv_mae": min(scores)}
+
+
+def ensemble(preds: dict[str, DataFrame], keys=(SERIES, "feature_date")) -> DataFrame:
+    """K7: equal-weight mean of the models' predictions, joined on the row key."""
+    out = None
+    for name, p in preds.items():
+        s = p.select(*keys, "target_date", TARGET, F.col("prediction").alias(f"pred_{name}"))
+        out = s if out is None else out.join(s.drop("target_date", TARGET), list(keys))
+    cols = [F.col(f"pred_{n}") for n in preds]
+    total = cols[0]
+    for c in cols[1:]:
+        total = total + c
+    return out.withColumn("prediction", total / F.lit(float(len(cols))))
+
+
+def run_experiment(features: DataFrame, news: bool, rf_draws: int | None = None,
+                   gbt_draws: int | None = None, max_iter: int = 60,
+                   rf_candidates: list[dict] | None = None,
+                   gbt_candidates: list[dict] | None = None) -> DataFrame:
+    """The four models and their ensemble on one feature set;
+    long metrics table (series, model_name, n, mae, rmse)."""
+    xcols = PRICE_FEATURES + (NEWS_FEATURES if news else [])
+    s = cut_lineage(prepared(features, xcols, news))
+    ols = fit_ols(s.filter("split = 'train'"), [SERIES], xcols)
+    p_lr = predict(s.filter("split = 'test'"), ols, [SERIES], xcols)
+    p_qr, _ = median_backtest(features, xcols, news, max_iter=max_iter)
+    p_rf, _ = tree_search(s, "rf", xcols, rf_draws, candidates=rf_candidates)
+    p_gb, _ = tree_search(s, "gbt", xcols, gbt_draws, candidates=gbt_candidates)
+    preds = {"LinearRegression": p_lr, "QuantileRegression": p_qr, "RandomForest": p_rf,
+             "XGBoost": p_gb}
+    ens = ensemble(preds)
+    parts = [metrics(p, [SERIES]).withColumn("model_name", F.lit(n)) for n, p in preds.items()]
+    parts.append(metrics(ens, [SERIES]).withColumn("model_name", F.lit("Ensemble")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("experiment", F.lit("B" if news else "A"))
+
+
+def compare_experiments(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Price-only against price + news, per series and model."""
+    k = [SERIES, "model_name"]
+    return (a.select(*k, F.col("mae").alias("mae_a"), F.col("rmse").alias("rmse_a"))
+            .join(b.select(*k, F.col("mae").alias("mae_b"), F.col("rmse").alias("rmse_b")), k)
+            .withColumn("mae_change", F.col("mae_b") - F.col("mae_a")))
+
+
+# ---------------------------------------------------------------------------
+# Direction classifier and live forecast
+# ---------------------------------------------------------------------------
+def class_weights(train: DataFrame, label: str) -> DataFrame:
+    """'balanced' weights n / (k * n_c); one row per class (bounded by k).
+    The totals are scalar subqueries, not joins."""
+    counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
+    n = train.select(F.count(F.lit(1))).scalar()
+    k = train.select(F.countDistinct(label)).scalar()
+    return counts.select(label, (n.cast("double") / (k * F.col("_nc"))).alias("class_weight"))
+
+
+def direction_label(col: Column) -> Column:
+    """C17."""
+    return F.when(col == 1, "UP").when(col == -1, "DOWN").otherwise("FLAT")
+
+
+def direction_and_live(features: DataFrame, max_iter: int = 60):
+    """Price model (median regression) + direction classifier, backtest
+    on test and a live forecast from each series' latest complete row.
+
+    Returns (backtest rows, metrics per series, live forecast per series).
+    """
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.functions import vector_to_array
+    xcols = PRICE_FEATURES + NEWS_FEATURES
+    df = with_news_filled(coerce(features, xcols + TARGETS + ["close_price"]))
+    labelled = complete_cases(df, xcols, TARGETS)
+    n_lab = labelled.count()
+    if n_lab < MIN_LABELLED_ROWS:                                  # C7
+        raise ValueError(f"Not enough labelled rows to train safely. Found {n_lab} rows.")
+    live = live_candidates(df, xcols)
+    s = cut_lineage(chronological_split(labelled)
+                    .withColumn("label", (F.col("target_direction_next_day") + 1).cast("double")))
+    train = s.filter("split = 'train'")
+    cw = class_weights(train, "label")
+    x, indexer = assemble(s.join(F.broadcast(cw), "label", "left"), xcols)
+    clf = RandomForestClassifier(labelCol="label", featuresCol="features",
+                                 weightCol="class_weight", **DIRECTION_RF)
+    model = clf.fit(x.filter("split = 'train'"))
+    # price model: median regression with CV over alpha, refit on full train
+    p_price, params = median_backtest(features.join(labelled.select(SERIES, "feature_date"),
+                                                    [SERIES, "feature_date"], "left_semi"),
+                                      xcols, news=True, max_iter=max_iter)
+    test = model.transform(x.filter("split = 'test'"))
+    test = test.select(
+        SERIES, "feature_date", "close_price", "target_direction_next_day",
+        (F.col("prediction") - 1).cast("int").alias("predicted_direction"),
+        F.array_max(vector_to_array("probability")).alias("direction_confidence"))
+    bt = (test.join(p_price.select(SERIES, "feature_date", "target_date", TARGET,
+                                   F.col("prediction").alias("predicted_close")),
+                    [SERIES, "feature_date"])
+          .withColumn("predicted_return_1d",
+                      F.try_divide(F.col("predicted_close"), F.col("close_price")) - 1))
+    e = F.col("predicted_close") - F.col(TARGET)
+    met = bt.groupBy(SERIES).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
+        F.sqrt(F.avg(e * e)).alias("rmse"),
+        F.avg((F.col("predicted_direction") == F.col("target_direction_next_day"))
+              .cast("double")).alias("directional_accuracy"))
+    # live: newest complete row per series (G2), scored by both models
+    latest = (live.groupBy(SERIES).agg(F.max_by(F.struct(*[c for c in live.columns
+                                                           if c != SERIES]),
+                                                "feature_date").alias("r"))
+              .select(SERIES, "r.*"))
+    lx, _ = assemble(latest, xcols, indexer)
+    lv = model.transform(lx).select(
+        SERIES, "feature_date", "target_date", "close_price", *xcols,
+        (F.col("prediction") - 1).cast("int").alias("predicted_direction"),
+        F.array_max(vector_to_array("probability")).alias("confidence_score"))
+    lv = predict(lv, params.select(SERIES, "beta"), [SERIES], xcols, "predicted_close")
+    return bt, met, lv
+
+
+def live_forecast(features: DataFrame, max_iter: int = 60) -> DataFrame:
+    """K14 live part: price from the median model refit, direction with its
+    confidence, the implied return (I18) and the forecast date (I17: next
+    business day when the row has no next trading day)."""
+    from ..operators.windows import next_business_day
+    _, _, lv = direction_and_live(features, max_iter)
+    return lv.select(
+        SERIES, "feature_date",
+        F.coalesce("target_date", next_business_day(F.col("feature_date")))
+        .alias("prediction_for_date"),
+        "close_price", "predicted_close",
+        (F.try_divide(F.col("predicted_close"), F.col("close_price")) - 1)
+        .alias("predicted_return_1d"),
+        "predicted_direction", direction_label(F.col("predicted_direction")).alias("direction"),
+        "confidence_score")

@@ -466,7 +466,53 @@ def q_median_regression(spark, d):
     return p.select("benchmark_code", "feature_date", "target_date", M.TARGET, "prediction")
 
 
+# Registered tree checks fit one explicit point of each reference grid (the
+# cheapest); the full seeded searches (12 / 15 draws x 3 folds) are the
+# library defaults and take hours on one machine with Spark ML.
+REGISTERED_RF = [{"n_estimators": 100, "max_depth": 4, "min_samples_leaf": 2,
+                  "min_samples_split": 2}]
+REGISTERED_GBT = [{"n_estimators": 100, "max_depth": 2, "learning_rate": 0.1,
+                   "subsample": 1.0, "colsample_bytree": 1.0}]
+
+
+def q_rf_backtest(spark, d):
+    M = _mo()
+    s = M.prepared(_feats(spark, d), M.PRICE_FEATURES, news=False)
+    p, _ = M.tree_search(s, "rf", M.PRICE_FEATURES, candidates=REGISTERED_RF)
+    return p.select("benchmark_code", "feature_date", "target_date", M.TARGET, "prediction")
+
+
+def q_gbt_backtest(spark, d):
+    M = _mo()
+    s = M.prepared(_feats(spark, d), M.PRICE_FEATURES, news=False)
+    p, _ = M.tree_search(s, "gbt", M.PRICE_FEATURES, candidates=REGISTERED_GBT)
+    return p.select("benchmark_code", "feature_date", "target_date", M.TARGET, "prediction")
+
+
+def q_experiment_compare(spark, d):
+    M = _mo()
+    f = _feats(spark, d)
+    a = M.run_experiment(f, False, rf_candidates=REGISTERED_RF, gbt_candidates=REGISTERED_GBT)
+    b = M.run_experiment(f, True, rf_candidates=REGISTERED_RF, gbt_candidates=REGISTERED_GBT)
+    return M.compare_experiments(a, b)
+
+
+def q_direction_backtest(spark, d):
+    M = _mo()
+    _, met, _ = M.direction_and_live(_feats(spark, d))
+    return met
+
+
+def q_live_forecast(spark, d):
+    return _mo().live_forecast(_feats(spark, d))
+
+
 QUERIES: dict[str, Query] = {
+    "rf_backtest": q_rf_backtest,
+    "gbt_backtest": q_gbt_backtest,
+    "experiment_compare": q_experiment_compare,
+    "direction_backtest": q_direction_backtest,
+    "live_forecast": q_live_forecast,
     "complete_cases": q_complete_cases,
     "labelled_rows": q_labelled_rows,
     "live_candidates": q_live_candidates,

@@ -28,6 +28,9 @@ def get_spark(master: str | None = None, app: str = "tradewind",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            builder = builder.config("spark.driver.memory", "16g")
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:

@@ -120,7 +120,7 @@ def scored_events(events: DataFrame) -> DataFrame:
     return (events
             .select(F.col("event_id").alias("article_id"),
                     F.col("user_id").cast("string").alias("source_id"),
-                    F.col("ts").alias("published_at"),
+                    F.col("ts").cast("timestamp").alias("published_at"),
                     F.to_date("ts").alias("published_date"),
                     ((v * 37) % 20001 - 10000).alias("sentiment_e4"),
                     (v % 10001).alias("relevance_e4"),

@@ -827,3 +827,11 @@ ro AS (SELECT *, CASE WHEN ti <= st THEN 'train' WHEN ti <= st + sz THEN 'test'
 SELECT benchmark_code, fold, role, count(*) AS rows, min(feature_date) AS start_date,
        max(feature_date) AS end_date FROM ro WHERE role IS NOT NULL
 GROUP BY benchmark_code, fold, role"""
+
+
+def stream_dedup_sql() -> str:
+    return _with(("e", EVENTS_SQL)) + """
+SELECT dedup_key, article_id, source_id, published_at, sentiment_e4 FROM (
+  SELECT *, source_id || ':' || CAST(published_date AS VARCHAR) AS dedup_key,
+         row_number() OVER (PARTITION BY source_id, published_date ORDER BY article_id) AS r
+  FROM e) WHERE r = 1"""

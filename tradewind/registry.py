@@ -507,7 +507,43 @@ def q_live_forecast(spark, d):
     return _mo().live_forecast(_feats(spark, d))
 
 
+def _landed_events(spark, d):
+    import hashlib
+    from .session import scratch_path
+    from .streaming.jobs import land_items
+    key = hashlib.sha1(d.encode()).hexdigest()[:10]
+    path = scratch_path(spark, f"events-{key}")
+    if spark.conf.get("tradewind.events." + key, None) != path:
+        items = B.scored_events(table(spark, d, "events")).withColumn(
+            "dedup_key", F.concat_ws(":", "source_id", F.col("published_date").cast("string")))
+        land_items(items, path)
+        spark.conf.set("tradewind.events." + key, path)
+    return path
+
+
+def q_stream_dedup(spark, d):
+    from .streaming.jobs import fresh_workdir, stream_dedup
+    out = stream_dedup(spark, _landed_events(spark, d), "dedup_key", "article_id",
+                       fresh_workdir(spark, "dedup"))
+    return out.select("dedup_key", "article_id", "source_id",
+                      F.col("published_at").cast("timestamp_ntz").alias("published_at"),
+                      "sentiment_e4")
+
+
+def q_stream_daily_news(spark, d):
+    from .streaming.jobs import fresh_workdir, stream_daily
+    return stream_daily(spark, _landed_events(spark, d), fresh_workdir(spark, "daily"))
+
+
+def q_strip_html(spark, d):
+    from .functions.text import strip_html
+    return table(spark, d, "pages").select("page_id", strip_html(F.col("html")).alias("text"))
+
+
 QUERIES: dict[str, Query] = {
+    "stream_dedup": q_stream_dedup,
+    "stream_daily_news": q_stream_daily_news,
+    "strip_html": q_strip_html,
     "rf_backtest": q_rf_backtest,
     "gbt_backtest": q_gbt_backtest,
     "experiment_compare": q_experiment_compare,
@@ -566,6 +602,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
+    "stream_dedup": O.stream_dedup_sql,
+    "stream_daily_news": lambda: O.daily_news_sql("events"),
     "complete_cases": O.complete_cases_sql,
     "labelled_rows": O.labelled_rows_sql,
     "live_candidates": O.live_candidates_sql,

@@ -15,8 +15,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,16 +29,25 @@ def land_items(items: DataFrame, dest: str, rows_per_file: int = 2500) -> None:
      .repartition("chunk").write.mode("overwrite").partitionBy("chunk").parquet(dest))
 
 
-def _latest_version(path: str) -> str | None:
-    if not os.path.isdir(path):
+def _latest_version(spark: SparkSession, path: str) -> str | None:
+    """Newest committed ``v=<batch>`` folder, listed through the Hadoop
+    FileSystem of the path (works on HDFS / object stores, not only local)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
         return None
-    vs = sorted((int(d.split("=", 1)[1]) for d in os.listdir(path) if d.startswith("v=")))
-    return f"{path}/v={vs[-1]}" if vs else None
+    vs = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("v=") and fs.exists(
+                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            vs.append(int(name.split("=", 1)[1]))
+    return f"{path}/v={max(vs)}" if vs else None
 
 
 def _read_latest(spark: SparkSession, path: str) -> DataFrame | None:
-    """Latest committed state version (local or mounted shared storage)."""
-    latest = _latest_version(path.replace("file:", ""))
+    latest = _latest_version(spark, path)
     return spark.read.parquet(latest) if latest else None
 
 
@@ -65,7 +72,7 @@ def stream_dedup(spark: SparkSession, source: str, key: str, order: str, work: s
          .option("checkpointLocation", f"{work}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(_latest_version(state.replace("file:", "")) or state)
+    return spark.read.parquet(_latest_version(spark, state) or state)
 
 
 def stream_daily(spark: SparkSession, source: str, work: str, watermark: str = "2 days",
@@ -104,7 +111,7 @@ def stream_daily(spark: SparkSession, source: str, work: str, watermark: str = "
          .option("checkpointLocation", f"{work}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(_latest_version(state.replace("file:", "")) or state)
+    return spark.read.parquet(_latest_version(spark, state) or state)
 
 
 def fresh_workdir(spark: SparkSession, name: str) -> str:

@@ -540,7 +540,39 @@ def q_strip_html(spark, d):
     return table(spark, d, "pages").select("page_id", strip_html(F.col("html")).alias("text"))
 
 
+def q_daily_run(spark, d):
+    import uuid
+    from .plans.daily import run_daily
+    from .session import scratch_path
+    root = scratch_path(spark, f"daily-run-{uuid.uuid4().hex[:8]}")
+    return run_daily(spark, d, root, _landing(spark, d), TAX, LEX)
+
+
+def q_append_registry(spark, d):
+    """Append runs, predictions and drift logs to registry tables and
+    report the rows each append added (two appends: counts double)."""
+    import uuid
+    from .plans.monitor import drift_decisions, drift_logs
+    from .session import scratch_path
+    root = scratch_path(spark, f"registry-{uuid.uuid4().hex[:8]}")
+    runs, preds = _m(spark, d)
+    logs = drift_logs(drift_decisions(runs, preds), id_base=1_000_000)
+    rows = []
+    for name, df in (("model_runs", runs), ("predictions", preds), ("monitoring_logs", logs)):
+        for _ in range(2):
+            df.write.mode("append").parquet(f"{root}/{name}")
+        rows.append(spark.read.parquet(f"{root}/{name}")
+                    .agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"),
+                                                                 "rows"))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
 QUERIES: dict[str, Query] = {
+    "daily_run": q_daily_run,
+    "append_registry": q_append_registry,
     "stream_dedup": q_stream_dedup,
     "stream_daily_news": q_stream_daily_news,
     "strip_html": q_strip_html,

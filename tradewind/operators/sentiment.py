@@ -8,7 +8,8 @@ contrast word ("but") count half, after it 1.5x.  Sum S, compound
 S / sqrt(S^2 + 15), clamped to [-1, 1], rounded to 4 places.
 
 Everything is a higher-order function on the row's token array (``transform``
-/ ``aggregate``), so scoring is a narrow projection: no explode, no shuffle.
+/ ``filter`` / ``aggregate``), so scoring is a narrow projection: no explode,
+no shuffle.
 Capital-letter and punctuation rules cannot fire on cleaned (lower-case,
 no ``!?'``) text and are not modelled.  The lexicon is a small parameter map.
 """
@@ -35,59 +36,57 @@ def _map(d: dict[str, float]) -> Column:
 def tokens(cleaned: Column) -> Column:
     """Whitespace tokens; edge punctuation stripped unless <= 2 chars remain."""
     def norm(t):
-        s = F.regexp_replace(t, _EDGE_PUNCT, "")
+        s = F.btrim(t, F.lit("-+./"))
         return F.when(F.length(s) > 2, s).otherwise(t)
     return F.transform(F.split(cleaned, " "), norm)
 
 
-def _context_step(d: int, damp: float):
-    """Booster then negation from the token ``d`` places back (if that token
-    is not a lexicon word), applied to lexicon words only."""
-    def step(v, i):
-        applies = ((i >= d) & F.element_at("_lex", i + 1).isNotNull()
-                   & ~F.element_at("_isb", i + 1)
-                   & F.get(F.col("_lex"), i - d).isNull())
+def _context_step(d: int, damp: float, bstmap: Column, negs: Column):
+    """Booster then negation from the token ``d`` places back, when that
+    token is not itself a lexicon word; ``h`` is one lexicon hit (i, v)."""
+    def step(h):
+        i, v = h["i"], h["v"]
+        prev_tok = F.get(F.col("_tok"), i - d)
+        applies = (i >= d) & F.get(F.col("_lex"), i - d).isNull()
         sign = F.when(v < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-        boosted = v + (sign * F.get(F.col("_bst"), i - d)) * F.lit(damp)
-        negated = F.when(F.get(F.col("_neg"), i - d),
+        boost = F.coalesce(F.try_element_at(bstmap, prev_tok), F.lit(0.0))
+        boosted = v + (sign * boost) * F.lit(damp)
+        negated = F.when(F.array_contains(negs, prev_tok),
                          boosted * F.lit(NEGATION_SCALAR)).otherwise(boosted)
-        return F.when(applies, negated).otherwise(v)
+        return F.struct(i.alias("i"), F.when(applies, negated).otherwise(v).alias("v"))
     return step
 
 
 def with_compound(df: DataFrame, cleaned: str, lex: Lexicon, out: str = "sentiment_score"
                   ) -> DataFrame:
-    """Adds ``out`` (double, 4 places) computed from the ``cleaned`` text column."""
+    """Adds ``out`` (double, 4 places) computed from the ``cleaned`` text column.
+
+    Only lexicon-word positions carry a valence, and adding zeros does not
+    change an ordered floating-point sum, so the context rules run on the
+    (few) hits only; the token array itself is scanned once for lookups.
+    """
     lexmap, bstmap = _map(lex.valence), _map(lex.boosters)
     negs = F.array(*[F.lit(w) for w in lex.negators]) if lex.negators else \
         F.array().cast("array<string>")
-    # stage 1: tokens and per-token lookups (each done once per token)
     s1 = df.withColumn("_tok", tokens(F.col(cleaned)))
-    s2 = s1.select(
-        "*",
-        F.transform("_tok", lambda t: F.try_element_at(lexmap, t)).alias("_lex"),
-        F.transform("_tok", lambda t: F.coalesce(F.try_element_at(bstmap, t), F.lit(0.0)))
-        .alias("_bst"),
-        F.transform("_tok", lambda t: F.map_contains_key(bstmap, t)).alias("_isb"),
-        F.transform("_tok", lambda t: F.array_contains(negs, t)).alias("_neg"),
-        F.array_position("_tok", CONTRAST_WORD).alias("_but"))
-    # stage 2: base valence (booster words carry none)
-    cur = s2.withColumn("_v", F.transform(
-        "_lex", lambda v, i: F.when(F.element_at("_isb", i + 1) | v.isNull(), F.lit(0.0))
-        .otherwise(v)))
-    # stages 3-5: preceding tokens at distance 1, 2, 3
+    s2 = s1.select("*", F.transform("_tok", lambda t: F.try_element_at(lexmap, t)).alias("_lex"),
+                   F.array_position("_tok", CONTRAST_WORD).alias("_but"))
+    idx = F.sequence(F.lit(0), F.size("_tok") - 1)
+    hits = F.filter(idx, lambda i: F.get(F.col("_lex"), i).isNotNull()
+                    & ~F.map_contains_key(bstmap, F.get(F.col("_tok"), i)))
+    cur = s2.withColumn("_h", F.transform(hits, lambda i: F.struct(
+        i.alias("i"), F.get(F.col("_lex"), i).alias("v"))))
     for d, damp in zip((1, 2, 3), BOOSTER_DAMPING):
-        cur = cur.withColumn("_v", F.transform("_v", _context_step(d, damp)))
-    # contrast word, then the sum in token order
-    weighted = F.transform("_v", lambda v, i: F.when(
-        (F.col("_but") > 0) & (i < F.col("_but") - 1), v * F.lit(CONTRAST_BEFORE))
-        .when((F.col("_but") > 0) & (i > F.col("_but") - 1), v * F.lit(CONTRAST_AFTER))
-        .otherwise(v))
+        cur = cur.withColumn("_h", F.transform("_h", _context_step(d, damp, bstmap, negs)))
+    but = F.col("_but")
+    weighted = F.transform("_h", lambda h: F.when(
+        (but > 0) & (h["i"] < but - 1), h["v"] * F.lit(CONTRAST_BEFORE))
+        .when((but > 0) & (h["i"] > but - 1), h["v"] * F.lit(CONTRAST_AFTER))
+        .otherwise(h["v"]))
     total = F.aggregate(weighted, F.lit(0.0), lambda acc, x: acc + x)
     comp = total / F.sqrt(total * total + F.lit(NORMALIZATION_ALPHA))
     comp = F.least(F.greatest(comp, F.lit(-1.0)), F.lit(1.0))
-    return (cur.withColumn(out, rnd(comp, 4))
-            .drop("_tok", "_lex", "_bst", "_isb", "_neg", "_but", "_v"))
+    return cur.withColumn(out, rnd(comp, 4)).drop("_tok", "_lex", "_but", "_h")
 
 
 def label(score_e4: Column) -> Column:

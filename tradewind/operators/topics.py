@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import keyword_in_text
+from ..functions.text import phrase_in_cleaned, word_marked
 from ..numerics import ratio_half_up
 from ..sources.dimensions import (FIELD_WEIGHTS_TENTHS, RELEVANCE_WEIGHTS_TENTHS,
                                   TOPIC_SATURATION_TENTHS, Taxonomy)
@@ -25,15 +25,21 @@ def _kw_col(i: int) -> str:
 
 def keyword_weights(df: DataFrame, taxonomy: Taxonomy, title: str = "c_title",
                     summary: str = "c_summary", content: str = "c_content") -> DataFrame:
-    """One int column per distinct keyword: capped field-weight sum in tenths."""
+    """One int column per distinct keyword: capped field-weight sum in tenths.
+
+    The fields are cleaned text; each gets one word-marked copy, and every
+    alphanumeric keyword is a substring test on it.
+    """
     cols = []
     wt, ws, wc = (FIELD_WEIGHTS_TENTHS[k] for k in ("title", "summary", "content"))
+    marked = df.select("*", word_marked(title).alias("_mt"), word_marked(summary).alias("_ms"),
+                       word_marked(content).alias("_mc"))
     for i, kw in enumerate(taxonomy.keywords):
-        w = (F.when(keyword_in_text(title, kw), wt).otherwise(0)
-             + F.when(keyword_in_text(summary, kw), ws).otherwise(0)
-             + F.when(keyword_in_text(content, kw), wc).otherwise(0))
+        w = (F.when(phrase_in_cleaned("_mt", title, kw), wt).otherwise(0)
+             + F.when(phrase_in_cleaned("_ms", summary, kw), ws).otherwise(0)
+             + F.when(phrase_in_cleaned("_mc", content, kw), wc).otherwise(0))
         cols.append(F.least(w, F.lit(10)).alias(_kw_col(i)))
-    return df.select("*", *cols)
+    return marked.select("*", *cols).drop("_mt", "_ms", "_mc")
 
 
 def score_topics(df: DataFrame, taxonomy: Taxonomy) -> DataFrame:

@@ -43,6 +43,16 @@ def price_features(prices: DataFrame) -> DataFrame:
     return store_prices(price_window_block(prices))
 
 
+def stored(prices: DataFrame, daily: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The daily price and daily news tables, written once (the reference
+    stores both).  The feature job reads each twice (window block and as-of
+    calendar; join and earliest date), and both are small (one row per series
+    and day / per day), so writing them once saves a second scan and
+    aggregation of the raw tables."""
+    from ..session import cut_lineage
+    return cut_lineage(prices), cut_lineage(daily)
+
+
 def news_on_trading_days(prices: DataFrame, daily: DataFrame) -> DataFrame:
     """D5 + E7: (benchmark_code, feature_date, news_n, news_a, news_w)."""
     mapped = forward_asof(prices.select("benchmark_code", "price_date"),
@@ -53,6 +63,7 @@ def news_on_trading_days(prices: DataFrame, daily: DataFrame) -> DataFrame:
 
 def forward_asof_news(prices: DataFrame, daily: DataFrame) -> DataFrame:
     """Trading-day news, rounded as stored in the feature table."""
+    prices, daily = stored(prices, daily)
     t = news_on_trading_days(prices, daily)
     return t.select(
         "benchmark_code", "feature_date",
@@ -79,6 +90,7 @@ def _mean3_expr(a: str, b: str) -> str:
 
 def model_features(prices: DataFrame, daily: DataFrame) -> DataFrame:
     """the full feature row per (series, trading day)."""
+    prices, daily = stored(prices, daily)
     block = price_window_block(prices)
     news = news_on_trading_days(prices, daily)
     j = block.join(news, ["benchmark_code", "feature_date"], "left")
@@ -99,6 +111,5 @@ def model_features(prices: DataFrame, daily: DataFrame) -> DataFrame:
         .alias("news_weighted_sentiment_1d"),
         F.expr(_mean3_expr("a", "b")).alias("news_avg_sentiment_3d"),
         F.expr(_mean3_expr("w", "b")).alias("news_weighted_sentiment_3d"))
-    stored = out.select(*[rnd(c, _SCALE[c]).alias(c) if c in _SCALE else F.col(c)
-                          for c in FEATURE_COLUMNS])
-    return stored
+    return out.select(*[rnd(c, _SCALE[c]).alias(c) if c in _SCALE else F.col(c)
+                        for c in FEATURE_COLUMNS])

@@ -298,8 +298,11 @@ def q_quality_report(spark, d):
 
 
 def _m(spark, d):
+    """Binding M: the reference stores runs and predictions as tables; the
+    feature input is written once (checkpoint) and read by every branch."""
     from .plans import registry_m as M
-    feats = FE.price_features(_prices(spark, d))
+    from .session import cut_lineage
+    feats = cut_lineage(FE.price_features(_prices(spark, d)))
     return M.model_runs(feats), M.predictions(feats)
 
 
@@ -318,8 +321,9 @@ def q_drift_decisions(spark, d):
 
 def _logs(spark, d):
     from .plans.monitor import drift_decisions
+    from .session import cut_lineage
     runs, preds = _m(spark, d)
-    dec = drift_decisions(runs, preds)
+    dec = cut_lineage(drift_decisions(runs, preds))
     older = dec.select(F.col("model_run_id").alias("monitoring_id"),
                        F.lit("model_drift").alias("log_type"), F.lit("info").alias("severity"),
                        F.concat("model_name", F.lit("@"), "benchmark_code").alias("component_name"),
@@ -524,7 +528,7 @@ def _landed_events(spark, d):
 def q_stream_dedup(spark, d):
     from .streaming.jobs import fresh_workdir, stream_dedup
     out = stream_dedup(spark, _landed_events(spark, d), "dedup_key", "article_id",
-                       fresh_workdir(spark, "dedup"))
+                       fresh_workdir(spark, "dedup"), files_per_batch=8)
     return out.select("dedup_key", "article_id", "source_id",
                       F.col("published_at").cast("timestamp_ntz").alias("published_at"),
                       "sentiment_e4")
@@ -532,7 +536,8 @@ def q_stream_dedup(spark, d):
 
 def q_stream_daily_news(spark, d):
     from .streaming.jobs import fresh_workdir, stream_daily
-    return stream_daily(spark, _landed_events(spark, d), fresh_workdir(spark, "daily"))
+    return stream_daily(spark, _landed_events(spark, d), fresh_workdir(spark, "daily"),
+                        files_per_batch=8)
 
 
 def q_strip_html(spark, d):

@@ -84,6 +84,19 @@ def insert_if_absent(history: DataFrame, batch: DataFrame, key: str,
     return fresh.select(*batch.columns).unionByName(nulls)
 
 
+def pending_rows(inserted: DataFrame, key: str = "article_id") -> DataFrame:
+    """B2: one processing-queue placeholder per inserted article."""
+    return inserted.select(key, F.lit("pending").alias("processing_status"))
+
+
+def stamped(df: DataFrame, *cols: str) -> DataFrame:
+    """Load stamps (``current_timestamp`` is fixed per query, so every row
+    of one write carries the same instant; keep stamps out of comparisons)."""
+    for c in cols or ("created_at", "updated_at"):
+        df = df.withColumn(c, F.current_timestamp())
+    return df
+
+
 def replace_children(children: DataFrame, new_children: DataFrame, parent_key: str,
                      touched: DataFrame) -> DataFrame:
     """Delete the touched parents' child rows, then insert the new ones."""

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, combined_text, has_text
+from ..io import spread
 from ..operators import sentiment as SE
 from ..operators import topics as TP
 from ..sources.dimensions import Lexicon, Taxonomy
@@ -27,18 +28,19 @@ def pending(articles: DataFrame, processed: DataFrame | None) -> DataFrame:
 
 
 def cleaned(articles: DataFrame) -> DataFrame:
-    """I12/I13 for every text field of the articles.
+    """I12/I13 for every text field of the articles (spread over the cluster's
+    cores when the input comes in too few splits; see ``io.spread``).
 
     The combined text is cleaned once per part: unless a tag can open in the
     title or summary and close in a later part (a ``<`` in either), cleaning
     the space-joined parts equals joining the cleaned non-empty parts, so the
     (large) content is scanned once, not twice.
     """
-    parts = articles.select(
+    parts = spread(articles).select(
         "article_id", "source_id", "published_date",
         clean_text("title").alias("c_title"), clean_text("summary").alias("c_summary"),
         clean_text("content").alias("c_content"),
-        has_text(combined_text("title", "summary", "content")).alias("_ok"),
+        (has_text("title") | has_text("summary") | has_text("content")).alias("_ok"),
         (F.coalesce(F.instr("title", "<"), F.lit(0))
          + F.coalesce(F.instr("summary", "<"), F.lit(0)) > 0).alias("_lt"),
         "title", "summary", "content")

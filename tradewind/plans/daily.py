@@ -19,6 +19,7 @@ from ..operators.topics import topic_rows
 from ..session import path_exists
 from ..sources.dimensions import Lexicon, Taxonomy
 from ..sources.feeds import ingest
+from ..sources.prices import validate_price_history
 from . import articles as AR
 from . import features as FE
 from . import monitor as MO
@@ -48,7 +49,7 @@ def run_daily(spark: SparkSession, sf_dir: str, root: str, landing: str,
     out = []
     # 1 prices: upsert the day's price history
     prices = _upsert_table(spark, f"{root}/prices",
-                           B.price_series(table(spark, sf_dir, "orders")),
+                           validate_price_history(B.price_series(table(spark, sf_dir, "orders"))),
                            ["benchmark_code", "price_date"])
     out.append(("prices", prices.count()))
     # 2 articles: landed feeds, two-key first-wins insertion (A1-A4, B1)

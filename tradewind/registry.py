@@ -26,6 +26,11 @@ def _prices(spark, d):
     return B.price_series(table(spark, d, "orders"))
 
 
+def _checked_prices(spark, d):
+    from .sources.prices import validate_price_history
+    return validate_price_history(_prices(spark, d))
+
+
 def _daily(spark, d):
     return AG.daily_news(B.news_items(table(spark, d, "documents")))
 
@@ -199,7 +204,7 @@ OVERLAP = "1999-10-01"
 
 
 def _price_rows(spark, d, created):
-    p = _prices(spark, d)
+    p = _checked_prices(spark, d)
     pid = (F.datediff("price_date", F.lit("1970-01-01")) * 10
            + F.substring("benchmark_code", 1, 1).cast("int")).cast("long")
     return p, pid, F.lit(created).cast("timestamp")

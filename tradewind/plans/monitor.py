@@ -57,18 +57,23 @@ def drift_decisions(runs: DataFrame, predictions: DataFrame,
                     recent_window: int = RECENT_WINDOW) -> DataFrame:
     """L1/L2: one decision per (series, model)."""
     p = scored_predictions(runs, predictions)
+    keys = ["benchmark_code", "model_name", "model_run_id"]
+    rw = recent_window
+    # the row count is a plain hash aggregate; the windows need only the newest
+    # 2 * rw rows per model, so the rank filter lets Spark keep a top-k per task
+    # before the shuffle (a model with a third of all predictions is never
+    # sorted whole in one task).  Under rw rows, all of them are in the top 2 * rw.
+    totals = p.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_available"))
     w = Window.partitionBy("benchmark_code", "model_name").orderBy(
         F.col("prediction_for_date").desc(), F.col("prediction_id").desc())
-    ranked = p.withColumn("rn", F.row_number().over(w))
-    rw = recent_window
-    agg = ranked.groupBy("benchmark_code", "model_name", "model_run_id").agg(
-        F.count(F.lit(1)).alias("rows_available"),
+    top = p.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= 2 * rw)
+    windows = top.groupBy(*keys).agg(
         F.sum("abs_error_e4").alias("_all_s"),
         F.sum(F.when(F.col("rn") <= rw, F.col("abs_error_e4"))).alias("_rec_s"),
         F.count_if(F.col("rn") <= rw).alias("_rec_n"),
-        F.sum(F.when((F.col("rn") > rw) & (F.col("rn") <= 2 * rw), F.col("abs_error_e4")))
-        .alias("_prev_s"),
-        F.count_if((F.col("rn") > rw) & (F.col("rn") <= 2 * rw)).alias("_prev_n"))
+        F.sum(F.when(F.col("rn") > rw, F.col("abs_error_e4"))).alias("_prev_s"),
+        F.count_if(F.col("rn") > rw).alias("_prev_n"))
+    agg = totals.join(windows, keys)
     short = F.col("rows_available") < rw
     recent = F.when(short, _mae(F.col("_all_s"), F.col("rows_available"))).otherwise(
         _mae(F.col("_rec_s"), F.col("_rec_n")))

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .io import spread
+
 # Fixed values of the bindings (score formulas and calendar rules).
 NEWS_NULL_DATE_MOD = 50        # doc_id % 50 = 0   -> no published date
 NEWS_LATE_DATE_MOD = 97        # doc_id % 97 = 1   -> dated after the last price
@@ -156,6 +158,7 @@ PAGE_SIZE = 50                # hits per landed payload
 def rss_item_keys(pages: DataFrame) -> DataFrame:
     """(source_id, position, url, guid) of the RSS items, before any parsing."""
     pid = F.col("p.page_id")
+    pages = spread(pages)
     base = pages.alias("p").join(
         pages.select((F.col("page_id") + URL_REPEAT_BACK).alias("page_id"),
                      F.col("url").alias("earlier_url")).alias("e"),
@@ -234,7 +237,7 @@ def land_payloads(documents: DataFrame, dest_search: str, dest_timeline: str) ->
         F.date_format(F.timestamp_seconds(F.lit(1704067200) + d * 977), "yyyy-MM-dd'T'HH:mm:ss"),
         F.when(d % 3 == 0, F.lit("+05:30")).when(d % 3 == 1, F.lit("-08:00"))
         .otherwise(F.lit("Z")))
-    docs = documents.withColumn("_n", _doc_src_num())
+    docs = spread(documents).withColumn("_n", _doc_src_num())
     hit = F.struct(
         d.cast("string").alias("objectID"),
         F.when(d % 11 == 0, F.lit(None).cast("string")).otherwise(first_line).alias("title"),

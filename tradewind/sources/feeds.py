@@ -70,16 +70,22 @@ def _source_of_path(col="_metadata.file_path"):
     return F.regexp_extract(F.col(col), r"source_id=([^/]+)", 1)
 
 
+CHANNEL_SCHEMA = T.StructType([T.StructField("language", T.StringType()),
+                               T.StructField("item", T.ArrayType(RSS_ITEM_SCHEMA))])
+
+
 def read_rss(spark: SparkSession, path: str) -> DataFrame:
-    """A1: one row per <item>; skip items without link or cleaned title."""
-    items = (spark.read.format("xml").option("rowTag", "item")
-             .option("ignoreSurroundingSpaces", "false").option("mode", "PERMISSIVE")
-             .schema(RSS_ITEM_SCHEMA).load(path)
-             .select("*", F.col("_metadata.file_path").alias("_file")))
+    """A1: one row per <item>; skip items without link or cleaned title.
+
+    One parse per file: the <channel> row carries the feed-level language and
+    its items (a landed file is one poll, a bounded page of items).
+    """
     chan = (spark.read.format("xml").option("rowTag", "channel")
-            .schema(T.StructType([T.StructField("language", T.StringType())])).load(path)
-            .select(F.col("language"), F.col("_metadata.file_path").alias("_file")))
-    j = items.join(chan, "_file", "left")
+            .option("ignoreSurroundingSpaces", "false").option("mode", "PERMISSIVE")
+            .schema(CHANNEL_SCHEMA).load(path)
+            .select("language", F.col("_metadata.file_path").alias("_file"),
+                    F.explode("item").alias("it")))
+    j = chan.select("language", "_file", "it.*")
     title = strip_html(F.col("title"))
     summary = strip_html(F.col("description"))
     content = F.coalesce(strip_html(F.col("encoded")), summary)

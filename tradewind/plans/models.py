@@ -439,7 +439,7 @@ def tree_search(prepared_df: DataFrame, kind: str, xcols: Sequence[str],
     best = cands[int(np.argmin(scores))]
     model = make(best, TARGET).fit(x_all.filter("split = 'train'"))
     pred = model.transform(x_all.filter("split = 'test'")).drop("features")
-    return pred, {"params": best, "cv_mae": min(scores)}
+    return pred, {"params": best, "cv_mae": min(scores), "model": model, "indexer": indexer}
 
 
 def ensemble(preds: dict[str, DataFrame], keys=(SERIES, "feature_date")) -> DataFrame:
@@ -479,6 +479,32 @@ def run_experiment(features: DataFrame, news: bool, rf_draws: int | None = None,
     return out.withColumn("experiment", F.lit("B" if news else "A"))
 
 
+def forecast_summary(features: DataFrame, news: bool = False, max_iter: int = 60,
+                     rf_candidates: list[dict] | None = None,
+                     gbt_candidates: list[dict] | None = None) -> DataFrame:
+    """Each series' newest complete row scored by the four models and
+    their equal-weight mean (the fitted models of one experiment)."""
+    xcols = PRICE_FEATURES + (NEWS_FEATURES if news else [])
+    s = cut_lineage(prepared(features, xcols, news))
+    ols = fit_ols(s.filter("split = 'train'"), [SERIES], xcols)
+    _, qr = median_backtest(features, xcols, news, max_iter=max_iter)
+    _, rf = tree_search(s, "rf", xcols, candidates=rf_candidates)
+    _, gb = tree_search(s, "gbt", xcols, candidates=gbt_candidates)
+    latest = (s.groupBy(SERIES).agg(F.max_by(F.struct(*[c for c in s.columns if c != SERIES]),
+                                             "feature_date").alias("r")).select(SERIES, "r.*"))
+    x, _ = assemble(latest, xcols, rf["indexer"])
+    out = predict(x, ols, [SERIES], xcols, "pred_LinearRegression")
+    out = predict(out, qr.select(SERIES, "beta"), [SERIES], xcols, "pred_QuantileRegression")
+    out = rf["model"].setPredictionCol("pred_RandomForest").transform(out)
+    out = gb["model"].setPredictionCol("pred_XGBoost").transform(out)
+    names = ["LinearRegression", "QuantileRegression", "RandomForest", "XGBoost"]
+    total = F.col(f"pred_{names[0]}")
+    for n in names[1:]:
+        total = total + F.col(f"pred_{n}")
+    return out.select(SERIES, "feature_date", "target_date", *[f"pred_{n}" for n in names],
+                      (total / F.lit(4.0)).alias("pred_Ensemble"))
+
+
 def compare_experiments(a: DataFrame, b: DataFrame) -> DataFrame:
     """Price-only against price + news, per series and model."""
     k = [SERIES, "model_name"]

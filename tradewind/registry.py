@@ -506,6 +506,12 @@ def q_experiment_compare(spark, d):
     return M.compare_experiments(a, b)
 
 
+def q_forecast_summary(spark, d):
+    M = _mo()
+    return M.forecast_summary(_feats(spark, d), rf_candidates=REGISTERED_RF,
+                              gbt_candidates=REGISTERED_GBT)
+
+
 def q_direction_backtest(spark, d):
     M = _mo()
     _, met, _ = M.direction_and_live(_feats(spark, d))
@@ -589,6 +595,7 @@ QUERIES: dict[str, Query] = {
     "rf_backtest": q_rf_backtest,
     "gbt_backtest": q_gbt_backtest,
     "experiment_compare": q_experiment_compare,
+    "forecast_summary": q_forecast_summary,
     "direction_backtest": q_direction_backtest,
     "live_forecast": q_live_forecast,
     "complete_cases": q_complete_cases,

@@ -68,3 +68,16 @@ def test_median_regression_objective(spark):
 def test_grid_draws_deterministic():
     a = M.grid_draws(M.RF_GRID, 12)
     assert a == M.grid_draws(M.RF_GRID, 12) and len({str(x) for x in a}) == 12
+
+
+def test_ensemble_is_row_mean(spark):
+    base = [("A", dt.date(2020, 1, d), dt.date(2020, 1, d + 1), float(d)) for d in range(1, 6)]
+    schema = "benchmark_code string, feature_date date, target_date date, " \
+             "target_close_next_day double, prediction double"
+    preds = {n: spark.createDataFrame([(*r, r[3] + k) for r in base], schema)
+             for k, n in enumerate(["LinearRegression", "QuantileRegression", "RandomForest",
+                                    "XGBoost"])}
+    out = M.ensemble(preds).collect()
+    assert len(out) == 5
+    for r in out:
+        assert abs(r.prediction - (r.target_close_next_day + 1.5)) < 1e-12

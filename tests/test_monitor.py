@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tradewind.plans.monitor import drift_decisions, latest_flags, retrain_actions
+from tradewind.plans.monitor import cooldown_state, drift_decisions, latest_flags, retrain_actions
 
 
 def _preds(spark, n_prev, prev_err, n_recent, recent_err, model="ModelA_X"):
@@ -57,3 +57,18 @@ def test_flags_and_cooldown(spark):
             for r in retrain_actions(flags_true, runs, F.lit(as_of)).collect()}
     assert acts["ModelA_"] == ("cooldown", True)                  # exactly 24 h: active
     assert acts["ModelB_"] == ("skipped", False)
+
+
+def test_cooldown_state(spark):
+    as_of = dt.datetime(2024, 1, 2, 0, 0, 0)
+    runs = spark.createDataFrame(
+        [("ModelA_X", as_of - dt.timedelta(hours=30)), ("ModelA_Y", as_of - dt.timedelta(hours=24)),
+         ("ModelAxZ", as_of), ("Other", as_of)],
+        "model_name string, finished_at timestamp")
+    got = {r.group_prefix: (r.last_finished_at, r.cooldown_ends_at, r.cooldown_active)
+           for r in cooldown_state(runs, F.lit(as_of)).collect()}
+    # LIKE treats '_' as a wildcard, so ModelAxZ belongs to ModelA_ (newest run wins).
+    assert got["ModelA_"] == (as_of, as_of + dt.timedelta(hours=24), True)
+    assert got["ModelB_"] == (None, None, False)                  # no run: no cooldown
+    only_old = cooldown_state(runs.filter("model_name = 'ModelA_Y'"), F.lit(as_of))
+    assert {r.group_prefix: r.cooldown_active for r in only_old.collect()}["ModelA_"] is True

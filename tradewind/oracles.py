@@ -654,6 +654,18 @@ SELECT g.group_prefix, coalesce(per.anyf, false) AS retrain_flag,
 FROM g LEFT JOIN per USING (group_prefix) LEFT JOIN last USING (group_prefix)"""
 
 
+def cooldown_sql() -> str:
+    return _with(*_m_ctes(),
+                 ("g", "SELECT 'ModelA_' AS group_prefix UNION ALL SELECT 'ModelB_'"),
+                 ("last", """SELECT g.group_prefix, max(r.finished_at) AS last_finished_at
+FROM g JOIN runs r ON r.model_name LIKE g.group_prefix || '%' GROUP BY g.group_prefix""")) + f"""
+SELECT g.group_prefix, last.last_finished_at,
+       last.last_finished_at + INTERVAL 24 HOUR AS cooldown_ends_at,
+       coalesce(last.last_finished_at >= TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR, false)
+         AS cooldown_active
+FROM g LEFT JOIN last USING (group_prefix)"""
+
+
 # ---------------------------------------------------------------------------
 # Serving panels and top-k reports
 # ---------------------------------------------------------------------------

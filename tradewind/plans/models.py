@@ -455,12 +455,11 @@ def ensemble(preds: dict[str, DataFrame], keys=(SERIES, "feature_date")) -> Data
     return out.withColumn("prediction", total / F.lit(float(len(cols))))
 
 
-def run_experiment(features: DataFrame, news: bool, rf_draws: int | None = None,
-                   gbt_draws: int | None = None, max_iter: int = 60,
-                   rf_candidates: list[dict] | None = None,
-                   gbt_candidates: list[dict] | None = None) -> DataFrame:
-    """The four models and their ensemble on one feature set;
-    long metrics table (series, model_name, n, mae, rmse)."""
+def model_predictions(features: DataFrame, news: bool, rf_draws: int | None = None,
+                      gbt_draws: int | None = None, max_iter: int = 60,
+                      rf_candidates: list[dict] | None = None,
+                      gbt_candidates: list[dict] | None = None) -> dict[str, DataFrame]:
+    """K3-K6/K9: test-set predictions of the four models on one feature set."""
     xcols = PRICE_FEATURES + (NEWS_FEATURES if news else [])
     s = cut_lineage(prepared(features, xcols, news))
     ols = fit_ols(s.filter("split = 'train'"), [SERIES], xcols)
@@ -468,8 +467,18 @@ def run_experiment(features: DataFrame, news: bool, rf_draws: int | None = None,
     p_qr, _ = median_backtest(features, xcols, news, max_iter=max_iter)
     p_rf, _ = tree_search(s, "rf", xcols, rf_draws, candidates=rf_candidates)
     p_gb, _ = tree_search(s, "gbt", xcols, gbt_draws, candidates=gbt_candidates)
-    preds = {"LinearRegression": p_lr, "QuantileRegression": p_qr, "RandomForest": p_rf,
-             "XGBoost": p_gb}
+    return {"LinearRegression": p_lr, "QuantileRegression": p_qr, "RandomForest": p_rf,
+            "XGBoost": p_gb}
+
+
+def run_experiment(features: DataFrame, news: bool, rf_draws: int | None = None,
+                   gbt_draws: int | None = None, max_iter: int = 60,
+                   rf_candidates: list[dict] | None = None,
+                   gbt_candidates: list[dict] | None = None) -> DataFrame:
+    """The four models and their ensemble on one feature set;
+    long metrics table (series, model_name, n, mae, rmse)."""
+    preds = model_predictions(features, news, rf_draws, gbt_draws, max_iter,
+                              rf_candidates, gbt_candidates)
     ens = ensemble(preds)
     parts = [metrics(p, [SERIES]).withColumn("model_name", F.lit(n)) for n, p in preds.items()]
     parts.append(metrics(ens, [SERIES]).withColumn("model_name", F.lit("Ensemble")))

@@ -160,6 +160,23 @@ def _group_of(col: Column, prefixes, like: bool) -> Column:
     return expr
 
 
+def cooldown_state(runs: DataFrame, as_of: Column, prefixes=GROUP_PREFIXES,
+                   cooldown_hours: int = COOLDOWN_HOURS) -> DataFrame:
+    """Per group, the newest finished run and whether it lies within the
+    cooldown window before ``as_of`` (inclusive); a group without runs has no
+    cooldown.  One partial aggregate per task, a handful of groups after it."""
+    spark = runs.sparkSession
+    groups = spark.createDataFrame([(p,) for p in prefixes], "group_prefix string")
+    last = (runs.withColumn("group_prefix", _group_of(F.col("model_name"), prefixes, True))
+            .filter(F.col("group_prefix").isNotNull())
+            .groupBy("group_prefix").agg(F.max("finished_at").alias("last_finished_at")))
+    cutoff = as_of - F.make_interval(hours=F.lit(cooldown_hours))
+    ends = F.col("last_finished_at") + F.make_interval(hours=F.lit(cooldown_hours))
+    return groups.join(last, "group_prefix", "left").select(
+        "group_prefix", "last_finished_at", ends.alias("cooldown_ends_at"),
+        F.coalesce(F.col("last_finished_at") >= cutoff, F.lit(False)).alias("cooldown_active"))
+
+
 def retrain_actions(flags: DataFrame, runs: DataFrame, as_of: Column,
                     prefixes=GROUP_PREFIXES, cooldown_hours: int = COOLDOWN_HOURS) -> DataFrame:
     """One action per group: none / skipped / cooldown / retrain."""
@@ -168,14 +185,11 @@ def retrain_actions(flags: DataFrame, runs: DataFrame, as_of: Column,
     per = (flags.withColumn("group_prefix", _group_of(F.col("component_name"), prefixes, False))
            .filter(F.col("group_prefix").isNotNull())
            .groupBy("group_prefix").agg(F.bool_or("should_retrain").alias("_any")))
-    last = (runs.withColumn("group_prefix", _group_of(F.col("model_name"), prefixes, True))
-            .filter(F.col("group_prefix").isNotNull())
-            .groupBy("group_prefix").agg(F.max("finished_at").alias("last_finished_at")))
+    last = cooldown_state(runs, as_of, prefixes, cooldown_hours)
     flag_count = flags.select(F.count(F.lit(1))).scalar()   # scalar subquery, not a join
-    cutoff = as_of - F.make_interval(hours=F.lit(cooldown_hours))
     out = groups.join(per, "group_prefix", "left").join(last, "group_prefix", "left")
     retrain = F.coalesce(F.col("_any"), F.lit(False))
-    cooldown = F.coalesce(F.col("last_finished_at") >= cutoff, F.lit(False))
+    cooldown = F.col("cooldown_active")
     action = (F.when(flag_count == 0, "none")
               .when(~retrain, "skipped")
               .when(cooldown, "cooldown").otherwise("retrain"))

@@ -357,6 +357,13 @@ def q_retrain_actions(spark, d):
     return retrain_actions(latest_flags(logs), runs, F.lit(AS_OF).cast("timestamp"))
 
 
+def q_cooldown(spark, d):
+    from .plans.monitor import cooldown_state
+    from .plans.registry_m import AS_OF
+    runs, _ = _m(spark, d)
+    return cooldown_state(runs, F.lit(AS_OF).cast("timestamp"))
+
+
 def _sv():
     from .plans import serving
     return serving
@@ -498,6 +505,14 @@ def q_gbt_backtest(spark, d):
     return p.select("benchmark_code", "feature_date", "target_date", M.TARGET, "prediction")
 
 
+def q_ensemble_backtest(spark, d):
+    M = _mo()
+    preds = M.model_predictions(_feats(spark, d), False, rf_candidates=REGISTERED_RF,
+                                gbt_candidates=REGISTERED_GBT)
+    return M.ensemble(preds).select("benchmark_code", "feature_date", "target_date", M.TARGET,
+                                    *[f"pred_{n}" for n in preds], "prediction")
+
+
 def q_experiment_compare(spark, d):
     M = _mo()
     f = _feats(spark, d)
@@ -594,6 +609,7 @@ QUERIES: dict[str, Query] = {
     "strip_html": q_strip_html,
     "rf_backtest": q_rf_backtest,
     "gbt_backtest": q_gbt_backtest,
+    "ensemble_backtest": q_ensemble_backtest,
     "experiment_compare": q_experiment_compare,
     "forecast_summary": q_forecast_summary,
     "direction_backtest": q_direction_backtest,
@@ -621,6 +637,7 @@ QUERIES: dict[str, Query] = {
     "drift_decisions": q_drift_decisions,
     "latest_flags": q_latest_flags,
     "retrain_actions": q_retrain_actions,
+    "cooldown": q_cooldown,
     "price_upsert": q_price_upsert,
     "feature_upsert": q_feature_upsert,
     "source_upsert": q_source_upsert,
@@ -674,6 +691,7 @@ ORACLES: dict[str, Callable[[], str]] = {
     "drift_decisions": O.drift_decisions_sql,
     "latest_flags": O.latest_flags_sql,
     "retrain_actions": O.retrain_actions_sql,
+    "cooldown": O.cooldown_sql,
     "price_upsert": O.price_upsert_sql,
     "feature_upsert": O.feature_upsert_sql,
     "source_upsert": O.source_upsert_sql,

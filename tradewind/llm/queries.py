@@ -1,0 +1,24 @@
+"""Queries of the training-data operators over the given tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tradewind.io import table
+
+from .substring_dedup import substring_dedup
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(f: Callable[[SparkSession, str], DataFrame]):
+    QUERIES[f.__name__] = f
+    return f
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))

@@ -41,16 +41,27 @@ from .packed import SCHEMA, pack, sized, unpack
 K = 13
 #: Text bytes of one map batch, and (on average) of one document batch.
 BATCH_BYTES = 8 << 20
-#: A document is known by its id and a hash of its text (ids may repeat).
-_DOC = [("doc", "<i8"), ("tag", "<i8"), ("pos", "<i4")]
-_OWNER = [("owner", "<i8"), ("otag", "<i8"), ("at", "<i4")]
-HIT = np.dtype(_DOC + _OWNER)
-PATH = np.dtype(_DOC + _OWNER + [("n", "<i4")])
+#: A document is known by its id and some bits of its text's hash (ids may
+#: repeat): 16 bits, or all 64 in a repeated run.  An owner has the same bits.
+_DOC = [("doc", "<i8"), ("tag", "<i2"), ("pos", "<u4")]
+_OWNER = [("owner", "<i8"), ("otag", "<i2"), ("at", "<u4")]
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, check decimal(38,0)"
 
 
+def _dtype(fields: list[tuple[str, str]], hashes: int) -> np.dtype:
+    return np.dtype([(n, "<i8" if hashes > 1 and t == "<i2" else t) for n, t in fields])
+
+
 def edge_dtype(hashes: int) -> np.dtype:
-    return np.dtype([(f"h{i}", "<u8") for i in range(hashes)] + _DOC)
+    return _dtype([(f"h{i}", "<u8") for i in range(hashes)] + _DOC, hashes)
+
+
+def hit_dtype(hashes: int) -> np.dtype:
+    return _dtype(_DOC + _OWNER, hashes)
+
+
+def path_dtype(hashes: int) -> np.dtype:
+    return _dtype(_DOC + _OWNER + [("n", "<i4")], hashes)
 
 
 def _spread(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -90,29 +101,29 @@ def _by_edge(e: np.ndarray, hashes: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return e, first, np.cumsum(new) - 1
 
 
-def _hits(e: np.ndarray, first: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hits(e: np.ndarray, first: np.ndarray, group: np.ndarray, hashes: int) -> tuple[np.ndarray, np.ndarray]:
     """(mask of records above their edge's smallest document, their hits)."""
     own = e[first][group]
     above = e["doc"] > own["doc"]
-    hit = np.empty(int(above.sum()), HIT)
+    hit = np.empty(int(above.sum()), hit_dtype(hashes))
     for c in ("doc", "tag", "pos"):
         hit[c] = e[c][above]
     hit["owner"], hit["otag"], hit["at"] = (own[c][above] for c in ("doc", "tag", "pos"))
     return above, hit[np.lexsort((hit["pos"], hit["tag"], hit["doc"]))]
 
 
-def compact(hit: np.ndarray) -> np.ndarray:
+def compact(hit: np.ndarray, hashes: int) -> np.ndarray:
     """Hits sorted by document and position -> maximal nonbranching paths."""
     if not len(hit):
-        return np.empty(0, PATH)
+        return np.empty(0, path_dtype(hashes))
     new = np.ones(len(hit), bool)
     same = np.ones(len(hit) - 1, bool)
     for c, step in (("doc", 0), ("tag", 0), ("owner", 0), ("otag", 0), ("pos", 1), ("at", 1)):
         same &= hit[c][1:] == hit[c][:-1] + step
     new[1:] = ~same
     first = np.flatnonzero(new)
-    out = np.empty(len(first), PATH)
-    for c in HIT.names:
+    out = np.empty(len(first), path_dtype(hashes))
+    for c in hit.dtype.names:
         out[c] = hit[c][first]
     out["n"] = np.diff(np.append(first, len(hit)))
     return out
@@ -130,7 +141,7 @@ def _map_edges(k: int, hashes: int, buckets: int, docs: int):
     def run(batches):
         for t in sized(batches, BATCH_BYTES):
             e, first, group = _by_edge(edges_of(t, k, hashes), hashes)
-            above, hit = _hits(e, first, group)
+            above, hit = _hits(e, first, group, hashes)
             rest = e[~above]
             rest = rest[np.lexsort((rest["pos"], rest["tag"], rest["doc"]))]
             yield pack(0, (rest["h0"] % np.uint64(buckets)).astype(np.int64), rest)
@@ -143,19 +154,19 @@ def _owners(hashes: int, docs: int):
         if key[0].as_py() == 1:
             return table
         e, first, group = _by_edge(unpack(table, edge_dtype(hashes)), hashes)
-        hit = _hits(e, first, group)[1]
+        hit = _hits(e, first, group, hashes)[1]
         return pa.Table.from_batches([pack(1, _batch_of(hit["doc"], docs), hit)])
     return run
 
 
-def _paths(docs: int):
+def _paths(hashes: int, docs: int):
     def run(key, table):
-        hit = unpack(table, HIT)
+        hit = unpack(table, hit_dtype(hashes))
         hit = hit[np.lexsort((hit["at"], hit["otag"], hit["owner"], hit["pos"], hit["tag"],
                               hit["doc"]))]
         twice = np.zeros(len(hit), bool)  # of input rows that are repeated as a whole
         twice[1:] = np.logical_and.reduce([hit[c][1:] == hit[c][:-1] for c in ("doc", "tag", "pos")])
-        path = compact(hit[~twice])
+        path = compact(hit[~twice], hashes)
         # to the batch of the document, and to the batch of the owner
         return pa.Table.from_batches([pack(2, np.full(len(path), key[0].as_py()), path),
                                       pack(3, _batch_of(path["owner"], docs), path)])
@@ -171,10 +182,11 @@ def _digest(path: np.void, side: int, body: bytes, starts: np.ndarray, ends: np.
     return xxhash.xxh64_intdigest(path.tobytes() + words, 7)
 
 
-def _finish(k: int):
+def _finish(k: int, hashes: int):
     def run(docs: pa.Table, paths: pa.Table):
         kinds = paths.column("kind").to_numpy()
-        mine, theirs = (unpack(paths.filter(pa.array(kinds == s)), PATH) for s in (2, 3))
+        mine, theirs = (unpack(paths.filter(pa.array(kinds == s)),
+                                path_dtype(hashes)) for s in (2, 3))
 
         def index(p, doc, tag):
             p = p[np.lexsort((p[tag], p[doc]))]
@@ -221,19 +233,20 @@ def _finish(k: int):
 
 def substring_dedup(documents: DataFrame, k: int = K) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document row."""
-    spark = documents.sparkSession
-    docs = documents.select("doc_id", "text", F.xxhash64("text").alias("tag"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_batches = (size // BATCH_BYTES) | 1
     n_buckets = 256 * (size // (256 * BATCH_BYTES) + 1)
     for hashes in (1, 2):
+        tag = F.xxhash64("text")
+        docs = documents.select("doc_id", "text", (
+            F.shiftright(tag, 48) if hashes == 1 else tag).alias("tag"))
         edges = docs.where("doc_id is not null and text is not null").mapInArrow(
             _map_edges(k, hashes, n_buckets, n_batches), SCHEMA)
         hits = edges.groupBy("kind", "key").applyInArrow(_owners(hashes, n_batches), SCHEMA)
-        paths = stored(hits.groupBy("key").applyInArrow(_paths(n_batches), SCHEMA))
+        paths = stored(hits.groupBy("key").applyInArrow(_paths(hashes, n_batches), SCHEMA))
         batched = docs.withColumn("key", F.expr(BATCH.format(n_batches)))
         done = stored(batched.groupBy("key").cogroup(paths.groupBy("key")).applyInArrow(
-            _finish(k), RESULT))
+            _finish(k, hashes), RESULT))
         if not int(done.agg(F.sum("check")).first()[0] or 0):
             return done.drop("check")
     raise RuntimeError("two window texts share a 128-bit hash")

@@ -30,6 +30,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def broadcast_if(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` written once; hinted for broadcast when it has at most ``rows``
+    rows (counted), else left to a shuffle join."""
+    kept = stored(df)
+    return F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept
+
+
 def int_hash(col: Column, seed: int, n: Column | int) -> Column:
     """Deterministic number in [0, n) from a column."""
     return F.pmod(F.xxhash64(col, F.lit(seed)), F.lit(n) if isinstance(n, int) else n)

@@ -31,17 +31,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import stored, tokenize
+from .common import mix64, stored, tokenize
 from .packed import sized
 
-LABELLED, POOL = 16_000, 8_000
+LABELLED, POOL = 12_000, 6_000
 ROUNDS = 3
 #: Calibrated probability from which a view's opinion becomes a pseudo-label.
 SURE = 0.97
 #: Pseudo-labels that a view hands over in a round, as a share of the pool.
 HANDED = 0.05
-DIM = 1 << 22
+DIM = 1 << 21
 TEXT_BYTES = 8 << 20
 KEEP_AT = 0.5
 
@@ -50,65 +51,110 @@ def _fid(name: str) -> int:
     return xxhash.xxh64_intdigest(name.encode()) & (DIM - 1)
 
 
-def word_features(word: str) -> list[int]:
-    """Hashed features of one word: its form, its beginnings, its shape."""
-    low = word.lower()
-    core = "".join(c for c in low if c.isalnum())
-    marks = "".join(c for c in word if not c.isalnum())
-    out = ["w:" + core] if core else []
-    if len(core) > 4:
-        out += ["4:" + core[:4]] if len(core) > 5 else []
-        out += ["5:" + core[:5]]
-    if len(core) > 6:
-        out.append("6:" + core[:6])
-    if marks:
-        out.append("m:" + marks[:4])
-    if len(word) > 1 and word.isupper() and core:
-        out.append("c:upper")
-    if any(c.isdigit() for c in core):
-        out.append("c:digit" if not core.isdigit() else "c:number")
-    return [_fid(x) for x in out]
+_KINDS = {name: np.uint64(xxhash.xxh64_intdigest(name.encode())) for name in (
+    "word", "3", "4", "5", "6", "marks")}
+_BASE = 0x100000001B3
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_ALNUM = np.array([chr(i).isalnum() or i >= 128 for i in range(256)])
+_UPPER = np.array([65 <= i <= 90 for i in range(256)])
+_LOWER = np.array([97 <= i <= 122 for i in range(256)])
+_DIGIT = np.array([48 <= i <= 57 for i in range(256)])
+
+
+class Vocabulary:
+    """Features of many words at once, from their UTF-8 bytes.
+
+    Per word: its lower-cased core (first to last letter or digit), the core's
+    beginnings of 3 to 6 bytes, and the marks behind it.
+    """
+
+    def __init__(self, words: pa.Array):
+        words = words.cast(pa.large_binary())
+        n = len(words)
+        off = np.frombuffer(words.buffers()[1], np.int64, n + 1, words.offset * 8) if n else \
+            np.zeros(1, np.int64)
+        lo, hi = off[:-1], off[1:]
+        raw = np.frombuffer(words.buffers()[2], np.uint8)[:off[-1]] if n and off[-1] else \
+            np.zeros(0, np.uint8)
+        lead = np.zeros(len(raw), bool)
+        lead[1:] = raw[:-1] == 0xC3          # upper-case Latin-1 letters in UTF-8
+        accented = lead & (raw >= 0x80) & (raw <= 0x9E) & (raw != 0x97)
+        low = raw + 32 * (_UPPER[raw] | accented).astype(np.uint8)
+        # where the core begins and ends
+        solid = np.flatnonzero(_ALNUM[raw])
+        first, last = np.searchsorted(solid, lo), np.searchsorted(solid, hi) - 1
+        self.core = last >= first
+        s = np.where(self.core, solid[np.minimum(first, max(len(solid) - 1, 0))] if len(solid)
+                     else lo, lo)
+        e = np.where(self.core, solid[last] + 1 if len(solid) else lo, lo)
+        # substring hashes from running sums, modulo 2^64
+        powers = np.ones(len(raw) + 1, np.uint64)
+        powers[1:] = np.uint64(_BASE)
+        back = np.ones(len(raw) + 1, np.uint64)
+        back[1:] = np.uint64(_INVERSE)
+        powers, back = np.multiply.accumulate(powers), np.multiply.accumulate(back)
+        total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum((low.astype(np.uint64) + np.uint64(1)) * powers[:-1], out=total[1:])
+
+        def part(a, b, kind):
+            x = mix64((total[b] - total[a]) * back[a] + _KINDS[kind])
+            return (x & np.uint64(DIM - 1)).astype(np.int64)
+        cols = [np.where(self.core, part(s, e, "word"), -1)]
+        for k in (3, 4, 5, 6):
+            cols.append(np.where(e - s > k, part(s, np.minimum(s + k, e), str(k)), -1))
+        cols.append(np.where(hi > e, part(e, np.minimum(hi, e + 4), "marks"), -1))
+
+        def count(mask):
+            c = np.concatenate([[0], np.cumsum(mask)])
+            return c[hi] - c[lo]
+        upper, lower = count(_UPPER[raw] | accented), count(_LOWER[raw] | (lead & (raw > 0x9E)))
+        self.upper = (upper > 1) & (lower == 0)
+        self.digit = count(_DIGIT[raw]) > 0
+        self.bare = ~self.core
+        self.long = (e - s) > 24
+        self.marks = (hi - e > 0) & ~np.isin(raw[np.maximum(hi - 1, 0)] if len(raw) else lo,
+                                             [ord(c) for c in ".,;:?!)\"'"]) & self.core
+        cols.append(np.where(self.upper, _fid("upper"), -1))
+        cols.append(np.where(self.digit, _fid("digit"), -1))
+        self.features = np.stack(cols, 1)     # (words, kinds), -1: none
 
 
 def _rate(x: np.ndarray) -> np.ndarray:
     """Rate in [0, 1] -> one of 12 steps, finer near 0."""
-    return np.digitize(x, [0, 1e-3, .005, .01, .02, .05, .1, .2, .35, .5, .75]).astype(np.int64)
+    return np.digitize(x, [1e-9, .003, .01, .02, .05, .1, .2, .3, .4, .55, .75])
 
 
-def text_view(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets, feature ids) of every text; ids distinct within a text."""
+def _text_pairs(texts: pa.Array, weights: np.ndarray | None = None):
+    """Distinct (document, feature) pairs; only features of non-zero weight if given."""
     off, words, codes = tokenize(texts)
     n = len(off) - 1
-    vocab = words.to_pylist()
-    feats = [word_features(w) for w in vocab]
-    count = np.array([len(f) for f in feats], np.int64)
-    flat = np.array([i for f in feats for i in f], np.int64)
-    start = np.concatenate([[0], np.cumsum(count)])
-    # distinct words of each document first, then their features
-    doc = np.repeat(np.arange(n), np.diff(off))
-    pair = np.unique(doc * max(1, len(vocab)) + codes)
-    pdoc, pword = np.divmod(pair, max(1, len(vocab)))
-    many = count[pword]
-    at = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-    both = np.repeat(pdoc, many) * DIM + flat[np.repeat(start[:-1][pword], many) + at]
-    # rates over all words of the document
+    vocab = Vocabulary(words)
+    doc = np.repeat(np.arange(n, dtype=np.int64), np.diff(off))
+    keep = vocab.features >= 0
+    if weights is not None:
+        keep &= weights[np.maximum(vocab.features, 0)] != 0
+    useful = keep.any(1)[codes] if len(codes) else np.zeros(0, bool)
+    pair = np.unique(doc[useful] * max(1, len(words)) + codes[useful])
+    pdoc, pword = np.divmod(pair, max(1, len(words)))
+    parts = []
+    for j in range(vocab.features.shape[1]):
+        on = keep[pword, j]
+        parts.append(pdoc[on] * DIM + vocab.features[pword[on], j])
     total = np.maximum(np.diff(off), 1)
-    kinds = {
-        "upper": [len(w) > 1 and w.isupper() for w in vocab],
-        "marks": [not w[-1:].isalnum() and w[-1:] not in ".,;:?!)\"'" for w in vocab],
-        "bare": [not any(c.isalnum() for c in w) for w in vocab],
-        "long": [len(w) > 20 for w in vocab],
-        "digit": [any(c.isdigit() for c in w) for w in vocab],
-    }
-    rates = []
-    for name, flag in kinds.items():
-        hit = np.bincount(doc, np.array(flag, bool)[codes] if len(codes) else None, n)
-        ids = np.array([_fid(f"r:{name}:{i}") for i in range(13)])
-        rates.append(np.arange(n) * DIM + ids[_rate(hit / total)])
-    fresh = np.bincount(pdoc, minlength=n) / total
-    ids = np.array([_fid(f"r:fresh:{i}") for i in range(22)])
-    rates.append(np.arange(n) * DIM + ids[(fresh * 20).astype(np.int64)])
-    both = np.unique(np.concatenate([both, *rates]))
+    flags = {k: getattr(vocab, k)[codes] if len(codes) else np.zeros(0, bool)
+             for k in ("upper", "marks", "bare", "long", "digit")}
+    same = np.zeros(len(codes), bool)
+    same[1:] = (codes[1:] == codes[:-1]) & (doc[1:] == doc[:-1])
+    flags["twice"] = same
+    for name, flag in flags.items():
+        ids = np.array([_fid(f"rate:{name}:{i}") for i in range(12)])
+        parts.append(np.arange(n) * DIM + ids[_rate(np.bincount(doc, flag, n) / total)])
+    return n, np.unique(np.concatenate(parts))
+
+
+def text_view(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, feature ids) of every text; ids distinct within a text."""
+    n, both = _text_pairs(texts)
     doc, ids = np.divmod(both, DIM)
     return np.searchsorted(doc, np.arange(n + 1)), ids
 
@@ -123,46 +169,49 @@ def meta_view(source: list, lang: list, n_chars: list) -> tuple[np.ndarray, np.n
 
 
 class Linear:
-    """Logistic regression on the features of a view that tell the classes apart."""
+    """Logistic regression on the features of a view that tell the classes apart.
 
-    def __init__(self, features: int = 60_000, least: int = 4, l2: float = 2e-4,
-                 steps: int = 150, rate: float = 0.3):
-        self.features, self.least, self.l2, self.steps, self.rate = features, least, l2, steps, rate
+    Weights start at half the smoothed log-ratio of the feature's document
+    frequencies, so that rare but one-sided features count from the beginning.
+    """
+
+    def __init__(self, features: int = 60_000, least: int = 5, apart: float = 3.5,
+                 l2: float = 2e-5, steps: int = 150, rate: float = 0.1):
+        self.features, self.least, self.apart = features, least, apart
+        self.l2, self.steps, self.rate = l2, steps, rate
 
     def fit(self, off: np.ndarray, ids: np.ndarray, y: np.ndarray) -> "Linear":
-        row = np.repeat(np.arange(len(y)), np.diff(off))
-        uniq, col = np.unique(ids, return_inverse=True)
-        seen = np.bincount(col, minlength=len(uniq))
-        pos = np.bincount(col, y[row], len(uniq))
+        row = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(off))
+        seen = np.bincount(ids, minlength=DIM)
+        pos = np.bincount(ids[y[row] > 0], minlength=DIM)
         base = y.mean()
         z = np.abs(pos - seen * base) / np.sqrt(seen * base * (1 - base) + 1e-9)
-        good = np.flatnonzero((seen >= self.least) & (z >= 2.5))
-        good = good[np.argsort(-z[good], kind="stable")[:self.features]]
-        self.ids = np.sort(uniq[good])
-        slot = np.full(len(uniq), -1)
-        slot[np.sort(good)] = np.arange(len(good))
-        on = slot[col] >= 0
-        row, col = row[on], slot[col[on]]
-        w, b = np.zeros(len(good)), np.log(base / (1 - base))
+        good = np.flatnonzero((seen >= self.least) & (z >= self.apart))
+        good = np.sort(good[np.argsort(-z[good], kind="stable")[:self.features]])
+        slot = np.full(DIM, -1, np.int32)
+        slot[good] = np.arange(len(good))
+        col = slot[ids]
+        row, col = row[col >= 0], col[col >= 0]
+        n_pos, n_neg = y.sum(), len(y) - y.sum()
+        w = 0.5 * (np.log((pos[good] + 0.5) / (n_pos + 1))
+                   - np.log((seen[good] - pos[good] + 0.5) / (n_neg + 1)))
+        b = np.log(base / (1 - base))
         m, v, t = np.zeros(len(good) + 1), np.zeros(len(good) + 1), 0
         for _ in range(self.steps):      # Adam, full batch
-            p = 1 / (1 + np.exp(-(b + np.bincount(row, w[col], len(y)))))
+            p = 1 / (1 + np.exp(-np.clip(b + np.bincount(row, w[col], len(y)), -30, 30)))
             g = (p - y) / len(y)
             grad = np.append(np.bincount(col, g[row], len(w)) + self.l2 * w, g.sum())
             t += 1
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
             step = self.rate * m / (1 - 0.9 ** t) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
             w, b = w - step[:-1], b - step[-1]
-        self.w, self.b = w, b
+        self.w, self.b = np.zeros(DIM, np.float32), float(b)
+        self.w[good] = w
         return self
 
     def logit(self, off: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        if not len(self.ids):
-            return np.full(len(off) - 1, self.b)
-        at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
-        w = np.where(self.ids[at] == ids, self.w[at], 0.0)
-        return self.b + np.bincount(np.repeat(np.arange(len(off) - 1), np.diff(off)), w,
-                                    len(off) - 1)
+        n = len(off) - 1
+        return self.b + np.bincount(np.repeat(np.arange(n), np.diff(off)), self.w[ids], n)
 
 
 def platt(logit: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
@@ -213,3 +262,84 @@ def co_train(views: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, held: np
                 rows = rows[np.argsort(-sure[rows], kind="stable")]
                 other[rows[:int(HANDED * share * pool.sum()) + 1]] = label
     return out
+
+
+def fit_views(sample: pa.Table) -> list[tuple[Linear, float, float]] | float:
+    """Classifiers from the sample, or the score of all if it has one class."""
+    y = sample.column("y").to_numpy().astype(np.int64)
+    known = y >= 0
+    if not known.any() or y[known].min() == y[known].max():
+        return float(y[known].mean()) if known.any() else 1.0
+    off = np.concatenate([[0], np.cumsum([len(x) // 4 for x in sample.column("ids").to_pylist()])])
+    ids = np.frombuffer(b"".join(sample.column("ids").to_pylist()), np.int32)
+    meta = meta_view(*(sample.column(c).to_pylist() for c in ("source", "lang", "n_chars")))
+    # every fifth labelled row of each class calibrates; with too few, all do
+    held = np.zeros(len(y), bool)
+    for label in (0, 1):
+        held[np.flatnonzero(y == label)[::5]] = True
+    if min((y[known & ~held] == 0).sum(), (y[known & ~held] == 1).sum()) == 0:
+        held[:] = False
+    return co_train([(off, ids), meta], y, held if held.any() else known)
+
+
+def _features(batches):
+    for t in sized(batches, TEXT_BYTES):
+        off, ids = text_view(t.column("text").combine_chunks())
+        yield pa.RecordBatch.from_arrays(
+            [t.column(c).combine_chunks() for c in ("doc_id", "y", "source", "lang", "n_chars")]
+            + [pa.array([ids[a:b].astype(np.int32).tobytes() for a, b in zip(off, off[1:])],
+                        pa.binary())],
+            names=["doc_id", "y", "source", "lang", "n_chars", "ids"])
+
+
+def _scores(models, prior: float):
+    def run(batches):
+        for t in sized(batches, TEXT_BYTES):
+            if isinstance(models, float):
+                text = meta = both = np.full(t.num_rows, models)
+            else:
+                (tm, ta, tc), (mm, ma, mc) = models
+                n, pairs = _text_pairs(t.column("text").combine_chunks(), tm.w)
+                doc, ids = np.divmod(pairs, DIM)
+                a = ta * (tm.b + np.bincount(doc, tm.w[ids], n)) + tc
+                b = ma * mm.logit(*meta_view(*(t.column(c).to_pylist() for c in (
+                    "source", "lang", "n_chars")))) + mc
+                text, meta, both = (1 / (1 + np.exp(-np.clip(x, -30, 30)))
+                                    for x in (a, b, a + b - prior))
+            extra = {"p_text": text, "p_meta": meta, "score": both}
+            for name, col in extra.items():
+                t = t.append_column(name, pa.array(col, pa.float64()))
+            t = t.append_column("kept", pa.array(both >= KEEP_AT if not isinstance(models, float)
+                                                 else np.ones(t.num_rows, bool)))
+            yield from t.combine_chunks().to_batches()
+    return run
+
+
+RESULT = ("p_text", "p_meta", "score", "kept")
+
+
+def classify_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """All document rows with p_text, p_meta, score and kept (columns of these
+    names in the input are replaced)."""
+    docs = documents.drop(*RESULT)
+    known = labels.where("doc_id is not null and quality is not null and toxic is not null") \
+        .groupBy("doc_id").agg(((F.min("quality") == 1) & (F.max("toxic") == 0)).cast("int")
+                               .alias("y"))
+    ids = docs.where("doc_id is not null").select("doc_id").distinct()
+    first = lambda df, n: df.orderBy(F.xxhash64("doc_id", F.lit(29)), "doc_id").limit(n)
+    chosen = first(known.join(ids, "doc_id"), LABELLED).unionByName(
+        first(ids.join(known, "doc_id", "left_anti"), POOL).withColumn("y", F.lit(-1)))
+    # LABELLED + POOL rows of two numbers at most
+    sample = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("long")
+                         .alias("n_chars")).join(F.broadcast(stored(chosen)), "doc_id")
+    sample = stored(sample.mapInArrow(
+        _features, "doc_id long, y int, source string, lang string, n_chars long, ids binary"))
+    # rows of a repeated doc_id could exceed the bound
+    sample = sample.orderBy(F.xxhash64("doc_id", F.lit(29)), "doc_id", "ids").limit(LABELLED + POOL)
+    table = sample.toArrow()
+    models = fit_views(table)
+    y = table.column("y").to_numpy()
+    share = np.clip(y[y >= 0].mean(), 1e-6, 1 - 1e-6) if (y >= 0).any() else 0.5
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in RESULT[:3]),
+                           T.StructField("kept", T.BooleanType())])
+    return docs.mapInArrow(_scores(models, float(np.log(share / (1 - share)))), schema)

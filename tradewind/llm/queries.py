@@ -12,9 +12,11 @@ from tradewind.io import table
 from .decontaminate import decontaminate
 from .embedding_dedup import embedding_dedup
 from .html_extract import extract_html
+from .language_id import identify_language
 from .line_dedup import line_dedup
 from .mixing import mix_sources
 from .ngram_join import ngram_join
+from .quality import classify_quality
 from .sharding import shard
 from .substring_dedup import substring_dedup
 
@@ -53,6 +55,17 @@ def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_html(table(spark, sf_dir, "pages"))
 
 
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "p_text", "p_meta", "score", "kept")
+
+
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents")).select(

@@ -16,12 +16,13 @@ from .language_id import identify_language
 from .line_dedup import line_dedup
 from .mixing import mix_sources
 from .ngram_join import ngram_join
+from .oracles import ORACLES
 from .quality import classify_quality
 from .sharding import shard
 from .substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]):

@@ -51,7 +51,7 @@ TOLERANCE = 1e-8
 STEP = 16
 #: Documents and shingles of one block, on average.
 BLOCK_DOCS, BLOCK_SHINGLES = 2048, 2 << 20
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 
 _RNG = np.random.default_rng(20_011)
 FLIP = _RNG.integers(0, 2 ** 64, HASHES, dtype=np.uint64)
@@ -264,7 +264,7 @@ def ngram_join(documents: DataFrame) -> DataFrame:
         int_hash(F.col("id"), 9, F.col("blocks")).cast("int").alias("own"))
     chosen = stored(placed.join(classes.select("id", "k2", "first", "w"), "id"))
     texts = live.select("doc_id", "text", F.col("k1").alias("id"), "k2").join(
-        chosen.withColumnRenamed("first", "doc_id"), ["doc_id", "id", "k2"])
+        chosen.withColumnRenamed("first", "doc_id").hint("merge"), ["doc_id", "id", "k2"])
     sketched = texts.select("id", "w", "bin", "blocks", "own", "text").mapInArrow(
         _sketch, "id long, w long, bin long, blocks int, own int, grams binary, sig binary")
     tasks = sketched.select("*", F.explode(block_pairs(F.col("blocks"), F.col("own"))).alias("p"))

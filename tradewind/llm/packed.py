@@ -69,5 +69,6 @@ def sized(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
             if size >= limit:
                 yield pa.Table.from_batches(held)
                 held, size = [], 0
+                pa.default_memory_pool().release_unused()
     if held:
         yield pa.Table.from_batches(held)

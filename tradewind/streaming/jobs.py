@@ -1,16 +1,18 @@
 """Structured Streaming jobs (S1-S3) over landed scored-item files.
 
-* S1 ``stream_dedup``: earliest item per key wins.  Each micro-batch keeps
-  its earliest row per key (a hash aggregate) and merges it into the sink
-  state with a keep-min upsert, so the result does not depend on how files
-  are split into batches.  State is written as a new Parquet version per
-  batch id (rerunning a batch rewrites the same version: idempotent).
-* S2/S3 ``stream_daily``: tumbling 1-day event-time windows with a
-  watermark; Spark's state keeps the running sums per window (distinct
-  sources as a set, bounded by the sources of one day), and every batch
-  upserts the updated windows' rows into the sink.  Rows later than the
-  watermark are dropped, as any event-time stream does; the batch job
-  would include them.
+Both jobs only ever append: batch ``n`` writes ``batch=n`` folders, so a
+retried batch overwrites its own output and no batch rewrites history.  Files
+may arrive in any order; neither result depends on it.
+
+* S1 ``stream_dedup``: the earliest item per key wins.  A batch keeps its
+  earliest row per key and appends those that history does not already hold
+  as early (anti-join on the key); the view takes the earliest per key.
+* S2/S3 ``stream_daily``: tumbling 1-day windows.  A batch appends its partial
+  sums per (window, source), which add up over batches; the view sums them per
+  source, then per day, so the distinct sources of a day are a count of rows.
+  Rows behind the watermark (newest event of earlier batches minus the allowed
+  delay) are counted in the batch log and corrected into their window, not
+  dropped: the stream equals the batch job.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..numerics import ratio_half_up
-from ..operators.sinks import first_per_key, upsert
-from ..session import scratch_path
+from ..operators.sinks import first_per_key
+from ..session import path_exists, scratch_path
 
 
 def land_items(items: DataFrame, dest: str, rows_per_file: int = 2500) -> None:
@@ -29,89 +31,98 @@ def land_items(items: DataFrame, dest: str, rows_per_file: int = 2500) -> None:
      .repartition("chunk").write.mode("overwrite").partitionBy("chunk").parquet(dest))
 
 
-def _latest_version(spark: SparkSession, path: str) -> str | None:
-    """Newest committed ``v=<batch>`` folder, listed through the Hadoop
-    FileSystem of the path (works on HDFS / object stores, not only local)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return None
-    vs = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(
-                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            vs.append(int(name.split("=", 1)[1]))
-    return f"{path}/v={max(vs)}" if vs else None
+def _append(df: DataFrame, table: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
 
-def _read_latest(spark: SparkSession, path: str) -> DataFrame | None:
-    latest = _latest_version(spark, path)
-    return spark.read.parquet(latest) if latest else None
+def _before(spark: SparkSession, table: str, batch_id: int) -> DataFrame | None:
+    """What earlier batches appended; a retried batch does not see itself."""
+    if not path_exists(spark, table):
+        return None
+    return spark.read.parquet(table).where(F.col("batch") < batch_id).drop("batch")
 
 
 def stream_dedup(spark: SparkSession, source: str, key: str, order: str, work: str,
-                 watermark: str = "3650 days", files_per_batch: int = 2) -> DataFrame:
+                 files_per_batch: int = 1) -> DataFrame:
     """Earliest row per ``key`` (by ``order``) over a file stream."""
     schema = spark.read.parquet(source).schema
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-              .parquet(source).withWatermark("published_at", watermark))
+              .parquet(source))
     state = f"{work}/state"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        cols = [c for c in batch.columns if c != "chunk"]
-        firsts = first_per_key(batch.select(*cols), key, [order])
-        prev = _read_latest(batch.sparkSession, state)
-        if prev is not None:
-            both = prev.select(*cols).unionByName(firsts)
-            firsts = first_per_key(both, key, [order])
-        firsts.write.mode("overwrite").parquet(f"{state}/v={batch_id}")
-
-    q = (stream.writeStream.foreachBatch(merge)
-         .option("checkpointLocation", f"{work}/checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(_latest_version(spark, state) or state)
-
-
-def stream_daily(spark: SparkSession, source: str, work: str, watermark: str = "2 days",
-                 files_per_batch: int = 2) -> DataFrame:
-    """E1's daily aggregate as an event-time windowed stream."""
+        firsts = first_per_key(batch.drop("chunk"), key, [order])
+        held = _before(batch.sparkSession, state, batch_id)
+        if held is not None:
+            h = held.select(F.col(key).alias("_k"), F.col(order).alias("_o"))
+            firsts = firsts.join(h, (F.col(key) == F.col("_k")) & (F.col("_o") <= F.col(order)),
+                                 "left_anti")
+        _append(firsts, state, batch_id)
+
+    (stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{work}/checkpoint")
+     .trigger(availableNow=True).start().awaitTermination())
+    return first_per_key(spark.read.parquet(state).drop("batch"), key, [order])
+
+
+def _partial(items: DataFrame) -> DataFrame:
+    """Additive sums per (day window, source) of the eligible rows."""
+    s, r = F.col("sentiment_e4"), F.col("relevance_e4")
+    label = lambda x: F.count_if(F.col("sentiment_label") == x)
+    return (items.filter((F.col("processing_status") == "processed")
+                         & (F.coalesce(r, F.lit(0)) > 0))
+            .groupBy(F.to_date(F.window("published_at", "1 day")["start"]).alias("feature_date"),
+                     "source_id")
+            .agg(F.count(F.lit(1)).alias("articles"), F.sum(s).alias("s"), F.count(s).alias("ns"),
+                 F.sum(s * r).alias("sr"), F.sum(r).alias("r"), F.count(r).alias("nr"),
+                 label("positive").alias("pos"), label("neutral").alias("neu"),
+                 label("negative").alias("neg")))
+
+
+def daily_view(partials: DataFrame) -> DataFrame:
+    """E1's daily rows from appended partial sums."""
+    sums = ["articles", "s", "ns", "sr", "r", "nr", "pos", "neu", "neg"]
+    per_source = partials.groupBy("feature_date", "source_id").agg(
+        *[F.sum(c).alias(c) for c in sums])
+    day = per_source.groupBy("feature_date").agg(
+        F.count("source_id").alias("sources"), *[F.sum(c).alias(c) for c in sums])
+    return day.select(
+        "feature_date", F.col("articles").alias("article_count"),
+        F.col("sources").alias("distinct_source_count"),
+        F.when(F.col("ns") > 0, ratio_half_up("s", "ns")).alias("avg_sentiment"),
+        F.when(F.col("r") > 0, ratio_half_up("sr", "r")).alias("weighted_avg_sentiment"),
+        F.when(F.col("nr") > 0, ratio_half_up("r", "nr")).alias("avg_relevance"),
+        F.col("pos").alias("positive_article_count"),
+        F.col("neu").alias("neutral_article_count"),
+        F.col("neg").alias("negative_article_count"))
+
+
+def stream_daily(spark: SparkSession, source: str, work: str, delay: str = "2 days",
+                 files_per_batch: int = 1) -> DataFrame:
+    """E1's daily aggregate as an event-time stream; ``batch_log`` tells
+    rows and late rows of every batch."""
     schema = spark.read.parquet(source).schema
     items = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-             .parquet(source)
-             .withWatermark("published_at", watermark)
-             .filter((F.col("processing_status") == "processed")
-                     & (F.coalesce(F.col("relevance_e4"), F.lit(0)) > 0)))
-    agg = (items.groupBy(F.window("published_at", "1 day").alias("w"))
-           .agg(F.count(F.lit(1)).alias("article_count"),
-                F.collect_set("source_id").alias("_sources"),
-                F.sum("sentiment_e4").alias("_s"), F.count("sentiment_e4").alias("_ns"),
-                F.sum(F.col("sentiment_e4") * F.col("relevance_e4")).alias("_sr"),
-                F.sum("relevance_e4").alias("_r"), F.count("relevance_e4").alias("_nr"),
-                F.count_if(F.col("sentiment_label") == "positive").alias("positive_article_count"),
-                F.count_if(F.col("sentiment_label") == "neutral").alias("neutral_article_count"),
-                F.count_if(F.col("sentiment_label") == "negative").alias("negative_article_count")))
-    state = f"{work}/state"
-
-    def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(
-            F.to_date(F.col("w.start")).alias("feature_date"), "article_count",
-            F.size("_sources").cast("long").alias("distinct_source_count"),
-            F.when(F.col("_ns") > 0, ratio_half_up("_s", "_ns")).alias("avg_sentiment"),
-            F.when(F.col("_r") > 0, ratio_half_up("_sr", "_r")).alias("weighted_avg_sentiment"),
-            F.when(F.col("_nr") > 0, ratio_half_up("_r", "_nr")).alias("avg_relevance"),
-            "positive_article_count", "neutral_article_count", "negative_article_count")
-        prev = _read_latest(batch.sparkSession, state)
-        merged = rows if prev is None else upsert(prev, rows, ["feature_date"])
-        merged.write.mode("overwrite").parquet(f"{state}/v={batch_id}")
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(upsert_batch)
-         .option("checkpointLocation", f"{work}/checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(_latest_version(spark, state) or state)
+             .parquet(source))
+    partials, log = f"{work}/partials", f"{work}/log"
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        earlier = _before(s, log, batch_id)
+        newest = earlier.agg(F.max("newest")).first()[0] if earlier is not None else None
+        late = F.lit(False) if newest is None else (
+            F.col("published_at") < F.lit(newest) - F.expr(f"INTERVAL {delay}"))
+        _append(_partial(batch), partials, batch_id)
+        _append(batch.agg(F.count(F.lit(1)).alias("rows"), F.count_if(late).alias("late_rows"),
+                          F.max("published_at").alias("newest")), log, batch_id)
+
+    (items.writeStream.foreachBatch(add).option("checkpointLocation", f"{work}/checkpoint")
+     .trigger(availableNow=True).start().awaitTermination())
+    return daily_view(spark.read.parquet(partials))
+
+
+def batch_log(spark: SparkSession, work: str) -> DataFrame:
+    """One row per data batch: batch, rows, late_rows, newest."""
+    return spark.read.parquet(f"{work}/log")
 
 
 def fresh_workdir(spark: SparkSession, name: str) -> str:

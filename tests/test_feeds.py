@@ -2,65 +2,104 @@
 
 import json
 import os
-import tempfile
+import uuid
 
-from tradewind.sources.feeds import read_rss, read_search, read_timeline
+from tradewind.session import scratch_path
+from tradewind.sources.feeds import (read_rss, read_search, read_timeline, rejects, rss_items,
+                                     search_items, timeline_items)
 
 
-def _write(path, text):
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w", encoding="utf-8") as fh:
+def _land(spark, name, text):
+    d = scratch_path(spark, f"feeds-{uuid.uuid4().hex[:8]}").removeprefix("file:")
+    os.makedirs(f"{d}/{os.path.dirname(name)}", exist_ok=True)
+    with open(f"{d}/{name}", "w", encoding="utf-8") as fh:
         fh.write(text)
+    return d
 
 
-def test_search_tiny(spark):
-    d = tempfile.mkdtemp(prefix="tw-search-")
+def test_search_items_one_by_one(spark):
     hits = {"hits": [
-        {"objectID": "1", "title": "A &amp; B", "url": None, "created_at": "2024-01-01T23:30:00-05:00",
-         "story_text": "<p>body</p>", "position": 1},                     # url built, local date
+        {"objectID": "1", "title": "A &amp; B", "url": None, "story_text": "<p>body</p>",
+         "created_at": "2024-01-01T23:30:00-05:00", "points": 7},   # url built, local date
+        5,                                                          # not an object
         {"objectID": "2", "title": "", "story_title": "Fallback", "url": "http://x/2",
-         "created_at": "2024-01-02T10:00:00Z", "comment_text": "c", "position": 2},
-        {"objectID": None, "title": "", "story_title": "", "url": "", "position": 3},  # skipped
-    ]}
-    _write(f"{d}/source_id=s1/p.json", json.dumps(hits) + "\n" + "not json\n")
+         "created_at": "2024-01-02T10:00:00Z", "comment_text": "c", "points": "many"},
+        {"objectID": None, "title": "", "story_title": "", "url": ""}]}
+    d = _land(spark, "source_id=s1/p.json", json.dumps(hits) + "\n" + "not json\n")
     rows = {r.position: r for r in read_search(spark, d).collect()}
-    assert set(rows) == {1, 2}
-    assert rows[1].url == "https://news.ycombinator.com/item?id=1" and rows[1].title == "A & B"
-    assert rows[1].content == "body" and str(rows[1].published_date) == "2024-01-01"
-    assert rows[1].external_guid == "hn_1" and rows[2].title == "Fallback"
-    assert rows[2].content == "c" and rows[2].language_code == "en"
-
-
-def test_timeline_tiny(spark):
-    d = tempfile.mkdtemp(prefix="tw-timeline-")
-    long = "x" * 300
-    items = [{"id": "1", "url": "http://m/1", "content": f"<p>{long}</p>", "position": 1,
-              "created_at": "2024-01-01T10:00:00Z", "account": None},
-             {"id": "2", "url": "http://m/2", "content": "", "position": 2},
-             {"id": "3", "url": "http://m/3", "content": "hi", "language": "de", "position": 3,
+    assert set(rows) == {0, 2}
+    assert rows[0].url == "https://news.ycombinator.com/item?id=1" and rows[0].title == "A & B"
+    assert rows[0].content == "body" and str(rows[0].published_date) == "2024-01-01"
+    assert rows[0].external_guid == "hn_1" and rows[2].title == "Fallback"
+    assert rows[2].content == "c" and rows[2].language_code == "en" and rows[0].source_id == "s1"
+    raw = json.loads(rows[0].raw_payload)
+    assert raw["source_api"] == "hacker_news_algolia" and raw["points"] == 7 and raw["url"] is None
+    # the number, the item without a link, and the line that is no JSON
+    got = {(r.reject_reason, r.rejected) for r in rejects(search_items(spark, d)).collect()}
+    assert got == {("not an item", 2), ("no link", 1)}
+
+
+def test_search_pretty_printed(spark):
+    d = _land(spark, "source_id=s1/p.json", json.dumps(
+        {"hits": [{"objectID": str(i), "title": f"t{i}"} for i in range(3)]}, indent=2))
+    assert sorted(r.title for r in read_search(spark, d).collect()) == ["t0", "t1", "t2"]
+
+
+def test_timeline_items_one_by_one(spark):
+    items = [{"id": "1", "url": "http://m/1", "content": "<p>" + "x" * 300 + "</p>",
+              "created_at": "2024-01-01T10:00:00Z", "account": None}, 5,
+             {"id": "2", "url": "http://m/2", "content": ""},
+             {"id": "3", "url": "http://m/3", "content": "hi", "language": "de",
               "account": {"acct": "u3", "bot": False}}]
-    _write(f"{d}/source_id=s2/t.json", json.dumps(items) + "\n")
+    d = _land(spark, "source_id=s2/t.json", json.dumps(items, indent=1))
     rows = {r.position: r for r in read_timeline(spark, d).collect()}
-    assert set(rows) == {1, 3}
-    assert len(rows[1].title) == 120 and rows[1].language_code == "en"
-    assert rows[1].author_name is None and rows[3].author_name == "u3"
+    assert set(rows) == {0, 3}
+    assert len(rows[0].title) == 120 and rows[0].language_code == "en"
+    assert rows[0].author_name is None and rows[3].author_name == "u3"
     assert rows[3].language_code == "de" and rows[3].external_guid == "mastodon_3"
+    assert json.loads(rows[3].raw_payload)["account"] == {"acct": "u3", "bot": False}
+    got = {(r.reject_reason, r.rejected) for r in rejects(timeline_items(spark, d)).collect()}
+    assert got == {("not an item", 1), ("no title", 1)}
 
 
-def test_rss_tiny(spark):
-    d = tempfile.mkdtemp(prefix="tw-rss-")
-    xml = ('<?xml version="1.0"?><rss version="2.0"><channel><language>fr</language>'
-           '<item><title>T &amp;amp; x</title><link>http://a/1</link><guid>g1</guid>'
-           '<pubDate>Tue, 02 Jan 2024 23:30:00 -0500</pubDate>'
-           '<description>&lt;b&gt;S&lt;/b&gt;</description><position>1</position></item>'
-           '<item><title></title><link>http://a/2</link><position>2</position></item>'
-           '</channel></rss>')
-    _write(f"{d}/source_id=r1/f.xml", xml)
+def test_rss_namespaces_dates_and_order(spark):
+    xml = """<?xml version="1.0"?>
+<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"
+     xmlns:dc="http://purl.org/dc/elements/1.1/"><channel><language>fr</language>
+<item><title>T &amp;amp; x</title><link>http://a/1</link><guid isPermaLink="false">g1</guid>
+ <pubDate>Tue, 02 Jan 2024 23:30:00 -0500</pubDate><category>oil</category><category>opec</category>
+ <description>&lt;b&gt;S&lt;/b&gt;</description>
+ <content:encoded>&lt;p&gt;Whole &lt;i&gt;text&lt;/i&gt;&lt;/p&gt;</content:encoded>
+ <dc:creator>Ann</dc:creator></item>
+<item><title></title><link>http://a/2</link></item>
+<item><title>Same</title><link>http://a/1</link><pubDate>2024-01-05T10:00:00Z</pubDate></item>
+</channel></rss>"""
+    d = _land(spark, "source_id=r1/f.xml", xml)
     rows = {r.position: r for r in read_rss(spark, d).collect()}
-    assert set(rows) == {1}
-    r = rows[1]
-    assert (r.title, r.summary, r.content, r.language_code) == ("T & x", "S", "S", "fr")
+    assert set(rows) == {0, 2}
+    r = rows[0]
+    assert (r.title, r.summary, r.content, r.language_code) == ("T & x", "S", "Whole text", "fr")
+    assert (r.author_name, r.external_guid, r.tags, r.links) == (
+        "Ann", "g1", ["oil", "opec"], ["http://a/1"])
     assert str(r.published_date) == "2024-01-03"          # feed times are UTC
+    assert str(rows[2].published_date) == "2024-01-05" and rows[2].external_guid is None
+    assert json.loads(r.raw_payload)["tags"] == ["oil", "opec"]
+    assert [(x.reject_reason, x.rejected) for x in rejects(rss_items(spark, d)).collect()] == [
+        ("no title", 1)]
+
+
+def test_atom(spark):
+    xml = """<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom" xml:lang="de">
+<entry><title>One</title><id>urn:1</id><link rel="self" href="http://a/self"/>
+ <link href="http://a/1"/><updated>2024-02-01T08:00:00+01:00</updated><summary>Sum</summary>
+ <content type="html">&lt;p&gt;Body&lt;/p&gt;</content><author><name>Bo</name></author>
+ <category term="oil"/></entry></feed>"""
+    d = _land(spark, "source_id=a1/f.xml", xml)
+    (r,) = read_rss(spark, d).collect()
+    assert (r.title, r.url, r.external_guid, r.author_name, r.language_code) == (
+        "One", "http://a/1", "urn:1", "Bo", "de")
+    assert (r.summary, r.content, r.tags) == ("Sum", "Body", ["oil"])
+    assert r.published_at.isoformat() == "2024-02-01T07:00:00" and len(r.links) == 2
 
 
 def test_registered_feeds_parse_every_landed_item(spark):

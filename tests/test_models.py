@@ -3,8 +3,8 @@
 import datetime as dt
 
 import numpy as np
-from pyspark.sql import functions as F
 
+from tradewind.plans import grouped as G
 from tradewind.plans import models as M
 
 
@@ -43,26 +43,74 @@ def test_ols_matches_numpy(spark):
     assert np.allclose(coefs, ref, atol=1e-8)
 
 
-def test_median_regression_objective(spark):
-    """alpha 0: the IRLS fit reaches the least-absolute-deviation optimum of a
-    brute-force check (no coefficient vector nearby does better)."""
+def _objective(x, y, beta, alpha):
+    return np.abs(y - beta[0] - x @ beta[1:]).mean() / 2 + alpha * np.abs(beta[1:]).sum()
+
+
+def test_median_regression_is_optimal():
+    """Collinear columns of very different size: no line search from the fit
+    finds a better point, and the fit passes through as many rows as it has
+    coefficients (a vertex of the linear program)."""
+    rng = np.random.RandomState(2)
+    base = np.cumsum(rng.normal(size=300)) + 200
+    x = np.column_stack([base, base + rng.normal(size=300) * 0.5, base * 1e3,
+                         rng.normal(size=300) * 1e-2])
+    y = base * 3 + x[:, 3] * 50 + rng.standard_t(2, size=300)
+    for alpha in (0.0, 0.01, 1.0):
+        beta, value, converged, _ = G.median_l1(x, y, alpha)
+        assert converged and abs(value - _objective(x, y, beta, alpha)) < 1e-9 * value
+        for _ in range(400):
+            d = rng.normal(size=5) / np.append(1, x.std(0))
+            for step in (1e-4, 1e-2, 1.0):
+                assert _objective(x, y, beta + step * d, alpha) >= value * (1 - 1e-6)
+    resid = np.abs(y - G.median_l1(x[:, :1], y, 0.0)[0][0] - x[:, 0] * G.median_l1(
+        x[:, :1], y, 0.0)[0][1])
+    assert (resid < 1e-3).sum() >= 2
+
+
+def test_median_search_reports_convergence(spark):
     df, x1, x2, y = _series(spark, 150, seed=2)
-    rows = df.withColumn("alpha", F.lit(0.0))
-    res = M.fit_median_l1(rows, ["benchmark_code", "alpha"], ["x1", "x2"],
-                          "target_close_next_day", max_iter=60).first()
-    b = np.asarray(res["beta"])
-    X = np.column_stack([np.ones_like(x1), x1, x2])
-
-    def obj(beta):
-        return np.abs(y - X @ beta).mean() / 2
-    best = obj(b)
+    s = M.chronological_split(df)
+    r = M.median_fits(s, ["x1", "x2"]).first()
+    assert r.converged and r.alpha in M.QUANTILE_ALPHAS and r.cv_mae > 0
+    assert abs(r.beta[1] - 2) < 0.3 and abs(r.beta[2] + 1) < 0.3
+
+
+def test_trees_of_many_series(spark):
+    """100 series: every one gets its own search with a measured CV error that
+    beats the constant forecast on a learnable target."""
+    rows = []
+    for c in range(100):
+        rng = np.random.RandomState(c)
+        x = rng.normal(size=(60, 2))
+        for i in range(60):
+            rows.append((f"S{c}", dt.date(2020, 1, 1) + dt.timedelta(days=i), float(x[i, 0]),
+                         float(x[i, 1]), float(c + 4 * (x[i, 0] > 0) + 0.1 * rng.normal())))
+    df = spark.createDataFrame(rows, "benchmark_code string, feature_date date, x1 double, "
+                                     "x2 double, target_close_next_day double")
+    s = M.chronological_split(df)
+    for kind, grid in (("rf", {"n_estimators": 20, "max_depth": 3, "min_samples_leaf": 2,
+                               "min_samples_split": 2}),
+                       ("gbt", {"n_estimators": 30, "max_depth": 2, "learning_rate": 0.15,
+                                "subsample": 1.0, "colsample_bytree": 1.0})):
+        pred, best = M.tree_search(s, kind, ["x1", "x2"], candidates=[grid])
+        b = best.collect()
+        assert len(b) == 100 and all(0 < r.cv_mae < 1.9 for r in b)
+        assert M.metrics(pred.filter("split = 'test'"), ["benchmark_code"]).where(
+            "mae < 1.5").count() > 95
+
+
+def test_boosting_equals_a_plain_loop():
+    """Rounds of all problems together give each problem's own result."""
     rng = np.random.RandomState(0)
-    for _ in range(300):
-        assert obj(b + rng.normal(scale=0.01, size=3)) >= best * (1 - 1e-3)   # stop rule 1e-4
-    # with a penalty the slope shrinks
-    pen = M.fit_median_l1(df.withColumn("alpha", F.lit(1.0)), ["benchmark_code", "alpha"],
-                          ["x1", "x2"], "target_close_next_day", max_iter=60).first()["beta"]
-    assert abs(pen[1]) < abs(b[1])
+    x = rng.normal(size=(80, 3))
+    y = x[:, 0] * 2 + (x[:, 1] > 0)
+    p = {"n_estimators": 12, "max_depth": 3, "learning_rate": 0.1, "subsample": 1.0,
+         "colsample_bytree": 1.0}
+    alone = G.boosted([(x, y, x[:10], p)], 1)[0]
+    both = G.boosted([(x[:50], y[:50], x[50:], {**p, "n_estimators": 5}), (x, y, x[:10], p)], 1)
+    assert np.allclose(alone, both[1]) and len(both[0]) == 30
+    assert np.abs(alone - y[:10]).mean() < np.abs(y.mean() - y[:10]).mean()
 
 
 def test_grid_draws_deterministic():

@@ -20,17 +20,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a CPU-heavy narrow stage enough tasks.
-
-    When the input arrives in fewer splits than the cluster's default
-    parallelism (e.g. one large row group), redistribute it round-robin; on a
-    normal large scan (many splits) nothing is added, so no shuffle of the raw
-    data happens at scale.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

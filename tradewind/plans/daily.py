@@ -56,7 +56,7 @@ def run_daily(spark: SparkSession, sf_dir: str, root: str, landing: str,
     sources = B.source_registry(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
     items = ingest(spark, sources, landing)
     keyed = items.select("*", F.concat_ws("\u0001", "source_id", "external_guid").alias("_gk"),
-                         F.struct("source_id", "position").alias("_ord"))
+                         F.struct("source_id", "feed_file", "position").alias("_ord"))
     keyed = keyed.withColumn("_gk", F.when(F.col("external_guid").isNotNull(), F.col("_gk")))
     raw = _write(first_wins_two_keys(keyed, "_ord", "url_hash", "_gk")
                  .drop("_gk", "_ord"), f"{root}/articles_raw")

@@ -2,19 +2,14 @@
 
 The feature table has one row per (series, trading day), so a series' history
 is bounded by the calendar; the data volume grows with the number of series.
-Every fit is keyed by ``fit_id`` columns (series, fold, candidate), and
-linear models are solved from sufficient statistics:
-
-* one distributed aggregation per pass builds the weighted Gram matrix
-  X'WX and X'Wy for every fit at once (map-side partial sums);
-* the tiny per-fit system (13 x 13 at most) is solved in ``mapInPandas``
-  over one row per fit.
-
-Median regression (L1-penalised, quantile 0.5) is fitted by iteratively
-reweighted least squares: |r| <= r^2 / (2|r0|) + |r0| / 2 majorises the
-pinball loss, so each pass solves a weighted lasso on the Gram matrix by
-coordinate descent and the objective never increases.  All alphas, folds and
-series advance in the same pass.  Tree models use Spark ML.
+So every model is fitted per series:
+
+* OLS: one distributed aggregation builds the Gram matrix X'X and X'y of every
+  fit (map-side partial sums); the tiny system (13 x 13 at most) is solved in
+  ``mapInPandas`` over one row per fit.
+* Median regression, random forests, boosted trees and the direction
+  classifier fit one series per ``applyInPandas`` group (``plans/grouped.py``):
+  the whole search with its folds runs where the series' rows are.
 """
 
 from __future__ import annotations
@@ -28,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
+from . import grouped as G
 
 # Feature sets, split ratios, folds and search grids.
 PRICE_FEATURES = ["lag_close_1d", "lag_close_3d", "lag_return_1d", "lag_return_3d",
@@ -47,9 +43,8 @@ GBT_GRID = {"n_estimators": [100, 200, 400, 600], "max_depth": [2, 3, 5, 7],
             "colsample_bytree": [0.7, 0.8, 1.0]}
 GBT_DRAWS = 15
 SEARCH_SEED = 42
-DIRECTION_RF = {"numTrees": 400, "maxDepth": 6, "minInstancesPerNode": 3, "seed": 42}
+DIRECTION_FOREST = {"trees": 400, "depth": 6, "min_leaf": 3, "seed": 42}
 MIN_LABELLED_ROWS = 50
-UNLIMITED_DEPTH = 30          # Spark ML's deepest tree stands in for "no limit"
 SERIES = "benchmark_code"
 
 
@@ -171,30 +166,6 @@ def _solve_ls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return beta_s / d
 
 
-def _lasso_cd(a: np.ndarray, b: np.ndarray, lam: float, beta0: np.ndarray,
-              sweeps: int = 200, tol: float = 1e-10) -> np.ndarray:
-    """min 1/2 b'Ab - b'x + lam * |beta[1:]|_1 by coordinate descent (the
-    intercept, index 0, is not penalised)."""
-    beta = beta0.copy()
-    diag = np.diag(a)
-    for _ in range(sweeps):
-        biggest = 0.0
-        for j in range(len(beta)):
-            if diag[j] <= 0:
-                continue
-            rho = b[j] - a[j] @ beta + diag[j] * beta[j]
-            pen = 0.0 if j == 0 else lam
-            new = np.sign(rho) * max(abs(rho) - pen, 0.0) / diag[j]
-            biggest = max(biggest, abs(new - beta[j]) * np.sqrt(diag[j]))
-            beta[j] = new
-        if biggest < tol:
-            break
-    return beta
-
-
-COEF_SCHEMA = "beta array<double>"
-
-
 def solve_ols(stats: DataFrame, keys: Sequence[str], p: int) -> DataFrame:
     """K3: ordinary least squares per fit key (mapInPandas, one row per fit)."""
     schema = T.StructType([stats.schema[k] for k in keys]
@@ -213,11 +184,10 @@ def solve_ols(stats: DataFrame, keys: Sequence[str], p: int) -> DataFrame:
 
 def predict(rows: DataFrame, coefs: DataFrame, keys: Sequence[str], xcols: Sequence[str],
             out: str = "prediction") -> DataFrame:
-    """Linear prediction with per-key coefficients.  ``coefs`` has one row per
-    fit key (series x folds x candidates: bounded by the series count times a
-    constant), so it is broadcast."""
+    """Linear prediction with per-key coefficients, joined on the key (one row
+    per fit; Spark broadcasts it only while it is small)."""
     terms = _terms(xcols)
-    j = rows.join(F.broadcast(coefs), list(keys))
+    j = rows.join(coefs, list(keys))
     pred = None
     for i, t in enumerate(terms):
         term = F.element_at("beta", i + 1) * t
@@ -230,67 +200,6 @@ def fit_ols(train: DataFrame, keys: Sequence[str], xcols: Sequence[str], y: str
     return solve_ols(gram_stats(train, keys, xcols, y), keys, len(xcols) + 1)
 
 
-def fit_median_l1(rows: DataFrame, keys: Sequence[str], xcols: Sequence[str], y: str,
-                  alpha_col: str = "alpha", max_iter: int = 60, tol: float = 1e-4,
-                  eps: float = 1e-6) -> DataFrame:
-    """K4: L1-penalised median regression for every fit key at once.
-
-    ``rows`` carries the fit key (including ``alpha_col``).  Returns
-    (keys, beta, objective, iterations).  Objective (as the reference's
-    solver): mean(|r|) / 2 + alpha * |w|_1, intercept free.
-    """
-    p = len(xcols) + 1
-    rows = cut_lineage(rows.select(*keys, *xcols, y))
-    coefs = cut_lineage(fit_ols(rows, keys, xcols, y))
-    key_schema = [rows.schema[k] for k in keys]
-    schema = T.StructType(key_schema + [
-        T.StructField("beta", T.ArrayType(T.DoubleType())),
-        T.StructField("objective", T.DoubleType()),
-        T.StructField("prev_objective", T.DoubleType())])
-    prev = None
-    for it in range(max_iter):
-        scored = predict(rows, coefs.select(*keys, "beta"), keys, xcols, "_fit")
-        r = F.col(y) - F.col("_fit")
-        v = F.lit(1.0) / F.greatest(F.abs(r), F.lit(eps))
-        stats = gram_stats(scored, keys, xcols, y, weight=v,
-                           extra=[F.sum(F.abs(r)).alias("sum_abs")])
-        stats = stats.join(F.broadcast(coefs.select(*keys, "beta")), list(keys))
-
-        def run(it_, keys=tuple(keys)):
-            for pdf in it_:
-                out_b, out_o, out_p = [], [], []
-                for g, xy, n, sa, b0, alpha in zip(pdf["gram"], pdf["xty"], pdf["n"],
-                                                   pdf["sum_abs"], pdf["beta"], pdf[alpha_col]):
-                    beta0 = np.asarray(b0, dtype=float)
-                    cur = sa / (2.0 * n) + alpha * np.abs(beta0[1:]).sum()
-                    a = _unpack(np.asarray(g), p) / (4.0 * n)
-                    bb = np.asarray(xy) / (4.0 * n)
-                    if alpha == 0:
-                        beta = _solve_ls(a, bb)
-                    else:
-                        beta = _lasso_cd(a, bb, alpha / 2.0, beta0)
-                    out_b.append(beta.tolist())
-                    out_o.append(float(cur))
-                    out_p.append(float("nan"))
-                res = pdf[list(keys)].copy()
-                res["beta"] = out_b
-                res["objective"] = out_o
-                res["prev_objective"] = out_p
-                yield res
-        new = cut_lineage(stats.mapInPandas(run, schema))
-        obj = new.select(*keys, "objective")
-        if prev is not None:
-            change = (obj.join(prev.withColumnRenamed("objective", "_p"), list(keys))
-                      .agg(F.max(F.abs(F.col("objective") - F.col("_p"))
-                                 / F.greatest(F.abs("_p"), F.lit(1e-12)))).first()[0])
-            if change is not None and change < tol:
-                coefs = new
-                break
-        prev = obj
-        coefs = new
-    return coefs.select(*keys, "beta", "objective")
-
-
 # ---------------------------------------------------------------------------
 # Backtests and metrics
 # ---------------------------------------------------------------------------
@@ -319,44 +228,35 @@ def ols_backtest(features: DataFrame, xcols: Sequence[str] = PRICE_FEATURES,
     return predict(s.filter("split = 'test'"), coefs, [SERIES], xcols)
 
 
+def per_series(rows: DataFrame, columns: Sequence[str], schema: str, fit) -> DataFrame:
+    """``fit(pdf)`` on the rows of each series (bounded by the calendar)."""
+    return rows.select(SERIES, "feature_date", "split", *columns).groupBy(SERIES).applyInPandas(
+        fit, f"{SERIES} string, {schema}")
+
+
+def median_fits(s: DataFrame, xcols: Sequence[str], alphas: Sequence[float] = QUANTILE_ALPHAS
+                ) -> DataFrame:
+    """Per series the best alpha by expanding-window CV (MAE), its
+    coefficients on the full train part and whether the solver converged."""
+    xcols, alphas = list(xcols), [float(a) for a in alphas]
+    return per_series(
+        s, [*xcols, TARGET], "alpha double, cv_mae double, beta array<double>, "
+        "objective double, converged boolean, iterations long",
+        lambda pdf: G.median_series(pdf, SERIES, xcols, TARGET, alphas, N_SPLITS))
+
+
 def median_backtest(features: DataFrame, xcols: Sequence[str] = PRICE_FEATURES,
-                    news: bool = False, alphas: Sequence[float] = QUANTILE_ALPHAS,
-                    max_iter: int = 60) -> tuple[DataFrame, DataFrame]:
-    """Grid over alpha with expanding-window CV (MAE), then the
-    full-train fit of the best alpha, scored on test.  Returns
-    (test predictions, best parameters with their CV MAE and the final
-    coefficients ``beta``)."""
+                    news: bool = False, alphas: Sequence[float] = QUANTILE_ALPHAS
+                    ) -> tuple[DataFrame, DataFrame]:
+    """Test predictions and best parameters (with coefficients) per series."""
     s = cut_lineage(prepared(features, xcols, news))
-    train = s.filter("split = 'train'")
-    folds = time_series_folds(train)
-    al = F.explode(F.array(*[F.lit(float(a)) for a in alphas])).alias("alpha")
-    cv_rows = folds.filter("role = 'train'").select("*", al)
-    full_rows = train.select("*", F.lit(-1).alias("fold"), al)
-    keys = [SERIES, "fold", "alpha"]
-    fit_rows = cv_rows.select(*keys, *xcols, TARGET).unionByName(
-        full_rows.select(*keys, *xcols, TARGET))
-    coefs = fit_median_l1(fit_rows, keys, xcols, TARGET, max_iter=max_iter)
-    tests = folds.filter("role = 'test'").select("*", al)
-    cv = (metrics(predict(tests, coefs.filter("fold >= 0").drop("objective"), keys, xcols),
-                  [SERIES, "fold", "alpha"])
-          .groupBy(SERIES, "alpha").agg(F.avg("mae").alias("cv_mae")))
-    order = {float(a): i for i, a in enumerate(alphas)}
-    rank = F.element_at(F.create_map(*[x for a, i in order.items()
-                                       for x in (F.lit(a), F.lit(i))]), F.col("alpha"))
-    best = (cv.withColumn("_rank", rank)
-            .groupBy(SERIES).agg(F.min_by(F.struct("alpha", "cv_mae"),
-                                          F.struct("cv_mae", "_rank")).alias("b"))
-            .select(SERIES, "b.alpha", "b.cv_mae"))
-    final = (coefs.filter("fold = -1").join(best.select(SERIES, "alpha"), [SERIES, "alpha"])
-             .select(SERIES, "beta"))
-    final = cut_lineage(final)
-    pred = predict(s.filter("split = 'test'"), final, [SERIES], xcols)
-    return pred, (best.join(final, SERIES)
-                  .withColumn("model_name", F.lit("QuantileRegression")))
+    fits = cut_lineage(median_fits(s, xcols, alphas))
+    pred = predict(s.filter("split = 'test'"), fits.select(SERIES, "beta"), [SERIES], xcols)
+    return pred, fits.withColumn("model_name", F.lit("QuantileRegression"))
 
 
 # ---------------------------------------------------------------------------
-# Tree models (Spark ML), random search over the reference grids
+# Tree models, random search over the grids
 # ---------------------------------------------------------------------------
 def grid_draws(grid: dict, draws: int, seed: int = SEARCH_SEED) -> list[dict]:
     """Random candidates without replacement from the full grid (keys in
@@ -377,69 +277,21 @@ def grid_draws(grid: dict, draws: int, seed: int = SEARCH_SEED) -> list[dict]:
     return out
 
 
-def _rf(params: dict, label: str, seed: int = SEARCH_SEED):
-    from pyspark.ml.regression import RandomForestRegressor
-    depth = params.get("max_depth")
-    return RandomForestRegressor(labelCol=label, featuresCol="features", seed=seed,
-                                 numTrees=int(params["n_estimators"]),
-                                 maxDepth=UNLIMITED_DEPTH if depth is None else int(depth),
-                                 minInstancesPerNode=int(params["min_samples_leaf"]))
-
-
-def _gbt(params: dict, label: str, seed: int = SEARCH_SEED):
-    from pyspark.ml.regression import GBTRegressor
-    return GBTRegressor(labelCol=label, featuresCol="features", seed=seed,
-                        maxIter=int(params["n_estimators"]), maxDepth=int(params["max_depth"]),
-                        stepSize=float(params["learning_rate"]),
-                        subsamplingRate=float(params["subsample"]),
-                        featureSubsetStrategy=str(params["colsample_bytree"]))
-
-
-def assemble(df: DataFrame, xcols: Sequence[str], indexer=None):
-    """Features vector = the model columns plus the series as an index, so one
-    distributed fit covers every series (trees can split on the series)."""
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-    if indexer is None:
-        indexer = StringIndexer(inputCol=SERIES, outputCol="series_idx",
-                                handleInvalid="keep").fit(df)
-    va = VectorAssembler(inputCols=list(xcols) + ["series_idx"], outputCol="features",
-                         handleInvalid="keep")
-    return va.transform(indexer.transform(df)), indexer
-
-
-def tree_search(prepared_df: DataFrame, kind: str, xcols: Sequence[str],
-                draws: int | None = None, parallelism: int = 4,
-                candidates: list[dict] | None = None) -> tuple[DataFrame, dict]:
-    """K5/K6: random search with expanding-window CV (MAE), refit of the best
-    candidate on the full train part, predictions on test.  ``candidates``
-    replaces the seeded draws (a single candidate skips the CV)."""
-    from concurrent.futures import ThreadPoolExecutor
-    grid, n, make = ((RF_GRID, RF_DRAWS, _rf) if kind == "rf" else (GBT_GRID, GBT_DRAWS, _gbt))
+def tree_search(s: DataFrame, kind: str, xcols: Sequence[str], draws: int | None = None,
+                candidates: list[dict] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Random search with expanding-window CV (MAE) per series,
+    refit of the best candidate on its train part.  Returns (predictions of all
+    later rows, best parameters with their measured CV MAE)."""
+    grid, n = (RF_GRID, RF_DRAWS) if kind == "rf" else (GBT_GRID, GBT_DRAWS)
     cands = candidates or grid_draws(grid, n if draws is None else draws)
-    train = prepared_df.filter("split = 'train'")
-    x_all, indexer = assemble(prepared_df, xcols)
-    x_all = cut_lineage(x_all)
-
-    def cv_mae(cand):
-        if len(cands) == 1:
-            return 0.0
-        folds = cut_lineage(time_series_folds(train))
-        maes = []
-        for k in range(N_SPLITS):
-            tr, _ = assemble(folds.filter((F.col("fold") == k) & (F.col("role") == "train")),
-                             xcols, indexer)
-            te, _ = assemble(folds.filter((F.col("fold") == k) & (F.col("role") == "test")),
-                             xcols, indexer)
-            m = make(cand, TARGET).fit(tr)
-            maes.append(m.transform(te).agg(F.avg(F.abs(F.col("prediction") - F.col(TARGET))))
-                        .first()[0])
-        return float(np.mean(maes))
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        scores = list(pool.map(cv_mae, cands))
-    best = cands[int(np.argmin(scores))]
-    model = make(best, TARGET).fit(x_all.filter("split = 'train'"))
-    pred = model.transform(x_all.filter("split = 'test'")).drop("features")
-    return pred, {"params": best, "cv_mae": min(scores), "model": model, "indexer": indexer}
+    xcols = list(xcols)
+    out = cut_lineage(per_series(
+        s, [*xcols, TARGET], "feature_date date, prediction double, cv_mae double, params string",
+        lambda pdf: G.tree_series(pdf, SERIES, xcols, TARGET, kind, cands, N_SPLITS, SEARCH_SEED)))
+    pred = s.join(out.select(SERIES, "feature_date", "prediction"), [SERIES, "feature_date"])
+    best = out.groupBy(SERIES).agg(F.first("params").alias("params"), F.first("cv_mae").alias("cv_mae"))
+    return pred, best.withColumn(
+        "model_name", F.lit("RandomForest" if kind == "rf" else "XGBoost"))
 
 
 def ensemble(preds: dict[str, DataFrame], keys=(SERIES, "feature_date")) -> DataFrame:
@@ -455,63 +307,60 @@ def ensemble(preds: dict[str, DataFrame], keys=(SERIES, "feature_date")) -> Data
     return out.withColumn("prediction", total / F.lit(float(len(cols))))
 
 
-def model_predictions(features: DataFrame, news: bool, rf_draws: int | None = None,
-                      gbt_draws: int | None = None, max_iter: int = 60,
-                      rf_candidates: list[dict] | None = None,
-                      gbt_candidates: list[dict] | None = None) -> dict[str, DataFrame]:
-    """K3-K6/K9: test-set predictions of the four models on one feature set."""
+MODELS = ["LinearRegression", "QuantileRegression", "RandomForest", "XGBoost"]
+
+
+def fit_all(features: DataFrame, news: bool, rf_draws: int | None = None,
+            gbt_draws: int | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Predictions of the four models for all rows after train
+    (with their ``split``) and the best parameters found per series."""
     xcols = PRICE_FEATURES + (NEWS_FEATURES if news else [])
     s = cut_lineage(prepared(features, xcols, news))
+    later = s.filter("split <> 'train'")
     ols = fit_ols(s.filter("split = 'train'"), [SERIES], xcols)
-    p_lr = predict(s.filter("split = 'test'"), ols, [SERIES], xcols)
-    p_qr, _ = median_backtest(features, xcols, news, max_iter=max_iter)
-    p_rf, _ = tree_search(s, "rf", xcols, rf_draws, candidates=rf_candidates)
-    p_gb, _ = tree_search(s, "gbt", xcols, gbt_draws, candidates=gbt_candidates)
-    return {"LinearRegression": p_lr, "QuantileRegression": p_qr, "RandomForest": p_rf,
-            "XGBoost": p_gb}
+    qr = cut_lineage(median_fits(s, xcols))
+    rf, rf_best = tree_search(s, "rf", xcols, rf_draws)
+    gb, gb_best = tree_search(s, "gbt", xcols, gbt_draws)
+    preds = dict(zip(MODELS, (
+        predict(later, ols, [SERIES], xcols),
+        predict(later, qr.select(SERIES, "beta"), [SERIES], xcols), rf, gb)))
+    best = qr.select(SERIES, F.lit(MODELS[1]).alias("model_name"), F.to_json(F.struct(
+        "alpha", "converged")).alias("params"), "cv_mae")
+    for b in (rf_best, gb_best):
+        best = best.unionByName(b)
+    return preds, best
+
+
+def model_predictions(features: DataFrame, news: bool, rf_draws: int | None = None,
+                      gbt_draws: int | None = None) -> dict[str, DataFrame]:
+    """Test-set predictions of the four models on one feature set."""
+    preds, _ = fit_all(features, news, rf_draws, gbt_draws)
+    return {k: p.filter("split = 'test'") for k, p in preds.items()}
 
 
 def run_experiment(features: DataFrame, news: bool, rf_draws: int | None = None,
-                   gbt_draws: int | None = None, max_iter: int = 60,
-                   rf_candidates: list[dict] | None = None,
-                   gbt_candidates: list[dict] | None = None) -> DataFrame:
+                   gbt_draws: int | None = None) -> DataFrame:
     """The four models and their ensemble on one feature set;
     long metrics table (series, model_name, n, mae, rmse)."""
-    preds = model_predictions(features, news, rf_draws, gbt_draws, max_iter,
-                              rf_candidates, gbt_candidates)
-    ens = ensemble(preds)
-    parts = [metrics(p, [SERIES]).withColumn("model_name", F.lit(n)) for n, p in preds.items()]
-    parts.append(metrics(ens, [SERIES]).withColumn("model_name", F.lit("Ensemble")))
+    preds = model_predictions(features, news, rf_draws, gbt_draws)
+    parts = [metrics(p, [SERIES]).withColumn("model_name", F.lit(n))
+             for n, p in {**preds, "Ensemble": ensemble(preds)}.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("experiment", F.lit("B" if news else "A"))
 
 
-def forecast_summary(features: DataFrame, news: bool = False, max_iter: int = 60,
-                     rf_candidates: list[dict] | None = None,
-                     gbt_candidates: list[dict] | None = None) -> DataFrame:
+def forecast_summary(features: DataFrame, news: bool = False, rf_draws: int | None = None,
+                     gbt_draws: int | None = None) -> DataFrame:
     """Each series' newest complete row scored by the four models and
     their equal-weight mean (the fitted models of one experiment)."""
-    xcols = PRICE_FEATURES + (NEWS_FEATURES if news else [])
-    s = cut_lineage(prepared(features, xcols, news))
-    ols = fit_ols(s.filter("split = 'train'"), [SERIES], xcols)
-    _, qr = median_backtest(features, xcols, news, max_iter=max_iter)
-    _, rf = tree_search(s, "rf", xcols, candidates=rf_candidates)
-    _, gb = tree_search(s, "gbt", xcols, candidates=gbt_candidates)
-    latest = (s.groupBy(SERIES).agg(F.max_by(F.struct(*[c for c in s.columns if c != SERIES]),
-                                             "feature_date").alias("r")).select(SERIES, "r.*"))
-    x, _ = assemble(latest, xcols, rf["indexer"])
-    out = predict(x, ols, [SERIES], xcols, "pred_LinearRegression")
-    out = predict(out, qr.select(SERIES, "beta"), [SERIES], xcols, "pred_QuantileRegression")
-    out = rf["model"].setPredictionCol("pred_RandomForest").transform(out)
-    out = gb["model"].setPredictionCol("pred_XGBoost").transform(out)
-    names = ["LinearRegression", "QuantileRegression", "RandomForest", "XGBoost"]
-    total = F.col(f"pred_{names[0]}")
-    for n in names[1:]:
-        total = total + F.col(f"pred_{n}")
-    return out.select(SERIES, "feature_date", "target_date", *[f"pred_{n}" for n in names],
-                      (total / F.lit(4.0)).alias("pred_Ensemble"))
+    preds, _ = fit_all(features, news, rf_draws, gbt_draws)
+    all_rows = ensemble(preds)
+    newest = all_rows.groupBy(SERIES).agg(F.max("feature_date").alias("feature_date"))
+    return all_rows.join(newest, [SERIES, "feature_date"]).select(
+        SERIES, "feature_date", "target_date", *[f"pred_{n}" for n in MODELS],
+        F.col("prediction").alias("pred_Ensemble"))
 
 
 def compare_experiments(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -525,83 +374,69 @@ def compare_experiments(a: DataFrame, b: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Direction classifier and live forecast
 # ---------------------------------------------------------------------------
-def class_weights(train: DataFrame, label: str) -> DataFrame:
-    """'balanced' weights n / (k * n_c); one row per class (bounded by k).
-    The totals are scalar subqueries, not joins."""
-    counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    n = train.select(F.count(F.lit(1))).scalar()
-    k = train.select(F.countDistinct(label)).scalar()
-    return counts.select(label, (n.cast("double") / (k * F.col("_nc"))).alias("class_weight"))
-
-
 def direction_label(col: Column) -> Column:
     """C17."""
     return F.when(col == 1, "UP").when(col == -1, "DOWN").otherwise("FLAT")
 
 
-def direction_and_live(features: DataFrame, max_iter: int = 60):
+def direction_and_live(features: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Price model (median regression) + direction classifier, backtest
     on test and a live forecast from each series' latest complete row.
 
     Returns (backtest rows, metrics per series, live forecast per series).
+    Series with fewer than ``MIN_LABELLED_ROWS`` labelled rows are left out;
+    it is an error if none has enough, or none has a row to forecast from (C7).
     """
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.functions import vector_to_array
     xcols = PRICE_FEATURES + NEWS_FEATURES
     df = with_news_filled(coerce(features, xcols + TARGETS + ["close_price"]))
     labelled = complete_cases(df, xcols, TARGETS)
-    n_lab = labelled.count()
-    if n_lab < MIN_LABELLED_ROWS:                                  # C7
-        raise ValueError(f"Not enough labelled rows to train safely. Found {n_lab} rows.")
-    live = live_candidates(df, xcols)
-    s = cut_lineage(chronological_split(labelled)
-                    .withColumn("label", (F.col("target_direction_next_day") + 1).cast("double")))
-    train = s.filter("split = 'train'")
-    cw = class_weights(train, "label")
-    x, indexer = assemble(s.join(F.broadcast(cw), "label", "left"), xcols)
-    clf = RandomForestClassifier(labelCol="label", featuresCol="features",
-                                 weightCol="class_weight", **DIRECTION_RF)
-    model = clf.fit(x.filter("split = 'train'"))
-    # price model: median regression with CV over alpha, refit on full train
-    p_price, params = median_backtest(features.join(labelled.select(SERIES, "feature_date"),
-                                                    [SERIES, "feature_date"], "left_semi"),
-                                      xcols, news=True, max_iter=max_iter)
-    test = model.transform(x.filter("split = 'test'"))
-    test = test.select(
-        SERIES, "feature_date", "close_price", "target_direction_next_day",
-        (F.col("prediction") - 1).cast("int").alias("predicted_direction"),
-        F.array_max(vector_to_array("probability")).alias("direction_confidence"))
-    bt = (test.join(p_price.select(SERIES, "feature_date", "target_date", TARGET,
-                                   F.col("prediction").alias("predicted_close")),
-                    [SERIES, "feature_date"])
-          .withColumn("predicted_return_1d",
-                      F.try_divide(F.col("predicted_close"), F.col("close_price")) - 1))
+    enough = labelled.groupBy(SERIES).agg(F.count(F.lit(1)).alias("_n")).where(
+        F.col("_n") >= MIN_LABELLED_ROWS).select(SERIES)
+    s = cut_lineage(chronological_split(labelled.join(enough, SERIES, "left_semi")))
+    if s.isEmpty():
+        raise ValueError(f"no series has {MIN_LABELLED_ROWS} labelled rows or more")
+    # newest complete row per series (G2), scored by both models
+    live = live_candidates(df, xcols).join(enough, SERIES, "left_semi")
+    live = live.groupBy(SERIES).agg(F.max_by(F.struct(*[c for c in live.columns if c != SERIES]),
+                                             "feature_date").alias("r")).select(SERIES, "r.*")
+    live = cut_lineage(live.withColumn("split", F.lit("live")))
+    if live.isEmpty():
+        raise ValueError("no series has a complete row to forecast from")
+    label = "target_direction_next_day"
+    both = s.select(SERIES, "feature_date", "split", *xcols, label).unionByName(
+        live.select(SERIES, "feature_date", "split", *xcols, label))
+    clf = dict(DIRECTION_FOREST)
+    direction = cut_lineage(both.groupBy(SERIES).applyInPandas(
+        lambda pdf: G.direction_rows(pdf, SERIES, xcols, label, **clf),
+        f"{SERIES} string, feature_date date, split string, predicted_direction int, "
+        "confidence double"))
+    fits = cut_lineage(median_fits(s, xcols))
+    keys = [SERIES, "feature_date"]
+    test = predict(s.filter("split = 'test'"), fits.select(SERIES, "beta"), [SERIES], xcols,
+                   "predicted_close")
+    bt = test.join(direction.filter("split = 'test'").drop("split"), keys).select(
+        *keys, "target_date", "close_price", TARGET, label, "predicted_close",
+        "predicted_direction", F.col("confidence").alias("direction_confidence"),
+        (F.try_divide(F.col("predicted_close"), F.col("close_price")) - 1)
+        .alias("predicted_return_1d"))
     e = F.col("predicted_close") - F.col(TARGET)
     met = bt.groupBy(SERIES).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
-        F.avg((F.col("predicted_direction") == F.col("target_direction_next_day"))
-              .cast("double")).alias("directional_accuracy"))
-    # live: newest complete row per series (G2), scored by both models
-    latest = (live.groupBy(SERIES).agg(F.max_by(F.struct(*[c for c in live.columns
-                                                           if c != SERIES]),
-                                                "feature_date").alias("r"))
-              .select(SERIES, "r.*"))
-    lx, _ = assemble(latest, xcols, indexer)
-    lv = model.transform(lx).select(
-        SERIES, "feature_date", "target_date", "close_price", *xcols,
-        (F.col("prediction") - 1).cast("int").alias("predicted_direction"),
-        F.array_max(vector_to_array("probability")).alias("confidence_score"))
-    lv = predict(lv, params.select(SERIES, "beta"), [SERIES], xcols, "predicted_close")
+        F.avg((F.col("predicted_direction") == F.col(label)).cast("double"))
+        .alias("directional_accuracy"))
+    lv = predict(live, fits.select(SERIES, "beta"), [SERIES], xcols, "predicted_close").join(
+        direction.filter("split = 'live'").select(
+            *keys, "predicted_direction", F.col("confidence").alias("confidence_score")), keys)
     return bt, met, lv
 
 
-def live_forecast(features: DataFrame, max_iter: int = 60) -> DataFrame:
+def live_forecast(features: DataFrame) -> DataFrame:
     """K14 live part: price from the median model refit, direction with its
     confidence, the implied return (I18) and the forecast date (I17: next
     business day when the row has no next trading day)."""
     from ..operators.windows import next_business_day
-    _, _, lv = direction_and_live(features, max_iter)
+    _, _, lv = direction_and_live(features)
     return lv.select(
         SERIES, "feature_date",
         F.coalesce("target_date", next_business_day(F.col("feature_date")))

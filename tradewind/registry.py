@@ -482,33 +482,23 @@ def q_median_regression(spark, d):
     return p.select("benchmark_code", "feature_date", "target_date", M.TARGET, "prediction")
 
 
-# Registered tree checks fit one explicit point of each reference grid (the
-# cheapest); the full seeded searches (12 / 15 draws x 3 folds) are the
-# library defaults and take hours on one machine with Spark ML.
-REGISTERED_RF = [{"n_estimators": 100, "max_depth": 4, "min_samples_leaf": 2,
-                  "min_samples_split": 2}]
-REGISTERED_GBT = [{"n_estimators": 100, "max_depth": 2, "learning_rate": 0.1,
-                   "subsample": 1.0, "colsample_bytree": 1.0}]
-
-
 def q_rf_backtest(spark, d):
     M = _mo()
     s = M.prepared(_feats(spark, d), M.PRICE_FEATURES, news=False)
-    p, _ = M.tree_search(s, "rf", M.PRICE_FEATURES, candidates=REGISTERED_RF)
-    return p.select("benchmark_code", "feature_date", "target_date", M.TARGET, "prediction")
+    p, _ = M.tree_search(s, "rf", M.PRICE_FEATURES)
+    return p.filter("split = 'test'").select("benchmark_code", "feature_date", "target_date", M.TARGET, "prediction")
 
 
 def q_gbt_backtest(spark, d):
     M = _mo()
     s = M.prepared(_feats(spark, d), M.PRICE_FEATURES, news=False)
-    p, _ = M.tree_search(s, "gbt", M.PRICE_FEATURES, candidates=REGISTERED_GBT)
-    return p.select("benchmark_code", "feature_date", "target_date", M.TARGET, "prediction")
+    p, _ = M.tree_search(s, "gbt", M.PRICE_FEATURES)
+    return p.filter("split = 'test'").select("benchmark_code", "feature_date", "target_date", M.TARGET, "prediction")
 
 
 def q_ensemble_backtest(spark, d):
     M = _mo()
-    preds = M.model_predictions(_feats(spark, d), False, rf_candidates=REGISTERED_RF,
-                                gbt_candidates=REGISTERED_GBT)
+    preds = M.model_predictions(_feats(spark, d), False)
     return M.ensemble(preds).select("benchmark_code", "feature_date", "target_date", M.TARGET,
                                     *[f"pred_{n}" for n in preds], "prediction")
 
@@ -516,15 +506,21 @@ def q_ensemble_backtest(spark, d):
 def q_experiment_compare(spark, d):
     M = _mo()
     f = _feats(spark, d)
-    a = M.run_experiment(f, False, rf_candidates=REGISTERED_RF, gbt_candidates=REGISTERED_GBT)
-    b = M.run_experiment(f, True, rf_candidates=REGISTERED_RF, gbt_candidates=REGISTERED_GBT)
+    a = M.run_experiment(f, False)
+    b = M.run_experiment(f, True)
     return M.compare_experiments(a, b)
 
 
 def q_forecast_summary(spark, d):
     M = _mo()
-    return M.forecast_summary(_feats(spark, d), rf_candidates=REGISTERED_RF,
-                              gbt_candidates=REGISTERED_GBT)
+    return M.forecast_summary(_feats(spark, d))
+
+
+def q_best_parameters(spark, d):
+    """The parameters that the searches chose, with their CV MAE."""
+    M = _mo()
+    return M.fit_all(_feats(spark, d), False)[1].select(
+        "benchmark_code", "model_name", "params", "cv_mae")
 
 
 def q_direction_backtest(spark, d):
@@ -620,6 +616,7 @@ QUERIES: dict[str, Query] = {
     "ts_cv_folds": q_ts_cv_folds,
     "ols_backtest": q_ols_backtest,
     "median_regression": q_median_regression,
+    "best_parameters": q_best_parameters,
     "serve_price_trend": q_serve_price_trend,
     "serve_daily_counts": q_serve_daily_counts,
     "serve_sentiment": q_serve_sentiment,

@@ -44,8 +44,9 @@ def get_spark(master: str | None = None, app: str = "tradewind",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is
-    unset (local tests) fall back to a fresh scratch folder."""
+    """Use the cluster's shared ``spark.checkpoint.dir``.  Only a local master
+    (tests) may leave it unset and gets a fresh scratch folder: on a cluster
+    executors would not see a folder of the driver's machine."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tradewind-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

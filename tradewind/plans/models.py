@@ -331,34 +331,23 @@ def fit_all(features: DataFrame, news: bool, rf_draws: int | None = None,
     return preds, best
 
 
-def model_predictions(features: DataFrame, news: bool, rf_draws: int | None = None,
-                      gbt_draws: int | None = None) -> dict[str, DataFrame]:
-    """Test-set predictions of the four models on one feature set."""
-    preds, _ = fit_all(features, news, rf_draws, gbt_draws)
-    return {k: p.filter("split = 'test'") for k, p in preds.items()}
-
-
-def run_experiment(features: DataFrame, news: bool, rf_draws: int | None = None,
-                   gbt_draws: int | None = None) -> DataFrame:
-    """The four models and their ensemble on one feature set;
-    long metrics table (series, model_name, n, mae, rmse)."""
-    preds = model_predictions(features, news, rf_draws, gbt_draws)
+def experiment_metrics(preds: dict[str, DataFrame]) -> DataFrame:
+    """The four models and their ensemble on one feature set; long
+    metrics table (series, model_name, n, mae, rmse)."""
     parts = [metrics(p, [SERIES]).withColumn("model_name", F.lit(n))
              for n, p in {**preds, "Ensemble": ensemble(preds)}.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("experiment", F.lit("B" if news else "A"))
+    return out
 
 
-def forecast_summary(features: DataFrame, news: bool = False, rf_draws: int | None = None,
-                     gbt_draws: int | None = None) -> DataFrame:
+def newest_forecast(preds: dict[str, DataFrame]) -> DataFrame:
     """Each series' newest complete row scored by the four models and
-    their equal-weight mean (the fitted models of one experiment)."""
-    preds, _ = fit_all(features, news, rf_draws, gbt_draws)
-    all_rows = ensemble(preds)
-    newest = all_rows.groupBy(SERIES).agg(F.max("feature_date").alias("feature_date"))
-    return all_rows.join(newest, [SERIES, "feature_date"]).select(
+    their equal-weight mean."""
+    rows = ensemble(preds)
+    newest = rows.groupBy(SERIES).agg(F.max("feature_date").alias("feature_date"))
+    return rows.join(newest, [SERIES, "feature_date"]).select(
         SERIES, "feature_date", "target_date", *[f"pred_{n}" for n in MODELS],
         F.col("prediction").alias("pred_Ensemble"))
 

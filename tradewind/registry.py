@@ -482,44 +482,64 @@ def q_median_regression(spark, d):
     return p.select("benchmark_code", "feature_date", "target_date", M.TARGET, "prediction")
 
 
-def q_rf_backtest(spark, d):
+def _experiment(spark, d, news):
+    """One run of K10/K11 per session and table folder: its predictions and
+    parameters are stored, as the reference's registry keeps them."""
+    import hashlib
+    from .session import scratch_path
     M = _mo()
-    s = M.prepared(_feats(spark, d), M.PRICE_FEATURES, news=False)
-    p, _ = M.tree_search(s, "rf", M.PRICE_FEATURES)
-    return p.filter("split = 'test'").select("benchmark_code", "feature_date", "target_date", M.TARGET, "prediction")
+    key = f"tradewind.experiment.{hashlib.sha1(d.encode()).hexdigest()[:10]}.{int(news)}"
+    path = spark.conf.get(key, None)
+    if path is None:
+        import uuid
+        path = scratch_path(spark, f"experiment-{uuid.uuid4().hex[:8]}")
+        preds, best = M.fit_all(_feats(spark, d), news)
+        for name, p in preds.items():
+            p.write.parquet(f"{path}/predictions/model_name={name}")
+        best.write.parquet(f"{path}/parameters")
+        spark.conf.set(key, path)
+    preds = {n: spark.read.parquet(f"{path}/predictions/model_name={n}") for n in M.MODELS}
+    return preds, spark.read.parquet(f"{path}/parameters")
+
+
+def _test_rows(preds):
+    return {n: p.filter("split = 'test'") for n, p in preds.items()}
+
+
+def _backtest(spark, d, name):
+    p = _test_rows(_experiment(spark, d, False)[0])[name]
+    return p.select("benchmark_code", "feature_date", "target_date", _mo().TARGET, "prediction")
+
+
+def q_rf_backtest(spark, d):
+    return _backtest(spark, d, "RandomForest")
 
 
 def q_gbt_backtest(spark, d):
-    M = _mo()
-    s = M.prepared(_feats(spark, d), M.PRICE_FEATURES, news=False)
-    p, _ = M.tree_search(s, "gbt", M.PRICE_FEATURES)
-    return p.filter("split = 'test'").select("benchmark_code", "feature_date", "target_date", M.TARGET, "prediction")
+    return _backtest(spark, d, "XGBoost")
 
 
 def q_ensemble_backtest(spark, d):
     M = _mo()
-    preds = M.model_predictions(_feats(spark, d), False)
+    preds = _test_rows(_experiment(spark, d, False)[0])
     return M.ensemble(preds).select("benchmark_code", "feature_date", "target_date", M.TARGET,
                                     *[f"pred_{n}" for n in preds], "prediction")
 
 
 def q_experiment_compare(spark, d):
     M = _mo()
-    f = _feats(spark, d)
-    a = M.run_experiment(f, False)
-    b = M.run_experiment(f, True)
+    a, b = (M.experiment_metrics(_test_rows(_experiment(spark, d, news)[0]))
+            for news in (False, True))
     return M.compare_experiments(a, b)
 
 
 def q_forecast_summary(spark, d):
-    M = _mo()
-    return M.forecast_summary(_feats(spark, d))
+    return _mo().newest_forecast(_experiment(spark, d, False)[0])
 
 
 def q_best_parameters(spark, d):
     """The parameters that the searches chose, with their CV MAE."""
-    M = _mo()
-    return M.fit_all(_feats(spark, d), False)[1].select(
+    return _experiment(spark, d, False)[1].select(
         "benchmark_code", "model_name", "params", "cv_mae")
 
 

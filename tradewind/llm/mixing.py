@@ -45,19 +45,19 @@ def apportion(parties: DataFrame, group: list[str], order: list[str]) -> DataFra
     p * parties / 2 + 1 seats, so only these quotients are ranked.
     """
     w = Window.partitionBy(*group)
-    near = (parties.withColumn("p", F.col("weight") / F.sum("weight").over(w))
-            .withColumn("reach", F.ceil(F.col("p") * F.count("*").over(w) / 2) + 2)
-            .withColumn("base", F.greatest(
-                F.lit(0), F.floor(F.col("p") * F.col("total") + 0.5) - F.col("reach")))
-            .withColumn("left", F.col("total") - F.sum("base").over(w)))
-    ranked = near.select(*group, *order, "weight", "left", F.explode(F.sequence(
-        F.col("base"), F.col("base") + 2 * F.col("reach"))).alias("k")).withColumn(
-        "rank", F.row_number().over(w.orderBy(
-            F.desc(F.col("weight") / (2 * F.col("k") + 1)), *order)))
-    won = ranked.where("rank <= left").groupBy(*group, *order).agg(F.count("*").alias("won"))
+    near = (parties.withColumn("_p", F.col("weight") / F.sum("weight").over(w))
+            .withColumn("_reach", F.ceil(F.col("_p") * F.count("*").over(w) / 2) + 2)
+            .withColumn("_base", F.greatest(
+                F.lit(0), F.floor(F.col("_p") * F.col("total") + 0.5) - F.col("_reach")))
+            .withColumn("_left", F.col("total") - F.sum("_base").over(w)))
+    ranked = near.select(*group, *order, "weight", "_left", F.explode(F.sequence(
+        F.col("_base"), F.col("_base") + 2 * F.col("_reach"))).alias("_k")).withColumn(
+        "_rank", F.row_number().over(w.orderBy(
+            F.desc(F.col("weight") / (2 * F.col("_k") + 1)), *order)))
+    won = ranked.where("_rank <= _left").groupBy(*group, *order).agg(F.count("*").alias("_won"))
     return near.join(won, [*group, *order], "left").withColumn(
-        "seats", F.coalesce(F.col("base") + F.coalesce("won", F.lit(0)), F.lit(0))).drop(
-        "p", "reach", "base", "left", "won")
+        "seats", F.coalesce(F.col("_base") + F.coalesce("_won", F.lit(0)), F.lit(0))).drop(
+        "_p", "_reach", "_base", "_left", "_won")
 
 
 def targets(sources: DataFrame) -> DataFrame:

@@ -233,13 +233,14 @@ def _pick(off, ids, rows):
     return np.concatenate([[0], np.cumsum(n)]), ids[at]
 
 
-def co_train(views: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, held: np.ndarray,
-             rounds: int = ROUNDS) -> list[tuple[Linear, float, float]]:
+def co_train(views: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, train: np.ndarray,
+             held: np.ndarray, rounds: int = ROUNDS) -> list[tuple[Linear, float, float]]:
     """Fitted and calibrated (classifier, a, c) of each view.
 
-    ``y`` is 1, 0 or -1 (pool); ``held`` marks labelled rows kept for calibration.
+    ``y`` is 1, 0 or -1 (pool); ``train`` marks the labelled rows that are
+    fitted on, ``held`` those that calibrate.
     """
-    guess = [np.where((y >= 0) & ~held, y, -1) for _ in views]
+    guess = [np.where(train, y, -1) for _ in views]
     pool = y < 0
     prior = y[y >= 0].mean()
     out: list = []
@@ -273,13 +274,14 @@ def fit_views(sample: pa.Table) -> list[tuple[Linear, float, float]] | float:
     off = np.concatenate([[0], np.cumsum([len(x) // 4 for x in sample.column("ids").to_pylist()])])
     ids = np.frombuffer(b"".join(sample.column("ids").to_pylist()), np.int32)
     meta = meta_view(*(sample.column(c).to_pylist() for c in ("source", "lang", "n_chars")))
-    # every fifth labelled row of each class calibrates; with too few, all do
+    # every fifth labelled row of each class calibrates; with too few, all do both
     held = np.zeros(len(y), bool)
     for label in (0, 1):
         held[np.flatnonzero(y == label)[::5]] = True
-    if min((y[known & ~held] == 0).sum(), (y[known & ~held] == 1).sum()) == 0:
-        held[:] = False
-    return co_train([(off, ids), meta], y, held if held.any() else known)
+    train = known & ~held
+    if len(np.unique(y[train])) < 2:
+        train = held = known
+    return co_train([(off, ids), meta], y, train, held)
 
 
 def _features(batches):

@@ -95,6 +95,7 @@ def line_dedup(documents: DataFrame) -> DataFrame:
     removed = stored(places.select(place.alias("place"), "h", F.sha2("body", 256).alias("sha")).join(
         first, ["h", "sha"]).where("place <> owner").groupBy(
         "place.doc_id", "place.tag").agg(F.collect_set("place.at").alias("gone")))
-    whole = docs.alias("d").join(removed.alias("r"), F.expr(
+    # one plan at every size: the texts move once
+    whole = docs.alias("d").join(removed.alias("r").hint("merge"), F.expr(
         "d.doc_id <=> r.doc_id and d.tag = r.tag"), "left").select("d.doc_id", "text", "gone")
     return whole.mapInArrow(_rebuild, "doc_id long, n_lines long, n_removed long, text string")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewind.io import table
-from tradewind.llm.common import WORD
+from tradewind.llm.common import WORD, broadcast_if
 from tradewind.llm.decontaminate import decontaminate
 from tradewind.llm.mixing import mix_sources, word_count
 from tradewind.llm.ngram_join import ngram_join
@@ -32,13 +32,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: one document of each group stays, the smallest doc_id."""
     kept = ngram_join(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    # one plan at every size: the ids grow with the documents
+    return docs.join(kept.hint("merge"), docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: contaminated documents go."""
     hit = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(
         "doc_id", "tag").distinct()
+    hit = broadcast_if(hit, 50_000)
     tagged = docs.withColumn("_tag", F.xxhash64("text"))
     return tagged.join(hit, tagged["doc_id"].eqNullSafe(hit["doc_id"]) & (
         tagged["_tag"] == hit["tag"]), "left_anti").drop("_tag")
@@ -52,7 +54,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = docs.withColumn("_key", F.xxhash64("text"))
     # repeated rows get one entry each
     nth = F.row_number().over(Window.partitionBy("doc_id", "_key").orderBy("_key"))
-    met = keyed.join(takes.withColumnRenamed("doc_id", "_id"), keyed["doc_id"].eqNullSafe(
+    met = keyed.join(takes.withColumnRenamed("doc_id", "_id").hint("merge"), keyed["doc_id"].eqNullSafe(
         F.col("_id")) & (F.col("_key") == F.col("text_key"))).withColumn(
         "_take", F.get("_takes", nth - 1)).where("_take > 0").withColumn(
         "_size", word_count(F.col("text")))

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from .common import mix64, stored, tokenize
 from .packed import sized
 
-LABELLED, POOL = 12_000, 6_000
+LABELLED, POOL = 10_000, 5_000
 ROUNDS = 3
 #: Calibrated probability from which a view's opinion becomes a pseudo-label.
 SURE = 0.97
@@ -265,14 +265,32 @@ def co_train(views: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, train: n
     return out
 
 
+def telling(rows: list[np.ndarray], y: np.ndarray, train: np.ndarray, least: int = 5,
+            apart: float = 2.5, step: int = 500) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, feature ids) of the rows, only features that tell the classes
+    apart on the training rows; works through the rows in small steps."""
+    seen, pos = np.zeros(DIM, np.int32), np.zeros(DIM, np.int32)
+    at = np.flatnonzero(train)
+    for lo in range(0, len(at), step):
+        part = at[lo:lo + step]
+        for total, some in ((seen, part), (pos, part[y[part] > 0])):
+            if len(some):
+                np.add.at(total, np.concatenate([rows[i] for i in some]), 1)
+    base = y[train].mean()
+    with np.errstate(invalid="ignore"):
+        z = np.abs(pos - seen * base) / np.sqrt(seen * base * (1 - base) + 1e-9)
+    keep = (seen >= least) & (z >= apart)
+    kept = [r[keep[r]] for r in rows]
+    return np.concatenate([[0], np.cumsum([len(k) for k in kept])]), np.concatenate(
+        [np.empty(0, np.int32), *kept])
+
+
 def fit_views(sample: pa.Table) -> list[tuple[Linear, float, float]] | float:
     """Classifiers from the sample, or the score of all if it has one class."""
     y = sample.column("y").to_numpy().astype(np.int64)
     known = y >= 0
     if not known.any() or y[known].min() == y[known].max():
         return float(y[known].mean()) if known.any() else 1.0
-    off = np.concatenate([[0], np.cumsum([len(x) // 4 for x in sample.column("ids").to_pylist()])])
-    ids = np.frombuffer(b"".join(sample.column("ids").to_pylist()), np.int32)
     meta = meta_view(*(sample.column(c).to_pylist() for c in ("source", "lang", "n_chars")))
     # every fifth labelled row of each class calibrates; with too few, all do both
     held = np.zeros(len(y), bool)
@@ -281,7 +299,8 @@ def fit_views(sample: pa.Table) -> list[tuple[Linear, float, float]] | float:
     train = known & ~held
     if len(np.unique(y[train])) < 2:
         train = held = known
-    return co_train([(off, ids), meta], y, train, held)
+    rows = [np.frombuffer(x.as_buffer(), np.int32) for c in sample.column("ids").chunks for x in c]
+    return co_train([telling(rows, y, train), meta], y, train, held)
 
 
 def _features(batches):

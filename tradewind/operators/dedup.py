@@ -26,32 +26,40 @@ def first_wins_two_keys(batch: DataFrame, order_col: str, key1: str, key2: str,
     """Rows of ``batch`` that sequential insertion would accept.
 
     ``order_col`` is a unique, totally ordered row position; ``key1`` must be
-    non-null (the url hash); a null ``key2`` takes part in key1 only.
+    non-null (the url hash); a null ``key2`` takes part in key1 only.  The
+    rounds see keys only, and only of rows that share one with another row;
+    the payload is joined back once.
     """
-    cols = batch.columns
-    remaining = cut_lineage(batch)
-    accepted = None
+    keys = cut_lineage(batch.select(F.col(order_col).alias("_o"), F.col(key1).alias("_k1"),
+                                    F.col(key2).alias("_k2")))
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        """The earliest and the number of rows of both keys."""
+        one = rows.groupBy("_k1").agg(F.min("_o").alias("_m1"), F.count("*").alias("_n1"))
+        two = rows.where("_k2 is not null").groupBy("_k2").agg(
+            F.min("_o").alias("_m2"), F.count("*").alias("_n2"))
+        rows = rows.join(one, "_k1")
+        # null second keys stay out of the join: they would all meet in one task
+        return rows.where("_k2 is not null").join(two, "_k2").select(
+            "_o", "_k1", "_k2", "_m1", "_n1", "_m2", "_n2").unionByName(
+            rows.where("_k2 is null").select(
+                "_o", "_k1", "_k2", "_m1", "_n1", F.col("_o").alias("_m2"),
+                F.lit(1).cast("long").alias("_n2")))
+
+    marked = cut_lineage(ranked(keys))
+    accepted = marked.where("_n1 = 1 and _n2 = 1").select("_o")
+    remaining = marked.where("_n1 > 1 or _n2 > 1").select("_o", "_k1", "_k2")
     rounds = 0
-    while True:
+    while not remaining.isEmpty():
         rounds += 1
-        m1 = remaining.groupBy(key1).agg(F.min(order_col).alias("_m1"))
-        m2 = (remaining.filter(F.col(key2).isNotNull())
-              .groupBy(key2).agg(F.min(order_col).alias("_m2")))
-        cand = (remaining.join(m1, key1).join(m2, key2, "left")
-                .filter((F.col(order_col) == F.col("_m1"))
-                        & (F.col(key2).isNull() | (F.col(order_col) == F.col("_m2"))))
-                .select(*cols))
-        winners = cut_lineage(cand)
-        if winners.isEmpty():
-            break
-        accepted = winners if accepted is None else accepted.unionByName(winners)
-        k1 = winners.select(key1).distinct()
-        k2 = winners.select(key2).filter(F.col(key2).isNotNull()).distinct()
-        remaining = cut_lineage(remaining.join(k1, key1, "left_anti").join(k2, key2, "left_anti"))
-        if remaining.isEmpty():
-            break
-        if max_rounds is not None and rounds >= max_rounds:
+        if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"first_wins_two_keys did not settle in {max_rounds} rounds")
-    if accepted is None:
-        return batch.filter(F.lit(False))
-    return accepted
+        winners = cut_lineage(ranked(remaining).where("_o = _m1 and _o = _m2").select(
+            "_o", "_k1", "_k2"))
+        accepted = accepted.unionByName(winners.select("_o"))
+        rest = remaining.join(winners.select("_k1"), "_k1", "left_anti")
+        lost = winners.where("_k2 is not null").select("_k2")
+        remaining = cut_lineage(rest.where("_k2 is not null").join(lost, "_k2", "left_anti")
+                                .select("_o", "_k1", "_k2").unionByName(
+            rest.where("_k2 is null").select("_o", "_k1", "_k2")))
+    return batch.join(accepted, batch[order_col] == accepted["_o"], "left_semi")

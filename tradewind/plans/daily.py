@@ -1,74 +1,167 @@
-"""The daily run (L7): every stage as a DataFrame job, tables written at the
-edges, in the reference's stage order.  Returns one summary row per stage.
+"""The daily run (L7): every stage as a DataFrame job on the tables the previous
+stages wrote, in the reference's stage order.  Returns one row per stage.
 
-Stage tables live under ``root`` (shared storage); each stage reads what the
-previous one wrote, so a failed run resumes from the last written table.
+Tables live under ``root`` (shared storage) in numbered versions: a stage
+writes ``v=<n+1>`` and readers take the newest complete version, so a crash
+leaves the last version in place and nothing is rewritten.  Running twice on
+the same root inserts nothing new and upserts the same rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import bindings as B
 from ..io import table
+from ..numerics import rnd
 from ..operators import aggregates as AG
 from ..operators.dedup import first_wins_two_keys
-from ..operators.sinks import upsert
+from ..operators.sinks import pending_rows, stamped, upsert
 from ..operators.topics import topic_rows
+from ..operators.windows import next_business_day
 from ..session import path_exists
 from ..sources.dimensions import Lexicon, Taxonomy
 from ..sources.feeds import ingest
 from ..sources.prices import validate_price_history
 from . import articles as AR
 from . import features as FE
+from . import models as MD
 from . import monitor as MO
 from . import registry_m as RM
 
+LIVE_MODEL = "NextDayForecast"
+
+
+def newest_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest complete version of a table, 0 if there is none."""
+    if not path_exists(spark, path):
+        return 0
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath() for st in fs.listStatus(p)]
+    done = [int(n.getName()[2:]) for n in names if n.getName().startswith("v=")
+            and fs.exists(jvm.org.apache.hadoop.fs.Path(n, "_SUCCESS"))]
+    return max(done, default=0)
+
+
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    n = newest_version(spark, path)
+    return spark.read.parquet(f"{path}/v={n}") if n else None
+
+
+def commit(df: DataFrame, path: str) -> DataFrame:
+    spark = df.sparkSession
+    n = newest_version(spark, path) + 1
+    df.write.mode("overwrite").parquet(f"{path}/v={n}")
+    return spark.read.parquet(f"{path}/v={n}")
+
+
+def _upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: list[str]) -> DataFrame:
+    cur = current(spark, path)
+    return commit(updates if cur is None else upsert(cur, updates, keys), path)
+
+
+def _append_table(spark: SparkSession, path: str, rows: DataFrame, key: str) -> DataFrame:
+    """Appends the rows whose key the table does not hold."""
+    cur = current(spark, path)
+    if cur is None:
+        return commit(rows, path)
+    fresh = rows.join(cur.select(key), key, "left_anti").select(*cur.columns)
+    return commit(cur.unionByName(fresh), path)
+
+
+def insert_articles(spark: SparkSession, root: str, items: DataFrame) -> DataFrame:
+    """B1/B2: the offered items that neither key has seen, first wins; each
+    gets an id and a pending entry in the processing queue."""
+    path = f"{root}/articles_raw"
+    keyed = items.withColumns({
+        "_gk": F.when(F.col("external_guid").isNotNull(),
+                      F.concat_ws("\u0001", "source_id", "external_guid")),
+        "_ord": F.struct("source_id", "feed_file", "position")})
+    held = current(spark, path)
+    if held is not None:
+        seen = held.select(F.concat_ws("\u0001", "source_id", "external_guid").alias("_gk")) \
+            .where("external_guid is not null")
+        keyed = keyed.join(held.select("url_hash"), "url_hash", "left_anti").join(
+            seen, "_gk", "left_anti")
+    new = first_wins_two_keys(keyed, "_ord", "url_hash", "_gk").drop("_gk", "_ord").withColumn(
+        "article_id", F.xxhash64("url_hash"))
+    new = stamped(new, "created_at")
+    raw = commit(new if held is None else held.unionByName(new.select(*held.columns)), path)
+    queue = current(spark, f"{root}/processing_queue")
+    waiting = pending_rows(raw) if queue is None else pending_rows(
+        raw.join(queue.select("article_id"), "article_id", "left_anti"))
+    waiting = waiting.withColumn("notes", F.lit(None).cast("string"))
+    commit(waiting if queue is None else queue.unionByName(waiting), f"{root}/processing_queue")
+    return raw
+
 
-def _write(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def process_pending(spark: SparkSession, root: str, raw: DataFrame, taxonomy: Taxonomy,
+                    lexicon: Lexicon) -> DataFrame:
+    """Scores the pending articles, appends their rows and moves
+    their queue entries to processed or failed."""
+    queue = current(spark, f"{root}/processing_queue")
+    todo = AR.pending(raw, queue)
+    scored = AR.score_articles(todo, taxonomy, lexicon)
+    narrow = AR.persisted_scores(scored, taxonomy)
+    path = f"{root}/articles_processed"
+    held = current(spark, path)
+    done = commit(narrow if held is None else held.unionByName(narrow.select(*held.columns)), path)
+    status = narrow.select("article_id", "processing_status", F.when(
+        F.col("processing_status") == "failed", F.lit(AR.FAILED_NOTE)).alias("notes"))
+    commit(upsert(queue, status, ["article_id"]), f"{root}/processing_queue")
+    return done
 
 
-def _upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: list[str]
-                  ) -> DataFrame:
-    """Upsert through a new version folder (Parquet cannot be rewritten in place
-    while read), then expose the new version."""
-    cur = spark.read.parquet(path + "/current") if path_exists(spark, path + "/current") \
-        else None
-    merged = updates if cur is None else upsert(cur, updates, keys)
-    merged.write.mode("overwrite").parquet(path + "/next")
-    nxt = spark.read.parquet(path + "/next")
-    nxt.write.mode("overwrite").parquet(path + "/current")
-    return spark.read.parquet(path + "/current")
+def register_forecasts(spark: SparkSession, root: str, feats: DataFrame, as_of: str
+                       ) -> tuple[DataFrame, DataFrame]:
+    """Fits the next-day models, registers one run per series, its
+    backtest predictions, and the live row (flag false, no actual yet)."""
+    bt, met, live = MD.direction_and_live(feats)
+    run = F.pmod(F.xxhash64("benchmark_code", F.lit(as_of)), F.lit(10 ** 9)) + 10 ** 9
+    runs = met.select(
+        run.alias("model_run_id"), "benchmark_code", F.lit(LIVE_MODEL).alias("model_name"),
+        F.lit(as_of).alias("model_version"), F.lit(as_of).cast("timestamp").alias("finished_at"))
+    shape = lambda df, target, actual, flag: df.select(
+        F.xxhash64("benchmark_code", "feature_date", F.lit(as_of), F.lit(flag))
+        .alias("prediction_id"), run.alias("model_run_id"), "benchmark_code", "feature_date",
+        target.alias("prediction_for_date"), rnd(F.col("predicted_close"), 4).alias("predicted_close"),
+        actual.alias("actual_close"), F.lit(flag).alias("is_backtest"))
+    rows = shape(bt, F.col("target_date"), F.col(MD.TARGET), True).unionByName(shape(
+        live, F.coalesce("target_date", next_business_day(F.col("feature_date"))),
+        F.lit(None).cast("double"), False))
+    runs = _append_table(spark, f"{root}/model_runs", RM.model_runs(feats).unionByName(runs),
+                         "model_run_id")
+    preds = _append_table(spark, f"{root}/predictions", RM.predictions(feats).unionByName(rows),
+                          "prediction_id")
+    return runs, preds
 
 
 def run_daily(spark: SparkSession, sf_dir: str, root: str, landing: str,
-              taxonomy: Taxonomy, lexicon: Lexicon, as_of: str = RM.AS_OF) -> DataFrame:
+              taxonomy: Taxonomy, lexicon: Lexicon, as_of: str = RM.AS_OF,
+              retrain: Callable[[DataFrame, bool], object] | None = None) -> DataFrame:
+    """``retrain(features, news)`` is called for each group that the monitoring
+    sends to retraining (default: the whole experiment of that feature set)."""
     out = []
     # 1 prices: upsert the day's price history
     prices = _upsert_table(spark, f"{root}/prices",
                            validate_price_history(B.price_series(table(spark, sf_dir, "orders"))),
                            ["benchmark_code", "price_date"])
     out.append(("prices", prices.count()))
-    # 2 articles: landed feeds, two-key first-wins insertion (A1-A4, B1)
+    # 2 articles: landed feeds, two-key first-wins insertion, queue (A1-A4, B1, B2)
     sources = B.source_registry(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
-    items = ingest(spark, sources, landing)
-    keyed = items.select("*", F.concat_ws("\u0001", "source_id", "external_guid").alias("_gk"),
-                         F.struct("source_id", "feed_file", "position").alias("_ord"))
-    keyed = keyed.withColumn("_gk", F.when(F.col("external_guid").isNotNull(), F.col("_gk")))
-    raw = _write(first_wins_two_keys(keyed, "_ord", "url_hash", "_gk")
-                 .drop("_gk", "_ord"), f"{root}/articles_raw")
+    raw = insert_articles(spark, root, ingest(spark, sources, landing))
     out.append(("articles_raw", raw.count()))
-    # 3 scoring: text scores of the documents' articles
-    scored = AR.persisted_scores(
-        AR.score_articles(B.articles(table(spark, sf_dir, "documents")), taxonomy, lexicon),
-        taxonomy)
+    # 3 scoring of what was ingested and still waits
+    scored = process_pending(spark, root, raw, taxonomy, lexicon)
     out.append(("articles_processed", scored.count()))
     # 4 daily aggregates: full refresh
-    daily = _write(AG.daily_news(scored), f"{root}/daily_news_features")
-    topics = _write(AG.daily_topics(scored, topic_rows(scored.filter("_ok"), taxonomy)),
+    daily = commit(AG.daily_news(scored), f"{root}/daily_news_features")
+    topics = commit(AG.daily_topics(scored, topic_rows(scored.filter("_ok"), taxonomy)),
                     f"{root}/daily_topic_features")
     out.append(("daily_news_features", daily.count()))
     out.append(("daily_topic_features", topics.count()))
@@ -76,18 +169,22 @@ def run_daily(spark: SparkSession, sf_dir: str, root: str, landing: str,
     feats = _upsert_table(spark, f"{root}/model_features", FE.model_features(prices, daily),
                           ["benchmark_code", "feature_date"])
     out.append(("model_features", feats.count()))
-    # 6 forecasts: registry of runs and predictions (binding M stands in)
-    runs = _write(RM.model_runs(feats), f"{root}/model_runs")
-    preds = _write(RM.predictions(feats), f"{root}/predictions")
+    # 6 forecasts: today's models beside the earlier runs of the registry
+    runs, preds = register_forecasts(spark, root, feats, as_of)
     out.append(("predictions", preds.count()))
     # 7 drift check: decisions appended to the monitoring log
-    decisions = MO.drift_decisions(runs, preds)
-    logs = MO.drift_logs(decisions, id_base=1_000_000)
-    logs.write.mode("append").parquet(f"{root}/monitoring_logs")
-    all_logs = spark.read.parquet(f"{root}/monitoring_logs")
+    logs = MO.drift_logs(MO.drift_decisions(runs, preds), id_base=1_000_000)
+    all_logs = _append_table(spark, f"{root}/monitoring_logs", logs, "monitoring_id")
     out.append(("monitoring_logs", all_logs.count()))
-    # 8 retraining decision
-    actions = MO.retrain_actions(MO.latest_flags(all_logs), runs, F.lit(as_of).cast("timestamp"))
+    # 8 retraining: decided per group, started, logged
+    actions = commit(MO.retrain_actions(MO.latest_flags(all_logs), runs,
+                                        F.lit(as_of).cast("timestamp")),
+                     f"{root}/retrain_actions")
+    train = retrain or (lambda f, news: commit(
+        MD.fit_all(f, news)[1], f"{root}/parameters_{'b' if news else 'a'}"))
+    # one row per model group: two
+    for r in actions.where("action = 'retrain'").collect():
+        train(feats, r.group_prefix == MO.GROUP_PREFIXES[1])
     out.append(("retrain_actions", actions.count()))
     return spark.createDataFrame([(i + 1, s, int(n)) for i, (s, n) in enumerate(out)],
                                  "stage int, table_name string, rows long")

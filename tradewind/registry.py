@@ -161,7 +161,8 @@ def _rss_keys(spark, d):
     k = B.rss_item_keys(table(spark, d, "pages")).drop("html")
     return k.select("source_id", "position", "url", "guid",
                     url_hash("url").alias("url_hash"),
-                    F.concat_ws("\u0001", "source_id", "guid").alias("guid_key"),
+                    F.when(F.col("guid").isNotNull(), F.concat_ws("\u0001", "source_id", "guid"))
+                    .alias("guid_key"),
                     F.struct("source_id", "position").alias("_ord"))
 
 
@@ -591,7 +592,8 @@ def q_daily_run(spark, d):
     from .plans.daily import run_daily
     from .session import scratch_path
     root = scratch_path(spark, f"daily-run-{uuid.uuid4().hex[:8]}")
-    return run_daily(spark, d, root, _landing(spark, d), TAX, LEX)
+    return run_daily(spark, d, root, _landing(spark, d), TAX, LEX,
+                     retrain=lambda feats, news: _experiment(spark, d, news))
 
 
 def q_append_registry(spark, d):

@@ -81,7 +81,8 @@ def _feed_time(*cols):
 def _xml_items(spark: SparkSession, path: str, tag: str, schema, items: str) -> DataFrame:
     """One row per item with its place in the file."""
     return (spark.read.format("xml").option("rowTag", tag).option("mode", "PERMISSIVE")
-            .option("ignoreSurroundingSpaces", "true").schema(schema).load(path)
+            .option("ignoreSurroundingSpaces", "true").option("recursiveFileLookup", "true")
+            .schema(schema).load(path)
             .select("*", F.col("_metadata.file_path").alias("feed_file"))
             .select("feed_file", *[c for c in schema.names if c != items],
                     F.posexplode(items).alias("position", "it")))
@@ -147,7 +148,7 @@ def rss_items(spark: SparkSession, path: str) -> DataFrame:
 def _bodies(spark: SparkSession, path: str) -> DataFrame:
     """(feed_file, line, body variant): each line of a file whose first line is
     a JSON document, else the whole file; null bodies could not be parsed."""
-    files = (spark.read.text(path, wholetext=True)
+    files = (spark.read.text(path, wholetext=True, recursiveFileLookup=True)
              .select(F.col("_metadata.file_path").alias("feed_file"), "value"))
     lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
     # the parser stops at the end of the first document: look at the first line

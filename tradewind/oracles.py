@@ -847,3 +847,23 @@ SELECT dedup_key, article_id, source_id, published_at, sentiment_e4 FROM (
   SELECT *, source_id || ':' || CAST(published_date AS VARCHAR) AS dedup_key,
          row_number() OVER (PARTITION BY source_id, published_date ORDER BY article_id) AS r
   FROM e) WHERE r = 1"""
+
+
+def append_registry_sql() -> str:
+    """Two appends of each table: its rows count twice."""
+    return _with(*_decision_ctes()) + """
+SELECT 'model_runs' AS table_name, CAST(2 * count(*) AS BIGINT) AS rows FROM runs
+UNION ALL SELECT 'predictions', CAST(2 * count(*) AS BIGINT) FROM preds
+UNION ALL SELECT 'monitoring_logs', CAST(2 * count(*) AS BIGINT) FROM decisions"""
+
+
+def strip_html_sql() -> str:
+    """Only the references that the pages hold; the ampersand last, so that
+    nothing is unescaped twice (one without its semicolon may end a cut page)."""
+    x = "html"
+    for ref, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"),
+                      ("&gt;", ">"), ("&amp;", "&")):
+        x = f"replace({x}, '{ref}', '{char}')"
+    x = f"regexp_replace({x}, '&amp$', '&')"
+    x = f"regexp_replace(regexp_replace({x}, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')"
+    return f"SELECT page_id, nullif(trim({x}), '') AS text FROM pages"

@@ -686,6 +686,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
+    "append_registry": O.append_registry_sql,
+    "strip_html": O.strip_html_sql,
     "stream_dedup": O.stream_dedup_sql,
     "stream_daily_news": lambda: O.daily_news_sql("events"),
     "complete_cases": O.complete_cases_sql,

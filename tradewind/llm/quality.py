@@ -5,8 +5,8 @@ The target is a document fit for training: labelled quality 1 and toxic 0.
 1. *Views.*  The text view holds which word forms, word beginnings, character
    shapes and rates a document has (hashed); the metadata view holds source,
    language, length and their pairs.  Both cover the whole text.
-2. *Sample.*  The classifiers are fitted on at most ``LABELLED`` labelled and
-   ``POOL`` unlabelled documents, chosen by hash; a fifth of the labelled ones
+2. *Sample.*  The classifiers are fitted, in one task, on at most ``LABELLED``
+   labelled and ``POOL`` unlabelled documents, chosen by hash; a fifth of the labelled ones
    is held out for calibration.  This bound is the only one: every document is
    scored.
 3. *Co-training.*  In each round both views are fitted (logistic regression),
@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from .common import mix64, stored, tokenize
 from .packed import sized
 
-LABELLED, POOL = 10_000, 5_000
+LABELLED, POOL = 9_000, 4_500
 ROUNDS = 3
 #: Calibrated probability from which a view's opinion becomes a pseudo-label.
 SURE = 0.97
@@ -313,11 +313,43 @@ def _features(batches):
             names=["doc_id", "y", "source", "lang", "n_chars", "ids"])
 
 
-def _scores(models, prior: float):
+MODEL = "view int, a double, c double, b double, prior double, ids binary, w binary"
+
+
+def _fit(table):
+    """The sample (one group, at most LABELLED + POOL rows) -> a row per view:
+    its calibration and non-zero weights.  A single row of view -1 holds the
+    score of all documents when there is nothing to tell apart."""
+    table = table.take(pa.array(np.argsort(table.column("doc_id").to_numpy())))
+    y = table.column("y").to_numpy()
+    models = fit_views(table)
+    if isinstance(models, float):
+        rows = [(-1, models, 0.0, 0.0, 0.0, b"", b"")]
+    else:
+        share = y[y >= 0].mean()
+        prior = float(np.log(share / (1 - share)))
+        rows = []
+        for v, (m, a, c) in enumerate(models):
+            ids = np.flatnonzero(m.w).astype(np.int32)
+            rows.append((v, a, c, m.b, prior, ids.tobytes(), m.w[ids].tobytes()))
+    kinds = (pa.int32(), *[pa.float64()] * 4, pa.binary(), pa.binary())
+    return pa.table({n.split()[0]: pa.array([r[i] for r in rows], k)
+                     for i, (n, k) in enumerate(zip(MODEL.split(", "), kinds))})
+
+
+def _scores(rows: list):
+    def load(row):
+        m = Linear()
+        m.w, m.b = np.zeros(DIM, np.float32), row["b"]
+        m.w[np.frombuffer(row["ids"], np.int32)] = np.frombuffer(row["w"], np.float32)
+        return m, row["a"], row["c"]
+
     def run(batches):
+        models = [load(r) for r in rows] if len(rows) == 2 else None
         for t in sized(batches, TEXT_BYTES):
-            if isinstance(models, float):
-                text = meta = both = np.full(t.num_rows, models)
+            if models is None:       # one score for all, or an empty sample
+                text = meta = both = np.full(t.num_rows, rows[0]["a"] if rows else 1.0)
+                kept = np.ones(t.num_rows, bool)
             else:
                 (tm, ta, tc), (mm, ma, mc) = models
                 n, pairs = _text_pairs(t.column("text").combine_chunks(), tm.w)
@@ -326,12 +358,11 @@ def _scores(models, prior: float):
                 b = ma * mm.logit(*meta_view(*(t.column(c).to_pylist() for c in (
                     "source", "lang", "n_chars")))) + mc
                 text, meta, both = (1 / (1 + np.exp(-np.clip(x, -30, 30)))
-                                    for x in (a, b, a + b - prior))
-            extra = {"p_text": text, "p_meta": meta, "score": both}
-            for name, col in extra.items():
+                                    for x in (a, b, a + b - rows[0]["prior"]))
+                kept = both >= KEEP_AT
+            for name, col in {"p_text": text, "p_meta": meta, "score": both}.items():
                 t = t.append_column(name, pa.array(col, pa.float64()))
-            t = t.append_column("kept", pa.array(both >= KEEP_AT if not isinstance(models, float)
-                                                 else np.ones(t.num_rows, bool)))
+            t = t.append_column("kept", pa.array(kept))
             yield from t.combine_chunks().to_batches()
     return run
 
@@ -353,14 +384,15 @@ def classify_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     # LABELLED + POOL rows of two numbers at most
     sample = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("long")
                          .alias("n_chars")).join(F.broadcast(stored(chosen)), "doc_id")
-    sample = stored(sample.mapInArrow(
-        _features, "doc_id long, y int, source string, lang string, n_chars long, ids binary"))
-    # rows of a repeated doc_id could exceed the bound
-    sample = sample.orderBy(F.xxhash64("doc_id", F.lit(29)), "doc_id", "ids").limit(LABELLED + POOL)
-    table = sample.toArrow()
-    models = fit_views(table)
-    y = table.column("y").to_numpy()
-    share = np.clip(y[y >= 0].mean(), 1e-6, 1 - 1e-6) if (y >= 0).any() else 0.5
+    sample = sample.mapInArrow(
+        _features, "doc_id long, y int, source string, lang string, n_chars long, ids binary")
+    # one row for a repeated doc_id, combined map-side: the bound holds
+    sample = sample.groupBy("doc_id").agg(F.min(F.struct(
+        "y", "source", "lang", "n_chars", "ids")).alias("r")).select("doc_id", "r.*")
+    models = sample.groupBy(F.lit(0).alias("all")).applyInArrow(_fit, MODEL).orderBy(
+        "view").collect()
+    models = [{k: bytes(v) if isinstance(v, bytearray) else v for k, v in r.asDict().items()}
+              for r in models]
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in RESULT[:3]),
                            T.StructField("kept", T.BooleanType())])
-    return docs.mapInArrow(_scores(models, float(np.log(share / (1 - share)))), schema)
+    return docs.mapInArrow(_scores(models), schema)

@@ -67,3 +67,22 @@ def test_feature_table_is_causal(spark):
     keep = [c for c in PRICE_FEATURE_COLUMNS if not c.startswith("target")]
     for d, r in cut.items():
         assert [r[c] for c in keep] == [full[d][c] for c in keep]
+
+
+def test_asof_stray_early_date(spark):
+    """One probe of year 1 adds a row per series, not two thousand years of days."""
+    import datetime as dt
+
+    from tradewind.operators.asof import covering_days, forward_asof
+    keys = spark.createDataFrame([("A", dt.date(2024, 1, 5)), ("A", dt.date(2024, 1, 9)),
+                                  ("B", dt.date(2024, 1, 8))], "benchmark_code string, price_date date")
+    probes = spark.createDataFrame([(dt.date(1, 1, 1),), (dt.date(2024, 1, 7),),
+                                    (dt.date(2024, 1, 10),)], "feature_date date")
+    got = sorted((r.benchmark_code, r.feature_date, r.mapped_date)
+                 for r in forward_asof(keys, probes).collect())
+    d = dt.date
+    assert got == [("A", d(1, 1, 1), d(2024, 1, 5)), ("A", d(2024, 1, 7), d(2024, 1, 9)),
+                   ("B", d(1, 1, 1), d(2024, 1, 8)), ("B", d(2024, 1, 7), d(2024, 1, 8))]
+    from pyspark.sql import functions as F
+    dates = probes.select(F.collect_set("feature_date")).scalar()
+    assert covering_days(keys, dates).count() == 9

@@ -10,24 +10,28 @@ calendar span of each series, and the join is a plain hash join on a date.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def covering_days(keys: DataFrame, lower_bound, series: str = "benchmark_code",
+def covering_days(keys: DataFrame, probe_dates: Column, series: str = "benchmark_code",
                   key_date: str = "price_date") -> DataFrame:
     """(series, cal_date, mapped_date): every calendar day mapped to its key date.
 
-    The first key of a series covers everything back to ``lower_bound``.
+    ``probe_dates`` is the array of distinct probe dates.  A series' first key
+    takes the probe dates before it from there instead of every day back to the
+    earliest one, so one stray early date adds one row per series.
     """
     w = Window.partitionBy(series).orderBy(key_date)
     with_prev = keys.select(series, key_date, F.lag(key_date, 1).over(w).alias("_prev"))
-    start = F.when(F.col("_prev").isNull(),
-                   F.least(F.lit(lower_bound).cast("date"), F.col(key_date))
-                   ).otherwise(F.date_add("_prev", 1))
+    with_prev = with_prev.withColumn("_dates", probe_dates)
+    first = F.col("_prev").isNull()
+    start = F.when(first, F.col(key_date)).otherwise(F.date_add("_prev", 1))
+    early = F.when(first, F.filter("_dates", lambda d: d < F.col(key_date))).otherwise(
+        F.array().cast("array<date>"))
     return with_prev.select(
         F.col(series),
-        F.explode(F.sequence(start, F.col(key_date))).alias("cal_date"),
+        F.explode(F.concat(early, F.sequence(start, F.col(key_date)))).alias("cal_date"),
         F.col(key_date).alias("mapped_date"))
 
 
@@ -38,9 +42,7 @@ def forward_asof(keys: DataFrame, probes: DataFrame, series: str = "benchmark_co
     ``probes`` has no series column: it applies to every series, as news does
     to every benchmark.  Probes after a series' last key date get no row.
     """
-    lo = probes.agg(F.min(probe_date)).first()[0]
-    if lo is None:
-        return (probes.withColumn(series, F.lit(None).cast("string"))
-                .withColumn("mapped_date", F.lit(None).cast("date")).filter(F.lit(False)))
-    days = covering_days(keys.select(series, key_date), lo, series, key_date)
+    # distinct dates: bounded by the calendar
+    dates = probes.select(F.collect_set(probe_date)).scalar()
+    days = covering_days(keys.select(series, key_date), dates, series, key_date)
     return probes.join(days, probes[probe_date] == days["cal_date"]).drop("cal_date")

@@ -105,19 +105,18 @@ def test_lexicon() -> Lexicon:
     return Lexicon(dict(TEST_LEXICON), dict(TEST_BOOSTERS), list(TEST_NEGATORS))
 
 
-def read_lexicon_tsv(path: str, boosters: dict[str, float] | None = None,
+def read_lexicon_tsv(spark, path: str, boosters: dict[str, float] | None = None,
                      negators: list[str] | None = None) -> Lexicon:
-    """Read a 'token<TAB>mean[<TAB>...]' lexicon file (driver-side parameter)."""
-    val: dict[str, float] = {}
-    with open(path, encoding="utf-8") as fh:
-        for line in fh:
-            parts = line.rstrip("\n").split("\t")
-            if len(parts) >= 2 and parts[0]:
-                try:
-                    val[parts[0].lower()] = float(parts[1])
-                except ValueError:
-                    continue
-    return Lexicon(val, boosters or {}, negators or [])
+    """Read a 'token<TAB>mean[<TAB>...]' lexicon file through Spark, so any
+    storage works; a published lexicon has some thousand entries, and it is a
+    parameter of the plans, so it is held on the driver.  Later lines win."""
+    from pyspark.sql import functions as F
+    part = F.split("value", "\t")
+    rows = spark.read.text(path).select(
+        F.monotonically_increasing_id().alias("at"), F.lower(part[0]).alias("token"),
+        F.get(part, F.lit(1)).try_cast("double").alias("mean"))
+    kept = rows.where("token <> '' and mean is not null").orderBy("at").collect()
+    return Lexicon({r.token: r.mean for r in kept}, boosters or {}, negators or [])
 
 
 def topics_frame(spark, taxonomy: Taxonomy):

@@ -75,6 +75,26 @@ def test_line_chunks_resist_shifts():
     assert all(len(c) >= 2 for c in a[:-1])
 
 
+def test_lines_recall(docs):
+    """Share of the lines in 2+-line runs held by an earlier text that goes."""
+    r = random.Random(7)
+    line = lambda: f"line {r.random()}"
+    passages = [[line() for _ in range(2 + i % 4)] for i in range(40)]
+    rows = []
+    for i in range(400):
+        own = [[line()] for _ in range(r.randrange(2, 8))]
+        own.insert(r.randrange(len(own) + 1), passages[i % 40])
+        rows.append((i, "\n".join(x for part in own for x in part)))
+    seen, again = set(), 0
+    for _, t in rows:
+        lines = t.split("\n")
+        pairs = list(zip(lines, lines[1:]))
+        again += len({j for i, p in enumerate(pairs) if p in seen for j in (i, i + 1)})
+        seen.update(pairs)
+    removed = sum(x.n_removed for x in line_dedup(docs(rows)).collect())
+    assert 0.25 * again < removed <= again
+
+
 def test_ngram_join(docs):
     rows = texts(1)
     base = rows[50 - 10][1].split() if rows[40][0] == 50 else rows[-1][1].split()

@@ -1,18 +1,22 @@
 """Operator 4: line dedup with content-defined line chunks.
 
-A document's lines are cut into chunks where the rolling hash of the last two
-lines is 0 modulo ``DIVISOR`` and that of the two before is not, so chunks have
-at least two lines, boundaries move with the content, and an inserted line
-changes only the chunks around it.  A chunk of two or more lines that occurs
+A document's lines are cut wherever the line hash falls from one line to the
+next; of falls in a row every other one cuts, so chunks have at least two lines
+(but for a last line left over).  A cut so depends on the two lines around it
+and the falls just before, boundaries move with the content, and an inserted
+line changes only the chunks around it.  A chunk of two or more lines that occurs
 more than once in all documents is removed everywhere but at its first place
-(smallest doc_id, then text hash, then position).
+(smallest doc_id, then text hash, then position).  A repeated passage stays
+where no chunk lies whole inside it: of the lines in runs of two and more that an
+earlier text held already, about a third are removed (figures in the README).
 
-1. One scan aggregates chunk hashes; those that repeat go on.
-2. A second scan groups the repeating chunks by their bytes, so that equality
-   is a comparison of bytes and a chunk held by a third of all documents is
-   combined map-side; each group keeps its first place.
-3. Every other place is marked (join on hash and SHA-256, which stand for the
-   compared bytes) and the documents are put together again without them.
+1. One scan groups the chunks by their bytes, so that equality is a comparison
+   of bytes and a chunk held by a third of all documents is combined map-side;
+   each group with more than one place keeps its first.
+2. Every other place is marked (join on hash and SHA-256, which stand for the
+   compared bytes).  Chunks that hold more than 1 / ``HOT`` of the repeating
+   places, fewer than ``HOT``, are broadcast; the others meet by a merge join.
+3. The documents are put together again without the marked places.
 
 Defined results: one row per input row.  Null text has no lines and stays null;
 empty text is one empty line.  Lines are split at ``\\n`` only.  A null doc_id
@@ -27,11 +31,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if, stored
+from .common import stored
 
-DIVISOR = 4
-#: Rows of (hash) or (hash, digest, place) that may be broadcast.
-BROADCAST_ROWS = 50_000
+#: Places of one chunk, among those of all repeating chunks, that may meet by a join: 1 / HOT.
+HOT = 4_096
 
 
 def chunks_of(text: str | None) -> list[list[str]]:
@@ -40,11 +43,11 @@ def chunks_of(text: str | None) -> list[list[str]]:
         return []
     lines = text.split("\n")
     h = [xxhash.xxh64_intdigest(x.encode()) for x in lines]
-    # line i may end a chunk by the rolling hash of lines i - 1 and i
-    cut = [False] + [((a * 0x9E3779B97F4A7C15 + b) >> 24) % DIVISOR == 0
-                     for a, b in zip(h, h[1:])]
-    ends = [i + 1 for i in range(1, len(lines) - 1) if cut[i] and not cut[i - 1]]
-    return [lines[a:b] for a, b in zip([0, *ends], [*ends, len(lines)])]
+    ends = [0]
+    for i in range(2, len(lines)):
+        if h[i] < h[i - 1] and i - ends[-1] > 1:
+            ends.append(i)
+    return [lines[a:b] for a, b in zip(ends, [*ends[1:], len(lines)])]
 
 
 def _chunks(batches):
@@ -86,14 +89,16 @@ def line_dedup(documents: DataFrame) -> DataFrame:
     chunks = docs.mapInArrow(_chunks, "doc_id long, tag long, at int, h long, body string")
     place = F.struct("doc_id", "tag", "at")
     # repeated rows are one document: distinct places are counted
-    again = broadcast_if(chunks.groupBy("h").agg(
-        F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("h"),
-        BROADCAST_ROWS)
-    places = chunks.join(again, "h", "left_semi")
-    first = broadcast_if(places.groupBy("h", "body").agg(F.min(place).alias("owner")).select(
-        "h", F.sha2("body", 256).alias("sha"), "owner"), BROADCAST_ROWS)
-    removed = stored(places.select(place.alias("place"), "h", F.sha2("body", 256).alias("sha")).join(
-        first, ["h", "sha"]).where("place <> owner").groupBy(
+    first = stored(chunks.groupBy("h", "body").agg(
+        F.min(place).alias("owner"), F.max(place).alias("last"), F.count("*").alias("n")).where(
+        "owner <> last").select("h", F.unhex(F.sha2("body", 256)).alias("sha"), "owner", "n"))
+    often = (first.agg(F.sum("n")).first()[0] or 0) // HOT
+    places = chunks.select(place.alias("place"), "h", F.unhex(F.sha2("body", 256)).alias("sha"))
+    key = ["h", "sha"]
+    hot = F.broadcast(first.where(F.col("n") > often + 1).drop("n"))
+    cold = first.where(F.col("n") <= often + 1).drop("n").hint("merge")
+    marked = places.join(hot, key).unionByName(places.join(hot, key, "left_anti").join(cold, key))
+    removed = stored(marked.where("place <> owner").groupBy(
         "place.doc_id", "place.tag").agg(F.collect_set("place.at").alias("gone")))
     # one plan at every size: the texts move once
     whole = docs.alias("d").join(removed.alias("r").hint("merge"), F.expr(

@@ -96,6 +96,37 @@ def test_html_templates(page):
     assert main_text(page.format(*ARTICLE)) == TEXT
 
 
+STORY = "<h1>{0}</h1><p>{1}</p><p>{2}</p>"
+SIDE = "<div class='sidebar'>Side</div><div id='comments'>A comment on it.</div>"
+
+
+@pytest.mark.parametrize("story", [f"<article>{STORY}</article>", f"<main>{STORY}</main>",
+                                   f"<div class='story'>{STORY}</div>"])
+@pytest.mark.parametrize("wrapper", [
+    "<div class='content has-sidebar'>", "<div id='layout-no-sidebar'>", "<div class='page-with-header'>",
+    "<div class='search-result-page'>", "<form id='aspnet'>", "<div class='has-comments'>",
+    "<form class='login'><div class='no-ads with-menu'>", "<div role='dialog'>"])
+def test_html_wrappers(wrapper, story):
+    page = f"<body><nav><a>Home</a></nav>{wrapper}{story}{SIDE}</div></form><footer>(c)</footer></body>"
+    assert main_text(page.format(*ARTICLE)) == TEXT
+
+
+@pytest.mark.parametrize("page", [
+    # cards are articles too, comments may be longer than the story
+    f"<div class='story'>{STORY}</div><aside class='related'><article>Card</article></aside>",
+    f"<article>{STORY}</article><section id='comments'><article>" + "Long comment. " * 30 + "</article>",
+    f"<article>{STORY}<div class='comments'>" + "<p>Long comment.</p>" * 30 + "</div></article>",
+    f"<div class='story'>{STORY}</div><div class='comment-list'>" + "<p>Long comment.</p>" * 20,
+    "<div class='widget'><h1>{0}</h1></div><div class='widget'><p>{1}</p></div>"
+    "<div class='widget'><p>{2}</p></div>",
+    f"<article><header>{STORY}</header></article>",
+    f"<article>{STORY}</article><footer>" + "Long imprint. " * 40 + "</footer>",
+    f"<article>{STORY}</article><div class='footer'>" + "Long imprint. " * 30 + "</div>",
+    f"<div style='display:none'>{STORY}</div>"])
+def test_html_names_and_shares(page):
+    assert main_text(page.format(*ARTICLE)) == TEXT
+
+
 def test_html_odd(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain text &lt;only"), (4, "u", "<p"),
             (5, "u", "<article><p>cut &am"), (6, "u", "<script>x"), (7, "u", "<!-- open"),

@@ -1,10 +1,17 @@
 """Operator 5: main text of web pages by composite text density.
 
 1. A page is parsed into a tree (end tags that HTML lets authors omit are
-   implied; comments, declarations, scripts and styles are dropped).  Subtrees
-   that are not article by element, role or name (menus, headers, footers,
-   sidebars, notices, adverts, forms, reader comments) do not count; of a header
-   inside an article only the headings do.
+   implied; comments, declarations, scripts and styles are dropped).  Menus,
+   footers, asides, controls and hidden parts (by element, role or attribute) do
+   not count.  Subtrees that are not article by name, and headers, forms and
+   dialogs, do not count unless they hold more than a minor share (``MAJOR``,
+   ``COMMENTS`` for reader comments) of the page's text outside links, or an
+   ``article`` or ``main`` that does so beside the text around them: names like
+   ``content has-sidebar`` stand for wrappers of the main text.  Without one in
+   them, and with one elsewhere, ``COMMENTS`` is the share of the two.  Of a
+   header inside an article only the headings count.  Where less than 1 -
+   ``COMMENTS`` of the text would be left, no name is heeded; where none is,
+   nothing but scripts, styles and embedded objects is dropped.
 2. Every node gets its link-adjusted density: with C characters, T tags, LC
    link characters and LT link tags below it,
    ``C / T * log(C / LC * T / LT) / log(1 + ln(C / (C - LC) * LC + LCb / Cb * C + e))``
@@ -52,59 +59,133 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
            "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
            "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
            "option": ({"option"}, {"select"})}
-#: Never main text, by element, by role, and by a word of class or id.
-SKIP_TAG = frozenset(
-    "head nav footer aside form button select input label fieldset svg math canvas object embed "
-    "audio video dialog menu template map datalist search".split()) | RAW
-SKIP_ROLE = frozenset("navigation banner contentinfo complementary search form alert alertdialog "
-                      "dialog menu menubar toolbar tooltip".split())
+#: Never main text; not main text where a page has any other, by element and role.
+NEVER_TAG = frozenset("head svg math canvas object embed audio video map".split()) | RAW
+CHROME_TAG = frozenset("nav footer aside menu search button select input label template "
+                       "datalist".split())
+CHROME_ROLE = frozenset("navigation banner contentinfo complementary search menu menubar toolbar "
+                        "tooltip".split())
+#: Not main text as long as it is a minor share, by element, role, and a word of class or id.
+SKIP_TAG = frozenset("form fieldset dialog".split())
+SKIP_ROLE = frozenset("form alert alertdialog dialog".split())
 SKIP_WORD = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead banner footer "
     "sidebar aside rail widget widgets ad ads advert adverts advertisement advertisements "
     "advertising adsense adslot adbox sponsor sponsored promo promotion notice notices cookie "
     "cookies consent gdpr alert popup modal overlay newsletter subscribe subscription signup "
-    "login register share sharing social related recommended recommendations teaser comment "
-    "comments commentlist discussion disqus reply replies respond feedback form search "
+    "login register share sharing social related recommended recommendations teaser form search "
     "pagination pager toolbar copyright disclaimer".split())
+COMMENT_WORD = frozenset("comment comments commentlist discussion disqus reply replies respond "
+                         "feedback".split())
+#: Share of the text from which a subtree of such a kind counts; comments may be longer
+#: than what they comment on.
+MAJOR, COMMENTS = 0.5, 0.9
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 KEEP = frozenset("html body article main".split())
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
-def _skipped(tag: str, attrs: str, in_article: bool) -> bool:
-    if tag in SKIP_TAG:
-        return True
-    if tag == "header" and not in_article:
-        return True
+def _kind(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, float]:
+    """Never text; hidden or chrome; share of the text from which it counts."""
+    if tag in NEVER_TAG:
+        return True, True, 0.0
+    if tag in CHROME_TAG:
+        return False, True, 0.0
+    least = MAJOR if tag in SKIP_TAG or tag == "header" and not in_article else 0.0
     if tag in KEEP or not attrs.strip():
-        return False
+        return False, False, least
     found = {k.lower(): _html.unescape((v or "").strip("\"'")) for k, v in _ATTR.findall(attrs)}
-    if found.get("role", "").lower() in SKIP_ROLE or "hidden" in found or \
-            found.get("aria-hidden", "").lower() == "true" or \
+    role = found.get("role", "").lower()
+    if role in CHROME_ROLE or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or \
             re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
-        return True
+        return False, True, 0.0
+    if role in SKIP_ROLE:
+        least = MAJOR
     if tag in HEADING:
-        return False
-    names = f"{found.get('class', '')} {found.get('id', '')}"
-    return not SKIP_WORD.isdisjoint(w.lower() for w in _WORDS.findall(names))
+        return False, False, least
+    words = {w.lower() for w in _WORDS.findall(f"{found.get('class', '')} {found.get('id', '')}")}
+    if not COMMENT_WORD.isdisjoint(words):
+        least = COMMENTS
+    elif not SKIP_WORD.isdisjoint(words):
+        least = MAJOR
+    return False, False, least
 
 
 class Page:
     """The tree as parallel lists in page order; node 0 stands for the page."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.skip = ["#page"], [-1], [False]
+        self.tag, self.parent = ["#page"], [-1]
+        self.never, self.skip, self.least = [False], [False], [0.0]
         self.mute = [False]     # in an article's own header, outside its headings
         self.pieces: list[tuple[int, str]] = []      # (node, text); node -1: a break
         self._parse(source)
+        self._prune()
 
-    def _open(self, stack: list[int], tag: str, skip: bool) -> None:
+    def _open(self, stack: list[int], tag: str, attrs: str) -> None:
+        in_article = any(self.tag[i] in ("article", "main") for i in stack)
+        never, skip, least = _kind(tag, attrs, in_article)
+        top = stack[-1]
         self.tag.append(tag)
-        self.parent.append(stack[-1])
-        self.skip.append(skip or self.skip[stack[-1]])
-        self.mute.append(tag == "header" or self.mute[stack[-1]] and tag not in HEADING)
+        self.parent.append(top)
+        self.never.append(never or self.never[top])
+        self.skip.append(skip or self.skip[top])
+        self.least.append(least)
+        self.mute.append(tag == "header" and in_article)
         stack.append(len(self.tag) - 1)
 
+    def _prune(self) -> None:
+        """Skip what is not main text by kind, and mute headers, where minor."""
+        n, parent, least = len(self.tag), self.parent, self.least
+        own = [0] * n
+        for node, text in self.pieces:
+            if node >= 0:
+                own[node] += sum(map(len, text.split()))
+        in_link, article = [False] * n, [False] * n
+        name = [0] * n          # the nearest named element, or the page
+        for i in range(1, n):
+            p = parent[i]
+            in_link[i] = in_link[p] or self.tag[i] == "a"
+            name[i] = i if least[i] else name[p]
+            article[i] = article[p] or self.tag[i] in ("article", "main")
+        weight = [0 if in_link[i] or self.skip[i] else own[i] for i in range(n)]
+        rest = [0] * n          # text in the named elements around, and in no other
+        for i in range(n):
+            rest[name[i]] += weight[i]
+        for i in range(1, n):
+            if least[i]:
+                rest[i] += rest[name[parent[i]]]
+        for i in range(n - 1, 0, -1):
+            weight[parent[i]] += weight[i]
+        most = [0] * n          # the longest article in the subtree
+        for i in range(n - 1, 0, -1):
+            if article[i] and not article[parent[i]]:
+                most[i] = weight[i]
+            most[parent[i]] = max(most[parent[i]], most[i])
+
+        beside = max((most[i] for i in range(n) if article[i] and not name[i]), default=0)
+
+        def minor(i: int, share: float) -> bool:
+            inside = 0 if article[i] else most[i]
+            if inside and inside >= share * (inside + rest[name[parent[i]]]):
+                return False
+            if not inside and not article[i] and weight[i] < COMMENTS * (weight[i] + beside):
+                return True     # the page has an article elsewhere
+            return not weight[i] or weight[i] < share * weight[0]
+
+        bare = list(self.skip)
+        for i in range(1, n):
+            p = parent[i]
+            self.skip[i] = self.skip[i] or self.skip[p] or least[i] > 0 and minor(i, least[i])
+            self.mute[i] = self.mute[i] and weight[i] < MAJOR * weight[0] or \
+                self.mute[p] and self.tag[i] not in HEADING
+        left = [i for i in range(n) if own[i] and not self.skip[i] and not self.mute[i]]
+        if sum(own[i] for i in left if not in_link[i]) < (1 - COMMENTS) * weight[0]:
+            self.skip, self.mute = bare, [False] * n
+            left = [i for i in range(n) if own[i] and not bare[i]]
+        if not left:
+            self.skip, self.mute = self.never, [False] * n
+
     def _close_kind(self, stack: list[int], ends: set, stop: set) -> None:
         for at in range(len(stack) - 1, 0, -1):
             name = self.tag[stack[at]]
@@ -148,9 +229,7 @@ class Page:
                 self._close_kind(stack, *IMPLIED[name])
             if name == "body":
                 self._close_kind(stack, {"head"}, set())
-            in_article = any(tag[i] in ("article", "main") for i in stack)
-            skip = _skipped(name, m[3] or "", in_article)
-            self._open(stack, name, skip)
+            self._open(stack, name, m[3] or "")
             if name in VOID:
                 stack.pop()
             elif name in RAW:

@@ -2,11 +2,13 @@
 
 import math
 import random
+import uuid
 
 import numpy as np
 import pytest
 
 from tradewind.llm import ngram_join as NJ
+from tradewind.llm import substring_dedup as S
 from tradewind.llm.common import connected_components
 from tradewind.llm.embedding_dedup import embedding_dedup, fit_centroids
 from tradewind.llm.line_dedup import chunks_of, line_dedup
@@ -49,6 +51,30 @@ def test_substring_empty_and_all_copies(docs):
     assert got == {i: 40 * (i > 0) for i in range(60)}
 
 
+def test_substring_spreads_null_and_equal_ids(docs, monkeypatch, tmp_path):
+    r = random.Random(4)
+    text = lambda: " ".join(f"w{r.randrange(90)}" for _ in range(25))
+    passage, copy = text(), text()
+    rows = [(d, f"{text()} {passage}") for d in (None, 7) for _ in range(300)]
+    rows += [(8, copy)] * 300 + [(i, f"{passage} {text()}") for i in range(20, 320)]
+    real, folder = S._finish, str(tmp_path)
+
+    def spy(k, hashes):
+        f = real(k, hashes)
+
+        def run(texts, paths):
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as out:
+                out.write(str(texts.num_rows))
+            return f(texts, paths)
+        return run
+
+    monkeypatch.setattr(S, "_finish", spy)
+    monkeypatch.setattr(S, "BATCH_BYTES", 4096)     # many document batches
+    got = sorted([tuple(x) for x in S.substring_dedup(docs(rows)).collect()], key=repr)
+    assert got == sorted(brute.substring(rows), key=repr)
+    assert max(int(f.read_text()) for f in tmp_path.iterdir()) < 150
+
+
 def test_lines(docs):
     block = ["a line here", "second line", "third", "fourth of them", "fifth", "sixth one"]
     rows = [(i, "\n".join([f"own {i}", *block, *block, f"end {i}"])) for i in range(5)]

@@ -21,7 +21,9 @@ also start in a document with a smaller doc_id.
 
 Defined results: one row per input row.  Null or blank text has no words.
 Repeated rows get equal results; rows of one doc_id never remove each other's
-words.  A null doc_id neither removes nor loses words.  Extra columns are
+words; their texts are spread by id and text, and repeated rows of a map batch
+travel as one.  A null doc_id neither removes nor loses words, and is finished
+where it is read.  Extra columns are
 ignored; an empty table gives no rows.
 """
 
@@ -45,7 +47,7 @@ BATCH_BYTES = 8 << 20
 #: repeat): 16 bits, or all 64 in a repeated run.  An owner has the same bits.
 _DOC = [("doc", "<i8"), ("tag", "<i2"), ("pos", "<u4")]
 _OWNER = [("owner", "<i8"), ("otag", "<i2"), ("at", "<u4")]
-RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, check decimal(38,0)"
+RESULT = "doc_id long, times long, n_words long, n_removed long, kept_sha256 string, check decimal(38,0)"
 
 
 def _dtype(fields: list[tuple[str, str]], hashes: int) -> np.dtype:
@@ -129,23 +131,22 @@ def compact(hit: np.ndarray, hashes: int) -> np.ndarray:
     return out
 
 
-def _batch_of(doc: np.ndarray, n: int) -> np.ndarray:
-    """Document batch of an id; BATCH is the same rule on the JVM side."""
-    return np.mod(doc ^ (doc >> np.int64(17)), np.int64(n))
-
-
-BATCH = "pmod(coalesce(doc_id, 0L) ^ shiftright(coalesce(doc_id, 0L), 17), {}L)"
+def _batch_of(doc: np.ndarray, tag: np.ndarray, n: int) -> np.ndarray:
+    """Document batch of an id and a text tag."""
+    x = doc ^ (tag.astype(np.int64) << np.int64(24))
+    return np.mod(x ^ (x >> np.int64(17)), np.int64(n))
 
 
 def _map_edges(k: int, hashes: int, buckets: int, docs: int):
     def run(batches):
         for t in sized(batches, BATCH_BYTES):
+            t, _ = _once(t)
             e, first, group = _by_edge(edges_of(t, k, hashes), hashes)
             above, hit = _hits(e, first, group, hashes)
             rest = e[~above]
             rest = rest[np.lexsort((rest["pos"], rest["tag"], rest["doc"]))]
             yield pack(0, (rest["h0"] % np.uint64(buckets)).astype(np.int64), rest)
-            yield pack(1, _batch_of(hit["doc"], docs), hit)
+            yield pack(1, _batch_of(hit["doc"], hit["tag"], docs), hit)
     return run
 
 
@@ -155,7 +156,7 @@ def _owners(hashes: int, docs: int):
             return table
         e, first, group = _by_edge(unpack(table, edge_dtype(hashes)), hashes)
         hit = _hits(e, first, group, hashes)[1]
-        return pa.Table.from_batches([pack(1, _batch_of(hit["doc"], docs), hit)])
+        return pa.Table.from_batches([pack(1, _batch_of(hit["doc"], hit["tag"], docs), hit)])
     return run
 
 
@@ -169,21 +170,48 @@ def _paths(hashes: int, docs: int):
         path = compact(hit[~twice], hashes)
         # to the batch of the document, and to the batch of the owner
         return pa.Table.from_batches([pack(2, np.full(len(path), key[0].as_py()), path),
-                                      pack(3, _batch_of(path["owner"], docs), path)])
+                                      pack(3, _batch_of(path["owner"], path["otag"], docs), path)])
     return run
 
 
-def _zip(batches):
+def _once(t: pa.Table | pa.RecordBatch) -> tuple[pa.Table, np.ndarray]:
+    """The different (doc_id, text) of a batch, and how many rows each stands for."""
+    at: dict = {}
+    for i, key in enumerate(zip(t.column("doc_id").to_pylist(), t.column("text").to_pylist())):
+        at.setdefault(key, []).append(i)
+    rows = list(at.values())
+    return (t.take(pa.array([r[0] for r in rows], pa.int64())),
+            np.array([len(r) for r in rows], np.int64))
+
+
+def _zip(docs: int):
     """Texts as zstd bytes: about half of what the shuffle's own compression
-    leaves of them."""
-    codec = pa.Codec("zstd", compression_level=1)
+    leaves of them.  Repeated rows of a map batch travel as one."""
+    def run(batches):
+        codec = pa.Codec("zstd", compression_level=1)
+        for t in sized(batches, BATCH_BYTES):
+            t, times = _once(t)
+            raw = [None if x is None else x.encode() for x in t.column("text").to_pylist()]
+            key = _batch_of(t.column("doc_id").to_numpy(), t.column("tag").to_numpy(), docs)
+            part = pa.table(
+                [t.column("doc_id"), t.column("tag"), pa.array(key, pa.int64()), pa.array(times),
+                 pa.array([None if r is None else len(r) for r in raw], pa.int64()),
+                 pa.array([None if r is None else codec.compress(r, asbytes=True) for r in raw],
+                          pa.binary())], names=["doc_id", "tag", "key", "times", "size", "text"])
+            yield from part.combine_chunks().to_batches()
+    return run
+
+
+def _alone(batches):
+    """Results of rows without an id, whose words all stay."""
     for b in batches:
-        raw = [None if t is None else t.encode() for t in b.column("text").to_pylist()]
+        words = [(t or "").encode().split() for t in b.column("text").to_pylist()]
+        n = len(words)
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), b.column("tag"), b.column("key"),
-             pa.array([None if r is None else len(r) for r in raw], pa.int64()),
-             pa.array([None if r is None else codec.compress(r, asbytes=True) for r in raw],
-                      pa.binary())], names=["doc_id", "tag", "key", "size", "text"])
+            [b.column("doc_id"), pa.array([len(w) for w in words], pa.int64()),
+             pa.array([0] * n, pa.int64()),
+             pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in words], pa.string())],
+            names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
 def _digest(path: np.void, side: int, body: bytes, starts: np.ndarray, ends: np.ndarray,
@@ -212,7 +240,8 @@ def _finish(k: int, hashes: int):
         ids, tags = docs.column("doc_id").to_pylist(), docs.column("tag").to_pylist()
         texts, sizes = docs.column("text").to_pylist(), docs.column("size").to_pylist()
         codec = pa.Codec("zstd")
-        out = {"doc_id": ids, "n_words": [], "n_removed": [], "kept_sha256": [], "check": []}
+        out = {"doc_id": ids, "times": docs.column("times").to_pylist(), "n_words": [],
+               "n_removed": [], "kept_sha256": [], "check": []}
         seen: set = set()
         for i, key in enumerate(zip(ids, tags)):
             words = codec.decompress(texts[i], sizes[i], asbytes=True).split() if sizes[i] else []
@@ -241,7 +270,7 @@ def _finish(k: int, hashes: int):
             out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
             out["check"].append(check)
         return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), (
-            pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.decimal128(38, 0)))})
+            pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.decimal128(38, 0)))})
     return run
 
 
@@ -254,14 +283,19 @@ def substring_dedup(documents: DataFrame, k: int = K) -> DataFrame:
         tag = F.xxhash64("text")
         docs = documents.select("doc_id", "text", (
             F.shiftright(tag, 48) if hashes == 1 else tag).alias("tag"))
-        edges = docs.where("doc_id is not null and text is not null").mapInArrow(
+        named = docs.where("doc_id is not null")
+        edges = named.where("text is not null").mapInArrow(
             _map_edges(k, hashes, n_buckets, n_batches), SCHEMA)
         hits = edges.groupBy("kind", "key").applyInArrow(_owners(hashes, n_batches), SCHEMA)
         paths = stored(hits.groupBy("key").applyInArrow(_paths(hashes, n_batches), SCHEMA))
-        batched = docs.withColumn("key", F.expr(BATCH.format(n_batches))).mapInArrow(
-            _zip, "doc_id long, tag long, key long, size long, text binary")
+        batched = named.mapInArrow(_zip(n_batches), "doc_id long, tag long, key long, times long, "
+                                                    "size long, text binary")
         done = stored(batched.groupBy("key").cogroup(paths.groupBy("key")).applyInArrow(
             _finish(k, hashes), RESULT))
         if not int(done.agg(F.sum("check")).first()[0] or 0):
-            return done.drop("check")
+            # no more rows each than a map batch has
+            every = done.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
+            return every.select("doc_id", "n_words", "n_removed", "kept_sha256").unionAll(
+                docs.where("doc_id is null").select("doc_id", "text").mapInArrow(
+                    _alone, "doc_id long, n_words long, n_removed long, kept_sha256 string"))
     raise RuntimeError("two window texts share a 128-bit hash")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from tests.conftest import SF_SMALL
+from tradewind.llm import language_id as L
 from tradewind.llm import quality as Q
 from tradewind.llm.decontaminate import decontaminate
 from tradewind.llm.html_extract import extract_html, main_text
@@ -182,6 +183,20 @@ def test_language_evidence_and_odd_rows(spark):
     assert identify_language(df, docs.limit(0)).where("lang is null").count() == len(rows)
 
 
+def test_language_keeps_rare_languages(spark, monkeypatch):
+    """A language far below one in MODEL_DOCS documents is still known."""
+    monkeypatch.setattr(L, "MODEL_DOCS", 50)
+    say = {"en": "the cat and the dog were here", "de": "der hund und die katze waren hier",
+           "fi": "kissa ja koira olivat siellä yhdessä"}
+    rows = [(i, say[g], g) for i, g in enumerate(["en", "de"] * 1000 + ["fi"] * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    pages = spark.createDataFrame(
+        [(i, f"http://{g}.example.org/", f"<html lang='{g}'><p>{t}</p>") for i, (g, t) in
+         enumerate(list(say.items()) * 4)], "page_id long, url string, html string")
+    got = {r.page_id: (r.text_lang, r.lang) for r in identify_language(pages, docs).collect()}
+    assert got == {i: (g, g) for i, g in enumerate(list(say) * 4)}
+
+
 # ---- 7 ---------------------------------------------------------------------
 def test_quality_held_out(spark):
     rng = np.random.default_rng(1)

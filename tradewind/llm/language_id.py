@@ -1,9 +1,11 @@
 """Operator 6: language identification of web pages by Bayesian evidence fusion.
 
 1. *Text likelihood.*  Byte trigrams of a bounded sample of labelled documents
-   (``MODEL_DOCS``, by hash) give smoothed trigram probabilities per language;
-   each page's whole main text is scored.  Overlapping trigrams are not
-   independent, so the log-likelihood is tempered by ``TEMPER``.
+   (by hash, ``MODEL_DOCS`` of all and about ``LANG_DOCS`` of every language, all of a
+   language with fewer, so that no language of the documents is missing) give
+   smoothed trigram probabilities per language; each page's whole main text is
+   scored.  Overlapping trigrams are not independent, so the log-likelihood is
+   tempered by ``TEMPER``.
 2. *Grouped evidence.*  Over all pages, the text posteriors are summed by host,
    by domain (last two labels of the host), by declared markup language and by
    address suffix (top level domain and a two-letter first path segment); one
@@ -30,11 +32,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if, stored
+from .common import broadcast_if, int_hash, stored
 from .html_extract import main_text
 
-#: Documents that the trigram model is counted on, at most.
+#: Documents that the trigram model is counted on: of all, and besides of every language.
 MODEL_DOCS = 8_000
+LANG_DOCS = 500
 BUCKETS = 1 << 16
 ALPHA = 0.5
 TEMPER = 0.1
@@ -72,8 +75,16 @@ def text_model(documents: DataFrame) -> tuple[list[str], np.ndarray]:
     docs = documents.where("lang is not null and text is not null and doc_id is not null")
     ids = docs.select("doc_id").distinct().orderBy(
         F.xxhash64("doc_id", F.lit(41)), "doc_id").limit(MODEL_DOCS)
-    # MODEL_DOCS rows of one number at most
-    sample = docs.select("doc_id", "lang", "text").join(F.broadcast(stored(ids)), "doc_id")
+    # all doc_ids of a language that has few, about LANG_DOCS by hash of one that has many
+    pairs = docs.select("lang", "doc_id").distinct()
+    sizes = F.broadcast(stored(pairs.groupBy("lang").agg(F.count("*").alias("n"))))
+    per_lang = pairs.join(sizes, "lang").where(
+        int_hash(F.col("doc_id"), 43, F.col("n")) < LANG_DOCS).drop("n")
+    # MODEL_DOCS rows of one number, about LANG_DOCS names and numbers per language
+    ids = docs.select("lang", "doc_id").join(F.broadcast(stored(ids)), "doc_id").select(
+        "lang", "doc_id").unionAll(per_lang).distinct()
+    sample = docs.select("doc_id", "lang", "text").join(
+        F.broadcast(stored(ids)), ["lang", "doc_id"])
     counts: dict[str, np.ndarray] = {}
     # one row per language and Arrow batch of the sample
     for r in sample.mapInArrow(_count, "lang string, counts binary").toLocalIterator():
@@ -92,7 +103,9 @@ def _evidence(model: np.ndarray):
                 source = h.as_py()
                 x = trigrams(main_text(source))
                 n.append(len(x))
-                ll.append(model[x].sum(0) if len(x) else np.zeros(model.shape[1]))
+                # a very long text by its counts: one row per bucket, not per trigram
+                ll.append(np.bincount(x, minlength=BUCKETS) @ model if len(x) > BUCKETS
+                          else model[x].sum(0))
                 m = _DECLARED.search(source or "")
                 declared.append(m[1].lower() if m else None)
             yield pa.RecordBatch.from_arrays(

@@ -96,9 +96,53 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+# A run is read off the pairs of equal 6-word grams of a text: at least 6 words agree
+# with the words one period on, so neighbouring pairs at one distance form its stretch.
+PERIODIC = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+               string_split(CAST(doc_id AS VARCHAR), ''),
+               lambda c: list_transform(range(8), lambda k: (ascii(c) >> k) & 1)))),
+               lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END))
+           AS crc FROM documents),
+h AS (SELECT doc_id, w, len(w) AS n, xor(crc, 4294967295) AS h FROM d),
+g AS (SELECT *, CASE WHEN n > 0 THEN (h // 10) % n END AS a, 3 + (h // 10) % 8 AS parts FROM h),
+t AS (
+    SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+        CASE WHEN i < a THEN w[i + 1]
+             ELSE w[a + (i - a) % (1 + (n - a) // parts) + 1] END) ELSE w END AS w FROM g),
+gram AS (
+    SELECT doc_id, i, array_to_string(w[i + 1:i + 6], ' ') AS s
+    FROM t, unnest(range(0, n - 5)) AS u(i)),
+pair AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS q,
+           x.i - row_number() OVER (PARTITION BY x.doc_id, y.i - x.i ORDER BY x.i) AS island
+    FROM gram x JOIN gram y ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i),
+stretch AS (
+    SELECT doc_id, q, min(i) AS s, max(i) + 6 + q AS e FROM pair GROUP BY doc_id, q, island),
+run AS (
+    SELECT doc_id, s, e, min(q) AS q FROM stretch WHERE e - s >= greatest(12, 2 * q)
+    GROUP BY doc_id, s, e),
+gone AS (
+    SELECT doc_id, list(DISTINCT j) AS js FROM run, unnest(range(s + q, e)) AS u(j) GROUP BY doc_id),
+per AS (
+    SELECT doc_id, count(*) AS n_runs,
+           string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' ORDER BY s, q) AS runs,
+           first(s ORDER BY e - s DESC, s, q) AS start,
+           first(e - s ORDER BY e - s DESC, s, q) AS length,
+           first(q ORDER BY e - s DESC, s, q) AS period FROM run GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, start, length, period,
+       1000 * length // period AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256,
+       sha256(array_to_string(CASE WHEN js IS NULL THEN w ELSE list_filter(
+           w, lambda x, k: NOT list_contains(js, k - 1)) END, ' ')) AS collapsed_sha256
+FROM t LEFT JOIN per USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""
+
 ORACLES = {
     "op1_substring_dedup": SUBSTRING,
     "op2_embedding_dedup": EMBEDDING,
     "op9_ngram_join": NGRAM,
     "op10_decontamination": DECONTAMINATION,
+    "op11_periodic_runs": PERIODIC,
 }

@@ -17,6 +17,7 @@ from .line_dedup import line_dedup
 from .mixing import mix_sources
 from .ngram_join import ngram_join
 from .oracles import ORACLES
+from .periodic_runs import periodic_runs, with_planted_periods
 from .quality import classify_quality
 from .sharding import shard
 from .substring_dedup import substring_dedup
@@ -82,3 +83,18 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"),
                          table(spark, sf_dir, "benchmark")).drop("tag")
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    longest = F.try_element_at(F.sort_array(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p")))), F.lit(1))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(
+        ",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.s").alias("start"),
+        (-F.col("best.l")).alias("length"), F.col("best.p").alias("period"),
+        F.expr("1000 * -best.l div best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))

@@ -11,6 +11,7 @@ from tradewind.io import table
 
 from .decontaminate import decontaminate
 from .embedding_dedup import embedding_dedup
+from .hard_negatives import hard_negatives, with_shifted_labels
 from .html_extract import extract_html
 from .language_id import identify_language
 from .line_dedup import line_dedup
@@ -98,3 +99,8 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("1000 * -best.l div best.p").alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(with_shifted_labels(table(spark, sf_dir, "embeddings")))

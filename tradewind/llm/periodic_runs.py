@@ -254,15 +254,13 @@ def with_planted_periods(documents: DataFrame) -> DataFrame:
     a = g mod n with period 1 + (n - a) div (3 + g mod 8).  Rows without an id stay.
     """
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    plain = documents.select("doc_id", "text", h.alias("h"))
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    g = F.floor(F.col("h") / 10)
-    n = F.size("w")
-    cut = plain.where("h % 10 = 0 AND text IS NOT NULL").select("doc_id", "text", "h", words.alias(
-        "w")).withColumn("a", F.when(n > 0, g % n).cast("int")).withColumn(
+    g, n = F.floor(F.col("h") / 10), F.size("w")
+    cut = documents.select("doc_id", "text", h.alias("h")).withColumn(
+        "w", F.when(F.col("h") % 10 == 0, words)).withColumn(
+        "a", F.when(n > 0, g % n).cast("int")).withColumn(
         "p", (F.lit(1) + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
     again = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(
         F.get("w", F.col("a") + (i - F.col("a")) % F.col("p"))))
-    return plain.where("h % 10 <> 0 OR h IS NULL OR text IS NULL").select("doc_id", "text").unionByName(
-        cut.select("doc_id", F.when(n > 0, F.array_join(again, " ")).otherwise(
-            F.col("text")).alias("text")))
+    return cut.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(again, " ")).otherwise(
+        F.col("text")).alias("text"))

@@ -20,6 +20,7 @@ from .ngram_join import ngram_join
 from .oracles import ORACLES
 from .periodic_runs import periodic_runs, with_planted_periods
 from .quality import classify_quality
+from .secret_scan import scan_secrets
 from .sharding import shard
 from .substring_dedup import substring_dedup
 
@@ -104,3 +105,17 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(with_shifted_labels(table(spark, sf_dir, "embeddings")))
+
+
+@query
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter(
+        "findings", lambda f: f["kind"] == kind)).cast("long")
+    joined = lambda fs: F.array_join(F.transform(fs, lambda f: F.concat_ws(
+        ":", f["kind"], f["start"], f["end"])), ",")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+        count("hex").alias("n_hex"), F.sha2(joined(F.filter(
+            "findings", lambda f: f["kind"] != "literal")), 256).alias("base_sha256"),
+        joined(F.col("findings")).alias("spans"))

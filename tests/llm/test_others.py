@@ -221,6 +221,22 @@ def test_quality_held_out(spark):
     assert np.mean(good) > 0.98 and np.mean(bad) < 0.05
 
 
+def test_quality_knows_a_rare_class(spark, monkeypatch):
+    """Far fewer unfit labels than one in a sample: both classes are fitted still."""
+    monkeypatch.setattr(Q, "LABELLED", 120)
+    words = ["alder", "birch", "cedar", "hazel", "linden", "maple", "rowan", "willow"]
+    rows = [(i, " ".join(words[(i * 7 + j * (1 + i % 3)) % 8] for j in range(40)) + (
+        " wretch scoundrel villain" if i % 400 == 0 else ""), "en", "s", 250) for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, "
+                                       "n_chars long")
+    known = spark.createDataFrame([(i, 1, int(i % 400 == 0)) for i in range(8000)],
+                                  "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in Q.classify_quality(docs, known).collect()}
+    bad = [s for i, s in got.items() if i % 400 == 0]
+    good = [s for i, s in got.items() if i % 400]
+    assert max(bad) < min(good) and np.mean([s >= 0.5 for s in good]) > 0.99
+
+
 def test_quality_odd(spark, docs):
     d = docs(ODD)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
@@ -318,6 +334,30 @@ def test_decontamination(spark, docs):
 
 
 # ---- pipeline --------------------------------------------------------------
+def test_pipeline_near_duplicates_with_odd_ids(docs, spark):
+    """Null, repeated and shared ids: one row of every group of texts stays."""
+    base = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    third = " ".join(f"u{i}" for i in range(60))
+    rows = [(7, base), (7, base), (7, base + " more"), (9, base + " tail"), (None, base), (None, base),
+            (5, other), (7, other + " x"), (None, third), (None, third + " y"), (None, third),
+            (3, None), (3, None), (None, None), (4, " "), (None, "short one"), (None, "short one")]
+    got = Counter((r.doc_id, r.text) for r in P.near_duplicates(spark, docs(rows), SF_SMALL).collect())
+    groups = [[t for _, t in rows if t and t.startswith(k)] for k in ("w0", "v0", "u0", "short")]
+    assert all(sum(got[r] for r in set(rows) if r[1] in g) == 1 for g in groups)
+    # the smallest id leads; null ids only where no other has the text
+    assert [(d, t[:2]) for d, t in got if t and t[0] in "wvu"].count((7, "w0")) == 1
+    assert got[5, other] == 1 and got[7, other + " x"] == 0
+    assert got[3, None] == got[None, None] == got[4, " "] == 1
+    assert P.near_duplicates(spark, docs(rows), SF_SMALL).columns == docs(rows).columns
+
+
+def test_pipeline_mixing_with_odd_ids(docs, spark):
+    rows = [(1, "a b c", "s"), (1, "a b c", "s"), (None, "d e", "t"), (2, None, "s"), (3, " ", "t")]
+    got = Counter((r.doc_id, r.text) for r in P.mixing(spark, docs(rows), SF_SMALL).collect())
+    assert set(got) <= {(1, "a b c"), (None, "d e")} and got
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Every stage against its contract, on what its predecessor kept."""
     before = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
@@ -342,12 +382,11 @@ def test_pipeline_stages(spark, tmp_path):
                 "item_id", "text").collect()]
             assert got == [r for r, c in zip(rows, brute.contamination(rows, items)) if not c[5]]
         if name == "mixing":
-            words, taken = dict(rows), Counter()
-            for d, t in got:
-                taken[d] += len(brute.WORD.findall(t))
-                assert " ".join(words[d].split()).startswith(" ".join(t.split()))
-            want = {r.doc_id: r.taken for r in P.mix_sources(before).collect() if r.taken}
-            assert taken == want
+            words = dict(rows)
+            assert all(words[d] == t for d, t in got)       # whole texts
+            want = Counter({r.doc_id: int(r.taken / r.size + 0.5)
+                            for r in P.mix_sources(before).collect() if r.taken})
+            assert Counter(d for d, _ in got) == +want
         if name == "sharding":
             check_shards(after.collect(), rows)
             assert set(columns) < set(after.columns)

@@ -234,7 +234,11 @@ def _compare(key, t):
 
 
 def ngram_join(documents: DataFrame) -> DataFrame:
-    """doc_id, copy_id, class_id, n_links, kept of every document row."""
+    """doc_id, copy_id, class_id, n_links, kept, tag and lead of every document row.
+
+    ``tag`` is the hash of the row's text; ``lead`` marks the rows whose text leads
+    its class (of the texts of the smallest doc_id, the one with the smallest hash).
+    """
     docs = documents.select("doc_id", "text", F.xxhash64("text").alias("k1"),
                             F.xxhash64("text", F.lit(1)).alias("k2"))
     live = docs.where("doc_id is not null and text is not null")
@@ -276,15 +280,18 @@ def ngram_join(documents: DataFrame) -> DataFrame:
     parts = stored(tasks.groupBy("bin", "i", "j").applyInArrow(
         _compare, "id long, links long, parent long"))
     linked = settle(parts).join(classes.select("id", "first"), "id")
-    lowest = linked.groupBy("component").agg(F.min("first").alias("class_id"))
+    lowest = linked.groupBy("component").agg(F.min(F.struct("first", "id")).alias("l")).select(
+        "component", F.col("l.first").alias("class_id"), F.col("l.id").alias("lead_id"))
     found = classes.join(linked.drop("first").join(lowest, "component"), "id", "left").select(
         F.col("id").alias("k1"), "k2", F.col("first").alias("copy"),
         (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("links"),
-        F.coalesce("class_id", "first").alias("class"))
+        F.coalesce("class_id", "first").alias("class"),
+        F.coalesce(F.col("id") == F.col("lead_id"), F.lit(True)).alias("lead"))
     out = docs.select("doc_id", "k1", "k2", F.col("doc_id").isNotNull().alias("ok")).join(
         found.withColumn("ok", F.lit(True)), ["k1", "k2", "ok"], "left")
     return out.select(
         "doc_id", F.coalesce("copy", "doc_id").alias("copy_id"),
         F.coalesce("class", "doc_id").alias("class_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce(F.col("doc_id") == F.coalesce("class", "doc_id"), F.lit(True)).alias("kept"))
+        F.coalesce(F.col("doc_id") == F.coalesce("class", "doc_id"), F.lit(True)).alias("kept"),
+        F.col("k1").alias("tag"), F.coalesce("lead", F.lit(True)).alias("lead"))

@@ -7,8 +7,10 @@ The target is a document fit for training: labelled quality 1 and toxic 0.
    language, length and their pairs.  Both cover the whole text.
 2. *Sample.*  The classifiers are fitted, in one task, on at most ``LABELLED``
    labelled and ``POOL`` unlabelled documents, chosen by hash; a fifth of the labelled ones
-   is held out for calibration.  This bound is the only one: every document is
-   scored.
+   is held out for calibration.  Both classes are drawn in the proportions of the labels,
+   but a rare class gets ``RARE`` of the sample while it has that many documents, and the
+   scores return to the proportions of all labels.  This bound is the only one: every
+   document is scored.
 3. *Co-training.*  In each round both views are fitted (logistic regression),
    and each gives the other its most confident pseudo-labels from the pool, in
    the labels' class proportions and only above ``SURE``.
@@ -43,7 +45,9 @@ SURE = 0.97
 #: Pseudo-labels that a view hands over in a round, as a share of the pool.
 HANDED = 0.05
 DIM = 1 << 21
-TEXT_BYTES = 8 << 20
+#: Of the labelled documents, at least this share is of the rarer class while it lasts.
+RARE = 1 / 6
+TEXT_BYTES = 1 << 20
 KEEP_AT = 0.5
 
 
@@ -337,7 +341,8 @@ def _fit(table):
                      for i, (n, k) in enumerate(zip(MODEL.split(", "), kinds))})
 
 
-def _scores(rows: list):
+def _scores(rows: list, share: float):
+    """Scores under the share of fit documents among all labels."""
     def load(row):
         m = Linear()
         m.w, m.b = np.zeros(DIM, np.float32), row["b"]
@@ -354,11 +359,13 @@ def _scores(rows: list):
                 (tm, ta, tc), (mm, ma, mc) = models
                 n, pairs = _text_pairs(t.column("text").combine_chunks(), tm.w)
                 doc, ids = np.divmod(pairs, DIM)
-                a = ta * (tm.b + np.bincount(doc, tm.w[ids], n)) + tc
+                # from the sample's proportions to those of all labels
+                shift = np.log(share / (1 - share)) - rows[0]["prior"]
+                a = ta * (tm.b + np.bincount(doc, tm.w[ids], n)) + tc + shift
                 b = ma * mm.logit(*meta_view(*(t.column(c).to_pylist() for c in (
-                    "source", "lang", "n_chars")))) + mc
+                    "source", "lang", "n_chars")))) + mc + shift
                 text, meta, both = (1 / (1 + np.exp(-np.clip(x, -30, 30)))
-                                    for x in (a, b, a + b - rows[0]["prior"]))
+                                    for x in (a, b, a + b - shift - rows[0]["prior"]))
                 kept = both >= KEEP_AT
             for name, col in {"p_text": text, "p_meta": meta, "score": both}.items():
                 t = t.append_column(name, pa.array(col, pa.float64()))
@@ -379,7 +386,14 @@ def classify_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
                                .alias("y"))
     ids = docs.where("doc_id is not null").select("doc_id").distinct()
     first = lambda df, n: df.orderBy(F.xxhash64("doc_id", F.lit(29)), "doc_id").limit(n)
-    chosen = first(known.join(ids, "doc_id"), LABELLED).unionByName(
+    known = stored(known.join(ids, "doc_id"))
+    count = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    fit, unfit = count.get(1, 0), count.get(0, 0)
+    share = fit / max(1, fit + unfit)
+    rare = int(fit < unfit)
+    drawn = min(count.get(rare, 0), int(LABELLED * max(RARE, min(share, 1 - share))))
+    chosen = first(known.where(F.col("y") == rare), drawn).unionByName(
+        first(known.where(F.col("y") != rare), LABELLED - drawn)).unionByName(
         first(ids.join(known, "doc_id", "left_anti"), POOL).withColumn("y", F.lit(-1)))
     # LABELLED + POOL rows of two numbers at most
     sample = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("long")
@@ -389,10 +403,9 @@ def classify_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     # one row for a repeated doc_id, combined map-side: the bound holds
     sample = sample.groupBy("doc_id").agg(F.min(F.struct(
         "y", "source", "lang", "n_chars", "ids")).alias("r")).select("doc_id", "r.*")
-    models = sample.groupBy(F.lit(0).alias("all")).applyInArrow(_fit, MODEL).orderBy(
-        "view").collect()
-    models = [{k: bytes(v) if isinstance(v, bytearray) else v for k, v in r.asDict().items()}
-              for r in models]
+    models = stored(sample.groupBy(F.lit(0).alias("all")).applyInArrow(_fit, MODEL)).collect()
+    models = sorted(({k: bytes(v) if isinstance(v, bytearray) else v for k, v in r.asDict().items()}
+                     for r in models), key=lambda r: r["view"])
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in RESULT[:3]),
                            T.StructField("kept", T.BooleanType())])
-    return docs.mapInArrow(_scores(models), schema)
+    return docs.mapInArrow(_scores(models, share), schema)

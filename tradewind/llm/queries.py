@@ -78,7 +78,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(table(spark, sf_dir, "documents"))
+    return ngram_join(table(spark, sf_dir, "documents")).drop("tag", "lead")
 
 
 @query

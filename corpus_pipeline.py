@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewind.io import table
-from tradewind.llm.common import WORD, broadcast_if
+from tradewind.llm.common import broadcast_if
 from tradewind.llm.decontaminate import decontaminate
-from tradewind.llm.mixing import mix_sources, word_count
+from tradewind.llm.mixing import mix_sources
 from tradewind.llm.ngram_join import ngram_join
 from tradewind.llm.quality import RESULT as QUALITY_COLUMNS
 from tradewind.llm.quality import classify_quality
@@ -30,10 +30,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: one document of each group stays, the smallest doc_id."""
-    kept = ngram_join(docs).where("kept").select("doc_id").distinct()
-    # one plan at every size: the ids grow with the documents
-    return docs.join(kept.hint("merge"), docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """Operator 9: one document of each group stays, the smallest doc_id.  Rows that
+    repeat an id and a text are one document; rows without an id stand behind all
+    others and take part like them, by their text."""
+    behind = 1 << 62
+    keyed = docs.withColumn("_tag", F.xxhash64("text")).withColumn("_id", F.coalesce(
+        "doc_id", F.lit(behind) + F.col("_tag").bitwiseAND(F.lit(behind - 1))))
+    kept = ngram_join(keyed.select(F.col("_id").alias("doc_id"), "text")).where("kept AND lead").select(
+        F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).distinct()
+    # one plan at every size: the ids grow with the documents; the second step finds its
+    # rows already dealt by both columns
+    return keyed.join(kept.hint("merge"), ["_id", "_tag"], "left_semi").dropDuplicates(
+        ["_id", "_tag"]).select(*docs.columns)
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,23 +55,19 @@ def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: every document as often as the mix takes it; of a document
-    that is taken in part (the last one of a shard's quota) the first words."""
+    """Operator 3: every document as often as the mix takes it.  Of a document that is
+    taken in part (the last one of a shard's quota) the nearest number of whole copies
+    is taken.  Null and blank texts leave: no mix takes a word of them."""
     takes = mix_sources(docs).groupBy("doc_id", "text_key").agg(
-        F.array_sort(F.collect_list("taken")).alias("_takes"))
+        F.array_sort(F.collect_list(F.struct("taken", "size"))).alias("_takes"))
     keyed = docs.withColumn("_key", F.xxhash64("text"))
     # repeated rows get one entry each
     nth = F.row_number().over(Window.partitionBy("doc_id", "_key").orderBy("_key"))
     met = keyed.join(takes.withColumnRenamed("doc_id", "_id").hint("merge"), keyed["doc_id"].eqNullSafe(
         F.col("_id")) & (F.col("_key") == F.col("text_key"))).withColumn(
-        "_take", F.get("_takes", nth - 1)).where("_take > 0").withColumn(
-        "_size", word_count(F.col("text")))
-    rest = (F.col("_take") % F.col("_size")).cast("int")
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, rest), " ")
-    copies = F.array_repeat("text", F.floor(F.col("_take") / F.col("_size")).cast("int"))
-    out = met.withColumn("text", F.explode(F.when(rest > 0, F.concat(
-        copies, F.array(part))).otherwise(copies)))
-    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+        "_take", F.get("_takes", nth - 1)).where("_take.taken > 0")
+    copies = F.floor(F.col("_take.taken") / F.col("_take.size") + 0.5).cast("int")
+    return met.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

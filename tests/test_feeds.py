@@ -4,6 +4,8 @@ import json
 import os
 import uuid
 
+import pytest
+
 from tradewind.session import scratch_path
 from tradewind.sources.feeds import (read_rss, read_search, read_timeline, rejects, rss_items,
                                      search_items, timeline_items)
@@ -102,6 +104,76 @@ def test_atom(spark):
     assert r.published_at.isoformat() == "2024-02-01T07:00:00" and len(r.links) == 2
 
 
+HEAD = '<?xml version="1.0"?><rss version="2.0"><channel><language>en</language>'
+GOOD = "<item><title>Good {0}</title><link>http://a/{0}</link></item>"
+TAIL = "</channel></rss>"
+RDF = ('<?xml version="1.0"?><rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" '
+       'xmlns="http://purl.org/rss/1.0/" xmlns:dc="http://purl.org/dc/elements/1.1/">'
+       '<channel rdf:about="http://a/"><title>c</title><dc:language>fr</dc:language><items><rdf:Seq>'
+       '<rdf:li resource="http://a/1"/></rdf:Seq></items></channel>')
+
+
+@pytest.mark.parametrize("body,titles,rejected", [
+    # a bare ampersand, an entity that XML does not know, a control character, a bare "<"
+    (HEAD + GOOD.format(1) + "<item><title>R & D a=1&b=2</title><link>http://a/?x=1&y=2</link></item>"
+     + GOOD.format(3) + TAIL, ["Good 1", "R & D a=1&b=2", "Good 3"], 0),
+    (HEAD + GOOD.format(1) + "<item><title>x&nbsp;y &eacute;&#11;</title><link>http://a/2</link></item>"
+     + GOOD.format(3) + TAIL, ["Good 1", "x y é", "Good 3"], 0),
+    (HEAD + GOOD.format(1) + "<item><title>a \x02 1 < 2</title><link>http://a/2</link></item>"
+     + GOOD.format(3) + TAIL, ["Good 1", "a 1 < 2", "Good 3"], 0),
+    # an item that cannot be mended loses nothing but itself
+    (HEAD + GOOD.format(1) + "<item><title>bad</link></item>" + GOOD.format(3) + TAIL,
+     ["Good 1", "Good 3"], 1),
+    (HEAD + GOOD.format(1) + "<item><title>no end</title>" + GOOD.format(3) + TAIL,
+     ["Good 1", "Good 3"], 1),
+    # cut off behind an item, inside one, inside a CDATA section
+    (HEAD + GOOD.format(1) + GOOD.format(2), ["Good 1", "Good 2"], 0),
+    (HEAD + GOOD.format(1) + GOOD.format(2) + "<item><title>Half", ["Good 1", "Good 2"], 1),
+    (HEAD + GOOD.format(1) + "<item><title>T</title><description><![CDATA[<p>x</item>", ["Good 1"], 1),
+    # items beside the channel; the channel's <items> is none
+    (RDF + '<item rdf:about="http://a/1"><title>One</title><link>http://a/1</link></item>'
+     "<item><title>Bad</item>" + "<item><title>Two</title><link>http://a/2</link></item></rdf:RDF>",
+     ["One", "Two"], 1),
+    # markup in CDATA and comments does not cut items
+    (HEAD + "<!-- <item> --><item><title><![CDATA[A <item> & </item> &amp; B]]></title>"
+     "<link>http://a/1</link></item>" + TAIL, ["A & & B"], 0),
+    # no feed at all; Spark's readers pass over files of no bytes
+    ("", [], 0), (" \n", [], 1), ("<html><body>404</body></html>", [], 1), ("not xml < at & all", [], 1),
+    (HEAD, [], 1), (HEAD + TAIL, [], 0), (HEAD + "<item/>" + GOOD.format(2) + TAIL, ["Good 2"], 1),
+])
+def test_rss_bodies_in_the_wild(spark, body, titles, rejected):
+    d = _land(spark, "source_id=w/f.xml", body)
+    items = rss_items(spark, d)
+    assert [r.title for r in read_rss(spark, d).orderBy("position").collect()] == titles
+    assert sum(r.rejected for r in rejects(items).collect()) == rejected
+
+
+def test_rdf_fields(spark):
+    d = _land(spark, "source_id=w/f.xml", RDF + '<item rdf:about="http://a/1"><title>One</title>'
+              "<link>http://a/1</link><dc:date>2024-03-01T10:00:00+02:00</dc:date></item></rdf:RDF>")
+    (r,) = read_rss(spark, d).collect()
+    assert (r.external_guid, r.language_code, r.source_id) == ("http://a/1", "fr", "w")
+    assert r.published_at.isoformat() == "2024-03-01T08:00:00"
+
+
+@pytest.mark.parametrize("encoding", ["iso-8859-1", "utf-16", "utf-8"])
+def test_declared_encodings(spark, encoding):
+    text = HEAD.replace('"1.0"?', f'"1.0" encoding="{encoding}"?') + (
+        "<item><title>Café “x”</title><link>http://a/1</link></item>") + TAIL
+    d = _land(spark, "source_id=w/f.xml", "")
+    with open(f"{d}/source_id=w/f.xml", "wb") as fh:
+        fh.write(text.encode("cp1252" if encoding == "iso-8859-1" else encoding))
+    assert [r.title for r in read_rss(spark, d).collect()] == ["Café “x”"]
+
+
+def test_long_feed_bodies(spark):
+    """Long texts and many items neither overflow a stack nor take long."""
+    long = "<item><title>t</title><link>http://a/9</link><description>" + "x &lt;p&gt; y " * 60000 + (
+        "</description></item>")
+    d = _land(spark, "source_id=w/f.xml", HEAD + long + "".join(GOOD.format(i) for i in range(3000)) + TAIL)
+    assert read_rss(spark, d).count() == 3001
+
+
 def test_registered_feeds_parse_every_landed_item(spark):
     from tradewind.registry import QUERIES
     from .conftest import SF_SMALL

@@ -78,3 +78,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, from one listing (any storage); none if it does not exist."""
+    if not path_exists(spark, path):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [st.getPath().getName() for st in fs.listStatus(p)]

@@ -8,17 +8,26 @@ their place: ``feed_file`` and ``position`` order them within a source.
 Every item is judged by itself: a malformed item, a missing link or a title
 that is empty after cleaning rejects that item only, with its reason;
 ``rejects`` counts them per file (a body that cannot be parsed is one reject).
+
+XML feeds are read tolerantly, as feeds in the wild are.  The body is cut into
+its items first (RSS, RDF with items beside the channel, Atom), so a broken
+item cannot take others with it, and an item that the end of the file cuts off
+is one reject.  Undefined entities, bare ``&`` and ``<``, and control
+characters are mended before an item is parsed; declared Latin-1 and UTF-16
+bodies are decoded.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import iso_local_date, parse_iso, parse_rfc822
 from ..functions.text import strip_html, url_hash
-from ..session import path_exists
+from ..session import child_names
 
 # Routing of API sources and the search API's item URL format.
 SEARCH_API_DOMAIN = "hn.algolia.com"
@@ -42,16 +51,21 @@ def _xml(**fields: T.DataType) -> T.StructType:
 
 _S, _LIST = T.StringType(), T.ArrayType(T.StringType())
 RSS_ITEM = _xml(**{
-    "title": _S, "link": _S, "guid": _S, "pubDate": _S, "dc:date": _S, "updated": _S,
-    "description": _S, "content:encoded": _S, "author": _S, "dc:creator": _S,
-    "category": _LIST})
-CHANNEL_SCHEMA = _xml(language=_S, item=T.ArrayType(RSS_ITEM))
+    "title": _S, "link": _S, "guid": _S, "_rdf:about": _S, "pubDate": _S, "dc:date": _S,
+    "updated": _S, "description": _S, "content:encoded": _S, "author": _S, "dc:creator": _S,
+    "category": _LIST, "_corrupt_record": _S})
 ATOM_LINK = _xml(_href=_S, _rel=_S)
 ATOM_ENTRY = _xml(
     title=_S, id=_S, link=T.ArrayType(ATOM_LINK), published=_S, updated=_S, summary=_S,
-    content=_S, author=T.ArrayType(_xml(name=_S)), category=T.ArrayType(_xml(_term=_S)))
-ATOM_SCHEMA = T.StructType([T.StructField("_xml:lang", _S),
-                            T.StructField("entry", T.ArrayType(ATOM_ENTRY))])
+    content=_S, author=T.ArrayType(_xml(name=_S)), category=T.ArrayType(_xml(_term=_S)),
+    _corrupt_record=_S)
+
+PREFIX = r"(?:[\w.\-]+:)?"
+ITEM_START = rf"<{PREFIX}(?:item|entry)[\s/>]"
+ITEM_END = rf"</{PREFIX}(?:item|entry)\s*>"
+#: Code points 128 to 159 of the encodings that call themselves Latin-1.
+LATIN = "".join(map(chr, range(128, 160)))
+WINDOWS = bytes(range(128, 160)).decode("cp1252", "replace")
 
 # Names of the sources and fields of the stored payloads.
 SEARCH_PAYLOAD_API, TIMELINE_PAYLOAD_API = "hacker_news_algolia", "mastodon"
@@ -78,14 +92,74 @@ def _feed_time(*cols):
     return F.coalesce(*[f(c) for c in cols for f in (parse_rfc822, parse_iso)])
 
 
-def _xml_items(spark: SparkSession, path: str, tag: str, schema, items: str) -> DataFrame:
-    """One row per item with its place in the file."""
-    return (spark.read.format("xml").option("rowTag", tag).option("mode", "PERMISSIVE")
-            .option("ignoreSurroundingSpaces", "true").option("recursiveFileLookup", "true")
-            .schema(schema).load(path)
-            .select("*", F.col("_metadata.file_path").alias("feed_file"))
-            .select("feed_file", *[c for c in schema.names if c != items],
-                    F.posexplode(items).alias("position", "it")))
+def _decoded(content: Column) -> Column:
+    """The text of a landed body, by its byte order mark or declared encoding."""
+    plain = content.cast("string")
+    mark = F.hex(F.substring(content, 1, 2))
+    declared = F.lower(F.regexp_extract(
+        F.substring(plain, 1, 200), r"""encoding\s*=\s*["']([\w\-]+)""", 1))
+    return (F.when(mark.isin("FEFF", "FFFE"), F.decode(content, "UTF-16"))
+            .when(declared.isin("iso-8859-1", "latin-1", "latin1", "windows-1252", "cp1252"),
+                  F.translate(F.decode(content, "ISO-8859-1"), LATIN, WINDOWS))
+            .otherwise(F.make_valid_utf8(plain)))
+
+
+def _plain_xml(body: Column) -> Column:
+    """A body without CDATA sections (their text escaped instead), comments and
+    control characters, with bare ampersands, undefined entities and bare
+    less-than signs escaped."""
+    escaped = lambda c: reduce(lambda x, r: F.replace(x, F.lit(r[0]), F.lit(r[1])), (
+        ("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")), c)
+
+    def section(part: Column) -> Column:
+        inside = F.substring_index(part, "]]>", 1)
+        return F.concat(escaped(inside), F.substr(part, F.char_length(inside) + F.lit(4)))
+    parts = F.split(body, r"<!\[CDATA\[", -1)
+    joined = F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), section), ""))
+    mends = ((r"(?s)<!--.*?-->", ""), (r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]", ""),
+             # references to characters that XML has not got
+             (r"&#(?:0*(?:[0-8]|1[124-9]|2\d|3[01])|x0*(?:[0-8]|[bcefBCEF]|1[0-9a-fA-F]));", ""),
+             (r"&(?!(?:amp|lt|gt|quot|apos|#\d{1,7}|#x[0-9a-fA-F]{1,6});)", "&amp;"),
+             (r"<(?![A-Za-z_/!?])", "&lt;"))
+    return reduce(lambda x, m: F.regexp_replace(x, *m), mends, joined)
+
+
+def _xml_items(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """feed_file, language, position and the parsed item, ``rss`` or ``atom``; a body
+    without items that is no feed is one row with neither."""
+    bodies = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+              .select(F.col("path").alias("feed_file"), _plain_xml(_decoded(
+                  F.col("content"))).alias("body")))
+    parts = F.split("body", f"(?={ITEM_START})", -1)
+    cut = bodies.select("feed_file", F.filter(parts, lambda p: F.rlike(
+        p, F.lit(f"^{ITEM_START}"))).alias("parts"), F.filter(parts, lambda p: ~F.rlike(
+            p, F.lit(f"^{ITEM_START}"))).alias("head"))
+    whole = lambda p: F.regexp_extract(
+        p, rf"(?s)^(?:<[^<>]*/>|.*?{ITEM_END})", 0)
+    cut = cut.withColumn("items", F.transform("parts", lambda p: F.struct(
+        whole(p).alias("own"), F.substr(p, F.char_length(whole(p)) + F.lit(1)).alias("rest"),
+        F.rlike(p, F.lit(rf"^<{PREFIX}item")).alias("is_rss"))))
+    # what stands around the items; the rest of an item that is cut off is its own
+    around = F.concat(F.array_join("head", ""), F.array_join(F.transform(
+        F.filter("items", lambda i: i["own"] != ""), lambda i: i["rest"]), ""))
+    cut = cut.withColumn("around", around)
+    language = F.coalesce(
+        _first_nonempty(F.trim(F.regexp_extract(
+            "around", r"<(?:dc:)?language(?:\s[^<>]*)?>([^<]*)<", 1))),
+        _first_nonempty(F.regexp_extract(
+            "around", rf"""<{PREFIX}feed\s[^<>]*?xml:lang\s*=\s*["']([^"']*)""", 1)))
+    is_feed = F.rlike("around", F.lit(rf"<{PREFIX}(?:rss|RDF|feed)[\s/>]")) & F.rlike(
+        "around", F.lit(rf"(?s)(?:</{PREFIX}(?:rss|RDF|feed)\s*>|/>)\s*\z"))
+    items = F.when((F.size("items") > 0) | is_feed, F.col("items")).otherwise(
+        F.array(F.struct(F.lit("").alias("own"), F.lit("").alias("rest"), F.lit(True).alias("is_rss"))))
+    rows = cut.select("feed_file", language.alias("language"), F.posexplode(items).alias(
+        "position", "i"))
+    options = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "true"}
+    parse = lambda kind, schema: F.when(
+        (F.col("i.own") != "") & (F.col("i.is_rss") == kind), F.from_xml("i.own", schema, options))
+    return rows.select("feed_file", "language", "position", parse(True, RSS_ITEM).alias("rss"),
+                       parse(False, ATOM_ENTRY).alias("atom"))
 
 
 def _shaped(rows: DataFrame, **values) -> DataFrame:
@@ -99,50 +173,52 @@ def _shaped(rows: DataFrame, **values) -> DataFrame:
     return out.select(*ARTICLE_COLUMNS, *ITEM_COLUMNS, reason.alias("reject_reason"))
 
 
-def rss_items(spark: SparkSession, path: str) -> DataFrame:
-    """A1: every RSS ``<item>`` and Atom ``<entry>``, judged."""
-    it = lambda c: F.col("it").getField(c)
-    rss = _xml_items(spark, path, "channel", CHANNEL_SCHEMA, "item")
-    author = _first_nonempty(it("author"), it("dc:creator"))
-    guid = _first_nonempty(it("guid"))
-    link = _first_nonempty(it("link"))
-    ts = _feed_time(it("pubDate"), it("dc:date"), it("updated"))
-    tags = F.filter(F.coalesce(it("category"), F.array().cast(_LIST)), lambda x: x != "")
-    links = F.array_compact(F.array(link))
-    summary = strip_html(it("description"))
-    rss = _shaped(
-        rss, _broken=F.col("it").isNull(), external_guid=guid, url=link,
-        title=strip_html(it("title")), summary=summary,
-        content=F.coalesce(strip_html(it("content:encoded")), summary), author_name=author,
-        language_code=F.col("language"), published_at=ts, published_date=F.to_date(ts),
-        tags=tags, links=links, raw_payload=F.to_json(F.struct(
-            guid.alias("entry_id"), it("title").alias("title"), it("description").alias("summary"),
-            F.coalesce(it("pubDate"), it("dc:date")).alias("published"),
-            it("updated").alias("updated"), author.alias("author"), tags.alias("tags"),
-            links.alias("links")), {"ignoreNullFields": "false"}))
-    atom = _xml_items(spark, path, "feed", ATOM_SCHEMA, "entry")
-    all_links = F.filter(F.coalesce(it("link"), F.array().cast(T.ArrayType(ATOM_LINK))),
-                         lambda x: x["_href"] != "")
+def rss_items(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """A1: every item of RSS and RDF feeds and every Atom ``<entry>``, judged."""
+    rss = lambda c: F.col("rss").getField(c)
+    atom = lambda c: F.col("atom").getField(c)
+    none = F.array().cast(_LIST)
+    links = F.filter(F.coalesce(atom("link"), F.array().cast(T.ArrayType(ATOM_LINK))),
+                     lambda x: x["_href"] != "")
     # the entry's own page: the first link that is not of another kind
-    own = F.filter(all_links, lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
-    link = F.get(F.transform(F.concat(own, all_links), lambda x: x["_href"]), F.lit(0))
-    author = F.get(it("author"), F.lit(0))["name"]
-    ts = _feed_time(it("published"), it("updated"))
-    tags = F.filter(F.transform(F.coalesce(it("category"), F.array().cast(
-        ATOM_ENTRY["category"].dataType)), lambda x: x["_term"]), lambda x: x != "")
-    links = F.transform(all_links, lambda x: x["_href"])
-    summary = strip_html(F.coalesce(it("summary"), it("content")))
-    atom = _shaped(
-        atom, _broken=F.col("it").isNull(), external_guid=_first_nonempty(it("id")), url=link,
-        title=strip_html(it("title")), summary=summary,
-        content=F.coalesce(strip_html(it("content")), summary), author_name=author,
-        language_code=F.col("`_xml:lang`"), published_at=ts, published_date=F.to_date(ts),
-        tags=tags, links=links, raw_payload=F.to_json(F.struct(
-            it("id").alias("entry_id"), it("title").alias("title"), it("summary").alias("summary"),
-            it("published").alias("published"), it("updated").alias("updated"),
-            author.alias("author"), tags.alias("tags"), links.alias("links")),
-            {"ignoreNullFields": "false"}))
-    return rss.unionByName(atom)
+    own = F.filter(links, lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    link = F.coalesce(_first_nonempty(rss("link")), F.get(F.transform(
+        F.concat(own, links), lambda x: x["_href"]), F.lit(0)))
+    terms = F.transform(F.coalesce(atom("category"), F.array().cast(
+        ATOM_ENTRY["category"].dataType)), lambda x: x["_term"])
+    # one shape of both kinds, before any cleaning
+    raw = _xml_items(spark, path).select(
+        "feed_file", "language", "position",
+        ((F.col("rss").isNull() & F.col("atom").isNull()) | rss("_corrupt_record").isNotNull()
+         | atom("_corrupt_record").isNotNull()).alias("broken"),
+        F.coalesce(_first_nonempty(rss("guid")), _first_nonempty(rss("_rdf:about")),
+                   _first_nonempty(atom("id"))).alias("guid"),
+        F.coalesce(rss("title"), atom("title")).alias("raw_title"), link.alias("link"),
+        F.coalesce(rss("description"), atom("summary")).alias("raw_summary"),
+        F.coalesce(rss("content:encoded"), atom("content")).alias("raw_content"),
+        F.coalesce(rss("pubDate"), rss("dc:date"), atom("published")).alias("raw_published"),
+        F.coalesce(rss("updated"), atom("updated")).alias("raw_updated"),
+        _feed_time(rss("pubDate"), rss("dc:date"), rss("updated"), atom("published"),
+                   atom("updated")).alias("ts"),
+        F.coalesce(_first_nonempty(rss("author"), rss("dc:creator")),
+                   F.get(atom("author"), F.lit(0))["name"]).alias("author"),
+        F.filter(F.concat(F.coalesce(rss("category"), none), terms), lambda x: x != "").alias("tag"),
+        F.when(F.col("atom").isNull(), F.array_compact(F.array(link))).otherwise(
+            F.transform(links, lambda x: x["_href"])).alias("link_list"),
+        F.col("atom").isNotNull().alias("is_atom"))
+    # an entry without a summary is summarised by its content
+    summary = strip_html(F.coalesce("raw_summary", F.when(F.col("is_atom"), F.col("raw_content"))))
+    return _shaped(
+        raw, _broken=F.col("broken"), external_guid=F.col("guid"), url=F.col("link"),
+        title=strip_html("raw_title"), summary=summary,
+        content=F.coalesce(strip_html("raw_content"), summary), author_name=F.col("author"),
+        language_code=F.col("language"), published_at=F.col("ts"),
+        published_date=F.to_date("ts"), tags=F.col("tag"), links=F.col("link_list"),
+        raw_payload=F.to_json(F.struct(
+            F.col("guid").alias("entry_id"), F.col("raw_title").alias("title"),
+            F.col("raw_summary").alias("summary"), F.col("raw_published").alias("published"),
+            F.col("raw_updated").alias("updated"), "author", F.col("tag").alias("tags"),
+            F.col("link_list").alias("links")), {"ignoreNullFields": "false"}))
 
 
 def _bodies(spark: SparkSession, path: str) -> DataFrame:
@@ -255,21 +331,21 @@ def route_sources(sources: DataFrame) -> DataFrame:
 
 def ingest(spark: SparkSession, sources: DataFrame, landing: str) -> DataFrame:
     """A4: every routable source's landed files; only their folders are read
-    (the registry of feeds is a bounded dimension)."""
+    (the registry of feeds is a bounded dimension), one listing per reader."""
     routed = route_sources(sources).where("reader is not null").select("reader", "source_name")
+    landed: dict[str, set[str]] = {}
     folders: dict[str, list[str]] = {}
     for r in routed.toLocalIterator():
-        path = f"{landing}/{r.reader}/source_id={r.source_name}"
-        if path_exists(spark, path):
-            folders.setdefault(r.reader, []).append(path)
+        if r.reader not in landed:
+            landed[r.reader] = set(child_names(spark, f"{landing}/{r.reader}"))
+        if f"source_id={r.source_name}" in landed[r.reader]:
+            folders.setdefault(r.reader, []).append(
+                f"{landing}/{r.reader}/source_id={r.source_name}")
     read = {"rss": read_rss, "search": read_search, "timeline": read_timeline}
     parts = [read[k](spark, v) for k, v in sorted(folders.items())]
     if not parts:
         return spark.createDataFrame([], item_schema())
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def item_schema() -> T.StructType:

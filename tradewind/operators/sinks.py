@@ -4,8 +4,7 @@ Plain Parquet has no MERGE, so every change is expressed as a DataFrame:
 * ``upsert``            full outer join on the keys, new values win
 * ``insert_if_absent``  first-wins dedup inside the batch, anti-join history
 * ``replace_children``  drop the touched parents' rows, append the new rows
-and written by ``write_partitions`` with dynamic partition overwrite, so a
-batch rewrites only the partitions it touches (not the whole table).
+``tables.upsert_partitioned`` applies the first to a table stored by partitions.
 """
 
 from __future__ import annotations
@@ -102,24 +101,3 @@ def replace_children(children: DataFrame, new_children: DataFrame, parent_key: s
     """Delete the touched parents' child rows, then insert the new ones."""
     kept = children.join(touched.select(parent_key).distinct(), parent_key, "left_anti")
     return kept.unionByName(new_children.select(*children.columns))
-
-
-def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
-    """Overwrite only the partitions present in ``df`` (dynamic overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))
-
-
-def upsert_partitioned(spark, path: str, updates: DataFrame, keys: Sequence[str],
-                       partition_col: str, preserve: Sequence[str] = ()) -> DataFrame:
-    """Upsert into a table stored partitioned by ``partition_col``.
-
-    Only partitions named by the batch are read (the semi-join on the
-    partition column lets dynamic partition pruning skip the rest) and only
-    those are rewritten.  Returns the merged rows of the touched partitions.
-    """
-    target = spark.read.parquet(path)
-    touched = updates.select(partition_col).distinct()
-    part = target.join(touched, partition_col, "left_semi")
-    merged = upsert(part, updates, keys, preserve)
-    return merged

@@ -211,8 +211,22 @@ def _price_rows(spark, d, created):
     return p, pid, F.lit(created).cast("timestamp")
 
 
+def _month(day):
+    return (F.year(day) * 100 + F.month(day)).alias("month")
+
+
+def _upserted(spark, name, target, updates, day, **kw):
+    """The month-partitioned table of ``target`` after an upsert of ``updates``."""
+    import uuid
+    from .operators.tables import upsert_partitioned, write_partitions
+    from .session import scratch_path
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    write_partitions(target.select("*", _month(day)), path, "month")
+    return upsert_partitioned(path, updates.select("*", _month(day)), ["benchmark_code", day],
+                              "month", **kw).drop("month")
+
+
 def q_price_upsert(spark, d):
-    from .operators.sinks import upsert
     p, pid, _ = _price_rows(spark, d, "2000-01-01 00:00:00")
     target = p.filter(F.col("price_date") < CUTOVER).select(
         pid.alias("price_id"), "benchmark_code", "price_date", "open_price", "high_price",
@@ -223,16 +237,15 @@ def q_price_upsert(spark, d):
         "low_price", "close_price", F.col("close_price").alias("adjusted_close_price"),
         (F.col("volume") + 1).alias("volume"),
         F.lit("2001-09-01 00:00:00").cast("timestamp").alias("created_at"))
-    return upsert(target, updates, ["benchmark_code", "price_date"],
-                  preserve=["price_id", "created_at"])
+    return _upserted(spark, "price-upsert", target, updates, "price_date",
+                     preserve=["price_id", "created_at"])
 
 
 def q_feature_upsert(spark, d):
-    from .operators.sinks import upsert
     p = _prices(spark, d)
     old = FE.price_features(p.filter(F.col("price_date") < CUTOVER))
     new = FE.price_features(p).filter(F.col("feature_date") >= OVERLAP)
-    return upsert(old, new, ["benchmark_code", "feature_date"])
+    return _upserted(spark, "feature-upsert", old, new, "feature_date")
 
 
 def q_source_upsert(spark, d):
@@ -579,7 +592,8 @@ def q_stream_dedup(spark, d):
 
 def q_stream_daily_news(spark, d):
     from .streaming.jobs import fresh_workdir, stream_daily
-    return stream_daily(spark, _landed_events(spark, d), fresh_workdir(spark, "daily"))
+    return stream_daily(spark, _landed_events(spark, d), fresh_workdir(spark, "daily"),
+                        with_late=True)
 
 
 def q_strip_html(spark, d):

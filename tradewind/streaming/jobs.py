@@ -1,90 +1,160 @@
 """Structured Streaming jobs (S1-S3) over landed scored-item files.
 
-Both jobs only ever append: batch ``n`` writes ``batch=n`` folders, so a
-retried batch overwrites its own output and no batch rewrites history.  Files
-may arrive in any order; neither result depends on it.
-
-* S1 ``stream_dedup``: the earliest item per key wins.  A batch keeps its
-  earliest row per key and appends those that history does not already hold
-  as early (anti-join on the key); the view takes the earliest per key.
-* S2/S3 ``stream_daily``: tumbling 1-day windows.  A batch appends its partial
-  sums per (window, source), which add up over batches; the view sums them per
-  source, then per day, so the distinct sources of a day are a count of rows.
-  Rows behind the watermark (newest event of earlier batches minus the allowed
-  delay) are counted in the batch log and corrected into their window, not
-  dropped: the stream equals the batch job.
+A stream has two steps, each an own query with its own checkpoint:
+
+1. ``split_late`` deals the rows of every batch to ``on_time`` or ``late``: late
+   is what lies further behind the newest event of the earlier batches than the
+   allowed delay.  Late rows are kept there as a side output.
+2. A stateful query reads the on-time rows, whole batches of the first step at a
+   time (so its watermark is never ahead of theirs), with the same delay.
+   Its state lives in Spark's state store, one entry per event-time day and key;
+   days behind the watermark are closed and leave the store.  Since late rows are
+   split off before, the state store never drops a row.
+
+* S1 ``stream_dedup``: per day and key the state holds the earliest row; a batch
+  writes the entries it changed and reads no earlier output.
+* S2/S3 ``stream_daily``: per day and source the state holds the sums.  A batch
+  upserts the days it changed into a table stored by day: only those partitions
+  are rewritten.  The daily view sums over sources.
+
+Both combine map-side before the state, so a hot key is reduced in every task.  A
+retried batch replaces its own folder, or upserts the same rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..numerics import ratio_half_up
 from ..operators.sinks import first_per_key
-from ..session import path_exists, scratch_path
-
+from ..operators.tables import upsert_partitioned
+from ..session import child_names, path_exists, scratch_path
 
-def land_items(items: DataFrame, dest: str, rows_per_file: int = 2500) -> None:
-    """Land scored items as Parquet files of bounded size, one folder per chunk."""
-    (items.withColumn("chunk", (F.col("article_id") / rows_per_file).cast("long"))
-     .repartition("chunk").write.mode("overwrite").partitionBy("chunk").parquet(dest))
+TIME = "published_at"
+SUMS = ["articles", "s", "ns", "sr", "r", "nr", "pos", "neu", "neg"]
 
 
-def _append(df: DataFrame, table: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
-
+def land_items(items: DataFrame, dest: str, rows_per_file: int = 2500) -> None:
+    """Land scored items in order of their event time as Parquet files of bounded
+    size that arrived one after the other."""
+    spark = items.sparkSession
+    n = max(1, -(-items.count() // rows_per_file))
+    items.repartitionByRange(n, TIME).write.mode("overwrite").parquet(dest)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(dest).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(c for c in child_names(spark, dest) if c.startswith("part-"))
+    newest = max(fs.getFileStatus(hadoop.Path(dest, c)).getModificationTime() for c in names)
+    for i, c in enumerate(names):
+        fs.setTimes(hadoop.Path(dest, c), newest - 1000 * (len(names) - i), -1)
+
+
+def _run(query) -> StreamingQuery:
+    done = query.trigger(availableNow=True).start()
+    done.awaitTermination()
+    return done
+
+
+def split_late(spark: SparkSession, source: str, work: str, delay: str,
+               files_per_batch: int) -> None:
+    """Step 1: every batch becomes a folder of on-time rows and one of late rows."""
+    schema = spark.read.parquet(source).schema
+    newest: dict = {}            # of the batches so far; read once after a restart
 
-def _before(spark: SparkSession, table: str, batch_id: int) -> DataFrame | None:
-    """What earlier batches appended; a retried batch does not see itself."""
-    if not path_exists(spark, table):
-        return None
-    return spark.read.parquet(table).where(F.col("batch") < batch_id).drop("batch")
+    def deal(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        if "at" not in newest:
+            earlier = [f"{work}/{k}/{n}" for k in ("on_time", "late") for n in child_names(
+                s, f"{work}/{k}") if int(n.removeprefix("batch=")) < batch_id]
+            newest["at"] = s.read.schema(schema).parquet(*earlier).agg(
+                F.max(TIME)).first()[0] if earlier else None
+        late = F.lit(False) if newest["at"] is None else F.coalesce(
+            F.col(TIME) < F.lit(newest["at"]) - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        now = batch.agg(F.max(TIME).alias("newest"), F.count_if(late).alias("late")).first()
+        if now["late"]:
+            _publish(batch.where(late), f"{work}/late", batch_id)
+        _publish(batch.where(~late), f"{work}/on_time", batch_id)
+        newest["at"] = max((t for t in (newest["at"], now["newest"]) if t is not None), default=None)
+
+    items = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    _run(items.writeStream.foreachBatch(deal)
+         .option("checkpointLocation", f"{work}/split-checkpoint"))
+
+
+def _publish(rows: DataFrame, table: str, batch_id: int) -> None:
+    """Writes a batch's folder and shows it whole: readers of the table see nothing
+    of a batch that failed half-way, and a batch that was shown stays as it is."""
+    spark = rows.sparkSession
+    shown, aside = f"{table}/batch={batch_id}", f"{table}-writing/{uuid.uuid4().hex}"
+    if path_exists(spark, shown):
+        return
+    rows.write.parquet(aside)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(table).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop.Path(table))
+    if not fs.rename(hadoop.Path(aside), hadoop.Path(shown)):
+        raise RuntimeError(f"could not show {shown}")
+
+
+def on_time(spark: SparkSession, work: str, schema, delay: str) -> DataFrame:
+    """Step 2's input: the on-time rows as a stream with a watermark.  A batch takes all
+    folders shown so far: a limit on files could cut one in two, and the watermark of
+    its first half could close days of the second."""
+    return spark.readStream.schema(schema).parquet(f"{work}/on_time/batch=*").withWatermark(TIME, delay)
+
+
+def late_rows(spark: SparkSession, work: str, schema) -> DataFrame:
+    """The side output of rows that came too late for their day."""
+    if not path_exists(spark, f"{work}/late"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{work}/late").drop("batch")
 
 
 def stream_dedup(spark: SparkSession, source: str, key: str, order: str, work: str,
-                 files_per_batch: int = 1) -> DataFrame:
-    """Earliest row per ``key`` (by ``order``) over a file stream."""
+                 delay: str = "2 days", files_per_batch: int = 4) -> DataFrame:
+    """Earliest row per ``key`` (by ``order``) over a file stream, late rows included."""
     schema = spark.read.parquet(source).schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-              .parquet(source))
-    state = f"{work}/state"
+    split_late(spark, source, work, delay, files_per_batch)
+    rest = [F.col(c) for c in schema.names if c not in (key, order)]
+    firsts = on_time(spark, work, schema, delay).groupBy(
+        F.window(TIME, "1 day"), F.col(key)).agg(F.min(F.struct(order, *rest)).alias("first"))
+    entries = f"{work}/entries"
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        firsts = first_per_key(batch.drop("chunk"), key, [order])
-        held = _before(batch.sparkSession, state, batch_id)
-        if held is not None:
-            h = held.select(F.col(key).alias("_k"), F.col(order).alias("_o"))
-            firsts = firsts.join(h, (F.col(key) == F.col("_k")) & (F.col("_o") <= F.col(order)),
-                                 "left_anti")
-        _append(firsts, state, batch_id)
+    def add(batch: DataFrame, batch_id: int) -> None:
+        batch.select(key, "first.*").write.mode("overwrite").parquet(f"{entries}/batch={batch_id}")
 
-    (stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{work}/checkpoint")
-     .trigger(availableNow=True).start().awaitTermination())
-    return first_per_key(spark.read.parquet(state).drop("batch"), key, [order])
+    _run(firsts.writeStream.outputMode("update").foreachBatch(add)
+         .option("checkpointLocation", f"{work}/state-checkpoint"))
+    found = spark.read.parquet(entries).select(*schema.names).unionByName(
+        late_rows(spark, work, schema))
+    return first_per_key(found, key, [order])
 
 
-def _partial(items: DataFrame) -> DataFrame:
-    """Additive sums per (day window, source) of the eligible rows."""
+def partial_sums(items: DataFrame, day: Column) -> DataFrame:
+    """Additive sums per (``day`` as ``window``, source) of the eligible rows."""
     s, r = F.col("sentiment_e4"), F.col("relevance_e4")
     label = lambda x: F.count_if(F.col("sentiment_label") == x)
     return (items.filter((F.col("processing_status") == "processed")
                          & (F.coalesce(r, F.lit(0)) > 0))
-            .groupBy(F.to_date(F.window("published_at", "1 day")["start"]).alias("feature_date"),
-                     "source_id")
+            .groupBy(day.alias("window"), "source_id")
             .agg(F.count(F.lit(1)).alias("articles"), F.sum(s).alias("s"), F.count(s).alias("ns"),
                  F.sum(s * r).alias("sr"), F.sum(r).alias("r"), F.count(r).alias("nr"),
                  label("positive").alias("pos"), label("neutral").alias("neu"),
                  label("negative").alias("neg")))
 
 
-def daily_view(partials: DataFrame) -> DataFrame:
-    """E1's daily rows from appended partial sums."""
-    sums = ["articles", "s", "ns", "sr", "r", "nr", "pos", "neu", "neg"]
-    per_source = partials.groupBy("feature_date", "source_id").agg(
-        *[F.sum(c).alias(c) for c in sums])
+def _dated(sums: DataFrame) -> DataFrame:
+    return sums.select(F.to_date(F.col("window.start")).alias("feature_date"), "source_id", *SUMS)
+
+
+def daily_view(sums: DataFrame) -> DataFrame:
+    """E1's daily rows from sums per day and source, which may come in parts."""
+    per_source = sums.groupBy("feature_date", "source_id").agg(*[F.sum(c).alias(c) for c in SUMS])
     day = per_source.groupBy("feature_date").agg(
-        F.count("source_id").alias("sources"), *[F.sum(c).alias(c) for c in sums])
+        F.count("source_id").alias("sources"), *[F.sum(c).alias(c) for c in SUMS])
     return day.select(
         "feature_date", F.col("articles").alias("article_count"),
         F.col("sources").alias("distinct_source_count"),
@@ -96,35 +166,32 @@ def daily_view(partials: DataFrame) -> DataFrame:
         F.col("neg").alias("negative_article_count"))
 
 
-def stream_daily(spark: SparkSession, source: str, work: str, delay: str = "2 days",
-                 files_per_batch: int = 1) -> DataFrame:
-    """E1's daily aggregate as an event-time stream; ``batch_log`` tells
-    rows and late rows of every batch."""
-    schema = spark.read.parquet(source).schema
-    items = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-             .parquet(source))
-    partials, log = f"{work}/partials", f"{work}/log"
+def batch_daily(items: DataFrame) -> DataFrame:
+    """The same daily rows of a table, without a stream."""
+    return daily_view(_dated(partial_sums(items, F.window(TIME, "1 day"))))
 
-    def add(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        earlier = _before(s, log, batch_id)
-        newest = earlier.agg(F.max("newest")).first()[0] if earlier is not None else None
-        late = F.lit(False) if newest is None else (
-            F.col("published_at") < F.lit(newest) - F.expr(f"INTERVAL {delay}"))
-        _append(_partial(batch), partials, batch_id)
-        _append(batch.agg(F.count(F.lit(1)).alias("rows"), F.count_if(late).alias("late_rows"),
-                          F.max("published_at").alias("newest")), log, batch_id)
 
-    (items.writeStream.foreachBatch(add).option("checkpointLocation", f"{work}/checkpoint")
-     .trigger(availableNow=True).start().awaitTermination())
-    return daily_view(spark.read.parquet(partials))
+def stream_daily(spark: SparkSession, source: str, work: str, delay: str = "2 days",
+                 files_per_batch: int = 4, with_late: bool = False) -> DataFrame:
+    """E1's daily aggregate as event-time windows.  Late rows are left to
+    ``late_rows``; ``with_late`` adds them to their days in the view."""
+    schema = spark.read.parquet(source).schema
+    split_late(spark, source, work, delay, files_per_batch)
+    sums = partial_sums(on_time(spark, work, schema, delay), F.window(TIME, "1 day"))
+    table = f"{work}/daily_sums"
 
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            upsert_partitioned(table, _dated(batch), ["feature_date", "source_id"], "feature_date")
 
-def batch_log(spark: SparkSession, work: str) -> DataFrame:
-    """One row per data batch: batch, rows, late_rows, newest."""
-    return spark.read.parquet(f"{work}/log")
+    _run(sums.writeStream.outputMode("update").foreachBatch(merge)
+         .option("checkpointLocation", f"{work}/state-checkpoint"))
+    rows = spark.read.parquet(table).select("feature_date", "source_id", *SUMS)
+    if with_late:
+        rows = rows.unionByName(_dated(partial_sums(
+            late_rows(spark, work, schema), F.window(TIME, "1 day"))))
+    return daily_view(rows)
 
 
 def fresh_workdir(spark: SparkSession, name: str) -> str:
-    import uuid
     return scratch_path(spark, f"stream-{name}-{uuid.uuid4().hex[:8]}")

@@ -1,30 +1,108 @@
-"""The daily run twice on the same root: nothing is inserted twice, the live
-rows are registered, the queue is worked off."""
+"""The daily run: retried on the same root nothing is added twice; a later run only
+adds its own rows; retrained models are registered and start the cooldown."""
 
+import json
+import os
 import uuid
 
-from tradewind.plans.daily import current, run_daily
-from tradewind.registry import LEX, TAX, _landing
+import pytest
+from pyspark.sql import functions as F
+
+from tradewind.operators import tables as TB
+from tradewind.plans import daily as D
+from tradewind.plans import registry_m as RM
+from tradewind.registry import LEX, TAX, _landing, _m
 from tradewind.session import scratch_path
 
 from .conftest import SF_SMALL
 
+APPENDED = ("articles_raw", "processing_queue", "articles_processed", "model_runs", "predictions",
+            "monitoring_logs", "retrain_actions", "parameters")
+
+
+def _files(root, *tables):
+    return {os.path.join(d, n): os.stat(os.path.join(d, n)).st_mtime_ns for t in tables
+            for d, _, names in os.walk(f"{root}/{t}") for n in names if n.endswith(".parquet")}
+
 
-def test_daily_run_twice(spark):
-    root = scratch_path(spark, f"daily-test-{uuid.uuid4().hex[:8]}")
+@pytest.fixture(scope="module")
+def daily(spark):
+    """(root, run): ``run(as_of)`` gives the rows of every stage."""
+    root = scratch_path(spark, f"daily-test-{uuid.uuid4().hex[:8]}").removeprefix("file:")
     trained = []
-    runs = [run_daily(spark, SF_SMALL, root, _landing(spark, SF_SMALL), TAX, LEX,
-                      retrain=lambda feats, news: trained.append(news)) for _ in range(2)]
-    first, second = ([tuple(r) for r in x.collect()] for x in runs)
-    assert first == second and [s for s, _, _ in first] == list(range(1, len(first) + 1))
-    rows = {t: n for _, t, n in first}
-    assert all(rows.values()) and rows["articles_processed"] == rows["articles_raw"]
-    queue = current(spark, f"{root}/processing_queue")
-    assert queue.where("processing_status = 'pending'").count() == 0
-    assert queue.count() == rows["articles_raw"] == queue.select("article_id").distinct().count()
-    raw = current(spark, f"{root}/articles_raw")
+
+    def train(feats, news):
+        trained.append(news)
+        rows = feats.where("target_close_next_day is not null").withColumn("split", F.lit("test"))
+        preds = {n: rows.withColumn("prediction", F.col("close_price") * f) for n, f in (
+            ("One", 1.0), ("Two", 0.5))}
+        return preds, spark.createDataFrame([("One", "{}")], "model_name string, params string")
+
+    def run(as_of):
+        out = D.run_daily(spark, SF_SMALL, root, _landing(spark, SF_SMALL), TAX, LEX, as_of,
+                          imported=_m(spark, SF_SMALL), train=train)
+        return {r.table_name: r.rows for r in out.collect()}
+    run.trained = trained
+    return root, run
+
+
+def test_daily_runs(spark, daily):
+    root, run = daily
+    first = run(RM.AS_OF)
+    assert all(first.values()) and first["articles_processed"] == first["articles_raw"]
+    waiting = D.queue(spark, root)
+    assert waiting.where("processing_status = 'pending'").count() == 0
+    assert waiting.count() == first["articles_raw"] == waiting.select("article_id").distinct().count()
+    raw = TB.read_runs(spark, f"{root}/articles_raw")
     assert raw.where("raw_payload is null or created_at is null or feed_file is null").count() == 0
-    live = current(spark, f"{root}/predictions").where("not is_backtest")
+    runs, preds = D.registry(spark, root)
+    live = preds.where("not is_backtest")
     assert live.count() == 5 and live.where("actual_close is not null").count() == 0
-    asked = current(spark, f"{root}/retrain_actions").where("action = 'retrain'").count()
-    assert len(trained) == 2 * asked
+
+    # what was retrained is registered with its errors, predictions and parameters
+    actions = {r.group_prefix: r.action for r in TB.read_runs(spark, f"{root}/retrain_actions").collect()}
+    due = [g for g, a in actions.items() if a == "retrain"]
+    assert due and len(run.trained) == len(due)
+    for g in due:
+        mine = runs.where(F.col("model_version") == RM.AS_OF).where(F.col("model_name").startswith(g))
+        assert {r.model_name for r in mine.collect()} == {f"{g}One", f"{g}Two", f"{g}Ensemble"}
+        assert mine.where("mae is null or test_start_date is null or run_status <> 'completed'").count() == 0
+        assert preds.join(mine, "model_run_id", "left_semi").where(
+            "is_backtest and actual_close is not null").count() > 0
+    assert TB.read_runs(spark, f"{root}/parameters").count() == len(due)
+    assert preds.join(runs, "model_run_id", "left_anti").count() == 0
+    assert preds.count() == preds.select("prediction_id").distinct().count()
+    logs = TB.read_runs(spark, f"{root}/monitoring_logs")
+    steps = [(r.severity, json.loads(r.details)) for r in logs.where("log_type = 'pipeline'").collect()]
+    assert len(steps) == 1 + sum({"retrain": 2, "cooldown": 1}.get(a, 0) for a in actions.values())
+    assert sum(s == "warning" for s, _ in steps) == len(due)
+    assert logs.count() == logs.select("monitoring_id").distinct().count()
+
+    # the same run again: a retry
+    assert run(RM.AS_OF) == first
+    assert len(run.trained) == 2 * len(due)
+
+    # half a day later: only its own rows, prices and features untouched, cooldown
+    before = _files(root, *APPENDED, "prices", "model_features")
+    later = "2001-09-02 12:00:00"
+    second = run(later)
+    after = _files(root, *APPENDED, "prices", "model_features")
+    assert {n: after.get(n) for n in before} == before
+    assert all("run=2001-09-02-12-00-00" in n for n in set(after) - set(before))
+    same = ("prices", "articles_raw", "articles_processed", "model_features")
+    assert {t: second[t] for t in same} == {t: first[t] for t in same}
+    assert second["predictions"] > first["predictions"]
+    now = {r.group_prefix: r.action for r in TB.read_runs(spark, f"{root}/retrain_actions").where(
+        "run = '2001-09-02-12-00-00'").collect()}
+    assert len(run.trained) == 2 * len(due)
+    assert all(now[g] in ("cooldown", "skipped") for g in due)
+    newest = logs.agg(F.max("monitoring_id")).first()[0]
+    assert TB.read_runs(spark, f"{root}/monitoring_logs").where(
+        "run like '2001-09-02-12%'").agg(F.min("monitoring_id")).first()[0] > newest
+
+
+def test_ids_of_names_that_share_a_hash(spark):
+    rows = spark.createDataFrame([(f"m{i}",) for i in range(50)], "name string")
+    assert D.numbered(rows, RM.AS_OF, "id", "name").select("id").distinct().count() == 50
+    with pytest.raises(ValueError):
+        D.numbered(rows.unionByName(rows), RM.AS_OF, "id", "name")

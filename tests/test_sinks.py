@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from tradewind.operators import dedup as D
 from tradewind.operators.dedup import first_wins_two_keys
 from tradewind.operators.sinks import insert_if_absent, upsert
 
@@ -41,6 +42,44 @@ def test_dedup_random_against_sequential(spark):
         assert run_dedup(spark, rows) == sequential(rows)
 
 
+def _steps(monkeypatch):
+    """Counts the written steps of a call."""
+    n = []
+    put = D._Steps.put
+    monkeypatch.setattr(D._Steps, "put", lambda self, df: n.append(1) or put(self, df))
+    return n
+
+
+def test_dedup_long_chain(spark, monkeypatch):
+    """Rows that each share a key with the one before: 10,000 settle in few rounds."""
+    steps = _steps(monkeypatch)
+    rows = [(i, f"u{(i + 1) // 2}", f"g{i // 2}") for i in range(10_000)]
+    assert run_dedup(spark, rows) == sequential(rows) == list(range(0, 10_000, 2))
+    assert len(steps) < 30           # rounds and doublings together
+
+
+def test_dedup_chains_of_larger_groups(spark, monkeypatch):
+    """Every key of the chain also has a late row, with and without a second key; two
+    chains end in one row; equal pairs."""
+    steps = _steps(monkeypatch)
+    rows = [(i, f"u{(i + 1) // 2}", f"g{i // 2}") for i in range(600)]
+    rows += [(1000 + i, f"u{i}", None if i % 3 else f"x{i}") for i in range(300)]
+    rows += [(2000 + i, f"y{i}", f"g{i}") for i in range(300)]
+    rows += [(3000 + i, f"a{(i + 1) // 2}", f"b{i // 2}") for i in range(301)]
+    rows += [(4000, "u300", "b150"), (4001, "a150", "g299"), (4002, "u0", "g0"), (4003, "u0", "g0")]
+    assert run_dedup(spark, rows) == sequential(rows)
+    assert len(steps) < 40
+
+
+def test_dedup_chains_against_sequential(spark):
+    rnd = random.Random(11)
+    for _ in range(3):
+        n = rnd.randrange(40, 120)
+        rows = [(i, f"u{(i + rnd.randrange(2)) // 2}", rnd.choice([None, f"g{i // 2}", f"g{i // 3}"]))
+                for i in range(n)]
+        assert run_dedup(spark, rows) == sequential(rows)
+
+
 def test_upsert_tiny(spark):
     target = spark.createDataFrame(
         [(1, "k1", 10.0, "2000-01-01"), (2, "k2", 20.0, "2000-01-01")],

@@ -9,8 +9,10 @@ doubles (``1.30D``), as the reference compares floats.
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +22,7 @@ WARNING_RATIO = 1.15
 ERROR_RATIO = 1.30
 GROUP_PREFIXES = ("ModelA_", "ModelB_")
 COOLDOWN_HOURS = 24
+RETRAINER = "AutoRetrainer"
 
 
 def latest_runs(runs: DataFrame, keys=("benchmark_code", "model_name")) -> DataFrame:
@@ -135,6 +138,17 @@ def drift_logs(decisions: DataFrame, id_base: int = 0) -> DataFrame:
         F.col("recent_mae").alias("metric_value"), decision_details(decisions).alias("details"))
 
 
+def pipeline_logs(spark: SparkSession, steps: list[tuple[str, str, dict]]) -> DataFrame:
+    """Log rows of the retrainer's steps (severity, message, details) in order."""
+    return spark.createDataFrame(
+        [(i, sev, msg, json.dumps(details)) for i, (sev, msg, details) in enumerate(steps)],
+        "step int, severity string, message string, details string").select(
+        "step", F.lit("pipeline").alias("log_type"), "severity",
+        F.lit(RETRAINER).alias("component_name"), "message",
+        F.lit(None).cast("string").alias("metric_name"),
+        F.lit(None).cast("double").alias("metric_value"), "details")
+
+
 def latest_flags(logs: DataFrame, prefixes=GROUP_PREFIXES) -> DataFrame:
     """Newest drift log per component of the retrainable groups,
     with ``should_retrain`` read from the JSON details (missing -> false)."""

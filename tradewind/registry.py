@@ -606,8 +606,10 @@ def q_daily_run(spark, d):
     from .plans.daily import run_daily
     from .session import scratch_path
     root = scratch_path(spark, f"daily-run-{uuid.uuid4().hex[:8]}")
-    return run_daily(spark, d, root, _landing(spark, d), TAX, LEX,
-                     retrain=lambda feats, news: _experiment(spark, d, news))
+    from .plans import registry_m as RM
+    return run_daily(spark, d, root, _landing(spark, d), TAX, LEX, RM.AS_OF,
+                     imported=_m(spark, d),
+                     train=lambda feats, news: _experiment(spark, d, news))
 
 
 def q_append_registry(spark, d):

@@ -89,6 +89,38 @@ def q_lexicon_sentiment(spark, d):
                     label(e4).alias("sentiment_label"))
 
 
+FILLERS = 7_500      # entries of a full lexicon or taxonomy that the texts do not hold
+
+
+def q_topic_scores_joined(spark, d):
+    """The topic rows by an n-gram join with a keyword table of full size."""
+    from .operators import keyword_join as KJ
+    from .sources.dimensions import keywords_frame
+    more = spark.range(FILLERS).select(
+        (F.col("id") % len(TAX.topics) + 1).cast("int").alias("topic_id"),
+        F.concat(F.lit("zq"), "id", F.when(F.col("id") % 3 == 0, " and more").otherwise(""))
+        .alias("keyword"))
+    c = AR.cleaned(B.articles(table(spark, d, "documents"))).where("_ok")
+    s = KJ.topic_scores(c, keywords_frame(spark, TAX).select("topic_id", "keyword").unionByName(more))
+    return s.select("article_id", "topic_id",
+                    (F.col("topic_score_e4") / F.lit(10000.0)).alias("topic_score"),
+                    "is_primary_topic")
+
+
+def q_lexicon_sentiment_joined(spark, d):
+    """The sentiment by a join with a lexicon table of full size."""
+    from .operators import keyword_join as KJ
+    from .operators.sentiment import label
+    more = spark.range(FILLERS).select(
+        F.concat(F.lit("zq"), "id").alias("token"), (F.col("id") % 9 - 4).cast("double").alias("valence"),
+        F.lit(None).cast("double").alias("boost"), F.lit(False).alias("negates"))
+    c = AR.cleaned(B.articles(table(spark, d, "documents")))
+    s = KJ.compound(c.where("_ok"), "c_combined", KJ.lexicon_table(spark, LEX).unionByName(more))
+    e4 = F.coalesce(F.round(F.col("sentiment_score") * 10000).cast("long"), F.lit(0))
+    return c.select("article_id").join(s, "article_id", "left").select(
+        "article_id", (e4 / F.lit(10000.0)).alias("sentiment_score"), label(e4).alias("sentiment_label"))
+
+
 def q_process_articles(spark, d):
     return AR.processed_rows(_scored(spark, d), TAX)
 
@@ -688,8 +720,10 @@ QUERIES: dict[str, Query] = {
     "ingest_counts": q_ingest_counts,
     "clean_text": q_clean_text,
     "topic_scores": q_topic_scores,
+    "topic_scores_joined": q_topic_scores_joined,
     "relevance": q_relevance,
     "lexicon_sentiment": q_lexicon_sentiment,
+    "lexicon_sentiment_joined": q_lexicon_sentiment_joined,
     "process_articles": q_process_articles,
     "daily_topic_features": q_daily_topic_features,
     "daily_scored_news": q_daily_scored_news,
@@ -742,6 +776,8 @@ ORACLES: dict[str, Callable[[], str]] = {
     "topic_scores": lambda: O.topic_scores_sql(TAX, LEX),
     "relevance": lambda: O.relevance_sql(TAX),
     "lexicon_sentiment": lambda: O.lexicon_sentiment_sql(LEX),
+    "topic_scores_joined": lambda: O.topic_scores_sql(TAX, LEX),
+    "lexicon_sentiment_joined": lambda: O.lexicon_sentiment_sql(LEX),
     "process_articles": lambda: O.process_articles_sql(TAX, LEX),
     "daily_topic_features": lambda: O.daily_topic_features_sql(TAX, LEX),
     "daily_scored_news": lambda: O.daily_scored_news_sql(TAX, LEX),

@@ -630,6 +630,43 @@ GROUP BY component_name"""),
                                         AS BOOLEAN), false) AS should_retrain FROM flags"""))
 
 
+def schema_report_sql(tax: Taxonomy, benchmarks: tuple[str, ...]) -> str:
+    from .operators.quality import schema_rules
+    ctes = [*_logs_ctes(), ("n", NEWS_SQL), ("k", RSS_KEYS_SQL), ("sources", SOURCES_SQL),
+            ("daily_news_features", daily_news_body("n")),
+            ("articles_raw", f"""SELECT position AS article_id, source_id, url, guid AS external_guid,
+       {_HASH.format(u="url")} AS url_hash, url AS title, guid AS language_code FROM k"""),
+            ("articles_processed", "SELECT * FROM n"),
+            ("topics", " UNION ALL ".join(f"SELECT {t} AS topic_id, {_q(n)} AS topic_name"
+                                          for t, n in tax.topic_ids)),
+            ("article_topic_scores",
+             "SELECT article_id, published_date, article_id % 6 + 1 AS topic_id FROM n"),
+            ("daily_topic_features", """SELECT published_date AS feature_date, topic_id,
+       count(*) - 2 AS article_count FROM article_topic_scores GROUP BY ALL"""),
+            ("oil_prices", "SELECT * FROM prices"), ("model_features", "SELECT * FROM f"),
+            ("model_runs", "SELECT *, 'completed' AS run_status FROM runs"),
+            ("predictions", """SELECT *, sign(predicted_close - actual_close) AS predicted_direction
+FROM preds"""),
+            ("monitoring_logs", "SELECT * FROM logs")]
+    listed = lambda vs: ", ".join(_q(v) if isinstance(v, str) else str(v) for v in vs)
+    parts = []
+    for r in schema_rules(benchmarks):
+        c = r.columns[0]
+        if r.kind == "unique":
+            some = " AND ".join(f"{x} IS NOT NULL" for x in r.columns)
+            count = (f"(SELECT coalesce(sum(c - 1), 0) FROM (SELECT count(*) AS c FROM {r.table} "
+                     f"WHERE {some} GROUP BY {', '.join(r.columns)}))")
+        elif r.kind == "foreign_key":
+            count = (f"(SELECT count(*) FROM {r.table} t WHERE {c} IS NOT NULL AND NOT EXISTS "
+                     f"(SELECT 1 FROM {r.ref} o WHERE o.{r.ref_column} = t.{c}))")
+        else:
+            test = {"domain": f"{c} NOT IN ({listed(r.values)})", "not_null": f"{c} IS NULL",
+                    "non_negative": f"{c} < 0", "longest": f"length({c}) > {listed(r.values)}"}[r.kind]
+            count = f"(SELECT count(*) FROM {r.table} WHERE {test})"
+        parts.append(f"SELECT '{r.name}' AS rule, CAST({count} AS BIGINT) AS violations")
+    return _with(*ctes) + "\n" + "\nUNION ALL ".join(parts)
+
+
 def latest_flags_sql() -> str:
     return _with(*_logs_ctes()) + """
 SELECT component_name, severity, message, should_retrain FROM flags2"""

@@ -318,34 +318,60 @@ def q_child_replace(spark, d):
 def q_quality_report(spark, d):
     from .operators import quality as Q
     prices = _prices(spark, d)
+    tables = {
+        "prices": prices, "news": B.news_items(table(spark, d, "documents")),
+        "items": _rss_keys(spark, d), "daily": _daily(spark, d),
+        "features": FE.price_features(prices), "sources": _sources(spark, d)}
+    return Q.validate_tables(tables, [
+        Q.unique("prices_unique_series_date", "benchmark_code", "price_date", table="prices"),
+        Q.not_null("prices_close_not_null", "close_price", table="prices"),
+        Q.domain("news_label_domain", "sentiment_label", ["negative", "neutral", "positive"], table="news"),
+        Q.domain("news_status_domain", "processing_status", ["pending", "processed", "failed"],
+                 table="news"),
+        Q.unique("items_unique_url_hash", "url_hash", table="items"),
+        Q.unique("items_unique_source_guid", "source_id", "guid", table="items"),
+        Q.not_null("items_url_not_null", "url", table="items"),
+        Q.foreign_key("items_source_fk", "source_id", "sources", "source_name", table="items"),
+        Q.non_negative("daily_article_count_nonneg", "article_count", table="daily"),
+        Q.non_negative("daily_positive_nonneg", "positive_article_count", table="daily"),
+        Q.unique("daily_unique_date", "feature_date", table="daily"),
+        Q.domain("features_direction_domain", "target_direction_next_day", [-1, 0, 1], table="features"),
+        Q.unique("features_unique_series_date", "benchmark_code", "feature_date", table="features")])
+
+
+# one series is left out, so that a rule is broken
+SCHEMA_BENCHMARKS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")
+
+
+def q_schema_report(spark, d):
+    """C11: every constraint of the reference's tables over the bound tables.  The
+    topic rows and the benchmark codes are bound so that some rules are broken."""
+    from .operators import quality as Q
+    from .session import cut_lineage
+    from .sources.dimensions import topics_frame
+    prices = _prices(spark, d)
     news = B.news_items(table(spark, d, "documents"))
-    keys = _rss_keys(spark, d)
-    daily = _daily(spark, d)
-    feats = FE.price_features(prices)
-    sources = _sources(spark, d)
-    parts = [
-        Q.validate(prices, [Q.unique("prices_unique_series_date", "benchmark_code", "price_date"),
-                            Q.not_null("prices_close_not_null", "close_price")]),
-        Q.validate(news, [Q.domain("news_label_domain", "sentiment_label",
-                                   ["negative", "neutral", "positive"]),
-                          Q.domain("news_status_domain", "processing_status",
-                                   ["pending", "processed", "failed"])]),
-        Q.validate(keys, [Q.unique("items_unique_url_hash", "url_hash"),
-                          Q.unique("items_unique_source_guid", "source_id", "guid"),
-                          Q.not_null("items_url_not_null", "url"),
-                          Q.foreign_key("items_source_fk", "source_id", sources, "source_name")]),
-        Q.validate(daily, [Q.non_negative("daily_article_count_nonneg", "article_count"),
-                           Q.non_negative("daily_positive_nonneg", "positive_article_count"),
-                           Q.unique("daily_unique_date", "feature_date")]),
-        Q.validate(feats, [Q.domain("features_direction_domain", "target_direction_next_day",
-                                    [-1, 0, 1]),
-                           Q.unique("features_unique_series_date", "benchmark_code",
-                                    "feature_date")]),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    topics = news.select("article_id", "published_date",
+                         (F.col("article_id") % 6 + 1).alias("topic_id"))
+    runs, logs = _logs(spark, d)
+    preds = _m(spark, d)[1]
+    tables = {
+        "sources": _sources(spark, d),
+        "articles_raw": _rss_keys(spark, d).select(
+            F.col("position").alias("article_id"), "source_id", "url", "url_hash",
+            F.col("guid").alias("external_guid"), F.col("url").alias("title"),
+            F.col("guid").alias("language_code")),
+        "articles_processed": news, "topics": topics_frame(spark, TAX),
+        "article_topic_scores": topics, "daily_news_features": cut_lineage(AG.daily_news(news)),
+        "daily_topic_features": topics.groupBy(
+            F.col("published_date").alias("feature_date"), "topic_id").agg(
+            (F.count("*") - 2).alias("article_count")),
+        "oil_prices": prices, "model_features": FE.price_features(prices),
+        "model_runs": runs.withColumn("run_status", F.lit("completed")),
+        "predictions": preds.withColumn("predicted_direction", F.signum(
+            F.col("predicted_close") - F.col("actual_close")).cast("int")),
+        "monitoring_logs": logs}
+    return Q.validate_tables(tables, Q.schema_rules(SCHEMA_BENCHMARKS))
 
 
 def _m(spark, d):
@@ -710,6 +736,7 @@ QUERIES: dict[str, Query] = {
     "full_refresh": q_full_refresh,
     "child_replace": q_child_replace,
     "quality_report": q_quality_report,
+    "schema_report": q_schema_report,
     "feed_items_rss": q_feed_items_rss,
     "feed_items_search": q_feed_items_search,
     "feed_items_timeline": q_feed_items_timeline,
@@ -768,6 +795,7 @@ ORACLES: dict[str, Callable[[], str]] = {
     "full_refresh": lambda: O.daily_news_sql("news"),
     "child_replace": lambda: O.child_replace_sql(TAX, LEX),
     "quality_report": O.quality_report_sql,
+    "schema_report": lambda: O.schema_report_sql(TAX, SCHEMA_BENCHMARKS),
     "active_sources": O.active_sources_sql,
     "dedup_two_keys": O.dedup_two_keys_sql,
     "insert_if_absent": O.insert_if_absent_sql,

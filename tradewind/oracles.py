@@ -630,6 +630,20 @@ GROUP BY component_name"""),
                                         AS BOOLEAN), false) AS should_retrain FROM flags"""))
 
 
+def payload_variant_sql() -> str:
+    number = "CAST(regexp_extract(source, '(\\d+)', 1) AS INTEGER)"
+    return _with(("k", RSS_KEYS_SQL)) + f"""
+SELECT 'rss' AS shape, guid AS item_id, 'cat' || CAST(position % 4 AS VARCHAR) AS label,
+       CAST(2 AS BIGINT) AS n FROM k
+UNION ALL
+SELECT 'search', CAST(doc_id AS VARCHAR), 'user' || CAST(n_chars % 10 AS VARCHAR),
+       CAST(n_chars % 500 AS BIGINT) FROM documents WHERE {number} % 2 = 0
+UNION ALL
+SELECT 'timeline', CAST(doc_id AS VARCHAR),
+       CASE WHEN doc_id % 9 <> 0 THEN 'user' || CAST(n_chars % 10 AS VARCHAR) END, NULL
+FROM documents WHERE {number} % 2 <> 0"""
+
+
 def schema_report_sql(tax: Taxonomy, benchmarks: tuple[str, ...]) -> str:
     from .operators.quality import schema_rules
     ctes = [*_logs_ctes(), ("n", NEWS_SQL), ("k", RSS_KEYS_SQL), ("sources", SOURCES_SQL),

@@ -1,12 +1,14 @@
 """Dashboard queries (M1-M10) and top-k reports.
 
-Each panel is a projection of an existing table; ordering is applied only
-at the end.  Top-k per series is a ``row_number`` window per key (the limit
+Each panel is a projection of an existing table; ``write_report`` writes a result
+in its order.  Top-k per series is a ``row_number`` window per key (the limit
 is the feature), never a global sort.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,6 +103,24 @@ def health(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def latest_rows(df: DataFrame, key: str, order: str, k: int) -> DataFrame:
-    """The newest ``k`` rows per key (the limit is the report)."""
-    w = Window.partitionBy(key).orderBy(F.col(order).desc())
+    """The newest ``k`` rows per key (the limit is the report), ties by the
+    other columns."""
+    w = Window.partitionBy(key).orderBy(F.col(order).desc(), *[
+        c for c in df.columns if c not in (key, order)])
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
+
+
+#: The order in which the reference returns a result.
+REPORT_ORDER = {
+    "daily_news_features": ["feature_date"],
+    "daily_topic_features": ["feature_date", "topic_id"],
+    "predictions": ["model_name", "prediction_for_date"],
+    "latest_flags": ["component_name"],
+}
+
+
+def write_report(df: DataFrame, path: str, order: Sequence[str], rows_per_file: int = 1_000_000) -> None:
+    """Writes a result whose order is that of its files and of the rows in them: rows
+    are dealt by ranges of the order and sorted inside, so no task holds all of them."""
+    files = max(1, -(-df.count() // rows_per_file))
+    df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.parquet(path)

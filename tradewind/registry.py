@@ -177,6 +177,28 @@ def q_feed_items_timeline(spark, d):
     return read_timeline(spark, f"{_landing(spark, d)}/timeline")
 
 
+def q_payload_variant(spark, d):
+    """I8: the payloads of the three readers, stored as variants and read by path."""
+    import uuid
+    from .session import scratch_path
+    from .sources.feeds import rss_items, search_items, stored_payloads, timeline_items
+    land = _landing(spark, d)
+    path = scratch_path(spark, f"payloads-{uuid.uuid4().hex}")
+    read = {"rss": (rss_items, "$.entry_id", "$.tags[0]", F.size(
+                F.try_variant_get("payload", "$.tags", "array<string>")).cast("bigint")),
+            "search": (search_items, "$.objectID", "$.author", F.try_variant_get(
+                "payload", "$.points", "bigint")),
+            "timeline": (timeline_items, "$.id", "$.account.acct", F.lit(None).cast("bigint"))}
+    out = None
+    for shape, (items, item_id, label, n) in read.items():
+        held = stored_payloads(items(spark, f"{land}/{shape}"), f"{path}/{shape}")
+        part = held.select(
+            F.lit(shape).alias("shape"), F.try_variant_get("payload", item_id, "string").alias("item_id"),
+            F.try_variant_get("payload", label, "string").alias("label"), n.alias("n"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_feed_ingest(spark, d):
     from .sources.feeds import ingest
     return ingest(spark, _sources(spark, d), _landing(spark, d))
@@ -236,13 +258,6 @@ CUTOVER = "2000-01-01"      # upsert tests: target before, batch from OVERLAP on
 OVERLAP = "1999-10-01"
 
 
-def _price_rows(spark, d, created):
-    p = _checked_prices(spark, d)
-    pid = (F.datediff("price_date", F.lit("1970-01-01")) * 10
-           + F.substring("benchmark_code", 1, 1).cast("int")).cast("long")
-    return p, pid, F.lit(created).cast("timestamp")
-
-
 def _month(day):
     return (F.year(day) * 100 + F.month(day)).alias("month")
 
@@ -258,8 +273,25 @@ def _upserted(spark, name, target, updates, day, **kw):
                               "month", **kw).drop("month")
 
 
+def _landed_prices(spark, d):
+    """The price history as landed CSV files, written once per session."""
+    import hashlib
+    from .session import scratch_path
+    from .sources.prices import read_price_files
+    key = hashlib.sha1(d.encode()).hexdigest()[:10]
+    path = scratch_path(spark, f"price-files-{key}")
+    if spark.conf.get("tradewind.prices." + key, None) != path:
+        _prices(spark, d).select("benchmark_code", "price_date", "open_price", "high_price",
+                                 "low_price", "close_price", "volume").hint("rebalance").write.mode(
+            "overwrite").option("header", True).csv(path)
+        spark.conf.set("tradewind.prices." + key, path)
+    return read_price_files(spark, path)[0]
+
+
 def q_price_upsert(spark, d):
-    p, pid, _ = _price_rows(spark, d, "2000-01-01 00:00:00")
+    p = _landed_prices(spark, d)
+    pid = (F.datediff("price_date", F.lit("1970-01-01")) * 10
+           + F.substring("benchmark_code", 1, 1).cast("int")).cast("long")
     target = p.filter(F.col("price_date") < CUTOVER).select(
         pid.alias("price_id"), "benchmark_code", "price_date", "open_price", "high_price",
         "low_price", "close_price", F.lit(None).cast("double").alias("adjusted_close_price"),
@@ -741,6 +773,7 @@ QUERIES: dict[str, Query] = {
     "feed_items_search": q_feed_items_search,
     "feed_items_timeline": q_feed_items_timeline,
     "feed_ingest": q_feed_ingest,
+    "payload_variant": q_payload_variant,
     "active_sources": q_active_sources,
     "dedup_two_keys": q_dedup_two_keys,
     "insert_if_absent": q_insert_if_absent,
@@ -795,6 +828,7 @@ ORACLES: dict[str, Callable[[], str]] = {
     "full_refresh": lambda: O.daily_news_sql("news"),
     "child_replace": lambda: O.child_replace_sql(TAX, LEX),
     "quality_report": O.quality_report_sql,
+    "payload_variant": O.payload_variant_sql,
     "schema_report": lambda: O.schema_report_sql(TAX, SCHEMA_BENCHMARKS),
     "active_sources": O.active_sources_sql,
     "dedup_two_keys": O.dedup_two_keys_sql,

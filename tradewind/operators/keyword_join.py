@@ -13,6 +13,8 @@ Both results equal those of the unrolled forms.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from ..sources.dimensions import (BOOSTER_DAMPING, CONTRAST_AFTER, CONTRAST_BEFO
                                   CONTRAST_WORD, FIELD_WEIGHTS_TENTHS, NEGATION_SCALAR,
                                   NORMALIZATION_ALPHA, RELEVANCE_WEIGHTS_TENTHS,
                                   TOPIC_SATURATION_TENTHS, Lexicon)
-from .sentiment import tokens
+from .sentiment import edge_free
 from .topics import SCORE_CAP_E4
 
 BROADCAST_ROWS = 200_000
@@ -42,47 +44,57 @@ def keyword_table(keywords: DataFrame) -> DataFrame:
         "atoms", F.size(F.regexp_extract_all("keyword", F.lit(ATOM), F.lit(0))))
 
 
-def ngrams(atoms: Column, longest: int) -> Column:
-    """Distinct runs of 1 to ``longest`` atoms of a text (a column: it is read at every
-    place) that stand as whole words: a mark at either end has no word glued to its
-    outer side."""
-    def of_size(n: int) -> Column:
-        def gram(i: Column) -> Column:
-            words = F.get(atoms, i) if n == 1 else F.array_join(F.slice(atoms, i + 1, n), "")
-            return F.struct(i.alias("i"), F.ltrim(words).alias("text"))
-
-        def whole(g: Column) -> Column:
-            i, text = g["i"], g["text"]
-            after = F.get(atoms, i + n)
-            left = (~F.substring(text, 1, 1).isin(*MARKS) | (i == 0)
-                    | F.startswith(F.get(atoms, i), F.lit(" "))
-                    | F.substring(F.get(atoms, i - 1), -1, 1).isin(*MARKS))
-            right = (~F.substring(text, -1, 1).isin(*MARKS) | after.isNull()
-                     | F.substring(after, 1, 1).isin(" ", *MARKS))
-            return left & right
-        places = F.sequence(F.lit(0), F.greatest(F.size(atoms) - n, F.lit(0)))
-        grams = F.filter(F.transform(places, gram), whole)
-        return F.when(F.size(atoms) >= n, F.transform(grams, lambda g: g["text"])).otherwise(
-            F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(*[of_size(n) for n in range(1, longest + 1)]))
+def _beside(words: Column, before: int, after: int) -> Column:
+    """Rows of every place of an array: c0 is the word there, b1, b2, ... the words before
+    it and a1, a2, ... those after it (null beyond the ends)."""
+    none = F.lit(None).cast("string")
+    n = F.size(words)
+    return F.arrays_zip(
+        words.alias("c0"),
+        *[F.slice(F.concat(F.array_repeat(none, d), words), 1, n).alias(f"b{d}")
+          for d in range(1, before + 1)],
+        *[F.slice(words, d + 1, n).alias(f"a{d}") for d in range(1, after + 1)])
 
 
 def keyword_hits(cleaned: DataFrame, keywords: DataFrame, key: str = "article_id") -> DataFrame:
     """(key, topic_id, keyword, weight): the keywords that a text holds, with the capped
     sum of their fields' weights in tenths.  ``cleaned`` has c_title, c_summary, c_content
-    and a unique ``key``."""
+    and a unique ``key``.
+
+    Every atom of a text meets the atoms that begin a keyword first, and only from those
+    places the n-grams are built.
+    """
     table = keyword_table(keywords)
     longest = table.agg(F.max("atoms")).first()[0] or 1
+    atoms = F.regexp_extract_all("f.text", F.lit(ATOM), F.lit(0))
+    fields = ("title", "summary", "content")
     words = cleaned.select(key, F.explode(F.array(*[
-        F.struct(F.lit(FIELD_WEIGHTS_TENTHS[f]).alias("w"), F.col(f"c_{f}").alias("text"))
-        for f in ("title", "summary", "content")])).alias("f")).select(
-        key, "f.w", F.regexp_extract_all("f.text", F.lit(ATOM), F.lit(0)).alias("atoms")).select(
-        key, "w", F.explode(ngrams(F.col("atoms"), longest)).alias("keyword"))
+        F.struct(F.lit(1 << i).alias("field"), F.col(f"c_{f}").alias("text"))
+        for i, f in enumerate(fields)])).alias("f")).select(
+        key, "f.field", atoms.alias("atoms")).select(
+        key, "field", F.inline(_beside(F.col("atoms"), 1, longest)))
+    begins = table.select(F.regexp_extract("keyword", ATOM, 0).alias("first")).distinct()
+    words = words.join(_sized(begins), F.ltrim("c0") == F.col("first"), "left_semi")
+    grams = []
+    for n in range(1, longest + 1):
+        # null where the text ends before
+        text = F.ltrim(reduce(lambda x, d: F.concat(x, F.col(f"a{d}")), range(1, n), F.col("c0")))
+        after = F.col(f"a{n}")
+        # a mark at either end has no word glued to its outer side
+        left = (~F.substring(text, 1, 1).isin(*MARKS) | F.col("b1").isNull()
+                | F.startswith("c0", F.lit(" ")) | F.substring("b1", -1, 1).isin(*MARKS))
+        right = (~F.substring(text, -1, 1).isin(*MARKS) | after.isNull()
+                 | F.substring(after, 1, 1).isin(" ", *MARKS))
+        grams.append(F.when(left & right, text))
+    spoken = words.select(key, "field", F.explode(F.array_compact(F.array(*grams))).alias("keyword"))
     # a keyword of several topics meets the words once
     named = table.groupBy("keyword").agg(F.collect_set("topic_id").alias("topics"))
-    return words.join(_sized(named), "keyword").groupBy(key, "keyword", "topics").agg(
-        F.least(F.sum("w"), F.lit(10)).alias("weight")).select(
-        key, F.explode("topics").alias("topic_id"), "keyword", "weight")
+    weight = reduce(lambda x, y: x + y, [
+        F.when(F.col("found").bitwiseAND(1 << i) > 0, FIELD_WEIGHTS_TENTHS[f]).otherwise(0)
+        for i, f in enumerate(fields)])
+    return spoken.join(_sized(named), "keyword").groupBy(key, "keyword", "topics").agg(
+        F.bit_or("field").alias("found")).select(
+        key, F.explode("topics").alias("topic_id"), "keyword", F.least(weight, F.lit(10)).alias("weight"))
 
 
 def topic_scores(cleaned: DataFrame, keywords: DataFrame, key: str = "article_id") -> DataFrame:
@@ -147,16 +159,16 @@ def compound(cleaned: DataFrame, text: str, lexicon: DataFrame, phrases: DataFra
     boosters of several words ("kind of").
     """
     spark = cleaned.sparkSession
-    words = cleaned.select(key, tokens(F.col(text)).alias("tok"))
-    near = lambda i, d: F.get("tok", i + d)
-    around = F.transform("tok", lambda t, i: F.struct(
-        i.alias("i"), t.alias("token"), *[near(i, -d).alias(f"p{d}") for d in (1, 2, 3)],
-        *[near(i, d).alias(f"n{d}") for d in (1, 2)]))
-    but = F.array_position("tok", CONTRAST_WORD).cast("int")
-    lexicon = _sized(lexicon)
-    hits = words.select(key, but.alias("but"), F.explode(around).alias("w")).select(
-        key, "but", "w.*").join(lexicon.where("valence is not null and boost is null").select(
-            "token", F.col("valence").alias("v")), "token")
+    places = cleaned.select(key, F.split(text, " ").alias("tok")).select(
+        key, F.posexplode(_beside(F.col("tok"), 3, 2)).alias("i", "w"))
+    # the contrast word counts whether it has a valence or not
+    lexicon = _sized(lexicon.where(F.col("token").isNotNull()))
+    known = lexicon.where("valence is not null and boost is null").select(
+        "token", F.col("valence").alias("v")).unionByName(spark.createDataFrame(
+            [(CONTRAST_WORD, None)], "token string, v double")).groupBy("token").agg(F.max("v").alias("v"))
+    hits = places.withColumn("token", edge_free(F.col("w.c0"))).join(_sized(known), "token").select(
+        key, "i", "token", "v", *[edge_free(F.col(f"w.b{d}")).alias(f"p{d}") for d in (1, 2, 3)],
+        *[edge_free(F.col(f"w.a{d}")).alias(f"n{d}") for d in (1, 2)])
     for d, damp in zip((1, 2, 3), BOOSTER_DAMPING):
         # the token before: a lexicon word ends the rule, else it boosts, then negates
         before = lexicon.select(
@@ -170,13 +182,15 @@ def compound(cleaned: DataFrame, text: str, lexicon: DataFrame, phrases: DataFra
             f"word{d}", F.coalesce("word", F.lit(False))).drop("word", "b", "negates")
     if phrases is not None:
         hits = _with_phrases(hits, phrases, key)
-    i, v = F.col("i"), F.col("v")
-    weighted = F.when((F.col("but") > 0) & (i < F.col("but") - 1), v * F.lit(CONTRAST_BEFORE)).when(
-        (F.col("but") > 0) & (i > F.col("but") - 1), v * F.lit(CONTRAST_AFTER)).otherwise(v)
     # the hits of one text, added up in their order
-    total = F.aggregate(F.array_sort("hits"), F.lit(0.0), lambda s, h: s + h["v"])
-    scored = hits.select(key, F.struct("i", weighted.alias("v")).alias("h")).groupBy(key).agg(
-        F.collect_list("h").alias("hits")).select(key, total.alias("s"))
+    but, i, v = F.col("but"), lambda h: h["i"], lambda h: h["v"]
+    weighted = lambda h: F.when(but > i(h), v(h) * F.lit(CONTRAST_BEFORE)).when(
+        but < i(h), v(h) * F.lit(CONTRAST_AFTER)).otherwise(v(h))
+    total = F.aggregate(F.array_sort("hits"), F.lit(0.0), lambda s, h: s + weighted(h))
+    scored = hits.groupBy(key).agg(
+        F.min(F.when(F.col("token") == CONTRAST_WORD, F.col("i"))).alias("but"),
+        F.collect_list(F.when(F.col("v").isNotNull(), F.struct("i", "v"))).alias("hits")).select(
+        key, total.alias("s"))
     s = F.col("s")
     value = F.least(F.greatest(s / F.sqrt(s * s + F.lit(NORMALIZATION_ALPHA)), F.lit(-1.0)), F.lit(1.0))
     return cleaned.select(key).join(scored.select(key, rnd(value, 4).alias("c")), key, "left").select(

@@ -33,12 +33,15 @@ def _map(d: dict[str, float]) -> Column:
     return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(float(v)))])
 
 
+def edge_free(token: Column) -> Column:
+    """A token without edge punctuation unless <= 2 chars remain."""
+    s = F.btrim(token, F.lit("-+./"))
+    return F.when(F.length(s) > 2, s).otherwise(token)
+
+
 def tokens(cleaned: Column) -> Column:
-    """Whitespace tokens; edge punctuation stripped unless <= 2 chars remain."""
-    def norm(t):
-        s = F.btrim(t, F.lit("-+./"))
-        return F.when(F.length(s) > 2, s).otherwise(t)
-    return F.transform(F.split(cleaned, " "), norm)
+    """Whitespace tokens without edge punctuation."""
+    return F.transform(F.split(cleaned, " "), edge_free)
 
 
 def _context_step(d: int, damp: float, bstmap: Column, negs: Column):

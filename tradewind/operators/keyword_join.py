@@ -86,15 +86,17 @@ def keyword_hits(cleaned: DataFrame, keywords: DataFrame, key: str = "article_id
         right = (~F.substring(text, -1, 1).isin(*MARKS) | after.isNull()
                  | F.substring(after, 1, 1).isin(" ", *MARKS))
         grams.append(F.when(left & right, text))
-    spoken = words.select(key, "field", F.explode(F.array_compact(F.array(*grams))).alias("keyword"))
-    # a keyword of several topics meets the words once
-    named = table.groupBy("keyword").agg(F.collect_set("topic_id").alias("topics"))
+    spoken = words.select(key, "field", F.explode(F.array(*grams)).alias("keyword")).where(
+        "keyword is not null")
+    # a keyword of several topics meets the words once, and its topics after the grouping
+    named = table.select("keyword").distinct()
     weight = reduce(lambda x, y: x + y, [
         F.when(F.col("found").bitwiseAND(1 << i) > 0, FIELD_WEIGHTS_TENTHS[f]).otherwise(0)
         for i, f in enumerate(fields)])
-    return spoken.join(_sized(named), "keyword").groupBy(key, "keyword", "topics").agg(
-        F.bit_or("field").alias("found")).select(
-        key, F.explode("topics").alias("topic_id"), "keyword", F.least(weight, F.lit(10)).alias("weight"))
+    found = spoken.join(_sized(named), "keyword", "left_semi").groupBy(key, "keyword").agg(
+        F.bit_or("field").alias("found"))
+    return found.join(_sized(table.select("keyword", "topic_id")), "keyword").select(
+        key, "topic_id", "keyword", F.least(weight, F.lit(10)).alias("weight"))
 
 
 def topic_scores(cleaned: DataFrame, keywords: DataFrame, key: str = "article_id") -> DataFrame:

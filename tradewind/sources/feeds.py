@@ -115,12 +115,13 @@ def _plain_xml(body: Column) -> Column:
         inside = F.substring_index(part, "]]>", 1)
         return F.concat(escaped(inside), F.substr(part, F.char_length(inside) + F.lit(4)))
     parts = F.split(body, r"<!\[CDATA\[", -1)
-    joined = F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(
-        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), section), ""))
-    mends = ((r"(?s)<!--.*?-->", ""), (r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]", ""),
-             # references to characters that XML has not got
-             (r"&#(?:0*(?:[0-8]|1[124-9]|2\d|3[01])|x0*(?:[0-8]|[bcefBCEF]|1[0-9a-fA-F]));", ""),
-             (r"&(?!(?:amp|lt|gt|quot|apos|#\d{1,7}|#x[0-9a-fA-F]{1,6});)", "&amp;"),
+    joined = F.when(F.contains(body, F.lit("<![CDATA[")), F.concat(
+        F.get(parts, F.lit(0)), F.array_join(F.transform(
+            F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), section), ""))).otherwise(body)
+    # comments, characters that XML has not got, and references to them
+    gone = (r"(?s)<!--.*?-->|[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]"
+            r"|&#(?:0*(?:[0-8]|1[124-9]|2\d|3[01])|x0*(?:[0-8]|[bcefBCEF]|1[0-9a-fA-F]));")
+    mends = ((gone, ""), (r"&(?!(?:amp|lt|gt|quot|apos|#\d{1,7}|#x[0-9a-fA-F]{1,6});)", "&amp;"),
              (r"<(?![A-Za-z_/!?])", "&lt;"))
     return reduce(lambda x, m: F.regexp_replace(x, *m), mends, joined)
 
@@ -131,15 +132,27 @@ def _xml_items(spark: SparkSession, path: str | list[str]) -> DataFrame:
     bodies = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
               .select(F.col("path").alias("feed_file"), _plain_xml(_decoded(
                   F.col("content"))).alias("body")))
-    parts = F.split("body", f"(?={ITEM_START})", -1)
-    cut = bodies.select("feed_file", F.filter(parts, lambda p: F.rlike(
-        p, F.lit(f"^{ITEM_START}"))).alias("parts"), F.filter(parts, lambda p: ~F.rlike(
-            p, F.lit(f"^{ITEM_START}"))).alias("head"))
-    whole = lambda p: F.regexp_extract(
-        p, rf"(?s)^(?:<[^<>]*/>|.*?{ITEM_END})", 0)
-    cut = cut.withColumn("items", F.transform("parts", lambda p: F.struct(
-        whole(p).alias("own"), F.substr(p, F.char_length(whole(p)) + F.lit(1)).alias("rest"),
-        F.rlike(p, F.lit(rf"^<{PREFIX}item")).alias("is_rss"))))
+    # every step is a column of its own: the functions over arrays would repeat it
+    cut = bodies.select("feed_file", F.split("body", f"(?={ITEM_START})", -1).alias("all")).select(
+        "feed_file", F.transform("all", lambda p: F.struct(p.alias("text"), F.rlike(
+            p, F.lit(f"^{ITEM_START}")).alias("is_item"))).alias("all")).select(
+        "feed_file", F.transform(F.filter("all", lambda p: p["is_item"]), lambda p: p["text"])
+        .alias("parts"), F.transform(F.filter("all", lambda p: ~p["is_item"]), lambda p: p["text"])
+        .alias("head"))
+
+    def own_length(p: Column) -> Column:
+        """Characters up to the item's own end; 0 if it has none."""
+        plain = [F.locate(end, p) + F.lit(len(end) - 1) for end in ("</item>", "</entry>")]
+        other = F.regexp_extract(p, rf"(?s)^(?:<[^<>]*/>|.*?{ITEM_END})", 0)
+        return F.when((F.locate("</item>", p) > 0) & F.startswith(p, F.lit("<item")), plain[0]).when(
+            (F.locate("</entry>", p) > 0) & F.startswith(p, F.lit("<entry")), plain[1]).otherwise(
+            F.char_length(other))
+    sized = cut.withColumn("parts", F.transform("parts", lambda p: F.struct(
+        p.alias("text"), own_length(p).alias("n"))))
+    cut = sized.withColumn("items", F.transform("parts", lambda p: F.struct(
+        F.substr(p["text"], F.lit(1), p["n"]).alias("own"),
+        F.substr(p["text"], p["n"] + F.lit(1)).alias("rest"),
+        F.rlike(p["text"], F.lit(rf"^<{PREFIX}item")).alias("is_rss"))))
     # what stands around the items; the rest of an item that is cut off is its own
     around = F.concat(F.array_join("head", ""), F.array_join(F.transform(
         F.filter("items", lambda i: i["own"] != ""), lambda i: i["rest"]), ""))

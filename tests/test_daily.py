@@ -94,8 +94,9 @@ def test_daily_runs(spark, daily):
     assert second["predictions"] > first["predictions"]
     now = {r.group_prefix: r.action for r in TB.read_runs(spark, f"{root}/retrain_actions").where(
         "run = '2001-09-02-12-00-00'").collect()}
-    assert len(run.trained) == 2 * len(due)
-    assert all(now[g] in ("cooldown", "skipped") for g in due)
+    # those retrained rest; one whose imported run is a day old by now may follow
+    assert all(now[g] in ("cooldown", "skipped") for g in due) and "cooldown" in now.values()
+    assert len(run.trained) == 2 * len(due) + sum(a == "retrain" for a in now.values())
     newest = logs.agg(F.max("monitoring_id")).first()[0]
     assert TB.read_runs(spark, f"{root}/monitoring_logs").where(
         "run like '2001-09-02-12%'").agg(F.min("monitoring_id")).first()[0] > newest

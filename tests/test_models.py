@@ -3,6 +3,7 @@
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 
 from tradewind.plans import grouped as G
 from tradewind.plans import models as M
@@ -113,6 +114,37 @@ def test_boosting_equals_a_plain_loop():
     assert np.abs(alone - y[:10]).mean() < np.abs(y.mean() - y[:10]).mean()
 
 
+def test_search_jobs_fitted_apart_equal_the_search():
+    """A job of the search has the same error in whatever group it is fitted."""
+    rng = np.random.RandomState(3)
+    pdf = pd.DataFrame(rng.normal(size=(60, 2)), columns=["x1", "x2"])
+    pdf["y"] = pdf["x1"] * 2 + rng.normal(size=60) * 0.1
+    pdf["s"], pdf["feature_date"] = "A", np.arange(60)
+    grids = {"rf": M.grid_draws({**M.RF_GRID, "n_estimators": [5, 9]}, 4),
+             "gbt": M.grid_draws({**M.GBT_GRID, "n_estimators": [5, 9]}, 4)}
+    for kind, cands in grids.items():
+        args = (pdf, "s", ["x1", "x2"], "y", kind, cands, 3, 42)
+        whole = G.tree_errors(*args, list(range(12)))
+        apart = pd.concat([G.tree_errors(*args, [j]) for j in range(12)])
+        assert list(whole["job"]) == list(range(12))
+        assert list(whole["mae"]) == list(apart["mae"])
+
+
+def test_few_small_series_are_fitted_in_several_tasks(spark):
+    """Five series of few bytes are not put into one task, nor a search's jobs."""
+    rows = [(f"S{c}", dt.date(2020, 1, 1) + dt.timedelta(days=i), float(i * c % 7), float(i))
+            for c in range(5) for i in range(40)]
+    s = M.chronological_split(spark.createDataFrame(
+        rows, "benchmark_code string, feature_date date, x1 double, target_close_next_day double"))
+
+    def where(pdf):
+        from pyspark import TaskContext
+        return pd.DataFrame({"benchmark_code": pdf["benchmark_code"].iloc[:1],
+                             "task": [TaskContext.get().partitionId()]})
+    got = M.per_series(s, ["x1"], "task int", where)
+    assert got.count() == 5 and got.select("task").distinct().count() > 1
+
+
 def test_grid_draws_deterministic():
     a = M.grid_draws(M.RF_GRID, 12)
     assert a == M.grid_draws(M.RF_GRID, 12) and len({str(x) for x in a}) == 12

@@ -2,8 +2,9 @@
 
 A series' history is bounded by the calendar (one row per trading day), so one
 series is one group of ``applyInPandas`` and Spark spreads the series; any
-number of series works.  Within a series the trees of all candidates and folds
-grow together, level by level, on binned features.
+number of series works.  A tree search also spreads its jobs (candidate and fold)
+over groups, so that few series use all cores.  The trees of a job grow together,
+level by level, on binned features.
 """
 
 from __future__ import annotations
@@ -114,7 +115,8 @@ def leaf_means(bins: np.ndarray, tree: np.ndarray, y: np.ndarray, w: np.ndarray,
     """
     value = np.zeros(y.shape)
     rows, node = np.arange(len(tree)), tree.copy()
-    owner, level = np.arange(len(depth)), 0
+    owner, level, counted = np.arange(len(depth)), 0, w > 0
+    columns = np.ascontiguousarray(bins.T)
     while len(rows):
         m = len(owner)
         count = np.bincount(node, w[rows], m)
@@ -122,27 +124,40 @@ def leaf_means(bins: np.ndarray, tree: np.ndarray, y: np.ndarray, w: np.ndarray,
         mean = sums / np.maximum(count + ridge, 1e-12)[:, None]
         best, feature, cut = np.full(m, 1e-9), np.zeros(m, np.int64), np.zeros(m, np.int64)
         grow = (level < depth[owner]) & (count >= np.maximum(min_split[owner], 2 * min_leaf[owner]))
-        here = grow[node]
+        here = grow[node] & counted[rows]       # rows without weight change no sum
         sub, sub_node = rows[here], (np.cumsum(grow) - 1)[node[here]]
         g = np.flatnonzero(grow)
         if len(g):
             whole = (sums[g] ** 2).sum(1) / (count[g] + ridge)
+            sub_w = w[sub]
+            sub_wy = [sub_w * c[sub] for c in y.T]
+            base, least = sub_node * BINS, min_leaf[owner[g]]
             for f in range(bins.shape[1]):
-                key = sub_node * BINS + bins[sub, f]
-                hw = np.bincount(key, w[sub], len(g) * BINS).reshape(-1, BINS).cumsum(1)
-                rest = count[g][:, None] - hw
-                gain = -whole[:, None]
+                key = base + columns[f][sub]
+                # cuts behind empty bins part the rows as the cut before them does
+                hist = np.bincount(key, sub_w, len(g) * BINS)
+                cell = np.flatnonzero(hist)
+                at_node = cell // BINS
+                hw = hist.reshape(-1, BINS).cumsum(1).ravel()[cell]
+                rest = count[g][at_node] - hw
+                gain = -whole[at_node]
                 for k in range(y.shape[1]):
-                    hs = np.bincount(key, w[sub] * y[sub, k], len(g) * BINS).reshape(
-                        -1, BINS).cumsum(1)
+                    hs = np.bincount(key, sub_wy[k], len(g) * BINS).reshape(
+                        -1, BINS).cumsum(1).ravel()[cell]
                     gain = gain + hs ** 2 / np.maximum(hw + ridge, 1e-12) + (
-                        sums[g, k][:, None] - hs) ** 2 / np.maximum(rest + ridge, 1e-12)
-                least = min_leaf[owner[g]][:, None]
-                gain[(hw < least) | (rest < least) | ~allowed[owner[g], f][:, None]] = -1
-                at = gain.argmax(1)
-                top = gain[np.arange(len(g)), at]
-                better = top > best[g]
-                best[g[better]], feature[g[better]], cut[g[better]] = top[better], f, at[better]
+                        sums[g, k][at_node] - hs) ** 2 / np.maximum(rest + ridge, 1e-12)
+                limit = least[at_node]
+                gain[(hw < limit) | (rest < limit) | ~allowed[owner[g], f][at_node]] = -1
+                # the first of the best cells of every node
+                starts = np.flatnonzero(np.diff(at_node, prepend=-1))
+                have = at_node[starts]
+                top = np.maximum.reduceat(gain, starts) if len(cell) else gain
+                first = np.flatnonzero(gain == np.repeat(top, np.diff(starts, append=len(cell))))
+                first = first[np.diff(at_node[first], prepend=-1) > 0]
+                now = have[top > best[g[have]]]
+                better = top > best[g[have]]
+                best[g[now]], feature[g[now]], cut[g[now]] = (
+                    top[better], f, cell[first[better]] % BINS)
         split = grow & (best > 1e-9)
         done = ~split[node]
         value[rows[done]] = mean[node[done]]
@@ -178,40 +193,78 @@ def forest(x: np.ndarray, y: np.ndarray, score: np.ndarray, trees: int, depth: i
     return out / trees
 
 
-def boosted(problems: list[tuple[np.ndarray, np.ndarray, np.ndarray, dict]], seed: int
-            ) -> list[np.ndarray]:
+def boosted(problems: list[tuple[np.ndarray, np.ndarray, np.ndarray, dict]], seed: int,
+            only: list[int] | None = None) -> list[np.ndarray]:
     """Predictions of squared-error boosting for the score rows of every
-    (x, y, score, parameters); all problems advance one tree per round."""
+    (x, y, score, parameters); all problems advance one tree per round.
+
+    ``only`` names the problems to fit: they get the random numbers that they have
+    among all problems, so each has the same result wherever it is fitted."""
     rng = np.random.default_rng(seed)
+    mine = np.arange(len(problems)) if only is None else np.asarray(only)
+    par = {k: np.array([p[3][k] for p in problems]) for k in (
+        "n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree")}
+    rows = np.array([len(x) + len(score) for x, _, score, _ in problems])
+    f = problems[0][0].shape[1]
     bins, target, train, tree = [], [], [], []
-    for i, (x, y, score, _) in enumerate(problems):
+    for i in mine:
+        x, y, score, _ = problems[i]
         bins.append(binned(x, np.vstack([x, score])))
         target.append(np.append(y - y.mean(), np.zeros(len(score))))
         train.append(np.append(np.ones(len(x)), np.zeros(len(score))))
-        tree.append(np.full(len(x) + len(score), i))
+        tree.append(np.full(rows[i], i))
     bins, target, train, tree = map(np.concatenate, (bins, target, train, tree))
-    par = {k: np.array([p[3][k] for p in problems]) for k in (
-        "n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree")}
     fit = np.zeros(len(tree))
-    f = bins.shape[1]
-    for r in range(int(par["n_estimators"].max())):
+    for r in range(int(par["n_estimators"][mine].max())):
         live = par["n_estimators"] > r
+        drawn = rng.random(int(rows[live].sum()))
+        picked = rng.random((int(live.sum()), f))
+        number = np.cumsum(live) - 1              # place among all live problems
+        ends = np.cumsum(np.where(live, rows, 0))
+        now = mine[live[mine]]
+        if len(now) < live.sum():
+            drawn = np.concatenate([drawn[ends[i] - rows[i]:ends[i]] for i in now])
+            picked = picked[number[now]]
+            number = np.zeros(len(problems), np.int64)
+            number[now] = np.arange(len(now))
         on = live[tree]
-        number = np.cumsum(live) - 1
-        w = train[on] * (rng.random(int(on.sum())) < par["subsample"][tree[on]])
-        keep = np.maximum(1, np.round(par["colsample_bytree"][live] * f)).astype(int)
-        allowed = rng.random((len(keep), f)).argsort(1).argsort(1) < keep[:, None]
+        w = train[on] * (drawn < par["subsample"][tree[on]])
+        keep = np.maximum(1, np.round(par["colsample_bytree"][now] * f)).astype(int)
+        allowed = picked.argsort(1).argsort(1) < keep[:, None]
         value = leaf_means(
             bins[on], number[tree[on]], (target[on] - fit[on])[:, None], w,
-            par["max_depth"][live], np.ones(len(keep)), np.full(len(keep), 2), allowed, ridge=1.0)
+            par["max_depth"][now], np.ones(len(keep)), np.full(len(keep), 2), allowed, ridge=1.0)
         fit[on] += par["learning_rate"][tree[on]] * value[:, 0]
-    return [fit[tree == i][len(x):] + y.mean() for i, (x, y, _, _) in enumerate(problems)]
+    return [fit[tree == i][len(problems[i][0]):] + problems[i][1].mean() for i in mine]
+
+
+def _forest_of(x, y, score, c: dict, seed: int) -> np.ndarray:
+    return forest(x, y[:, None], score, c["n_estimators"], c["max_depth"],
+                  c["min_samples_leaf"], c["min_samples_split"], seed)[:, 0]
+
+
+def tree_errors(pdf: pd.DataFrame, series: str, xcols: list[str], y: str, kind: str,
+                candidates: list[dict], n_splits: int, seed: int, jobs: list[int]) -> pd.DataFrame:
+    """MAE of some of one series' search jobs: job ``i`` is candidate ``i // n_splits``
+    on fold ``i % n_splits`` of the train rows."""
+    train = pdf.sort_values("feature_date")
+    x, t = train[xcols].to_numpy(float), train[y].to_numpy(float)
+    folds = fold_bounds(len(t), n_splits)
+    if not folds:
+        return pd.DataFrame()
+    seed = seed_of(str(pdf[series].iloc[0]), seed)
+    every = [(x[:a], t[:a], x[a:b], c) for c in candidates for a, b in folds]
+    preds = boosted(every, seed, jobs) if kind == "gbt" else [
+        _forest_of(*every[i], seed) for i in jobs]
+    actual = [t[a:b] for a, b in folds]
+    return pd.DataFrame({series: pdf[series].iloc[0], "job": jobs, "mae": [
+        np.abs(p - actual[i % n_splits]).mean() for i, p in zip(jobs, preds)]})
 
 
 def tree_series(pdf: pd.DataFrame, series: str, xcols: list[str], y: str, kind: str,
-                candidates: list[dict], n_splits: int, seed: int) -> pd.DataFrame:
-    """K5/K6 for one series: every candidate on every fold, the best by mean
-    MAE refitted on train, predictions of all rows after it."""
+                candidates: list[dict], seed: int) -> pd.DataFrame:
+    """K5/K6 for one series: the best candidate by mean MAE over the folds (``maes``,
+    by job; null without folds) refitted on train, predictions of all rows after it."""
     pdf = pdf.sort_values("feature_date")
     is_train = (pdf["split"] == "train").to_numpy()
     x, t = pdf[xcols].to_numpy(float), pdf[y].to_numpy(float)
@@ -219,25 +272,14 @@ def tree_series(pdf: pd.DataFrame, series: str, xcols: list[str], y: str, kind:
     if not len(yt):
         return pd.DataFrame()
     seed = seed_of(str(pdf[series].iloc[0]), seed)
-
-    def rf(a, b, score, c):
-        return forest(a, b[:, None], score, c["n_estimators"], c["max_depth"],
-                      c["min_samples_leaf"], c["min_samples_split"], seed)[:, 0]
-    folds = fold_bounds(len(yt), n_splits)
-    jobs = [(xt[:a], yt[:a], xt[a:b], c) for c in candidates for a, b in folds]
-    if kind == "gbt":
-        preds = boosted(jobs, seed) if jobs else []
-    else:
-        preds = [rf(*j) for j in jobs]
-    maes = [np.abs(p - yt[a:b]).mean() for p, (c, (a, b)) in zip(
-        preds, [(c, f) for c in candidates for f in folds])]
-    scores = np.array(maes).reshape(len(candidates), -1).mean(1) if folds else \
-        np.full(len(candidates), np.nan)
-    k = int(np.nanargmin(scores)) if folds else 0
+    maes = pdf["maes"].iloc[0]
+    scores = np.full(len(candidates), np.nan) if maes is None else \
+        np.array(maes, float).reshape(len(candidates), -1).mean(1)
+    k = 0 if maes is None else int(np.nanargmin(scores))
     rest = x[~is_train]
     if len(rest):
         last = boosted([(xt, yt, rest, candidates[k])], seed)[0] if kind == "gbt" else \
-            rf(xt, yt, rest, candidates[k])
+            _forest_of(xt, yt, rest, candidates[k], seed)
     else:
         last = np.empty(0)
     return pd.DataFrame({

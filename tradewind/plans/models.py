@@ -7,9 +7,10 @@ So every model is fitted per series:
 * OLS: one distributed aggregation builds the Gram matrix X'X and X'y of every
   fit (map-side partial sums); the tiny system (13 x 13 at most) is solved in
   ``mapInPandas`` over one row per fit.
-* Median regression, random forests, boosted trees and the direction
-  classifier fit one series per ``applyInPandas`` group (``plans/grouped.py``):
-  the whole search with its folds runs where the series' rows are.
+* Median regression and the direction classifier fit one series per
+  ``applyInPandas`` group (``plans/grouped.py``).  The searches over forests and
+  boosted trees deal the jobs of a series (candidate and fold) to groups of their
+  own, then refit the best candidate per series.
 """
 
 from __future__ import annotations
@@ -228,10 +229,18 @@ def ols_backtest(features: DataFrame, xcols: Sequence[str] = PRICE_FEATURES,
     return predict(s.filter("split = 'test'"), coefs, [SERIES], xcols)
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by the keys.  The number of partitions is given: a group holds few
+    bytes but much work, and groups must not be put together by their bytes.  One more
+    than an ordinary shuffle has, or Spark would take the (merged) one before it."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n + 1, *keys)
+
+
 def per_series(rows: DataFrame, columns: Sequence[str], schema: str, fit) -> DataFrame:
     """``fit(pdf)`` on the rows of each series (bounded by the calendar)."""
-    return rows.select(SERIES, "feature_date", "split", *columns).groupBy(SERIES).applyInPandas(
-        fit, f"{SERIES} string, {schema}")
+    return spread(rows.select(SERIES, "feature_date", "split", *columns), SERIES).groupBy(
+        SERIES).applyInPandas(fit, f"{SERIES} string, {schema}")
 
 
 def median_fits(s: DataFrame, xcols: Sequence[str], alphas: Sequence[float] = QUANTILE_ALPHAS
@@ -285,9 +294,25 @@ def tree_search(s: DataFrame, kind: str, xcols: Sequence[str], draws: int | None
     grid, n = (RF_GRID, RF_DRAWS) if kind == "rf" else (GBT_GRID, GBT_DRAWS)
     cands = candidates or grid_draws(grid, n if draws is None else draws)
     xcols = list(xcols)
+    # a forest's jobs stand alone; boosting draws for all, so it takes a candidate's folds at once
+    each = 1 if kind == "rf" else N_SPLITS
+    jobs = len(cands) * N_SPLITS
+    parts = s.where("split = 'train'").select(SERIES, "feature_date", *xcols, TARGET, F.explode(
+        F.sequence(F.lit(0), F.lit(jobs // each - 1))).alias("part"))
+
+    def errors(pdf: pd.DataFrame) -> pd.DataFrame:
+        lo = int(pdf["part"].iloc[0]) * each
+        return G.tree_errors(pdf, SERIES, xcols, TARGET, kind, cands, N_SPLITS, SEARCH_SEED,
+                             list(range(lo, lo + each)))
+    maes = cut_lineage(spread(parts, SERIES, "part").groupBy(SERIES, "part").applyInPandas(
+        errors, f"{SERIES} string, job int, mae double")).groupBy(F.col(SERIES).alias("_s")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("job", "mae"))), lambda x: x["mae"])
+        .alias("maes"))
+    judged = s.join(maes, F.col(SERIES).eqNullSafe(F.col("_s")), "left").drop("_s")
     out = cut_lineage(per_series(
-        s, [*xcols, TARGET], "feature_date date, prediction double, cv_mae double, params string",
-        lambda pdf: G.tree_series(pdf, SERIES, xcols, TARGET, kind, cands, N_SPLITS, SEARCH_SEED)))
+        judged, [*xcols, TARGET, "maes"],
+        "feature_date date, prediction double, cv_mae double, params string",
+        lambda pdf: G.tree_series(pdf, SERIES, xcols, TARGET, kind, cands, SEARCH_SEED)))
     pred = s.join(out.select(SERIES, "feature_date", "prediction"), [SERIES, "feature_date"])
     best = out.groupBy(SERIES).agg(F.first("params").alias("params"), F.first("cv_mae").alias("cv_mae"))
     return pred, best.withColumn(
@@ -395,7 +420,7 @@ def direction_and_live(features: DataFrame) -> tuple[DataFrame, DataFrame, DataF
     both = s.select(SERIES, "feature_date", "split", *xcols, label).unionByName(
         live.select(SERIES, "feature_date", "split", *xcols, label))
     clf = dict(DIRECTION_FOREST)
-    direction = cut_lineage(both.groupBy(SERIES).applyInPandas(
+    direction = cut_lineage(spread(both, SERIES).groupBy(SERIES).applyInPandas(
         lambda pdf: G.direction_rows(pdf, SERIES, xcols, label, **clf),
         f"{SERIES} string, feature_date date, split string, predicted_direction int, "
         "confidence double"))

@@ -117,6 +117,26 @@ def test_landed_files_arrive_in_event_order(spark, items):
     assert len(os.listdir(f"{work}/on_time")) >= 4
 
 
+def test_many_small_files_take_few_batches(spark, items, monkeypatch):
+    """Batches go by bytes: 40 small files are one; and landing bounds its files."""
+    path, work = _work(spark), _work(spark)
+    J.land_items(items, path, 5)
+    assert sum(n.startswith("part-") for n in os.listdir(path)) == 40
+    got = J.stream_dedup(spark, path, "dedup_key", "article_id", work)
+    assert len(os.listdir(f"{work}/on_time")) == 1
+    assert sorted(got.select(*items.columns).collect()) == sorted(
+        items.where("article_id < 60").collect())
+    monkeypatch.setattr(J, "LANDED_FILES", 6)
+    monkeypatch.setattr(J, "BATCH_BYTES", 2 * os.path.getsize(
+        f"{path}/{next(n for n in os.listdir(path) if n.startswith('part-'))}"))
+    path, work = _work(spark), _work(spark)
+    J.land_items(items, path, 5)
+    assert sum(n.startswith("part-") for n in os.listdir(path)) == 6
+    again = J.stream_dedup(spark, path, "dedup_key", "article_id", work)
+    assert len(os.listdir(f"{work}/on_time")) > 1
+    assert sorted(again.collect()) == sorted(got.collect())
+
+
 def test_a_batch_that_was_shown_stays(spark, items):
     work = _work(spark)
     J._publish(items, f"{work}/on_time", 0)

@@ -35,14 +35,19 @@ from ..operators.tables import upsert_partitioned
 from ..session import child_names, path_exists, scratch_path
 
 TIME = "published_at"
+#: Most files that ``land_items`` writes.
+LANDED_FILES = 200
+#: Size of a batch unless its number of files is given.  A batch costs a fixed time, so
+#: their number goes by the bytes that wait, however many files hold them.
+BATCH_BYTES = 32 << 20
 SUMS = ["articles", "s", "ns", "sr", "r", "nr", "pos", "neu", "neg"]
 
 
 def land_items(items: DataFrame, dest: str, rows_per_file: int = 2500) -> None:
-    """Land scored items in order of their event time as Parquet files of bounded
-    size that arrived one after the other."""
+    """Land scored items in order of their event time as Parquet files of equal
+    size that arrived one after the other: more rows a file from ``LANDED_FILES`` on."""
     spark = items.sparkSession
-    n = max(1, -(-items.count() // rows_per_file))
+    n = min(LANDED_FILES, max(1, -(-items.count() // rows_per_file)))
     items.repartitionByRange(n, TIME).write.mode("overwrite").parquet(dest)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(dest).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -59,8 +64,9 @@ def _run(query) -> StreamingQuery:
 
 
 def split_late(spark: SparkSession, source: str, work: str, delay: str,
-               files_per_batch: int) -> None:
-    """Step 1: every batch becomes a folder of on-time rows and one of late rows."""
+               files_per_batch: int | None = None) -> None:
+    """Step 1: every batch (of ``files_per_batch`` files, else of ``BATCH_BYTES``)
+    becomes a folder of on-time rows and one of late rows."""
     schema = spark.read.parquet(source).schema
     newest: dict = {}            # of the batches so far; read once after a restart
 
@@ -79,7 +85,9 @@ def split_late(spark: SparkSession, source: str, work: str, delay: str,
         _publish(batch.where(~late), f"{work}/on_time", batch_id)
         newest["at"] = max((t for t in (newest["at"], now["newest"]) if t is not None), default=None)
 
-    items = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    limit = ("maxBytesPerTrigger", BATCH_BYTES) if files_per_batch is None else (
+        "maxFilesPerTrigger", files_per_batch)
+    items = spark.readStream.schema(schema).option(*limit).parquet(source)
     _run(items.writeStream.foreachBatch(deal)
          .option("checkpointLocation", f"{work}/split-checkpoint"))
 
@@ -114,7 +122,7 @@ def late_rows(spark: SparkSession, work: str, schema) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, source: str, key: str, order: str, work: str,
-                 delay: str = "2 days", files_per_batch: int = 4) -> DataFrame:
+                 delay: str = "2 days", files_per_batch: int | None = None) -> DataFrame:
     """Earliest row per ``key`` (by ``order``) over a file stream, late rows included."""
     schema = spark.read.parquet(source).schema
     split_late(spark, source, work, delay, files_per_batch)
@@ -172,7 +180,7 @@ def batch_daily(items: DataFrame) -> DataFrame:
 
 
 def stream_daily(spark: SparkSession, source: str, work: str, delay: str = "2 days",
-                 files_per_batch: int = 4, with_late: bool = False) -> DataFrame:
+                 files_per_batch: int | None = None, with_late: bool = False) -> DataFrame:
     """E1's daily aggregate as event-time windows.  Late rows are left to
     ``late_rows``; ``with_late`` adds them to their days in the view."""
     schema = spark.read.parquet(source).schema

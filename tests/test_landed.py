@@ -96,3 +96,33 @@ def test_reports_are_written_in_order(spark, report):
     assert len(files) > 1
     rows = [tuple(r) for f in files for r in spark.read.parquet(f"{path}/{f}").select(*order).collect()]
     assert len(rows) == n and rows == sorted(rows)
+
+
+def test_a_reader_lands_its_own_files_only(spark):
+    from tradewind.registry import _landing
+    path = _landing(spark, f"{SF_SMALL}/.", "rss").removeprefix("file:")
+    assert os.listdir(path) == ["rss"]
+
+
+def test_landed_rss_of_repeated_and_missing_ids(spark):
+    """A page stands once per row of the page whose url it may reuse; every file has its
+    items between one head and one end."""
+    import glob
+    import re
+    from tradewind import bindings as B
+    rows = [(i, f"u{i}", f"<title>t{i}</title>") for i in (0, 3, 12, 12, 19, 19, 20, 160, 320)]
+    pages = spark.createDataFrame([*rows, (313, None, "n"), (None, "u", "h")],
+                                  "page_id long, url string, html string")
+    path = scratch_path(spark, f"rss-{uuid.uuid4().hex[:8]}").removeprefix("file:")
+    B.land_rss(pages, path)
+    got = []
+    for name in glob.glob(f"{path}/source_id=*/chunk=*/part-*"):
+        lines = open(name).read().splitlines()
+        if "HIVE_DEFAULT" not in name:
+            assert lines[0].startswith("<?xml") and "<item>" not in lines[0]
+            assert lines[-1] == "</channel></rss>"
+        at = [x for x in lines if x.startswith("<item>")]
+        got += [(re.findall("<link>(.*?)</link>", x), re.findall("<guid>(.*?)</guid>", x)) for x in at]
+    want = [([r.url] if r.url else [], [r.guid] if r.guid else [])
+            for r in B.rss_item_keys(pages).collect()]
+    assert sorted(got) == sorted(want) and len(got) == 13

@@ -11,7 +11,7 @@ oracle, so both engines start from the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -161,15 +161,22 @@ def rss_item_keys(pages: DataFrame) -> DataFrame:
         pages.select((F.col("page_id") + URL_REPEAT_BACK).alias("page_id"),
                      F.col("url").alias("earlier_url")).alias("e"),
         F.col("p.page_id") == F.col("e.page_id"), "left")
-    return base.select(
-        F.concat(F.lit("rss"), (pid % RSS_FEEDS).cast("string")).alias("source_id"),
-        pid.alias("position"),
-        F.when((pid % URL_REPEAT_MOD == URL_REPEAT_MOD - 1) & F.col("earlier_url").isNotNull(),
-               F.col("earlier_url")).otherwise(F.col("p.url")).alias("url"),
-        F.concat(F.lit("g"), F.when((pid % GUID_REPEAT_MOD == GUID_REPEAT_MOD - 1)
-                                    & (pid >= GUID_REPEAT_BACK), pid - GUID_REPEAT_BACK)
-                 .otherwise(pid).cast("string")).alias("guid"),
-        F.col("p.html").alias("html"))
+    return base.select(*_item_keys(pid, F.col("p.url"), F.col("earlier_url")),
+                       F.col("p.html").alias("html"))
+
+
+def _item_keys(pid, url, earlier_url):
+    return (F.concat(F.lit("rss"), (pid % RSS_FEEDS).cast("string")).alias("source_id"),
+            pid.alias("position"),
+            F.when(_reuses_url(pid) & earlier_url.isNotNull(), earlier_url).otherwise(url)
+            .alias("url"),
+            F.concat(F.lit("g"), F.when((pid % GUID_REPEAT_MOD == GUID_REPEAT_MOD - 1)
+                                        & (pid >= GUID_REPEAT_BACK), pid - GUID_REPEAT_BACK)
+                     .otherwise(pid).cast("string")).alias("guid"))
+
+
+def _reuses_url(pid):
+    return pid % URL_REPEAT_MOD == URL_REPEAT_MOD - 1
 
 
 RSS_KEYS_SQL = f"""
@@ -194,7 +201,25 @@ def _el(tag, c):
 
 def land_rss(pages: DataFrame, dest: str) -> None:
     """Write one RSS 2.0 file per feed under ``dest/source_id=<feed>``."""
-    k = rss_item_keys(pages)
+    # one landed file = one poll of at most PAGE_SIZE items of one feed
+    file = lambda pid: (F.concat(F.lit("rss"), (pid % RSS_FEEDS).cast("string")).alias("source_id"),
+                        (pid / (PAGE_SIZE * RSS_FEEDS)).cast("long").alias("chunk"))
+    # the earlier urls go to the files that reuse them, so that the pages are dealt once,
+    # by file; a page stands once per row of the earlier page (its url matters to some)
+    target = (F.col("page_id") + URL_REPEAT_BACK).alias("pid")
+    earlier = (pages.where("page_id is not null").select(target, F.when(
+                   _reuses_url(target), F.col("url")).alias("url"))
+               .groupBy("pid").agg(F.collect_list(F.struct("url")).alias("urls"))
+               .where(_reuses_url(F.col("pid")) | (F.size("urls") > 1))
+               .groupBy(*file(F.col("pid")))
+               .agg(F.map_from_entries(F.collect_list(F.struct("pid", "urls"))).alias("earlier")))
+    id_ = F.col("page_id")
+    none = F.array(F.struct(F.lit(None).cast("string").alias("url")))
+    k = (pages.select(*file(id_), "page_id", "url", "html")
+         .join(earlier, ["source_id", "chunk"], "left")
+         .select("source_id", "chunk", "page_id", "url", "html", F.explode(F.coalesce(
+             F.try_element_at("earlier", id_), none)).alias("e"))
+         .select("source_id", "chunk", *_item_keys(id_, F.col("url"), F.col("e.url"))[1:], "html"))
     pid = F.col("position")
     pub = F.date_format(F.timestamp_seconds(F.lit(1704067200) + pid * 3671),
                         "EEE, dd MMM yyyy HH:mm:ss +0000")
@@ -205,20 +230,19 @@ def land_rss(pages: DataFrame, dest: str) -> None:
                        _el("category", F.concat(F.lit("cat"), (pid % 4).cast("string"))),
                        _el("category", F.lit("news")),
                        _el("position", pid.cast("string")), F.lit("</item>"))
-    # one landed file = one poll of at most PAGE_SIZE items of one feed
-    chunk = (pid / (PAGE_SIZE * RSS_FEEDS)).cast("long")
-    items = k.select("source_id", chunk.alias("chunk"), pid.alias("ord"), item.alias("value"))
-    files = items.select("source_id", "chunk").distinct()
     lang = F.element_at(F.array(*[F.lit(x) for x in RSS_LANGUAGES]),
                         (F.substring("source_id", 4, 3).cast("int") % len(RSS_LANGUAGES)) + 1)
-    head = files.select("source_id", "chunk", F.lit(-1).cast("long").alias("ord"), F.concat(
+    head = F.concat(
         F.lit('<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><language>'),
-        lang, F.lit("</language>")).alias("value"))
-    tail = files.select("source_id", "chunk", F.lit(2 ** 62).cast("long").alias("ord"),
-                        F.lit("</channel></rss>").alias("value"))
-    (head.unionByName(items).unionByName(tail)
-     .repartition("source_id", "chunk").sortWithinPartitions("source_id", "chunk", "ord")
-     .select("source_id", "chunk", "value")
+        lang, F.lit("</language>\n"))
+    in_file = Window.partitionBy("source_id", "chunk").orderBy("position")
+    first = F.row_number().over(in_file) == 1
+    last = F.lead(F.lit(1)).over(in_file).isNull()
+    (k.select("source_id", "chunk", "position", "url", "guid", "html", first.alias("first"),
+              last.alias("last"))
+     .select("source_id", "chunk", F.concat(
+         F.when(F.col("first"), F.coalesce(head, F.lit("\n"))).otherwise(""), item,
+         F.when(F.col("last"), "\n</channel></rss>").otherwise("")).alias("value"))
      .write.mode("overwrite").partitionBy("source_id", "chunk").text(dest))
 
 
@@ -229,12 +253,20 @@ def _doc_src_num():
 def land_payloads(documents: DataFrame, dest_search: str, dest_timeline: str) -> None:
     """Search payloads ``{"hits": [...]}`` (pages of 50) and timeline arrays,
     one JSON document per line, partitioned by source."""
-    d = F.col("doc_id")
-    first_line = F.substring_index("text", "\n", 1)
-    created = F.concat(
+    land_search(documents, dest_search)
+    land_timeline(documents, dest_timeline)
+
+
+def _created(d):
+    return F.concat(
         F.date_format(F.timestamp_seconds(F.lit(1704067200) + d * 977), "yyyy-MM-dd'T'HH:mm:ss"),
         F.when(d % 3 == 0, F.lit("+05:30")).when(d % 3 == 1, F.lit("-08:00"))
         .otherwise(F.lit("Z")))
+
+
+def land_search(documents: DataFrame, dest: str) -> None:
+    d = F.col("doc_id")
+    first_line = F.substring_index("text", "\n", 1)
     docs = documents.withColumn("_n", _doc_src_num())
     hit = F.struct(
         d.cast("string").alias("objectID"),
@@ -245,7 +277,7 @@ def land_payloads(documents: DataFrame, dest_search: str, dest_timeline: str) ->
                             d.cast("string"))).alias("url"),
         F.concat(F.lit("user"), (F.col("n_chars") % 10).cast("string")).alias("author"),
         (F.col("n_chars") % 500).alias("points"), (d % 40).alias("num_comments"),
-        created.alias("created_at"),
+        _created(d).alias("created_at"),
         F.when(d % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("text")).alias("story_text"),
         F.when(d % 17 == 0, F.col("text")).alias("comment_text"),
         d.alias("position"))
@@ -255,12 +287,17 @@ def land_payloads(documents: DataFrame, dest_search: str, dest_timeline: str) ->
                    .alias("hs"))
               .select("source_id", F.to_json(F.struct(
                   F.transform("hs", lambda x: x["h"]).alias("hits"))).alias("value")))
-    search.write.mode("overwrite").partitionBy("source_id").text(dest_search)
+    search.write.mode("overwrite").partitionBy("source_id").text(dest)
+
+
+def land_timeline(documents: DataFrame, dest: str) -> None:
+    d = F.col("doc_id")
+    docs = documents.withColumn("_n", _doc_src_num())
     status = F.struct(
         d.cast("string").alias("id"),
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example/@s/"), d.cast("string"))
         .alias("url"),
-        created.alias("created_at"),
+        _created(d).alias("created_at"),
         F.when(d % 19 == 0, F.lit("")).otherwise(
             F.concat(F.lit("<p>"), F.col("text"), F.lit("</p>"))).alias("content"),
         F.when(d % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("lang")).alias("language"),
@@ -274,7 +311,7 @@ def land_payloads(documents: DataFrame, dest_search: str, dest_timeline: str) ->
                 .agg(F.sort_array(F.collect_list(F.struct(d.alias("k"), status.alias("s"))))
                      .alias("ss"))
                 .select("source_id", F.to_json(F.transform("ss", lambda x: x["s"])).alias("value")))
-    timeline.write.mode("overwrite").partitionBy("source_id").text(dest_timeline)
+    timeline.write.mode("overwrite").partitionBy("source_id").text(dest)
 
 
 def source_registry(documents: DataFrame, pages: DataFrame) -> DataFrame:

@@ -144,17 +144,20 @@ def q_news_price_alignment(spark, d):
         "neutral_article_count", "negative_article_count")
 
 
-def _landing(spark, d):
-    """Land the X feed files (derived from pages / documents) once per session."""
+def _landing(spark, d, *shapes):
+    """Land the X feed files (derived from pages / documents) once per session: those of
+    ``shapes``, else of all readers."""
     import hashlib
     from .session import scratch_path
     key = hashlib.sha1(d.encode()).hexdigest()[:10]
     path = scratch_path(spark, f"landing-{key}")
-    cache = spark.conf.get("tradewind.landing." + key, None)
-    if cache != path:
-        B.land_rss(table(spark, d, "pages"), f"{path}/rss")
-        B.land_payloads(table(spark, d, "documents"), f"{path}/search", f"{path}/timeline")
-        spark.conf.set("tradewind.landing." + key, path)
+    land = {"rss": (B.land_rss, "pages"), "search": (B.land_search, "documents"),
+            "timeline": (B.land_timeline, "documents")}
+    for shape in shapes or land:
+        if spark.conf.get(f"tradewind.landing.{shape}.{key}", None) != path:
+            write, name = land[shape]
+            write(table(spark, d, name), f"{path}/{shape}")
+            spark.conf.set(f"tradewind.landing.{shape}.{key}", path)
     return path
 
 
@@ -164,17 +167,17 @@ def _sources(spark, d):
 
 def q_feed_items_rss(spark, d):
     from .sources.feeds import read_rss
-    return read_rss(spark, f"{_landing(spark, d)}/rss")
+    return read_rss(spark, f"{_landing(spark, d, 'rss')}/rss")
 
 
 def q_feed_items_search(spark, d):
     from .sources.feeds import read_search
-    return read_search(spark, f"{_landing(spark, d)}/search")
+    return read_search(spark, f"{_landing(spark, d, 'search')}/search")
 
 
 def q_feed_items_timeline(spark, d):
     from .sources.feeds import read_timeline
-    return read_timeline(spark, f"{_landing(spark, d)}/timeline")
+    return read_timeline(spark, f"{_landing(spark, d, 'timeline')}/timeline")
 
 
 def q_payload_variant(spark, d):

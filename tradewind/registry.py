@@ -343,9 +343,9 @@ def q_child_replace(spark, d):
     old_tax = Taxonomy([(n, [k for k in kws if k != "que"]) for n, kws in TAX.topics])
     arts = B.articles(table(spark, d, "documents"))
     old = AR.topic_score_rows(AR.score_articles(arts, old_tax, LEX), old_tax)
-    touched = arts.filter(F.col("article_id") % 3 == 0).select("article_id")
-    new = AR.topic_score_rows(
-        AR.score_articles(arts.join(touched, "article_id", "left_semi"), TAX, LEX), TAX)
+    changed = arts.filter(F.col("article_id") % 3 == 0)      # scored where they lie
+    touched = changed.select("article_id")
+    new = AR.topic_score_rows(AR.score_articles(changed, TAX, LEX), TAX)
     cols = ["article_id", "topic_id", "topic_score", "is_primary_topic"]
     return replace_children(old.select(*cols), new.select(*cols), "article_id", touched)
 

@@ -47,7 +47,7 @@ HANDED = 0.05
 DIM = 1 << 21
 #: Of the labelled documents, at least this share is of the rarer class while it lasts.
 RARE = 1 / 6
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 18
 KEEP_AT = 0.5
 
 

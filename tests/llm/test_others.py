@@ -237,6 +237,26 @@ def test_quality_knows_a_rare_class(spark, monkeypatch):
     assert max(bad) < min(good) and np.mean([s >= 0.5 for s in good]) > 0.99
 
 
+def test_quality_features_take_little_memory():
+    """Worked out in small batches: 5 MB of text with as many word forms take a few of its sizes."""
+    import tracemalloc
+
+    import pyarrow as pa
+    rng = np.random.RandomState(1)
+    text = [" ".join(f"w{k}" for k in rng.randint(0, 10 ** 6, 300)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_pydict({
+        "doc_id": pa.array(range(2000), pa.int64()), "y": pa.array([1] * 2000, pa.int32()),
+        "source": ["s"] * 2000, "lang": ["l"] * 2000, "n_chars": pa.array([9] * 2000, pa.int64()),
+        "text": text})
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in Q._features(iter([batch]))) == 2000
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40_000_000
+
+
 def test_quality_odd(spark, docs):
     d = docs(ODD)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

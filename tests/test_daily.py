@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import tables as TB
 from tradewind.plans import daily as D
+from tradewind.plans import models as MD
 from tradewind.plans import registry_m as RM
-from tradewind.registry import LEX, TAX, _landing, _m
+from tradewind.registry import LEX, TAX, _landing, _m, q_daily_run
 from tradewind.session import scratch_path
 
 from .conftest import SF_SMALL
@@ -105,6 +106,15 @@ def test_daily_runs(spark, daily):
     assert ends[True][0] > ends[False][1]
 
 
+def test_query_trains_on_what_the_run_stored(spark, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(MD, "fit_all", lambda feats, news: fitted.append((feats, news)))
+    monkeypatch.setattr(D, "run_daily", lambda *args, train, **kw: [
+        train("features of the run", news) for news in (False, True)])
+    q_daily_run(spark, SF_SMALL)
+    assert fitted == [("features of the run", False), ("features of the run", True)]
+
+
 def test_ids_of_names_that_share_a_hash(spark):
     rows = spark.createDataFrame([(f"m{i}",) for i in range(50)], "name string")
     assert D.numbered(rows, RM.AS_OF, "id", "name").select("id").distinct().count() == 50

@@ -30,7 +30,7 @@ from ..operators.dedup import first_wins_two_keys
 from ..operators.sinks import pending_rows, stamped
 from ..operators.topics import topic_rows
 from ..operators.windows import next_business_day
-from ..session import child_names, path_exists
+from ..session import child_names, cut_lineage, path_exists
 from ..sources.dimensions import Lexicon, Taxonomy
 from ..sources.feeds import ingest
 from ..sources.prices import validate_price_history
@@ -202,6 +202,7 @@ def register_experiment(root: str, prefix: str, trained: Trained, as_of: str) ->
                         F.col("prediction").alias("predicted_close"),
                         F.col(MD.TARGET).alias("actual_close"), F.lit(True).alias("is_backtest"))
         rows = part if rows is None else rows.unionByName(part)
+    rows = cut_lineage(rows)
     keys = ["benchmark_code", "model_name"]
     runs = _finished(MD.metrics(rows, keys, "actual_close", "predicted_close").join(
         rows.groupBy(*keys).agg(F.min("feature_date").alias("test_start_date"),

@@ -701,8 +701,7 @@ def q_daily_run(spark, d):
     root = scratch_path(spark, f"daily-run-{uuid.uuid4().hex[:8]}")
     from .plans import registry_m as RM
     return run_daily(spark, d, root, _landing(spark, d), TAX, LEX, RM.AS_OF,
-                     imported=_m(spark, d),
-                     train=lambda feats, news: _experiment(spark, d, news))
+                     imported=_m(spark, d), train=_mo().fit_all)
 
 
 def q_append_registry(spark, d):

@@ -120,3 +120,35 @@ def test_ids_of_names_that_share_a_hash(spark):
     assert D.numbered(rows, RM.AS_OF, "id", "name").select("id").distinct().count() == 50
     with pytest.raises(ValueError):
         D.numbered(rows.unionByName(rows), RM.AS_OF, "id", "name")
+
+
+def test_items_are_parsed_once_and_first_wins(spark):
+    parsed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def parse(text):
+        parsed.add(1)
+        return text
+    # (url key, guid, reject reason) in order of offer
+    offered = [("u1", "g1", None), ("u2", "g1", None), ("u2", "g3", None), ("u4", None, "no title"),
+               ("u4", None, None), ("u5", "g5", None), ("u5", "g6", None), ("u6", "g6", None)]
+
+    def items(rows, file):
+        return spark.createDataFrame(
+            [("s", i, g, u, "text", file, why) for i, (u, g, why) in enumerate(rows)],
+            "source_id string, position long, external_guid string, url_hash string, title string, "
+            "feed_file string, reject_reason string").withColumn("url_hash", parse("url_hash"))
+    root = scratch_path(spark, f"articles-test-{uuid.uuid4().hex[:8]}")
+    kept = {("u1", "g1", 0), ("u2", "g3", 2), ("u4", None, 4), ("u5", "g5", 5), ("u6", "g6", 7)}
+
+    def held(raw):
+        return {(r.url_hash, r.external_guid, r.position) for r in raw.collect()}
+    assert held(D.insert_articles(spark, root, "2001-09-02", items(offered, "a"))) == kept
+    assert parsed.value == len(offered)
+    # a later run offers them again among others: few are new, then most
+    assert held(D.insert_articles(spark, root, "2001-09-03", items(
+        [*offered, ("u7", "g7", None)], "b"))) == kept | {("u7", "g7", 8)}
+    more = [("u8", None, None), ("u9", "g9", None), ("u1", "g10", None)]
+    assert held(D.insert_articles(spark, root, "2001-09-04", items(more, "c"))) == kept | {
+        ("u7", "g7", 8), ("u8", None, 0), ("u9", "g9", 1)}
+    assert parsed.value == 2 * len(offered) + 1 + len(more)

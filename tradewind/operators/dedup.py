@@ -108,8 +108,10 @@ def first_wins_two_keys(batch: DataFrame, order_col: str, key1: str, key2: str,
     the payload is joined back once.
     """
     steps = _Steps(batch.sparkSession)
-    marked = steps.put(_ranked(batch.groupBy(F.col(key1).alias("_k1"), F.col(key2).alias("_k2")).agg(
-        F.min(order_col).alias("_o")).select(*KEYS)))
+    # written before it is ranked, which reads the keys several times
+    keys = steps.put(batch.groupBy(F.col(key1).alias("_k1"), F.col(key2).alias("_k2")).agg(
+        F.min(order_col).alias("_o")).select(*KEYS))
+    marked = steps.put(_ranked(keys))
     steps.accept(marked.where("_n1 = 1 and _n2 = 1"))
     remaining = marked.where("_n1 > 1 or _n2 > 1").select(*KEYS)
     rounds = 0

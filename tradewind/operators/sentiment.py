@@ -40,8 +40,11 @@ def edge_free(token: Column) -> Column:
 
 
 def tokens(cleaned: Column) -> Column:
-    """Whitespace tokens without edge punctuation."""
-    return F.transform(F.split(cleaned, " "), edge_free)
+    """Whitespace tokens without edge punctuation: ``edge_free`` of every token by one
+    scan of the text (a function over the token array would be interpreted)."""
+    at_edge = r"(?<![^ ])(?=[\-+./]|[^ ]*+(?<=[\-+./]))"
+    return F.split(F.regexp_replace(
+        cleaned, at_edge + r"[\-+./]*([^\-+./ ][^ ]+[^\-+./ ])[\-+./]*(?![^ ])", "$1"), " ")
 
 
 def _context_step(d: int, damp: float, bstmap: Column, negs: Column):

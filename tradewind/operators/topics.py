@@ -30,16 +30,21 @@ def keyword_weights(df: DataFrame, taxonomy: Taxonomy, title: str = "c_title",
     The fields are cleaned text; each gets one word-marked copy, and every
     alphanumeric keyword is a substring test on it.
     """
-    cols = []
     wt, ws, wc = (FIELD_WEIGHTS_TENTHS[k] for k in ("title", "summary", "content"))
+    # a content that is the summary again is neither marked nor searched again
+    same = F.col(summary).eqNullSafe(F.col(content))
     marked = df.select("*", word_marked(title).alias("_mt"), word_marked(summary).alias("_ms"),
-                       word_marked(content).alias("_mc"))
+                       F.when(~same, word_marked(content)).alias("_mc"), same.alias("_same"))
+    in_summary = marked.select("*", *[phrase_in_cleaned("_ms", summary, kw).alias(f"_in{i}")
+                                      for i, kw in enumerate(taxonomy.keywords)])
+    cols = []
     for i, kw in enumerate(taxonomy.keywords):
         w = (F.when(phrase_in_cleaned("_mt", title, kw), wt).otherwise(0)
-             + F.when(phrase_in_cleaned("_ms", summary, kw), ws).otherwise(0)
-             + F.when(phrase_in_cleaned("_mc", content, kw), wc).otherwise(0))
+             + F.when(F.col(f"_in{i}"), ws).otherwise(0)
+             + F.when(F.when(F.col("_same"), F.col(f"_in{i}")).otherwise(
+                 phrase_in_cleaned("_mc", content, kw)), wc).otherwise(0))
         cols.append(F.least(w, F.lit(10)).alias(_kw_col(i)))
-    return marked.select("*", *cols).drop("_mt", "_ms", "_mc")
+    return in_summary.select(*df.columns, *cols)
 
 
 def score_topics(df: DataFrame, taxonomy: Taxonomy) -> DataFrame:

@@ -34,11 +34,16 @@ def cleaned(articles: DataFrame) -> DataFrame:
     the space-joined parts equals joining the cleaned non-empty parts, so the
     (large) content is scanned once, not twice.
     """
-    parts = articles.select(
-        "article_id", "source_id", "published_date",
+    # feeds often have one text for both summary and content: it is cleaned once
+    texts = articles.select(
+        "article_id", "source_id", "published_date", "title", "summary", "content",
         clean_text("title").alias("c_title"), clean_text("summary").alias("c_summary"),
-        clean_text("content").alias("c_content"),
-        (has_text("title") | has_text("summary") | has_text("content")).alias("_ok"),
+        F.col("summary").eqNullSafe(F.col("content")).alias("_same"),
+        (has_text("title") | has_text("summary") | has_text("content")).alias("_ok"))
+    parts = texts.select(
+        "article_id", "source_id", "published_date", "c_title", "c_summary",
+        F.when(F.col("_same"), F.col("c_summary")).otherwise(clean_text("content")).alias("c_content"),
+        "_ok",
         (F.coalesce(F.instr("title", "<"), F.lit(0))
          + F.coalesce(F.instr("summary", "<"), F.lit(0)) > 0).alias("_lt"),
         "title", "summary", "content")

@@ -16,6 +16,7 @@ The queue is a view: an article waits until a run has processed it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,9 +31,9 @@ from ..operators.dedup import first_wins_two_keys
 from ..operators.sinks import pending_rows, stamped
 from ..operators.topics import topic_rows
 from ..operators.windows import next_business_day
-from ..session import child_names, cut_lineage, path_exists
+from ..session import child_names, cut_lineage, path_exists, scratch_path
 from ..sources.dimensions import Lexicon, Taxonomy
-from ..sources.feeds import ingest
+from ..sources.feeds import accepted, judged
 from ..sources.prices import validate_price_history
 from . import articles as AR
 from . import features as FE
@@ -40,6 +41,8 @@ from . import models as MD
 from . import monitor as MO
 
 LIVE_MODEL = "NextDayForecast"
+#: Row ids that may be broadcast (16 MB).
+BROADCAST_IDS = 1_000_000
 #: Run that holds what the registry had before the first run in this folder.
 IMPORTED = "0000"
 RUN_COLUMNS = ["model_run_id", "benchmark_code", "model_name", "model_version", "run_status",
@@ -96,22 +99,39 @@ def numbered(rows: DataFrame, as_of: str, id_col: str, *names: str) -> DataFrame
 
 
 # ---- articles ---------------------------------------------------------------
+def rows_of(rows: DataFrame, ids: DataFrame, key: str, aside: str) -> DataFrame:
+    """The rows whose (unique) key is in ``ids``.  They are met by the smaller of the
+    keys in it and of those not in it, which is broadcast if it is short: wide rows are
+    then filtered where they lie."""
+    n, kept = rows.count(), ids.count()
+    how = "left_semi"
+    if kept > n - kept:
+        rows.select(key).join(ids, key, "left_anti").write.parquet(aside)
+        ids, how = rows.sparkSession.read.parquet(aside), "left_anti"
+    return rows.join(F.broadcast(ids) if min(kept, n - kept) <= BROADCAST_IDS else ids, key, how)
+
+
 def insert_articles(spark: SparkSession, root: str, run: str, items: DataFrame) -> DataFrame:
-    """B1/B2: the offered items that neither key has seen, first wins; each gets its
-    url key as id and a pending entry in the processing queue."""
+    """B1/B2: the offered items that are not rejected and that neither key has seen, first
+    wins; each gets its url key as id and a pending entry in the processing queue."""
     path = f"{root}/articles_raw"
-    keyed = items.withColumns({
-        "_gk": F.when(F.col("external_guid").isNotNull(),
-                      F.concat_ws("\u0001", "source_id", "external_guid")),
-        "_ord": F.struct("source_id", "feed_file", "position")})
+    # parsed once (the reject reason too); the rules see keys, the texts stay where they lie
+    aside = scratch_path(spark, f"items-{uuid.uuid4().hex}")
+    items.withColumn("_row", F.monotonically_increasing_id()).write.parquet(f"{aside}/items")
+    items = accepted(spark.read.parquet(f"{aside}/items"))
+    keyed = items.select("_row", "url_hash", F.when(
+        F.col("external_guid").isNotNull(),
+        F.concat_ws("\u0001", "source_id", "external_guid")).alias("_gk"),
+        F.struct("source_id", "feed_file", "position").alias("_ord"))
     held = TB.read_runs(spark, path, other_than=run)
     if held is not None:
         seen = held.select(F.concat_ws("\u0001", "source_id", "external_guid").alias("_gk")) \
             .where("external_guid is not null")
         keyed = keyed.join(held.select("url_hash"), "url_hash", "left_anti").join(
             seen, "_gk", "left_anti")
-    new = first_wins_two_keys(keyed, "_ord", "url_hash", "_gk").drop("_gk", "_ord").withColumn(
-        "article_id", F.col("url_hash"))
+    first_wins_two_keys(keyed, "_ord", "url_hash", "_gk").select("_row").write.parquet(f"{aside}/won")
+    new = rows_of(items, spark.read.parquet(f"{aside}/won"), "_row", f"{aside}/lost").drop(
+        "_row").withColumn("article_id", F.col("url_hash"))
     raw = TB.append_run(stamped(new, "created_at"), path, run)
     mine = spark.read.parquet(f"{path}/run={TB.run_name(run)}")
     TB.append_run(pending_rows(mine), f"{root}/processing_queue", run)
@@ -250,13 +270,13 @@ def run_daily(spark: SparkSession, sf_dir: str, root: str, landing: str,
     ``imported`` are model runs and predictions that an earlier registry held;
     ``train(features, news)`` fits a group that the monitoring sends to retraining."""
     out = []
-    # 1 prices: upsert the day's price history
-    prices = _by_month(f"{root}/prices", validate_price_history(B.price_series(table(
-        spark, sf_dir, "orders"))), "price_date", ["benchmark_code", "price_date"])
+    # 1 prices: upsert the day's price history (B3), grouped once from the orders
+    prices = _by_month(f"{root}/prices", validate_price_history(cut_lineage(B.price_series(table(
+        spark, sf_dir, "orders")))), "price_date", ["benchmark_code", "price_date"])
     out.append(("prices", prices.count()))
     # 2 articles: landed feeds, two-key first-wins insertion, queue (A1-A4, B1, B2)
     sources = B.source_registry(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
-    raw = insert_articles(spark, root, as_of, ingest(spark, sources, landing))
+    raw = insert_articles(spark, root, as_of, judged(spark, sources, landing))
     out.append(("articles_raw", raw.count()))
     # 3 scoring of what was ingested and still waits
     scored = process_pending(spark, root, as_of, raw, taxonomy, lexicon)

@@ -16,6 +16,8 @@ import numpy as np
 import pandas as pd
 
 BINS = 64
+#: Cells (or rows) of the histograms that are filled together.
+CELLS = 1 << 15
 
 
 # ---------------------------------------------------------------------------
@@ -132,32 +134,43 @@ def leaf_means(bins: np.ndarray, tree: np.ndarray, y: np.ndarray, w: np.ndarray,
             sub_w = w[sub]
             sub_wy = [sub_w * c[sub] for c in y.T]
             base, least = sub_node * BINS, min_leaf[owner[g]]
-            for f in range(bins.shape[1]):
-                key = base + columns[f][sub]
+            size = len(g) * BINS
+            step = max(1, CELLS // max(size, len(sub)))
+            for lo in range(0, bins.shape[1], step):
+                # the histograms of some features, one behind the other
+                here = columns[lo:lo + step]
+                k = len(here)
+                key = (here[:, sub] + base + size * np.arange(k)[:, None]).ravel()
                 # cuts behind empty bins part the rows as the cut before them does
-                hist = np.bincount(key, sub_w, len(g) * BINS)
+                each = lambda v: v if k == 1 else np.tile(v, k)  # noqa: B023, E731
+                hist = np.bincount(key, each(sub_w), k * size)
                 cell = np.flatnonzero(hist)
-                at_node = cell // BINS
+                at = cell // BINS                   # feature and node
+                of, at_node = (lo, at) if k == 1 else (lo + at // len(g), at % len(g))
                 hw = hist.reshape(-1, BINS).cumsum(1).ravel()[cell]
                 rest = count[g][at_node] - hw
                 gain = -whole[at_node]
-                for k in range(y.shape[1]):
-                    hs = np.bincount(key, sub_wy[k], len(g) * BINS).reshape(
+                for c in range(y.shape[1]):
+                    hs = np.bincount(key, each(sub_wy[c]), k * size).reshape(
                         -1, BINS).cumsum(1).ravel()[cell]
                     gain = gain + hs ** 2 / np.maximum(hw + ridge, 1e-12) + (
-                        sums[g, k][at_node] - hs) ** 2 / np.maximum(rest + ridge, 1e-12)
+                        sums[g, c][at_node] - hs) ** 2 / np.maximum(rest + ridge, 1e-12)
                 limit = least[at_node]
-                gain[(hw < limit) | (rest < limit) | ~allowed[owner[g], f][at_node]] = -1
-                # the first of the best cells of every node
-                starts = np.flatnonzero(np.diff(at_node, prepend=-1))
-                have = at_node[starts]
+                gain[(hw < limit) | (rest < limit) | ~allowed[owner[g][at_node], of]] = -1
+                # the first of the best cells of every feature and node
+                starts = np.flatnonzero(np.diff(at, prepend=-1))
                 top = np.maximum.reduceat(gain, starts) if len(cell) else gain
                 first = np.flatnonzero(gain == np.repeat(top, np.diff(starts, append=len(cell))))
-                first = first[np.diff(at_node[first], prepend=-1) > 0]
-                now = have[top > best[g[have]]]
-                better = top > best[g[have]]
+                first = first[np.diff(at[first], prepend=-1) > 0]
+                # of a node's features the first of the best; without a number none is
+                held = ~np.isnan(top)
+                tops, cuts = np.full(k * len(g), -1.0), np.zeros(k * len(g), np.int64)
+                tops[at[starts[held]]], cuts[at[first]] = top[held], cell[first] % BINS
+                tops, cuts = tops.reshape(k, -1), cuts.reshape(k, -1)
+                f, all_g = tops.argmax(0), np.arange(len(g))
+                now = np.flatnonzero(tops[f, all_g] > best[g])
                 best[g[now]], feature[g[now]], cut[g[now]] = (
-                    top[better], f, cell[first[better]] % BINS)
+                    tops[f, all_g][now], lo + f[now], cuts[f, all_g][now])
         split = grow & (best > 1e-9)
         done = ~split[node]
         value[rows[done]] = mean[node[done]]
@@ -193,6 +206,17 @@ def forest(x: np.ndarray, y: np.ndarray, score: np.ndarray, trees: int, depth: i
     return out / trees
 
 
+def _own_draws(rng: np.random.Generator, spans: list[tuple[int, int]], total: int) -> np.ndarray:
+    """Those of the next ``total`` random numbers that lie in the (ascending) spans."""
+    out, at = [], 0
+    for lo, hi in spans:
+        rng.bit_generator.advance(int(lo - at))
+        out.append(rng.random(int(hi - lo)))
+        at = hi
+    rng.bit_generator.advance(int(total - at))
+    return np.concatenate(out)
+
+
 def boosted(problems: list[tuple[np.ndarray, np.ndarray, np.ndarray, dict]], seed: int,
             only: list[int] | None = None) -> list[np.ndarray]:
     """Predictions of squared-error boosting for the score rows of every
@@ -217,16 +241,14 @@ def boosted(problems: list[tuple[np.ndarray, np.ndarray, np.ndarray, dict]], see
     fit = np.zeros(len(tree))
     for r in range(int(par["n_estimators"][mine].max())):
         live = par["n_estimators"] > r
-        drawn = rng.random(int(rows[live].sum()))
-        picked = rng.random((int(live.sum()), f))
-        number = np.cumsum(live) - 1              # place among all live problems
         ends = np.cumsum(np.where(live, rows, 0))
+        place = np.cumsum(live)                   # among all live problems
         now = mine[live[mine]]
-        if len(now) < live.sum():
-            drawn = np.concatenate([drawn[ends[i] - rows[i]:ends[i]] for i in now])
-            picked = picked[number[now]]
-            number = np.zeros(len(problems), np.int64)
-            number[now] = np.arange(len(now))
+        drawn = _own_draws(rng, [(ends[i] - rows[i], ends[i]) for i in now], ends[-1])
+        picked = _own_draws(rng, [(f * (place[i] - 1), f * place[i]) for i in now],
+                            f * place[-1]).reshape(-1, f)
+        number = np.zeros(len(problems), np.int64)
+        number[now] = np.arange(len(now))
         on = live[tree]
         w = train[on] * (drawn < par["subsample"][tree[on]])
         keep = np.maximum(1, np.round(par["colsample_bytree"][now] * f)).astype(int)

@@ -229,12 +229,13 @@ def ols_backtest(features: DataFrame, xcols: Sequence[str] = PRICE_FEATURES,
     return predict(s.filter("split = 'test'"), coefs, [SERIES], xcols)
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
+def spread(rows: DataFrame, *keys: str, times: int = 1) -> DataFrame:
     """Rows dealt by the keys.  The number of partitions is given: a group holds few
     bytes but much work, and groups must not be put together by their bytes.  One more
-    than an ordinary shuffle has, or Spark would take the (merged) one before it."""
+    than an ordinary shuffle has, or Spark would take the (merged) one before it;
+    ``times`` as many if the groups are unlike, so that few share a task."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n + 1, *keys)
+    return rows.repartition(n * times + 1, *keys)
 
 
 def per_series(rows: DataFrame, columns: Sequence[str], schema: str, fit) -> DataFrame:
@@ -304,7 +305,7 @@ def tree_search(s: DataFrame, kind: str, xcols: Sequence[str], draws: int | None
         lo = int(pdf["part"].iloc[0]) * each
         return G.tree_errors(pdf, SERIES, xcols, TARGET, kind, cands, N_SPLITS, SEARCH_SEED,
                              list(range(lo, lo + each)))
-    maes = cut_lineage(spread(parts, SERIES, "part").groupBy(SERIES, "part").applyInPandas(
+    maes = cut_lineage(spread(parts, SERIES, "part", times=4).groupBy(SERIES, "part").applyInPandas(
         errors, f"{SERIES} string, job int, mae double")).groupBy(F.col(SERIES).alias("_s")).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("job", "mae"))), lambda x: x["mae"])
         .alias("maes"))

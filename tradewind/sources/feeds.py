@@ -351,8 +351,14 @@ def route_sources(sources: DataFrame) -> DataFrame:
 
 
 def ingest(spark: SparkSession, sources: DataFrame, landing: str) -> DataFrame:
-    """A4: every routable source's landed files; only their folders are read
-    (the registry of feeds is a bounded dimension), one listing per reader."""
+    """A4: the accepted items of every routable source's landed files."""
+    return accepted(judged(spark, sources, landing))
+
+
+def judged(spark: SparkSession, sources: DataFrame, landing: str) -> DataFrame:
+    """Every item of the routable sources' landed files with its reject reason;
+    only their folders are read (the registry of feeds is a bounded dimension), one
+    listing per reader."""
     routed = route_sources(sources).where("reader is not null").select("reader", "source_name")
     landed: dict[str, set[str]] = {}
     folders: dict[str, list[str]] = {}
@@ -362,10 +368,10 @@ def ingest(spark: SparkSession, sources: DataFrame, landing: str) -> DataFrame:
         if f"source_id={r.source_name}" in landed[r.reader]:
             folders.setdefault(r.reader, []).append(
                 f"{landing}/{r.reader}/source_id={r.source_name}")
-    read = {"rss": read_rss, "search": read_search, "timeline": read_timeline}
+    read = {"rss": rss_items, "search": search_items, "timeline": timeline_items}
     parts = [read[k](spark, v) for k, v in sorted(folders.items())]
     if not parts:
-        return spark.createDataFrame([], item_schema())
+        return spark.createDataFrame([], item_schema().add("reject_reason", _S))
     return reduce(DataFrame.unionByName, parts)
 
 
